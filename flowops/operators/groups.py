@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowops.functions.columns import null_non_finite, pct, qcol, ratio, to_mb, traffic_type
 from flowops.operators.deriving import lookup
-from flowops.operators.percentiles import group_summary, median, threshold
+from flowops.operators.percentiles import Limits, group_summary, median
 from flowops.session import SMALL_INPUT_BYTES
 from flowops.spec import Spec
 
@@ -172,10 +172,10 @@ def traffic_profile(df: DataFrame, spec: Spec, small_bytes: int = SMALL_INPUT_BY
     ).orderBy(TRAFFIC)
 
 
-def traffic_filters(spec: Spec, limits: DataFrame) -> Mapping[str, tuple[Column, Column, Column]]:
-    """Named filters as (test, threshold, text); limits are scalar subqueries on a threshold table."""
-    rate95, size95 = threshold(limits, spec.rate, 95), threshold(limits, spec.size, 95)
-    size50, iat95 = threshold(limits, spec.size, 50), threshold(limits, spec.iat, 95)
+def traffic_filters(spec: Spec, limits: Limits) -> Mapping[str, tuple[Column, Column, Column]]:
+    """Named filters as (test, threshold, text); limits are scalar subqueries."""
+    rate95, size95 = limits.at(spec.rate, 95), limits.at(spec.size, 95)
+    size50, iat95 = limits.at(spec.size, 50), limits.at(spec.iat, 95)
     rate, size, iat = qcol(spec.rate), qcol(spec.size), qcol(spec.iat)
     fast = rate >= rate95
     return {
@@ -198,7 +198,7 @@ def traffic_filters(spec: Spec, limits: DataFrame) -> Mapping[str, tuple[Column,
     }
 
 
-def filter_counts(df: DataFrame, spec: Spec, limits: DataFrame) -> DataFrame:
+def filter_counts(df: DataFrame, spec: Spec, limits: Limits) -> DataFrame:
     """Rows passing each filter and their share; all filters in one scan."""
     filters = traffic_filters(spec, limits)
     wide = df.agg(
@@ -218,7 +218,7 @@ def filter_counts(df: DataFrame, spec: Spec, limits: DataFrame) -> DataFrame:
     return wide.select(F.inline(F.array(*rows)))
 
 
-def intense_by_label(df: DataFrame, spec: Spec, limits: DataFrame) -> DataFrame:
+def intense_by_label(df: DataFrame, spec: Spec, limits: Limits) -> DataFrame:
     """Labels of the rows that are both fast and large."""
     test, _, _ = traffic_filters(spec, limits)["trafico_intenso"]
     grouped = df.where(test).groupBy(qcol(spec.label)).agg(

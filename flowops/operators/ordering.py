@@ -87,27 +87,7 @@ def order_check(df: DataFrame, by: Sequence[str]) -> DataFrame:
     ends = ", ".join(f"{side}{i} {fields[c]}" for side in ("f", "l") for i, c in enumerate(names))
     schema = f"part int, n bigint, descents bigint, {ends}"
 
-    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None
-        rows = descents = 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            descents += _descents(batch)
-            head = tuple(batch.column(i)[0].as_py() for i in range(batch.num_columns))
-            if first is None:
-                first = head
-            elif head < last:
-                descents += 1
-            last = tuple(batch.column(i)[batch.num_rows - 1].as_py() for i in range(batch.num_columns))
-            rows += batch.num_rows
-        if rows:
-            cells = [TaskContext.get().partitionId(), rows, descents, *first, *last]
-            names_out = ["part", "n", "descents"]
-            names_out += [f"{side}{i}" for side in ("f", "l") for i in range(len(first))]
-            yield pa.RecordBatch.from_pylist([dict(zip(names_out, cells))])
-
-    parts = keyed.mapInArrow(summarise, schema)
+    parts = keyed.mapInArrow(_summariser(), schema)
     first = F.struct(*[F.col(f"f{i}") for i in range(len(names))])
     last = F.struct(*[F.col(f"l{i}") for i in range(len(names))])
     previous = F.lag(last).over(Window.orderBy("part"))
@@ -122,15 +102,41 @@ def order_check(df: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _descents(batch: pa.RecordBatch) -> int:
-    """Neighbouring rows whose key tuple goes down."""
-    n = batch.num_rows - 1
-    if n < 1:
-        return 0
-    down = pa.array([False] * n)
-    same = pa.array([True] * n)
-    for column in batch.columns:
-        here, there = column.slice(0, n), column.slice(1, n)
-        down = pc.or_(down, pc.and_(same, pc.less(there, here)))
-        same = pc.and_(same, pc.equal(there, here))
-    return pc.sum(down).as_py() or 0
+def _summariser():
+    """The per-partition function, self-contained so that workers need not have this package."""
+
+    def descents(batch: pa.RecordBatch) -> int:
+        n = batch.num_rows - 1
+        if n < 1:
+            return 0
+        down = pa.array([False] * n)
+        same = pa.array([True] * n)
+        for column in batch.columns:
+            here, there = column.slice(0, n), column.slice(1, n)
+            down = pc.or_(down, pc.and_(same, pc.less(there, here)))
+            same = pc.and_(same, pc.equal(there, here))
+        return pc.sum(down).as_py() or 0
+
+    def row(batch: pa.RecordBatch, at: int) -> tuple:
+        return tuple(column[at].as_py() for column in batch.columns)
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        rows = down = 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            head = row(batch, 0)
+            down += descents(batch) + (last is not None and head < last)
+            first = head if first is None else first
+            last = row(batch, batch.num_rows - 1)
+            rows += batch.num_rows
+            types = batch.schema.types
+        if rows:
+            kinds = [pa.int32(), pa.int64(), pa.int64(), *types, *types]
+            cells = [TaskContext.get().partitionId(), rows, down, *first, *last]
+            names = ["part", "n", "descents"]
+            names += [f"{side}{i}" for side in ("f", "l") for i in range(len(types))]
+            yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names)
+
+    return summarise

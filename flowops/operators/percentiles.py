@@ -22,6 +22,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowops.functions.columns import qcol
 from flowops.session import SMALL_INPUT_BYTES, cut_lineage, is_small
 
+# The percents of the threshold table.
+THRESHOLD_PERCENTS = (50, 75, 90, 95, 99)
+
 SKETCH_ACCURACY = 100_000
 BRACKET_MARGIN = 3.0 / SKETCH_ACCURACY
 
@@ -188,45 +191,67 @@ def _locate(values: DataFrame, brackets: DataFrame, by: Sequence[str]) -> DataFr
 THRESHOLD_PERCENTS = (50, 75, 90, 95, 99)
 
 
-def thresholds(
-    df: DataFrame,
-    columns: Sequence[str],
-    percents: Sequence[int] = THRESHOLD_PERCENTS,
-    small_bytes: int = SMALL_INPUT_BYTES,
-) -> DataFrame:
-    """Nearest-rank thresholds per column, infinities included; an empty column gives 0.0.
+class Limits:
+    """Nearest-rank thresholds of several columns in a one-row frame, infinities included.
 
-    Columns: columna, conteo, nulos, min, max, media, p<percent>...
+    ``at`` gives one of them as a scalar subquery: it is evaluated inside the plan that uses it, with
+    only the percentiles that plan needs, and never collected. An empty column gives 0.0.
     """
-    aggregates = []
-    wanted = {}
-    for i, c in enumerate(columns):
-        value = qcol(c)
-        aggregates += [
-            F.count(value).alias(f"{i}_conteo"),
-            F.count_if(value.isNull()).alias(f"{i}_nulos"),
-            F.min(value).alias(f"{i}_min"),
-            F.max(value).alias(f"{i}_max"),
-            F.avg(value).alias(f"{i}_media"),
-        ]
-        wanted.update({f"{i}_p{p}": nearest_rank(c, p / 100.0) for p in percents})
-    wide = group_summary(df, [], aggregates, wanted, small_bytes)
-    zero = F.lit(0.0)
-    rows = [
-        F.struct(
-            F.lit(c).alias("columna"),
-            F.col(f"{i}_conteo").alias("conteo"),
-            F.col(f"{i}_nulos").alias("nulos"),
-            F.coalesce(F.col(f"{i}_min"), zero).alias("min"),
-            F.coalesce(F.col(f"{i}_max"), zero).alias("max"),
-            F.coalesce(F.col(f"{i}_media"), zero).alias("media"),
-            *[F.coalesce(F.col(f"{i}_p{p}"), zero).alias(f"p{p}") for p in percents],
+
+    def __init__(self, wide: DataFrame, columns: Sequence[str], percents: Sequence[int]):
+        self._wide, self._columns, self._percents = wide, list(columns), tuple(percents)
+
+    @classmethod
+    def of(
+        cls,
+        df: DataFrame,
+        columns: Sequence[str],
+        percents: Sequence[int] = THRESHOLD_PERCENTS,
+        small_bytes: int = SMALL_INPUT_BYTES,
+    ) -> Limits:
+        aggregates, wanted = [], {}
+        for i, c in enumerate(columns):
+            value = qcol(c)
+            aggregates += [
+                F.count(value).alias(f"{i}_conteo"),
+                F.count_if(value.isNull()).alias(f"{i}_nulos"),
+                F.min(value).alias(f"{i}_min"),
+                F.max(value).alias(f"{i}_max"),
+                F.avg(value).alias(f"{i}_media"),
+            ]
+            wanted.update({f"{i}_p{p}": nearest_rank(c, p / 100.0) for p in percents})
+        return cls(group_summary(df, [], aggregates, wanted, small_bytes), columns, percents)
+
+    @classmethod
+    def from_table(cls, table: DataFrame) -> Limits:
+        """From rows such as ``table`` gives, for thresholds kept in a file."""
+        percents = [int(c[1:]) for c in table.columns if c.startswith("p")]
+        numbers = [c for c in table.columns if c != "columna"]
+        columns = [r["columna"] for r in table.select("columna").collect()]
+        wide = table.agg(
+            *[
+                F.max(F.when(F.col("columna") == name, F.col(c))).alias(f"{i}_{c}")
+                for i, name in enumerate(columns)
+                for c in numbers
+            ]
         )
-        for i, c in enumerate(columns)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+        return cls(wide, columns, percents)
 
+    def at(self, column: str, percent: int) -> Column:
+        cell = F.coalesce(F.col(f"{self._columns.index(column)}_p{percent}"), F.lit(0.0))
+        return self._wide.select(cell.alias("limit")).scalar()
 
-def threshold(table: DataFrame, column: str, percent: int) -> Column:
-    """One cell of a threshold table as a scalar subquery: evaluated once, never collected."""
-    return table.where(F.col("columna") == column).agg(F.max(f"p{percent}")).scalar()
+    def table(self) -> DataFrame:
+        """Columns: columna, conteo, nulos, min, max, media, p<percent>..."""
+        zero = F.lit(0.0)
+        reals = ["min", "max", "media", *[f"p{p}" for p in self._percents]]
+        rows = [
+            F.struct(
+                F.lit(c).alias("columna"),
+                F.col(f"{i}_conteo").alias("conteo"),
+                F.col(f"{i}_nulos").alias("nulos"),
+                *[F.coalesce(F.col(f"{i}_{r}"), zero).alias(r) for r in reals],
+            )
+            for i, c in enumerate(self._columns)
+        ]
+        return self._wide.select(F.inline(F.array(*rows)))

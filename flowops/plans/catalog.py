@@ -31,10 +31,14 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_and_round(read_flows(spark, sf_dir), FLOW)
 
 
-def _limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _limits(spark: SparkSession, sf_dir: str) -> percentiles.Limits:
     """Thresholds of the raw rounded rows, infinities included."""
     rounded = cleaning.round_floats(read_flows(spark, sf_dir), FLOW)
-    return percentiles.thresholds(rounded, THRESHOLD_COLUMNS)
+    return percentiles.Limits.of(rounded, THRESHOLD_COLUMNS)
+
+
+def rate_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _limits(spark, sf_dir).table()
 
 
 def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +46,8 @@ def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deriving.with_derived(
         _clean(spark, sf_dir),
         FLOW,
-        percentiles.threshold(limits, FLOW.iat, 50),
-        percentiles.threshold(limits, FLOW.iat, 95),
+        limits.at(FLOW.iat, 50),
+        limits.at(FLOW.iat, 95),
     )
 
 
@@ -373,8 +377,7 @@ def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def threshold_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thresholds written as one JSON object and read back."""
     path = scratch_path(spark, "thresholds")
-    limits = _limits(spark, sf_dir)
-    sinks.write_thresholds(limits, path)
+    sinks.write_thresholds(_limits(spark, sf_dir).table(), path)
     return files.read_thresholds(spark, path, THRESHOLD_COLUMNS)
 
 
@@ -406,7 +409,7 @@ QUERIES: dict[str, Query] = {
     "derived_rows": derived_rows,
     "derived_profile": derived_profile,
     "derived_preview": derived_preview,
-    "rate_thresholds": _limits,
+    "rate_thresholds": rate_thresholds,
     "filter_counts": filter_counts,
     "intense_by_label": intense_by_label,
     "global_metrics": global_metrics,

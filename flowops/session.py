@@ -37,9 +37,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of all leaf relations of the optimised plan, or None when they cannot be known."""
+    """Bytes of all relations a plan reads, or None when they cannot be known.
+
+    Taken from the analysed plan: no job, no optimiser run, and a join does not multiply it.
+    """
     try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
         sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
     except (AttributeError, TypeError):
         return None
