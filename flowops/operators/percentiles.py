@@ -198,8 +198,10 @@ class Limits:
     only the percentiles that plan needs, and never collected. An empty column gives 0.0.
     """
 
-    def __init__(self, wide: DataFrame, columns: Sequence[str], percents: Sequence[int]):
-        self._wide, self._columns, self._percents = wide, list(columns), tuple(percents)
+    def __init__(
+        self, wide: DataFrame, columns: Sequence[str], percents: Sequence[int] = THRESHOLD_PERCENTS
+    ):
+        self.wide, self._columns, self._percents = wide, list(columns), tuple(percents)
 
     @classmethod
     def of(
@@ -239,7 +241,7 @@ class Limits:
 
     def at(self, column: str, percent: int) -> Column:
         cell = F.coalesce(F.col(f"{self._columns.index(column)}_p{percent}"), F.lit(0.0))
-        return self._wide.select(cell.alias("limit")).scalar()
+        return self.wide.select(cell.alias("limit")).scalar()
 
     def table(self) -> DataFrame:
         """Columns: columna, conteo, nulos, min, max, media, p<percent>..."""
@@ -254,4 +256,4 @@ class Limits:
             )
             for i, c in enumerate(self._columns)
         ]
-        return self._wide.select(F.inline(F.array(*rows)))
+        return self.wide.select(F.inline(F.array(*rows)))

@@ -11,7 +11,7 @@ from flowops.functions.columns import qcol
 from flowops.operators import (
     cleaning, deriving, duplicates, groups, ordering, percentiles, profiling, reconcile, sampling,
 )
-from flowops.plans.flow_view import read_flows
+from flowops.plans.flow_view import THRESHOLD_COLUMNS, read_clean, read_flows, read_limits
 from flowops.session import scratch_path, tune
 from flowops.sources import files, sinks
 from flowops.spec import FLOW, LABEL_FAMILY, family_dimension, protocol_dimension
@@ -20,34 +20,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SEED = 42
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
-THRESHOLD_COLUMNS = (FLOW.rate, FLOW.size, FLOW.iat)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.clean_and_round(read_flows(spark, sf_dir), FLOW)
-
-
-def _limits(spark: SparkSession, sf_dir: str) -> percentiles.Limits:
-    """Thresholds of the raw rounded rows, infinities included."""
-    rounded = cleaning.round_floats(read_flows(spark, sf_dir), FLOW)
-    return percentiles.Limits.of(rounded, THRESHOLD_COLUMNS)
-
-
-def rate_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _limits(spark, sf_dir).table()
-
-
 def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    limits = _limits(spark, sf_dir)
+    limits = read_limits(spark, sf_dir)
     return deriving.with_derived(
-        _clean(spark, sf_dir),
-        FLOW,
-        limits.at(FLOW.iat, 50),
-        limits.at(FLOW.iat, 95),
+        read_clean(spark, sf_dir), FLOW, limits.at(FLOW.iat, 50), limits.at(FLOW.iat, 95)
     )
 
 
@@ -56,7 +38,7 @@ def _on_flows(fn, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _on_clean(fn, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fn(_clean(spark, sf_dir), FLOW)
+    return fn(read_clean(spark, sf_dir), FLOW)
 
 
 def _with_families(fn, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,11 +59,16 @@ def protocol_within_family(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dup_criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates.dedup_criteria_report(_clean(spark, sf_dir), FLOW.dedup_key)
+    return duplicates.dedup_criteria_report(read_clean(spark, sf_dir), FLOW.dedup_key)
 
 
 def dup_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates.most_repeated(_clean(spark, sf_dir), FLOW.dedup_key)
+    return duplicates.most_repeated(read_clean(spark, sf_dir), FLOW.dedup_key)
+
+
+def rate_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rounded = cleaning.round_floats(read_flows(spark, sf_dir), FLOW)
+    return percentiles.Limits.of(rounded, THRESHOLD_COLUMNS).table()
 
 
 def derived_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,15 +95,15 @@ def null_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups.filter_counts(_clean(spark, sf_dir), FLOW, _limits(spark, sf_dir))
+    return groups.filter_counts(read_clean(spark, sf_dir), FLOW, read_limits(spark, sf_dir))
 
 
 def intense_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups.intense_by_label(_clean(spark, sf_dir), FLOW, _limits(spark, sf_dir))
+    return groups.intense_by_label(read_clean(spark, sf_dir), FLOW, read_limits(spark, sf_dir))
 
 
 def global_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.global_metrics(_clean(spark, sf_dir), FLOW.indicators)
+    return profiling.global_metrics(read_clean(spark, sf_dir), FLOW.indicators)
 
 
 def consolidated_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,7 +219,7 @@ def label_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summary_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two key/value summaries of which three values differ: one truly, one within tolerance, one ignored."""
-    numbers = groups.indicators(_clean(spark, sf_dir), FLOW).where(F.col("valor_num").isNotNull())
+    numbers = groups.indicators(read_clean(spark, sf_dir), FLOW).where(F.col("valor_num").isNotNull())
     base = numbers.select(F.col("metrica").alias("clave"), F.col("valor_num").alias("valor"))
     shift = (
         F.when(F.col("clave") == "total_clases", 1.0)
@@ -377,7 +364,7 @@ def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def threshold_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thresholds written as one JSON object and read back."""
     path = scratch_path(spark, "thresholds")
-    sinks.write_thresholds(_limits(spark, sf_dir).table(), path)
+    sinks.write_thresholds(read_limits(spark, sf_dir).table(), path)
     return files.read_thresholds(spark, path, THRESHOLD_COLUMNS)
 
 
@@ -401,7 +388,7 @@ QUERIES: dict[str, Query] = {
         cleaning.round_floats(read_flows(spark, sf_dir), FLOW), FLOW
     ),
     "clean_report": partial(_on_flows, cleaning.clean_report),
-    "clean_rows": _clean,
+    "clean_rows": partial(_on_flows, cleaning.clean_and_round),
     "null_cells": null_cells,
     "finite_rates": finite_rates,
     "dup_criteria": dup_criteria,

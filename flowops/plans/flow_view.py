@@ -8,11 +8,17 @@ arithmetic on the keys. The expressions are plain SQL that Spark and DuckDB read
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
 
-from flowops.session import scratch_path
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from flowops.operators.cleaning import clean_and_round, round_floats
+from flowops.operators.percentiles import Limits
+from flowops.session import is_small, scratch_path
 from flowops.spec import FLOW, FLOW_COLUMNS, LABEL_FAMILY
 
+THRESHOLD_COLUMNS = (FLOW.rate, FLOW.size, FLOW.iat)
+
 HOT_LABEL = "DDoS-ICMP_Flood"
 OTHER_LABELS = sorted(label for label in LABEL_FAMILY if label != HOT_LABEL)
 
@@ -94,21 +100,51 @@ def flows_from(lineitem: DataFrame) -> DataFrame:
     )
 
 
-_ingested: dict[tuple[str, str], str] = {}
+_stored: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage kept as columnar files in the shared folder, written once per session and source.
+
+    Reports start from such a stage instead of repeating its work, read only the columns they need,
+    and lose nothing with an executor.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = scratch_path(spark, name)
+        stage = build()
+        stage.write.parquet(path)
+        _stored[key] = (path, stage.schema)
+    path, schema = _stored[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flow table as columnar files, written once per session and source.
+    """The flow table, ingested from the source rows.
 
-    Every report reads a few of the 40 columns; ingesting once lets each of them prune and push
-    down, instead of deriving the rows again. The schema is declared, so nothing is inferred.
+    A large source arrives in many splits. A small one may be a single row group, which would leave
+    every later scan to one task, so it is spread over the cores while it is written.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ingested:
-        path = scratch_path(spark, "flows")
-        flows_from(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).write.parquet(path)
-        _ingested[key] = path
-    return spark.read.schema(FLOW.schema).parquet(_ingested[key])
+    def build() -> DataFrame:
+        source = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        if is_small(source):
+            source = source.repartition(spark.sparkContext.defaultParallelism)
+        return flows_from(source)
+
+    return stored(spark, sf_dir, "flows", build)
+
+
+def read_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean, rounded rows: the check of all 40 columns is paid once, not by every later report."""
+    return stored(spark, sf_dir, "clean", lambda: clean_and_round(read_flows(spark, sf_dir), FLOW))
+
+
+def read_limits(spark: SparkSession, sf_dir: str) -> Limits:
+    """Thresholds of the raw rounded rows, infinities included; the stored table has one row."""
+    def build() -> DataFrame:
+        return Limits.of(round_floats(read_flows(spark, sf_dir), FLOW), THRESHOLD_COLUMNS).wide
+
+    return Limits(stored(spark, sf_dir, "limits", build), THRESHOLD_COLUMNS)
 
 
 def flows_sql() -> str:

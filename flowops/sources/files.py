@@ -45,9 +45,8 @@ def _csv(spark: SparkSession, schema: T.StructType):
 
 def directory_label(path: Column) -> Column:
     """Class name from the parent directory of a file, ``name`` or ``column=name``."""
-    folder = F.url_decode(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1))
-    name = F.regexp_replace(folder, r"^[^=]*=", "")
-    return F.when(name == BENIGN_DIRECTORY, F.lit("Benign")).otherwise(name)
+    folder = F.regexp_extract(F.url_decode(path), r"([^/]+=)?([^/]+)/[^/]+$", 2)
+    return F.regexp_replace(folder, f"^{BENIGN_DIRECTORY}$", "Benign")
 
 
 def read_class_directories(
@@ -55,8 +54,7 @@ def read_class_directories(
 ) -> DataFrame:
     """All CSV files below a directory, with the label taken from each file's directory.
 
-    Adds ``Label`` (by the name the contract gives it) and ``archivo``. Rows with a wrong number of
-    fields fail the read, and so does a directory name that cannot be a class.
+    Adds the label and ``archivo``. Rows with a wrong number of fields fail the read.
     """
     source = [f for f in spec.text_schema.fields if f.name != spec.label]
     raw = (
@@ -64,14 +62,11 @@ def read_class_directories(
         .options(mode="FAILFAST", recursiveFileLookup=True, pathGlobFilter=suffix)
         .csv(path)
     )
-    label = directory_label(F.col("_metadata.file_path"))
-    usable = F.when(label.rlike(r"^[^,\r\n]+$"), label).otherwise(
-        F.raise_error(F.concat(F.lit("not a usable class name: "), F.coalesce(label, F.lit("NULL"))))
-    )
+    file = F.col("_metadata.file_path")
     return raw.select(
         *[F.coalesce(qcol(f.name), F.lit("")).alias(f.name) for f in source],
-        usable.alias(spec.label),
-        F.col("_metadata.file_path").alias("archivo"),
+        directory_label(file).alias(spec.label),
+        file.alias("archivo"),
     )
 
 
@@ -95,8 +90,16 @@ def source_header(spark: SparkSession, path: str, label: str = "Label", suffix:
 
 
 def inventory(rows: DataFrame, label: str = "Label") -> DataFrame:
-    """Rows per file and class."""
-    return rows.groupBy(qcol(label), "archivo").agg(F.count(F.lit(1)).alias("filas"))
+    """Rows per file and class. Rows are counted per file; the class is read off the few file names.
+
+    A directory name that is empty or holds a comma or line break cannot be a class and fails.
+    """
+    files = rows.groupBy("archivo").agg(F.count(F.lit(1)).alias("filas"))
+    named = files.select(directory_label(F.col("archivo")).alias(label), "archivo", "filas")
+    usable = F.when(qcol(label).rlike(r"^[^,\r\n]+$"), qcol(label)).otherwise(
+        F.raise_error(F.concat(F.lit("not a usable class name: "), qcol(label)))
+    )
+    return named.withColumn(label, usable)
 
 
 def read_thresholds(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
