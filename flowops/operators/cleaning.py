@@ -43,7 +43,7 @@ def clean_rows(df: DataFrame, spec: Spec) -> DataFrame:
     """
     magnitudes = [F.abs(qcol(c)) for c in spec.floats]
     return df.dropna(how="any", subset=list(spec.columns)).where(
-        F.greatest(*magnitudes) < F.lit(float("inf"))
+        F.greatest(F.lit(0.0), *magnitudes) < F.lit(float("inf"))
     )
 
 
@@ -63,7 +63,7 @@ def clean_report(df: DataFrame, spec: Spec) -> DataFrame:
     """
     marks = [F.when(is_valid(c, spec.floats), 0).otherwise(1) for c in spec.columns]
     wide = df.agg(
-        F.sum(F.greatest(*marks)).alias("_removed"),
+        F.sum(F.greatest(F.lit(0), *marks)).alias("_removed"),
         *[F.sum(mark).alias(f"_{i}") for i, mark in enumerate(marks)],
     )
     rows = [

@@ -14,8 +14,9 @@ from flowops.spec import Spec
 
 KEY_WIDTH = 10
 PAYLOAD_WIDTH = 90
-# Equal records travel as one row per this many copies.
-COPIES_PER_ROW = 64
+# Equal records travel as one row per this many copies. Range partitions are balanced by rows, so
+# this is also the most by which one can exceed its share of records.
+COPIES_PER_ROW = 8
 
 
 def sort_pairs(df: DataFrame, spec: Spec) -> DataFrame:
