@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowops.functions.columns import qcol
-from flowops.session import SMALL_INPUT_BYTES, cut_lineage, is_small
+from flowops.session import SMALL_INPUT_BYTES, broadcast_if_bounded, cut_lineage, is_small
 
 # The percents of the threshold table.
 THRESHOLD_PERCENTS = (50, 75, 90, 95, 99)
@@ -95,7 +95,7 @@ def select_percentiles(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
 
-    brackets = cut_lineage(_brackets(values, by, percentiles, margin))
+    brackets = broadcast_if_bounded(_brackets(values, by, percentiles, margin))
     found = cut_lineage(_locate(values, brackets, by))
     missed = found.where(~F.col("_hit"))
     if not missed.isEmpty():

@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowops.functions.columns import pct, qcol
+from flowops.functions.columns import is_null_marker, pct, qcol
+from flowops.operators.cleaning import NULL_MARKERS
+from flowops.session import SMALL_INPUT_BYTES, broadcast_if_bounded, is_small
 
 WHOLE = "decimal(38,0)"
 # Two bytes of the hash: 65,536 buckets per stratum.
@@ -97,7 +99,12 @@ def two_level_quotas(df: DataFrame, target: int | Column, label: str, file: str)
 
 
 def stratified_sample(
-    df: DataFrame, strata: Sequence[str], quotas: DataFrame, key: Sequence[str], seed: int
+    df: DataFrame,
+    strata: Sequence[str],
+    quotas: DataFrame,
+    key: Sequence[str],
+    seed: int,
+    small_bytes: int = SMALL_INPUT_BYTES,
 ) -> DataFrame:
     """Exactly ``cuota`` rows of every stratum: those with the smallest hash of seed and key.
 
@@ -125,6 +132,9 @@ def stratified_sample(
             (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take"),
         )
     )
+    if not is_small(df, small_bytes):
+        # Without this, the second scan would be shuffled only to be joined to one row per stratum.
+        cuts = broadcast_if_bounded(cuts)
     rank = Window.partitionBy(*columns, F.col("_bucket")).orderBy(
         F.col("_hash"), *[qcol(k).asc() for k in key]
     )
@@ -206,6 +216,27 @@ def sample_checks(
     return wide.select(F.inline(F.array(*rows)))
 
 
+def sample_quality(sample: DataFrame) -> DataFrame:
+    """Rows, columns, repeated and unique rows, missing cells and rows with any, as one record.
+
+    Cells are compared as text. One scan: cells are counted per distinct row, weighted by its copies.
+    """
+    texts = sample.select(*[F.coalesce(qcol(c).cast("string"), F.lit("")).alias(c) for c in sample.columns])
+    missing = [F.when(is_null_marker(qcol(c), NULL_MARKERS), 1).otherwise(0) for c in texts.columns]
+    distinct = texts.groupBy(*map(qcol, texts.columns)).agg(F.count(F.lit(1)).alias("_copies"))
+    marked = distinct.select("_copies", F.array(*missing).alias("_missing"))
+    cells = F.aggregate("_missing", F.lit(0), lambda total, cell: total + cell)
+    rows = F.coalesce(F.sum("_copies"), F.lit(0))
+    return marked.select("_copies", cells.alias("_cells")).agg(
+        rows.alias("filas"),
+        F.lit(len(sample.columns)).cast("bigint").alias("columnas"),
+        (rows - F.count(F.lit(1))).alias("filas_duplicadas"),
+        F.count(F.lit(1)).alias("filas_unicas"),
+        F.coalesce(F.sum(F.col("_copies") * F.col("_cells")), F.lit(0)).alias("celdas_nulas"),
+        F.coalesce(F.sum(F.when(F.col("_cells") > 0, F.col("_copies"))), F.lit(0)).alias("filas_con_nulo"),
+    )
+
+
 def seeded_order(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Rows in a reproducible pseudo-random order, with their position.
 

@@ -163,6 +163,14 @@ def sample_vs_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sample_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality record of a table whose rows repeat and whose cells go missing."""
+    flows = read_flows(spark, sf_dir)
+    return sampling.sample_quality(
+        flows.select(qcol(FLOW.label), qcol(FLOW.size), qcol(FLOW.deviation), qcol(FLOW.protocol))
+    )
+
+
 def sample_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source files in a seeded order."""
     sources = _table(spark, sf_dir, "documents").select("source").distinct()
@@ -410,6 +418,7 @@ QUERIES: dict[str, Query] = {
     "document_sample": document_sample,
     "sample_checks": sample_checks,
     "sample_vs_population": sample_vs_population,
+    "sample_quality": sample_quality,
     "sample_file_order": sample_file_order,
     "secondary_sort": secondary_sort,
     "total_sort": total_sort,

@@ -401,6 +401,12 @@ def oracle_sql() -> dict[str, str]:
               FROM (SELECT lang, count(*) AS a FROM documents GROUP BY lang) p
               LEFT JOIN (SELECT lang, count(*) AS b FROM sample GROUP BY lang) s ON p.lang = s.lang)"""
         ),
+        "sample_quality": flows(
+            """SELECT count(*) AS filas, CAST(4 AS BIGINT) AS columnas, count(*) - (SELECT count(*) FROM picked) AS filas_duplicadas,
+            (SELECT count(*) FROM picked) AS filas_unicas, count(*) FILTER ("Std" IS NULL) AS celdas_nulas,
+            count(*) FILTER ("Std" IS NULL) AS filas_con_nulo FROM flows""",
+            'picked AS (SELECT DISTINCT "Label", "Tot size", "Std", "Protocol Type" FROM flows)',
+        ),
         "sample_file_order": f"SELECT source, row_number() OVER (ORDER BY md5(concat('{SEED}|', source)), source) AS posicion FROM (SELECT DISTINCT source FROM documents)",
         "secondary_sort": flows(PAIRS + " ORDER BY 1, 2"),
         "total_sort": flows(

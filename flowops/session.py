@@ -5,11 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Below this many input bytes an exact percentile may hold all values of one group in one task.
 SMALL_INPUT_BYTES = 128 * 1024 * 1024
 
+# Rows of a per-group table, about a hundred bytes each, that may be broadcast.
+BROADCAST_ROWS = 500_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, or a temp folder in local mode."""
@@ -36,6 +39,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def broadcast_if_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored copy of a one-row-per-group table, marked for broadcast only when its rows are few.
+
+    The rows are counted on the stored copy. Beyond the bound the join is left to Catalyst, which
+    shuffles both sides and splits skewed partitions.
+    """
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def input_bytes(df: DataFrame) -> int | None:
     """Bytes of all relations a plan reads, or None when they cannot be known.
 

@@ -49,13 +49,14 @@ def test_quota_guards(spark, counts, target, message):
         sampling.class_quotas(df, target, "Label").collect()
 
 
-def test_sample_is_exact_with_a_hot_stratum(spark):
+@pytest.mark.parametrize("small_bytes", [1 << 50, 0])
+def test_sample_is_exact_with_a_hot_stratum(spark, small_bytes):
     rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(6000)]
     df = spark.createDataFrame(rows, "id bigint, g string")
     counts = Counter(g for _, g in rows)
     quotas = {g: n // 4 for g, n in counts.items()}
     table = spark.createDataFrame(list(quotas.items()), "g string, cuota bigint")
-    got = [tuple(r) for r in sampling.stratified_sample(df, ["g"], table, ["id"], 9).collect()]
+    got = [tuple(r) for r in sampling.stratified_sample(df, ["g"], table, ["id"], 9, small_bytes).collect()]
     want = set()
     for g in counts:
         ordered = sorted((hashlib.md5(f"9|{i}".encode()).hexdigest(), i) for i, h in rows if h == g)
@@ -107,3 +108,9 @@ def test_derived_records(spark):
     assert [r["rate"] for r in ordering.sort_pairs(df, FLOW).collect()] == [0, 2, 2, 1234567890]
     record = ordering.fixed_width_records(df, FLOW).first()
     assert record["key"] == "0000000000" and record["payload"] == "L" * 90
+
+
+def test_sample_quality(spark):
+    rows = [("a", "1"), ("a", "1"), ("NA", None), ("b", " nan ")]
+    got = sampling.sample_quality(spark.createDataFrame(rows, "x string, y string")).first()
+    assert tuple(got) == (4, 2, 1, 3, 3, 2)
