@@ -14,11 +14,18 @@ from flowops.operators import (
 from flowops.plans.flow_view import THRESHOLD_COLUMNS, read_clean, read_flows, read_limits
 from flowops.session import scratch_path, tune
 from flowops.sources import files, sinks
-from flowops.spec import FLOW, LABEL_FAMILY, family_dimension, protocol_dimension
+from flowops.spec import FLOW, LABEL_FAMILY, Spec, family_dimension, protocol_dimension
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SEED = 42
+EVENTS = Spec(
+    columns=("event_id", "user_id", "event_type", "value"),
+    integers=("event_id", "user_id"),
+    texts=("event_type",),
+    label="event_type",
+    distinct=("user_id", "event_type", "value"),
+)
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 
@@ -84,6 +91,17 @@ def derived_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deriving.derived_preview(_derived(spark, sf_dir), FLOW)
 
 
+def event_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column profile of a table with other roles."""
+    return profiling.column_profile(_table(spark, sf_dir, "events").select(*EVENTS.columns), EVENTS)
+
+
+def event_type_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class counts with shares on another table."""
+    events = _table(spark, sf_dir, "events")
+    return groups.with_share(groups.class_counts(events, EVENTS))
+
+
 def finite_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.finite_counts(read_flows(spark, sf_dir), FLOW.rate)
 
@@ -395,6 +413,8 @@ QUERIES: dict[str, Query] = {
     "column_profile": lambda spark, sf_dir: profiling.column_profile(
         cleaning.round_floats(read_flows(spark, sf_dir), FLOW), FLOW
     ),
+    "event_profile": event_profile,
+    "event_type_shares": event_type_shares,
     "clean_report": partial(_on_flows, cleaning.clean_report),
     "clean_rows": partial(_on_flows, cleaning.clean_and_round),
     "null_cells": null_cells,

@@ -91,12 +91,12 @@ def r6(expr: str, name: str) -> str:
     return f"round({expr}, 6) AS {name}"
 
 
-def _profile_row(i: int, c: str, source: str) -> str:
+def _profile_row(c: str, source: str, texts, floats, distincts) -> str:
     name = q(c)
-    is_text, floating = c in FLOW.texts, c in FLOW.floats
+    is_text, floating = c in texts, c in floats
     kind = "texto" if is_text else "decimal" if floating else "entero"
     bad = f"{name} IS NULL" + (f" OR NOT isfinite({name})" if floating else "")
-    distinct = f"count(DISTINCT {name}) + max(CASE WHEN {name} IS NULL THEN 1 ELSE 0 END)" if c in FLOW.distinct else "NULL"
+    distinct = f"count(DISTINCT {name}) + max(CASE WHEN {name} IS NULL THEN 1 ELSE 0 END)" if c in distincts else "NULL"
     low, high = (
         ("NULL", "NULL") if is_text
         else (f"min({name}) FILTER (NOT ({bad}))", f"max({name}) FILTER (NOT ({bad}))")
@@ -316,8 +316,16 @@ def oracle_sql() -> dict[str, str]:
             {r6('avg("AVG")', 'avg_media')} FROM (SELECT *, {FINITE_RATE} AS r FROM flows) GROUP BY 1"""
         ),
         "column_profile": flows(
-            " UNION ALL ".join(_profile_row(i, c, "rounded") for i, c in enumerate(FLOW.columns)), ROUNDED
+            " UNION ALL ".join(
+                _profile_row(c, "rounded", FLOW.texts, FLOW.floats, FLOW.distinct) for c in FLOW.columns
+            ),
+            ROUNDED,
         ),
+        "event_profile": " UNION ALL ".join(
+            _profile_row(c, "events", ("event_type",), ("value",), ("user_id", "event_type", "value"))
+            for c in ("event_id", "user_id", "event_type", "value")
+        ),
+        "event_type_shares": f"SELECT event_type, count(*) AS cantidad, {pct('count(*)', '(SELECT count(*) FROM events)')} AS porcentaje FROM events GROUP BY event_type",
         "clean_report": flows(
             "SELECT * FROM (" + " UNION ALL ".join(_clean_row(c) for c in FLOW.columns) + ") WHERE valores_no_validos_antes > 0"
         ),

@@ -59,25 +59,25 @@ PROTOCOL_NAMES = {0: "HOPOPT", 1: "ICMP", 6: "TCP", 17: "UDP", 47: "GRE"}
 
 @dataclass(frozen=True)
 class Spec:
-    """Which column plays which role."""
+    """Which column plays which role. A table needs only the roles its reports use."""
 
     columns: tuple[str, ...]
     integers: tuple[str, ...]
     texts: tuple[str, ...]
     label: str
-    protocol: str
-    rate: str
-    size: str
-    iat: str
-    packets: str
-    mean: str
-    deviation: str
-    total: str
-    flags: tuple[str, ...]
-    onehot: tuple[str, ...]
-    indicators: tuple[str, ...]
-    dedup_key: tuple[str, ...]
-    distinct: tuple[str, ...]
+    distinct: tuple[str, ...] = ()
+    dedup_key: tuple[str, ...] = ()
+    protocol: str = ""
+    rate: str = ""
+    size: str = ""
+    iat: str = ""
+    packets: str = ""
+    mean: str = ""
+    deviation: str = ""
+    total: str = ""
+    flags: tuple[str, ...] = ()
+    onehot: tuple[str, ...] = ()
+    indicators: tuple[str, ...] = ()
     benign: str = "Benign"
     decimals: int = 6
 
