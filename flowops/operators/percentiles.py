@@ -8,8 +8,9 @@ checked input size the selection works in two scans:
 2. rows below the bracket are only counted, rows inside it are counted per value, so that map-side
    aggregation reduces a hot group before the shuffle and the shuffle key contains the value.
 
-The ranks are then read off the running counts. Counts are exact, so a bracket that misses its rank
-is noticed, and that group is selected again with an open bracket.
+A bracket is cut into cells; running counts over the cells name the one that holds a rank, and only
+its values are ordered. Counts are exact, so a bracket that misses its rank is noticed, and that rank
+is selected again with an open bracket.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from flowops.session import SMALL_INPUT_BYTES, broadcast_if_bounded, cut_lineage
 THRESHOLD_PERCENTS = (50, 75, 90, 95, 99)
 
 SKETCH_ACCURACY = 100_000
+CELLS = 4096
 BRACKET_MARGIN = 3.0 / SKETCH_ACCURACY
 
 
@@ -95,15 +97,13 @@ def select_percentiles(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
 
+    keys = [*by, "_alias"]
     brackets = broadcast_if_bounded(_brackets(values, by, percentiles, margin))
     found = cut_lineage(_locate(values, brackets, by))
-    missed = found.where(~F.col("_hit"))
+    missed = _null_safe(brackets, found.select(*map(qcol, keys)), keys, "left_anti")
     if not missed.isEmpty():
-        keys = [*by, "_alias"]
-        again = _null_safe(brackets, missed.select(*map(qcol, keys)), keys, "left_semi").withColumns(
-            {"_low": F.lit(float("-inf")), "_high": F.lit(float("inf"))}
-        )
-        found = found.where(F.col("_hit")).unionByName(_locate(values, again, by))
+        opened = missed.withColumns({"_low": F.lit(float("-inf")), "_high": F.lit(float("inf"))})
+        found = found.unionByName(_locate(values, opened, by))
 
     return found.groupBy(*map(qcol, by)).agg(
         *[F.max(F.when(F.col("_alias") == a, F.col("_value"))).alias(a) for a in percentiles]
@@ -150,47 +150,68 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     for k in keys:
         test = test & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
     joined = l.join(r, test, how)
-    if how == "left_semi":
+    if how == "left_anti":
         return joined
     extra = [c for c in right.columns if c not in keys]
     return joined.select("l.*", *[F.col(f"r.`{c}`") for c in extra])
 
 
 def _locate(values: DataFrame, brackets: DataFrame, by: Sequence[str]) -> DataFrame:
-    group = [*map(qcol, by), F.col("_alias"), F.col("_position")]
+    """Values of the ranks that lie inside their bracket; ranks outside give no row."""
+    keys = [*by, "_alias", "_position", "_low", "_high"]
+    group = [qcol(k) for k in keys]
+    low, high, position, x = F.col("_low"), F.col("_high"), F.col("_position"), F.col("_x")
     # NULL stands for "below the bracket": those rows only need counting.
     counted = (
         _null_safe(values, brackets, [*by, "_c"], "inner")
-        .where(F.col("_v") <= F.col("_high"))
-        .groupBy(*group, F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_x"))
+        .where(F.col("_v") <= high)
+        .groupBy(*group, F.when(F.col("_v") >= low, F.col("_v")).alias("_x"))
         .agg(F.count(F.lit(1)).alias("_k"))
     )
-    order = Window.partitionBy(*group).orderBy(F.col("_x").asc_nulls_first())
-    running = counted.withColumn(
-        "_upto", F.sum("_k").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # Cells cut the bracket in order of value, so that only the cell of a rank has to be ordered.
+    width = high - low
+    cell = (
+        F.when(x.isNull(), -1)
+        .when((width > 0) & (width < float("inf")), F.floor((x - low) / width * F.lit(float(CELLS))).cast("int"))
+        .otherwise(0)
+    )
+    celled = counted.withColumn("_cell", cell)
+    over = Window.partitionBy(*group)
+    upto = F.sum("_n").over(over.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first, last = F.floor(position), F.ceil(position)
+    holding = (
+        celled.groupBy(*group, "_cell")
+        .agg(F.sum("_k").alias("_n"))
+        .withColumn("_upto", upto)
+        .withColumn("_before", F.col("_upto") - F.col("_n"))
+        .where(
+            ((F.col("_before") <= first) & (first < F.col("_upto")))
+            | ((F.col("_before") <= last) & (last < F.col("_upto")))
+        )
+        .select(*group, "_cell", "_before")
+    )
+    within = Window.partitionBy(*group, F.col("_cell")).orderBy("_x")
+    running = F.col("_before") + F.sum("_k").over(
+        within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    position, upto = F.col("_position"), F.col("_upto")
-    low = F.min(F.when(upto > F.floor(position), F.col("_x")))
-    high = F.min(F.when(upto > F.ceil(position), F.col("_x")))
-    found = running.groupBy(*group).agg(
-        low.alias("_from"),
-        high.alias("_to"),
-        F.coalesce(F.sum(F.when(F.col("_x").isNull(), F.col("_k"))), F.lit(0)).alias("_below"),
-        F.sum("_k").alias("_total"),
+    ranked = _null_safe(celled, holding, [*keys, "_cell"], "inner").withColumn("_at", running)
+    found = ranked.groupBy(*group).agg(
+        F.min(F.when(F.col("_at") > first, x)).alias("_from"),
+        F.min(F.when(F.col("_at") > last, x)).alias("_to"),
+        # A rank below the bracket falls in the cell of rows that were only counted.
+        F.count_if(x.isNull()).alias("_outside"),
     )
-    weight = position - F.floor(position)
+    weight = position - first
     between = F.col("_from") * (F.lit(1.0) - weight) + F.col("_to") * weight
-    return found.select(
+    return found.where(
+        (F.col("_outside") == 0) & F.col("_from").isNotNull() & F.col("_to").isNotNull()
+    ).select(
         *map(qcol, by),
         "_alias",
         F.when(F.col("_from") == F.col("_to"), F.col("_from")).otherwise(between).alias("_value"),
-        ((F.col("_below") <= F.floor(position)) & (F.col("_total") > F.ceil(position))).alias("_hit"),
     )
 
 
-THRESHOLD_PERCENTS = (50, 75, 90, 95, 99)
-
-
 class Limits:
     """Nearest-rank thresholds of several columns in a one-row frame, infinities included.
 
