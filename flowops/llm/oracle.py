@@ -59,6 +59,52 @@ SELECT doc_id, size, source_size, target, ((once::INT + twice::INT) * size)::BIG
 FROM used
 """
 
+# Classes of equal shingle sets keep the joins small; reachability runs over their links.
+ORACLE["op1_minhash_dedup"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), cut AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM split
+), sized AS (
+  SELECT doc_id, len(s)::BIGINT AS n_shingles FROM cut
+), shingle AS (
+  SELECT doc_id, unnest(s) AS g FROM cut
+), pair AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+  FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS (
+  SELECT a, b FROM pair JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE 100 * shared >= 75 * (x.n_shingles + y.n_shingles - shared)
+), way AS (
+  SELECT a, b FROM link UNION ALL SELECT b, a FROM link
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sized UNION SELECT r.a, w.b FROM reach r JOIN way w ON w.a = r.b
+), least AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM sized JOIN least USING (doc_id)
+"""
+
+ORACLE["op9_embedding_dedup"] = """
+WITH RECURSIVE sound AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), way AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, w.b FROM reach r JOIN way w ON w.a = r.b
+), least AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT vec_id, (SELECT count(*) FROM way WHERE a = vec_id)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM least
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
