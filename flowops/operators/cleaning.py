@@ -35,16 +35,19 @@ def nullify(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _all_valid(spec: Spec):
+    magnitudes = [F.abs(qcol(c)) for c in spec.floats]
+    present = reduce(lambda a, b: a & b, [qcol(c).isNotNull() for c in spec.columns])
+    return present & (F.greatest(F.lit(0.0), *magnitudes) < F.lit(float("inf")))
+
+
 def clean_rows(df: DataFrame, spec: Spec) -> DataFrame:
     """Rows whose cells are all valid.
 
     Two predicates over all columns rather than one per column, which keeps planning short. NaN
     orders above infinity, so the largest magnitude tells whether every float is finite.
     """
-    magnitudes = [F.abs(qcol(c)) for c in spec.floats]
-    return df.dropna(how="any", subset=list(spec.columns)).where(
-        F.greatest(F.lit(0.0), *magnitudes) < F.lit(float("inf"))
-    )
+    return df.where(_all_valid(spec))
 
 
 def clean_and_round(df: DataFrame, spec: Spec) -> DataFrame:
@@ -59,18 +62,20 @@ def clean_and_round(df: DataFrame, spec: Spec) -> DataFrame:
 def clean_report(df: DataFrame, spec: Spec) -> DataFrame:
     """Per affected column: invalid cells before and after, and rows removed. One scan.
 
-    A row is kept only when all its cells are valid, so no invalid cell is left afterwards.
+    What is left afterwards is counted on the rows that the cleaning rule keeps.
     """
     marks = [F.when(is_valid(c, spec.floats), 0).otherwise(1) for c in spec.columns]
+    kept = _all_valid(spec)
     wide = df.agg(
-        F.sum(F.greatest(F.lit(0), *marks)).alias("_removed"),
+        F.count_if(~kept).alias("_removed"),
         *[F.sum(mark).alias(f"_{i}") for i, mark in enumerate(marks)],
+        *[F.sum(F.when(kept, mark).otherwise(0)).alias(f"_left_{i}") for i, mark in enumerate(marks)],
     )
     rows = [
         F.struct(
             F.lit(c).alias("columna"),
             F.col(f"_{i}").alias("valores_no_validos_antes"),
-            F.lit(0).cast("bigint").alias("valores_no_validos_despues"),
+            F.col(f"_left_{i}").alias("valores_no_validos_despues"),
             F.col("_removed").alias("filas_eliminadas"),
         )
         for i, c in enumerate(spec.columns)

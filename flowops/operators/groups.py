@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowops.functions.columns import null_non_finite, pct, qcol, ratio, to_mb, traffic_type
 from flowops.operators.deriving import lookup
 from flowops.operators.percentiles import Limits, group_summary, median
-from flowops.session import SMALL_INPUT_BYTES
 from flowops.spec import Spec
 
 FAMILY = "Attack_Family"
@@ -22,9 +21,9 @@ TOP = 10
 HEAD_CLASSES = 5
 
 
-def _total(groups: DataFrame, name: str) -> Column:
-    """Grand total as a scalar subquery over the grouped rows; the grouping's shuffle is reused."""
-    return groups.agg(F.sum(name)).scalar()
+def _total(name: str) -> Column:
+    """Grand total as a window over the grouped rows, one per class or pair: no second scan."""
+    return F.sum(name).over(Window.partitionBy())
 
 
 def class_counts(df: DataFrame, spec: Spec) -> DataFrame:
@@ -32,7 +31,7 @@ def class_counts(df: DataFrame, spec: Spec) -> DataFrame:
 
 
 def with_share(groups: DataFrame, part: str = "cantidad", name: str = "porcentaje") -> DataFrame:
-    return groups.withColumn(name, pct(F.col(part), _total(groups, part)))
+    return groups.withColumn(name, pct(F.col(part), _total(part)))
 
 
 def family_classes(df: DataFrame, spec: Spec, families: DataFrame) -> DataFrame:
@@ -89,7 +88,7 @@ def _rounded(df: DataFrame, spec: Spec, names) -> DataFrame:
 
 
 def family_statistics(
-    df: DataFrame, spec: Spec, families: DataFrame, small_bytes: int = SMALL_INPUT_BYTES
+    df: DataFrame, spec: Spec, families: DataFrame
 ) -> DataFrame:
     """Per family: rows, rows without a finite rate, mean, exact median and range of rate and IAT."""
     rate, iat = qcol(spec.rate), qcol(spec.iat)
@@ -110,7 +109,6 @@ def family_statistics(
             F.max(iat).alias("iat_max"),
         ],
         {"rate_mediana": median(spec.rate), "iat_mediana": median(spec.iat)},
-        small_bytes,
     )
     names = [
         f"{m}_{s}" for m in ("rate", "iat") for s in ("media", "mediana", "min", "max")
@@ -141,14 +139,14 @@ def protocol_within_family(
     ).orderBy(FAMILY, qcol(spec.protocol))
 
 
-def traffic_profile(df: DataFrame, spec: Spec, small_bytes: int = SMALL_INPUT_BYTES) -> DataFrame:
+def traffic_profile(df: DataFrame, spec: Spec) -> DataFrame:
     """Benign against malicious: rate, IAT, acknowledgement and opening flags, sizes."""
     typed = _finite_rate(df, spec).withColumn(TRAFFIC, traffic_type(qcol(spec.label), spec.benign))
     means = {
         "rate_media": spec.rate,
         "iat_media": spec.iat,
-        "ack_flag_media": "ack_flag_number",
-        "syn_flag_media": "syn_flag_number",
+        "ack_flag_media": spec.ack,
+        "syn_flag_media": spec.syn,
         "tot_sum_media": spec.total,
         "avg_media": spec.mean,
     }
@@ -161,7 +159,6 @@ def traffic_profile(df: DataFrame, spec: Spec, small_bytes: int = SMALL_INPUT_BY
             *[F.avg(qcol(c)).alias(n) for n, c in means.items()],
         ],
         {"rate_mediana": median(spec.rate), "iat_mediana": median(spec.iat)},
-        small_bytes,
     )
     names = [
         "rate_media", "rate_mediana", "iat_media", "iat_mediana",
@@ -265,7 +262,7 @@ def top_volumes(df: DataFrame, spec: Spec, rows: int = TOP) -> DataFrame:
     volumes = class_volumes(df, spec)
     order = (F.desc("volumen_bytes"), qcol(spec.label).asc())
     shared = volumes.withColumn(
-        "pct_volumen", pct(F.col("volumen_bytes"), _total(volumes, "volumen_bytes"))
+        "pct_volumen", pct(F.col("volumen_bytes"), _total("volumen_bytes"))
     )
     head = shared.orderBy(*order).limit(rows)
     placed = head.withColumn("posicion", _position(*order).cast("bigint")).withColumn(
@@ -288,9 +285,9 @@ def consolidated(df: DataFrame, spec: Spec) -> DataFrame:
         "media_tot_size": spec.size,
         "media_size_kb": "size_kb",
         "media_iat": spec.iat,
-        "media_syn": "syn_flag_number",
-        "media_ack": "ack_flag_number",
-        "media_rst": "rst_flag_number",
+        "media_syn": spec.syn,
+        "media_ack": spec.ack,
+        "media_rst": spec.rst,
         "media_total_flags": "total_flags",
     }
     partial = df.groupBy(qcol(spec.label), qcol(spec.protocol)).agg(
@@ -306,8 +303,8 @@ def consolidated(df: DataFrame, spec: Spec) -> DataFrame:
     )
     shared = grouped.withColumns(
         {
-            "pct_registros": pct(F.col("registros"), _total(grouped, "registros")),
-            "pct_volumen": pct(F.col("volumen_bytes"), _total(grouped, "volumen_bytes")),
+            "pct_registros": pct(F.col("registros"), _total("registros")),
+            "pct_volumen": pct(F.col("volumen_bytes"), _total("volumen_bytes")),
             "posicion": _position(F.desc("registros"), qcol(spec.label).asc()).cast("bigint"),
         }
     )
@@ -323,7 +320,7 @@ def indicators(df: DataFrame, spec: Spec) -> DataFrame:
     One scan: whole rows collapse to distinct rows with copies, those to classes, and the classes to
     the totals. The leading classes come from a bounded top-n of the class rows.
     """
-    flag_means = ("syn_flag_number", "ack_flag_number", "rst_flag_number", "fin_flag_number")
+    flag_means = (spec.syn, spec.ack, spec.rst, spec.fin)
     summed = {
         "volumen": spec.size, "paquetes": spec.packets, "iat": spec.iat, "rate": spec.rate,
         **{f: f for f in flag_means},
@@ -333,6 +330,7 @@ def indicators(df: DataFrame, spec: Spec) -> DataFrame:
         F.sum("_copies").alias("_rows"),
         F.count(F.lit(1)).alias("_distinct"),
         *[F.sum(qcol(c).cast("double") * F.col("_copies")).alias(f"_{n}") for n, c in summed.items()],
+        *[F.sum(F.when(qcol(c).isNotNull(), F.col("_copies"))).alias(f"_{n}_n") for n, c in summed.items()],
     )
     label, rows = qcol(spec.label), F.col("_rows")
     totals = classes.agg(
@@ -342,6 +340,7 @@ def indicators(df: DataFrame, spec: Spec) -> DataFrame:
         F.count_if(label != spec.benign).alias("ataques"),
         F.coalesce(F.sum(F.when(label == spec.benign, rows)), F.lit(0)).alias("benignos"),
         *[F.sum(f"_{n}").alias(n) for n in summed],
+        *[F.sum(f"_{n}_n").alias(f"{n}_n") for n in summed],
     )
     # The leader is the class with most volume; its share is a share of rows.
     head = (
@@ -359,7 +358,12 @@ def indicators(df: DataFrame, spec: Spec) -> DataFrame:
     total, benign = F.col("total"), F.col("benignos")
     repeated = total - F.col("distintas")
     volume, packets = F.col("volumen"), F.col("paquetes")
-    syn, ack = F.col("syn_flag_number") / total, F.col("ack_flag_number") / total
+
+    def mean(name: str) -> Column:
+        """Mean of the cells that are there."""
+        return F.col(name) / F.nullif(F.col(f"{name}_n"), F.lit(0))
+
+    syn, ack, rst, fin = map(mean, flag_means)
     numbers = [
         ("poblacion", "total_registros", total),
         ("poblacion", "total_clases", F.col("clases")),
@@ -372,13 +376,13 @@ def indicators(df: DataFrame, spec: Spec) -> DataFrame:
         ("volumen", "volumen_total_mb", to_mb(volume)),
         ("volumen", "paquetes_totales", packets),
         ("volumen", "tamano_medio_paquete_bytes", ratio(volume, packets)),
-        ("volumen", "tasa_media", F.col("rate") / total),
+        ("volumen", "tasa_media", mean("rate")),
         ("comportamiento", "media_syn_flag", syn),
         ("comportamiento", "media_ack_flag", ack),
-        ("comportamiento", "media_rst_flag", F.col("rst_flag_number") / total),
-        ("comportamiento", "media_fin_flag", F.col("fin_flag_number") / total),
+        ("comportamiento", "media_rst_flag", rst),
+        ("comportamiento", "media_fin_flag", fin),
         ("comportamiento", "ratio_syn_ack", ratio(syn, ack)),
-        ("comportamiento", "iat_medio", F.col("iat") / total),
+        ("comportamiento", "iat_medio", mean("iat")),
         ("concentracion", "clase_principal", None),
         ("concentracion", "pct_registros_clase_principal", pct(F.col("h.n"), total)),
         ("concentracion", "pct_registros_top5", pct(F.col("h.rows"), total)),

@@ -14,9 +14,6 @@ from flowops.spec import Spec
 
 KEY_WIDTH = 10
 PAYLOAD_WIDTH = 90
-# Equal records travel as one row per this many copies. Range partitions are balanced by rows, so
-# this is also the most by which one can exceed its share of records.
-COPIES_PER_ROW = 8
 
 
 def sort_pairs(df: DataFrame, spec: Spec) -> DataFrame:
@@ -39,31 +36,14 @@ def fixed_width_records(df: DataFrame, spec: Spec) -> DataFrame:
 def sort_records(df: DataFrame, by: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Total order by ``by``, then by the remaining columns, in range partitions.
 
-    Equal records first collapse to counts, so a record repeated in a third of the table is not
-    shuffled row by row; a large count is cut into runs, and the run number is part of the range
-    key, so such a record may span partitions. The runs are expanded after the sort, in place.
+    A row number behind the columns is part of the range key, so the copies of one record, even a third
+    of the table, span partitions and no task or row holds them together.
     """
     order = [*by, *[c for c in df.columns if c not in by]]
-    columns = [qcol(c) for c in order]
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    last_run = F.expr(f"CAST((_copies - 1) div {COPIES_PER_ROW} AS BIGINT)")
-    runs = counted.select(
-        *columns, "_copies", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)).alias("_run")
-    ).select(
-        *columns,
-        "_run",
-        F.least(F.col("_copies") - F.col("_run") * COPIES_PER_ROW, F.lit(COPIES_PER_ROW))
-        .cast("int").alias("_size"),
-    )
-    keys = [*columns, F.col("_run")]
-    if partitions:
-        ranged = runs.repartitionByRange(partitions, *keys)
-    else:
-        ranged = runs.repartitionByRange(*keys)
-    ordered = ranged.sortWithinPartitions(*keys)
-    return ordered.select(
-        *[qcol(c) for c in order], F.explode(F.array_repeat(F.lit(0), F.col("_size"))).alias("_copy")
-    ).select(*[qcol(c) for c in df.columns])
+    keys = [*[qcol(c) for c in order], F.col("_row")]
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    ranged = rows.repartitionByRange(partitions, *keys) if partitions else rows.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys).select(*[qcol(c) for c in df.columns])
 
 
 def secondary_sort(pairs: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -76,22 +56,24 @@ def total_sort(records: DataFrame, partitions: int | None = None) -> DataFrame:
     return sort_records(records, ["key"], partitions)
 
 
-def order_check(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows, descents inside partitions and descents between consecutive partitions.
+def order_check(df: DataFrame, by: Sequence[str], place: Sequence[str] = ()) -> DataFrame:
+    """Rows, descents inside parts and descents between consecutive parts.
 
-    The rows stream past once where they lie, one summary row per partition leaves the tasks.
+    The rows stream past once where they lie, one summary row per part leaves the tasks. A part is a
+    partition, or with ``place`` (file and start of a split) what was read from there, in that order.
     Columns: filas, descensos_internos, descensos_entre_partes, ordenado.
     """
     names = list(by)
-    keyed = df.select(*[qcol(c) for c in names])
+    keyed = df.select(*[qcol(c) for c in place], *[qcol(c) for c in names])
     fields = {f.name: f.dataType.simpleString() for f in keyed.schema.fields}
     ends = ", ".join(f"{side}{i} {fields[c]}" for side in ("f", "l") for i, c in enumerate(names))
-    schema = f"part int, n bigint, descents bigint, {ends}"
+    where = "".join(f"p{i} {fields[c]}, " for i, c in enumerate(place))
+    schema = f"part int, {where}n bigint, descents bigint, {ends}"
 
-    parts = keyed.mapInArrow(_summariser(), schema)
+    parts = keyed.mapInArrow(_summariser(len(place)), schema)
     first = F.struct(*[F.col(f"f{i}") for i in range(len(names))])
     last = F.struct(*[F.col(f"l{i}") for i in range(len(names))])
-    previous = F.lag(last).over(Window.orderBy("part"))
+    previous = F.lag(last).over(Window.orderBy(*([f"p{i}" for i in range(len(place))] or ["part"])))
     between = parts.withColumn("crossed", F.when(previous > first, 1).otherwise(0))
     totals = between.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("filas"),
@@ -103,7 +85,7 @@ def order_check(df: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def _summariser():
+def _summariser(places: int):
     """The per-partition function, self-contained so that workers need not have this package."""
 
     def descents(batch: pa.RecordBatch) -> int:
@@ -121,23 +103,42 @@ def _summariser():
     def row(batch: pa.RecordBatch, at: int) -> tuple:
         return tuple(column[at].as_py() for column in batch.columns)
 
+    def segments(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Runs of rows read from one place."""
+        cuts = {0, batch.num_rows}
+        for column in batch.columns[:places]:
+            changed = pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1))
+            cuts |= {i + 1 for i in pc.indices_nonzero(changed).to_pylist()}
+        ordered = sorted(cuts)
+        for start, stop in zip(ordered, ordered[1:]):
+            yield batch.slice(start, stop - start)
+
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = last = None
+        place = first = last = types = None
         rows = down = 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            head = row(batch, 0)
-            down += descents(batch) + (last is not None and head < last)
-            first = head if first is None else first
-            last = row(batch, batch.num_rows - 1)
-            rows += batch.num_rows
-            types = batch.schema.types
+
+        def summary() -> pa.RecordBatch:
+            where, keys = types[:places], types[places:]
+            kinds = [pa.int32(), *where, pa.int64(), pa.int64(), *keys, *keys]
+            cells = [TaskContext.get().partitionId(), *place, rows, down, *first, *last]
+            names = ["part", *[f"p{i}" for i in range(places)], "n", "descents"]
+            names += [f"{side}{i}" for side in ("f", "l") for i in range(len(keys))]
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names)
+
+        for whole in batches:
+            for part in segments(whole) if whole.num_rows else ():
+                here, batch = row(part, 0)[:places], part.select(range(places, part.num_columns))
+                if rows and here != place:
+                    yield summary()
+                    first = last = None
+                    rows = down = 0
+                place, types = here, part.schema.types
+                head = row(batch, 0)
+                down += descents(batch) + (last is not None and head < last)
+                first = head if first is None else first
+                last = row(batch, batch.num_rows - 1)
+                rows += batch.num_rows
         if rows:
-            kinds = [pa.int32(), pa.int64(), pa.int64(), *types, *types]
-            cells = [TaskContext.get().partitionId(), rows, down, *first, *last]
-            names = ["part", "n", "descents"]
-            names += [f"{side}{i}" for side in ("f", "l") for i in range(len(types))]
-            yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds)], names)
+            yield summary()
 
     return summarise

@@ -1,16 +1,14 @@
-"""Exact percentiles, for small inputs in one aggregation and for any input by bracketed selection.
+"""Exact percentiles by selection: one plan for every input size, in two scans and no driver step.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task. That is the fastest plan
-while the whole input is small, and impossible when one group holds billions of values. Beyond a
-checked input size the selection works in two scans:
+1. Values are counted by cells of a logarithmic scale (256 to an octave), with the smallest and largest
+   value of each cell. Running counts over the cells of a group, a few thousand rows, name the cell that
+   holds a rank, which brackets it from both sides.
+2. Rows inside a bracket are counted per value, so that map-side aggregation reduces a hot value before
+   the shuffle. The bracket is cut into 4,096 even cells; running counts name the one that holds the rank
+   and only its values are ordered.
 
-1. one approximate sketch per group brackets each wanted rank by two values;
-2. rows below the bracket are only counted, rows inside it are counted per value, so that map-side
-   aggregation reduces a hot group before the shuffle and the shuffle key contains the value.
-
-A bracket is cut into cells; running counts over the cells name the one that holds a rank, and only
-its values are ordered. Counts are exact, so a bracket that misses its rank is noticed, and that rank
-is selected again with an open bracket.
+A cell is a monotone function of the value, so every count is exact and no bracket can miss. Groups are the
+members of a dimension: the brackets of all groups are one scalar value of the plan.
 """
 
 from __future__ import annotations
@@ -21,14 +19,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowops.functions.columns import qcol
-from flowops.session import SMALL_INPUT_BYTES, broadcast_if_bounded, cut_lineage, is_small
 
 # The percents of the threshold table.
 THRESHOLD_PERCENTS = (50, 75, 90, 95, 99)
 
-SKETCH_ACCURACY = 100_000
+PER_OCTAVE = 256
 CELLS = 4096
-BRACKET_MARGIN = 3.0 / SKETCH_ACCURACY
+# Beyond the exponents of doubles, so that infinities have a cell of their own.
+EXPONENT = 1100
 
 
 @dataclass(frozen=True)
@@ -48,30 +46,10 @@ def nearest_rank(column: str, fraction: float) -> Wanted:
     return Wanted(column, fraction, linear=False)
 
 
-def percentile_column(wanted: Wanted) -> Column:
-    """Single-aggregation form. NaN is no value."""
-    value = F.nanvl(qcol(wanted.column).cast("double"), F.lit(None).cast("double"))
-    if wanted.linear:
-        return F.percentile(value, F.lit(wanted.fraction))
-    name = f"`{wanted.column}`"
-    return F.expr(
-        f"percentile_disc({wanted.fraction!r}) WITHIN GROUP"
-        f" (ORDER BY nanvl(CAST({name} AS DOUBLE), CAST(NULL AS DOUBLE)))"
-    )
-
-
 def group_summary(
-    df: DataFrame,
-    by: Sequence[str],
-    aggregates: Sequence[Column],
-    percentiles: Mapping[str, Wanted],
-    small_bytes: int = SMALL_INPUT_BYTES,
+    df: DataFrame, by: Sequence[str], aggregates: Sequence[Column], percentiles: Mapping[str, Wanted]
 ) -> DataFrame:
     """Ordinary aggregates and exact percentiles, one row per group (one row when ``by`` is empty)."""
-    if is_small(df, small_bytes):
-        exact = [percentile_column(w).alias(alias) for alias, w in percentiles.items()]
-        return df.groupBy(*map(qcol, by)).agg(*aggregates, *exact)
-
     plain = df.groupBy(*map(qcol, by)).agg(*aggregates)
     selected = select_percentiles(df, by, percentiles)
     # Stacking and regrouping joins on NULL keys and on no key at all, without a join.
@@ -82,105 +60,113 @@ def group_summary(
     )
 
 
-def select_percentiles(
-    df: DataFrame,
-    by: Sequence[str],
-    percentiles: Mapping[str, Wanted],
-    margin: float = BRACKET_MARGIN,
-) -> DataFrame:
-    """Exact percentiles by bracketed selection; one row per group that has any value."""
-    columns = sorted({w.column for w in percentiles.values()})
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("_c"), qcol(c).cast("double").alias("_v")) for c in columns]
-    )
-    values = df.select(*map(qcol, by), F.inline(cells)).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
-    )
-
-    keys = [*by, "_alias"]
-    brackets = broadcast_if_bounded(_brackets(values, by, percentiles, margin))
-    found = cut_lineage(_locate(values, brackets, by))
-    missed = _null_safe(brackets, found.select(*map(qcol, keys)), keys, "left_anti")
-    if not missed.isEmpty():
-        opened = missed.withColumns({"_low": F.lit(float("-inf")), "_high": F.lit(float("inf"))})
-        found = found.unionByName(_locate(values, opened, by))
-
+def select_percentiles(df: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted]) -> DataFrame:
+    """Exact percentiles by selection; one row per group that has any value."""
+    brackets = _brackets(df, by, percentiles)
+    found = _located(df, by, percentiles, brackets)
     return found.groupBy(*map(qcol, by)).agg(
         *[F.max(F.when(F.col("_alias") == a, F.col("_value"))).alias(a) for a in percentiles]
     )
 
 
-def _brackets(
-    values: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted], margin: float
-) -> DataFrame:
-    fractions = sorted({w.fraction for w in percentiles.values()})
-    probes = [min(1.0, max(0.0, f - margin)) for f in fractions]
-    probes += [min(1.0, max(0.0, f + margin)) for f in fractions]
-    sketch = values.groupBy(*map(qcol, by), F.col("_c")).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", [float(p) for p in probes], SKETCH_ACCURACY).alias("_probe"),
+def _number(column: str) -> Column:
+    """The value as a double; NaN is no value."""
+    return F.nanvl(qcol(column).cast("double"), F.lit(None).cast("double"))
+
+
+def _cell(value: Column) -> Column:
+    exponent = F.least(F.greatest(F.log2(F.abs(value)), F.lit(-float(EXPONENT))), F.lit(float(EXPONENT)))
+    size = F.floor((exponent + F.lit(EXPONENT + 1.0)) * PER_OCTAVE).cast("int")
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(0)
+
+
+def _brackets(df: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted]) -> DataFrame:
+    """Per group and percentile: its position, the values around it and the rows below them."""
+    columns = sorted({w.column for w in percentiles.values()})
+    cells = [F.struct(F.lit(c).alias("_c"), _number(c).alias("_v")) for c in columns]
+    values = df.select(*map(qcol, by), F.inline(F.array(*cells))).where(F.col("_v").isNotNull())
+    counted = values.groupBy(*map(qcol, by), "_c", _cell(F.col("_v")).alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_k"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
     )
-    n = F.col("_n")
-    asked = []
-    for alias, w in percentiles.items():
-        at = fractions.index(w.fraction)
-        if w.linear:
-            position = (n - 1) * F.lit(float(w.fraction))
-        else:
-            position = (F.greatest(F.ceil(F.lit(float(w.fraction)) * n), F.lit(1)) - 1).cast("double")
-        asked.append(
-            F.struct(
-                F.lit(alias).alias("_alias"),
-                F.lit(w.column).alias("_column"),
-                position.alias("_position"),
-                F.col("_probe")[at].alias("_low"),
-                F.col("_probe")[at + len(fractions)].alias("_high"),
-            )
+    group = Window.partitionBy(*map(qcol, by), F.col("_c"))
+    running = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ran = counted.withColumns({"_n": F.sum("_k").over(group), "_upto": F.sum("_k").over(running)})
+    asked = [
+        F.when(
+            F.col("_c") == w.column, F.struct(F.lit(a).alias("_alias"), _position(w).alias("_position"))
         )
+        for a, w in percentiles.items()
+    ]
+    first, last = F.floor("_position"), F.ceil("_position")
+    before, upto = F.col("_upto") - F.col("_k"), F.col("_upto")
+    holds = ((before <= first) & (first < upto)) | ((before <= last) & (last < upto))
     return (
-        sketch.select(*map(qcol, by), "_c", F.inline(F.array(*asked)))
-        .where(F.col("_column") == F.col("_c"))
-        .drop("_column")
+        ran.select("*", F.inline(F.array_compact(F.array(*asked))))
+        .where(holds)
+        .groupBy(*map(qcol, by), "_alias")
+        .agg(
+            F.max("_position").alias("_position"),
+            F.min("_from").alias("_low"),
+            F.max("_to").alias("_high"),
+            F.min(before).alias("_below"),
+        )
     )
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    l, r = left.alias("l"), right.alias("r")
-    test = F.lit(True)
-    for k in keys:
-        test = test & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
-    joined = l.join(r, test, how)
-    if how == "left_anti":
-        return joined
-    extra = [c for c in right.columns if c not in keys]
-    return joined.select("l.*", *[F.col(f"r.`{c}`") for c in extra])
+def _position(wanted: Wanted) -> Column:
+    n, fraction = F.col("_n"), F.lit(float(wanted.fraction))
+    if wanted.linear:
+        return (n - 1) * fraction
+    return (F.greatest(F.ceil(fraction * n), F.lit(1)) - 1).cast("double")
 
 
-def _locate(values: DataFrame, brackets: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Values of the ranks that lie inside their bracket; ranks outside give no row."""
-    keys = [*by, "_alias", "_position", "_low", "_high"]
-    group = [qcol(k) for k in keys]
-    low, high, position, x = F.col("_low"), F.col("_high"), F.col("_position"), F.col("_x")
-    # NULL stands for "below the bracket": those rows only need counting.
+def _located(
+    df: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted], brackets: DataFrame
+) -> DataFrame:
+    """(by, _alias, _value): the values at the positions that the brackets surround."""
+    ends = ("_position", "_low", "_high", "_below")
+    per_group = brackets.groupBy(*map(qcol, by)).agg(
+        *[
+            F.max(F.when(F.col("_alias") == a, F.struct(*ends))).alias(f"_{i}")
+            for i, a in enumerate(percentiles)
+        ]
+    )
+    own = F.struct(*[F.col(f"_{i}") for i in range(len(percentiles))])
+    if by:
+        entries = F.collect_list(F.struct(F.struct(*map(qcol, by)).alias("key"), own.alias("value")))
+        held = F.element_at(per_group.agg(F.map_from_entries(entries)).scalar(), F.struct(*map(qcol, by)))
+    else:
+        held = per_group.select(own.alias("value")).scalar()
+
+    candidates = [
+        F.when(
+            _number(w.column).between(F.col(f"_held._{i}._low"), F.col(f"_held._{i}._high")),
+            F.struct(F.lit(i).alias("_i"), _number(w.column).alias("_x")),
+        )
+        for i, w in enumerate(percentiles.values())
+    ]
+    names = [*by, *sorted({w.column for w in percentiles.values()} - set(by))]
     counted = (
-        _null_safe(values, brackets, [*by, "_c"], "inner")
-        .where(F.col("_v") <= high)
-        .groupBy(*group, F.when(F.col("_v") >= low, F.col("_v")).alias("_x"))
+        df.select(*map(qcol, names), held.alias("_held"))
+        .select(*map(qcol, by), F.inline(F.array_compact(F.array(*candidates))))
+        .groupBy(*map(qcol, by), "_i", "_x")
         .agg(F.count(F.lit(1)).alias("_k"))
     )
-    # Cells cut the bracket in order of value, so that only the cell of a rank has to be ordered.
-    width = high - low
-    cell = (
-        F.when(x.isNull(), -1)
-        .when((width > 0) & (width < float("inf")), F.floor((x - low) / width * F.lit(float(CELLS))).cast("int"))
-        .otherwise(0)
+    bracket = F.array(*[F.col(f"_held._{i}") for i in range(len(percentiles))])[F.col("_i")]
+    width, x = F.col("_b._high") - F.col("_b._low"), F.col("_x")
+    even = F.floor((x - F.col("_b._low")) / width * F.lit(float(CELLS))).cast("int")
+    celled = (
+        counted.withColumn("_held", held)
+        .withColumn("_b", bracket)
+        .withColumn("_cell", F.when((width > 0) & (width < float("inf")), even).otherwise(0))
+        .select(*map(qcol, by), "_i", "_x", "_k", "_cell", "_b._position", "_b._below")
     )
-    celled = counted.withColumn("_cell", cell)
-    over = Window.partitionBy(*group)
-    upto = F.sum("_n").over(over.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    first, last = F.floor(position), F.ceil(position)
+    keys = [*by, "_i", "_cell"]
+    over = Window.partitionBy(*map(qcol, by), F.col("_i")).orderBy("_cell")
+    upto = F.col("_below") + F.sum("_n").over(over.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first, last = F.floor("_position"), F.ceil("_position")
     holding = (
-        celled.groupBy(*group, "_cell")
+        celled.groupBy(*map(qcol, keys), "_position", "_below")
         .agg(F.sum("_k").alias("_n"))
         .withColumn("_upto", upto)
         .withColumn("_before", F.col("_upto") - F.col("_n"))
@@ -188,30 +174,37 @@ def _locate(values: DataFrame, brackets: DataFrame, by: Sequence[str]) -> DataFr
             ((F.col("_before") <= first) & (first < F.col("_upto")))
             | ((F.col("_before") <= last) & (last < F.col("_upto")))
         )
-        .select(*group, "_cell", "_before")
-    )
-    within = Window.partitionBy(*group, F.col("_cell")).orderBy("_x")
-    running = F.col("_before") + F.sum("_k").over(
-        within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .select(*map(qcol, keys), "_before")
     )
-    ranked = _null_safe(celled, holding, [*keys, "_cell"], "inner").withColumn("_at", running)
-    found = ranked.groupBy(*group).agg(
-        F.min(F.when(F.col("_at") > first, x)).alias("_from"),
-        F.min(F.when(F.col("_at") > last, x)).alias("_to"),
-        # A rank below the bracket falls in the cell of rows that were only counted.
-        F.count_if(x.isNull()).alias("_outside"),
+    within = Window.partitionBy(*map(qcol, keys)).orderBy("_x")
+    at = F.col("_before") + F.sum("_k").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ends_found = (
+        _null_safe(celled, holding, keys)
+        .withColumn("_at", at)
+        .groupBy(*map(qcol, by), "_i", "_position")
+        .agg(
+            F.min(F.when(F.col("_at") > first, x)).alias("_from"),
+            F.min(F.when(F.col("_at") > last, x)).alias("_to"),
+        )
     )
-    weight = position - first
+    weight = F.col("_position") - first
     between = F.col("_from") * (F.lit(1.0) - weight) + F.col("_to") * weight
-    return found.where(
-        (F.col("_outside") == 0) & F.col("_from").isNotNull() & F.col("_to").isNotNull()
-    ).select(
+    return ends_found.select(
         *map(qcol, by),
-        "_alias",
+        F.array(*map(F.lit, percentiles))[F.col("_i")].alias("_alias"),
         F.when(F.col("_from") == F.col("_to"), F.col("_from")).otherwise(between).alias("_value"),
     )
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    l, r = left.alias("l"), right.alias("r")
+    test = F.lit(True)
+    for k in keys:
+        test = test & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
+    extra = [c for c in right.columns if c not in keys]
+    return l.join(r, test).select("l.*", *[F.col(f"r.`{c}`") for c in extra])
+
+
 class Limits:
     """Nearest-rank thresholds of several columns in a one-row frame, infinities included.
 
@@ -230,7 +223,6 @@ class Limits:
         df: DataFrame,
         columns: Sequence[str],
         percents: Sequence[int] = THRESHOLD_PERCENTS,
-        small_bytes: int = SMALL_INPUT_BYTES,
     ) -> Limits:
         aggregates, wanted = [], {}
         for i, c in enumerate(columns):
@@ -243,7 +235,7 @@ class Limits:
                 F.avg(value).alias(f"{i}_media"),
             ]
             wanted.update({f"{i}_p{p}": nearest_rank(c, p / 100.0) for p in percents})
-        return cls(group_summary(df, [], aggregates, wanted, small_bytes), columns, percents)
+        return cls(group_summary(df, [], aggregates, wanted), columns, percents)
 
     @classmethod
     def from_table(cls, table: DataFrame) -> Limits:

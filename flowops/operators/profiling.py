@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from flowops.functions.columns import is_finite, is_infinite, pct, qcol
 from flowops.operators.percentiles import Wanted, group_summary
-from flowops.session import SMALL_INPUT_BYTES
 from flowops.spec import Spec
 
 
@@ -114,7 +113,7 @@ METRICS = ("conteo", "suma", "media", "mediana", "minimo", "maximo", "desviacion
 
 
 def global_metrics(
-    df: DataFrame, columns: tuple[str, ...], decimals: int = 6, small_bytes: int = SMALL_INPUT_BYTES
+    df: DataFrame, columns: tuple[str, ...], decimals: int = 6
 ) -> DataFrame:
     """Seven metrics per column in long form (columna, metrica, valor)."""
     aggregates, medians = [], {}
@@ -129,7 +128,7 @@ def global_metrics(
             F.stddev_samp(v).alias(f"{i}_desviacion_estandar"),
         ]
         medians[f"{i}_mediana"] = Wanted(c, 0.5)
-    wide = group_summary(df, [], aggregates, medians, small_bytes)
+    wide = group_summary(df, [], aggregates, medians)
     rows = [
         F.struct(
             F.lit(c).alias("columna"),

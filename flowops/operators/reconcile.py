@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from flowops.functions.columns import qcol
+from flowops.functions.columns import is_finite, qcol
 
 # Tolerances of a numeric comparison.
 ABSOLUTE = 1e-6
@@ -14,8 +14,9 @@ RELATIVE = 1e-9
 
 
 def _close(a: Column, b: Column, absolute: float, relative: float) -> Column:
+    """Finite numbers within tolerance; otherwise only the same infinity, or both NaN."""
     limit = F.greatest(F.lit(absolute), F.lit(relative) * F.greatest(F.abs(a), F.abs(b)))
-    return (a == b) | (F.abs(a - b) <= limit)
+    return (a == b) | (is_finite(a) & is_finite(b) & (F.abs(a - b) <= limit))
 
 
 def same_value(

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowops.functions.columns import is_null_marker, pct, qcol
 from flowops.operators.cleaning import NULL_MARKERS
-from flowops.session import SMALL_INPUT_BYTES, broadcast_if_bounded, is_small
 
 WHOLE = "decimal(38,0)"
 # Two bytes of the hash: 65,536 buckets per stratum.
 BUCKET_DIGITS = 4
+# Strata that are few enough for their cuts, some forty bytes each, to be sent to every task.
+FEW_STRATA = 500_000
 
 
 def _fail_if(test: Column, message: str) -> Column:
@@ -104,15 +105,15 @@ def stratified_sample(
     quotas: DataFrame,
     key: Sequence[str],
     seed: int,
-    small_bytes: int = SMALL_INPUT_BYTES,
+    few_strata: bool = True,
 ) -> DataFrame:
-    """Exactly ``cuota`` rows of every stratum: those with the smallest hash of seed and key.
+    """Exactly ``cuota`` whole rows of every stratum: those with the smallest hash of seed and key.
 
-    Two scans, no stratum in one task. The first counts the rows per hash bucket, which map-side
-    aggregation shrinks to at most 65,536 rows per stratum; their running count names the bucket
-    where the quota is reached. The second keeps rows up to that bucket and ranks them inside
-    (stratum, bucket), so even a stratum holding a third of all rows is spread over its buckets, and
-    only selected rows are shuffled.
+    No stratum is in one task. Rows are counted per hash bucket, which map-side aggregation shrinks to
+    at most 65,536 rows per stratum; their running count names the bucket where the quota is reached.
+    Rows of earlier buckets then only pass a filter, and those of that one bucket are ranked.
+    ``few_strata`` sends the cuts to every task and fails beyond ``FEW_STRATA`` strata; without it they
+    are joined by a shuffle.
     """
     hashed = df.withColumn(
         "_hash", F.md5(F.concat_ws("|", F.lit(str(seed)), *[qcol(k).cast("string") for k in key]))
@@ -132,19 +133,21 @@ def stratified_sample(
             (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take"),
         )
     )
-    if not is_small(df, small_bytes):
-        # Without this, the second scan would be shuffled only to be joined to one row per stratum.
-        cuts = broadcast_if_bounded(cuts)
-    rank = Window.partitionBy(*columns, F.col("_bucket")).orderBy(
-        F.col("_hash"), *[qcol(k).asc() for k in key]
-    )
-    selected = (
-        _join_strata(hashed, cuts, strata)
-        .where(F.col("_bucket") <= F.col("_cut"))
+    if few_strata:
+        strata_found = F.count(F.lit(1)).over(Window.partitionBy())
+        many = _fail_if(strata_found > FEW_STRATA, "too many strata to be sent to every task")
+        cuts = F.broadcast(cuts.withColumn("_take", F.coalesce(many, F.col("_take"))))
+    placed = _join_strata(hashed, cuts, strata)
+    rank = Window.partitionBy(*columns).orderBy(F.col("_hash"), *[qcol(k).asc() for k in key])
+    own = [qcol(c) for c in df.columns]
+    earlier = placed.where(F.col("_bucket") < F.col("_cut")).select(*own)
+    last = (
+        placed.where(F.col("_bucket") == F.col("_cut"))
         .withColumn("_rank", F.row_number().over(rank))
-        .where((F.col("_bucket") < F.col("_cut")) | (F.col("_rank") <= F.col("_take")))
+        .where(F.col("_rank") <= F.col("_take"))
+        .select(*own)
     )
-    return selected.select(*[qcol(c) for c in df.columns])
+    return earlier.unionByName(last)
 
 
 def _join_strata(left: DataFrame, right: DataFrame, strata: Sequence[str]) -> DataFrame:
@@ -168,9 +171,15 @@ def sample_distribution(population: DataFrame, sample: DataFrame, label: str) ->
         F.count_if(F.col("_side") == 0).alias("original_count"),
         F.count_if(F.col("_side") == 1).alias("sample_count"),
     )
-    original = pct(F.col("original_count"), counts.agg(F.sum("original_count")).scalar(), None)
-    sampled = pct(F.col("sample_count"), counts.agg(F.sum("sample_count")).scalar(), None)
-    return counts.select(
+    everything = Window.partitionBy()
+    shares = counts.withColumns(
+        {
+            "_original": pct(F.col("original_count"), F.sum("original_count").over(everything), None),
+            "_sampled": pct(F.col("sample_count"), F.sum("sample_count").over(everything), None),
+        }
+    )
+    original, sampled = F.col("_original"), F.col("_sampled")
+    return shares.select(
         qcol(label),
         "original_count",
         F.round(original, 6).alias("original_percentage"),
@@ -181,21 +190,33 @@ def sample_distribution(population: DataFrame, sample: DataFrame, label: str) ->
 
 
 def sample_checks(
-    sample: DataFrame, quotas: DataFrame, label: str, target: int | Column, columns: int
+    sample: DataFrame, quotas: DataFrame, label: str, target: int | Column, columns: int, file: str | None = None
 ) -> DataFrame:
-    """Post-conditions of a sample as rows (comprobacion, esperado, actual, ok)."""
-    got = strata_counts(sample, [label]).select(qcol(label), F.col("filas").alias("_n"), F.lit(0).alias("_q"))
-    wanted = quotas.groupBy(qcol(label)).agg(F.sum("cuota").alias("_q")).select(
-        qcol(label), F.lit(0).cast("bigint").alias("_n"), F.col("_q")
+    """Post-conditions of a sample as rows (comprobacion, esperado, actual, ok).
+
+    Classes, and with ``file`` the files of each class, must be there as often as their quota says.
+    """
+    strata = [label, *([file] if file else [])]
+    got = strata_counts(sample, strata).select(*map(qcol, strata), F.col("filas").alias("_n"), F.lit(0).alias("_q"))
+    wanted = quotas.groupBy(*map(qcol, strata)).agg(F.sum("cuota").alias("_q")).select(
+        *map(qcol, strata), F.lit(0).cast("bigint").alias("_n"), F.col("_q")
     )
-    sides = got.unionByName(wanted).groupBy(qcol(label)).agg(
+    per_file = got.unionByName(wanted).groupBy(*map(qcol, strata)).agg(
         F.sum("_n").alias("_n"), F.sum("_q").alias("_q")
     )
-    wide = sides.agg(
+    per_class = per_file.groupBy(qcol(label)).agg(
+        F.sum("_n").alias("_n"),
+        F.sum("_q").alias("_q"),
+        F.count_if((F.col("_n") == 0) & (F.col("_q") > 0)).alias("_missing"),
+        F.count_if((F.col("_n") > 0) & (F.col("_q") == 0)).alias("_extra"),
+        F.count_if(F.col("_n") != F.col("_q")).alias("_different"),
+    )
+    wide = per_class.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
         F.count_if((F.col("_n") == 0) & (F.col("_q") > 0)).alias("missing"),
         F.count_if((F.col("_n") > 0) & (F.col("_q") == 0)).alias("extra"),
         F.count_if(F.col("_n") != F.col("_q")).alias("different"),
+        *[F.coalesce(F.sum(f"_{n}"), F.lit(0)).alias(f"file_{n}") for n in ("missing", "extra", "different")],
     )
     expected = [
         ("filas", F.lit(target), F.col("rows")),
@@ -204,6 +225,12 @@ def sample_checks(
         ("clases_extra", F.lit(0), F.col("extra")),
         ("clases_con_otra_cuota", F.lit(0), F.col("different")),
     ]
+    if file:
+        expected += [
+            ("archivos_faltantes", F.lit(0), F.col("file_missing")),
+            ("archivos_extra", F.lit(0), F.col("file_extra")),
+            ("archivos_con_otra_cuota", F.lit(0), F.col("file_different")),
+        ]
     rows = [
         F.struct(
             F.lit(name).alias("comprobacion"),
@@ -216,6 +243,24 @@ def sample_checks(
     return wide.select(F.inline(F.array(*rows)))
 
 
+def quota_guards(counts: DataFrame, target: int | Column, label: str, minimum: int = 1, rows: str = "filas") -> DataFrame:
+    """The conditions a sample needs, as rows (comprobacion, ok) instead of an error."""
+    wide = counts.agg(
+        F.coalesce(F.sum(rows), F.lit(0)).alias("_rows"),
+        F.count(F.lit(1)).alias("_classes"),
+        F.count_if(F.col(rows) < minimum).alias("_small"),
+    )
+    t = F.lit(target).cast("bigint")
+    tests = {
+        "poblacion_suficiente": F.col("_rows") >= t,
+        "muestra_cubre_clases": F.col("_classes") * minimum <= t,
+        "clases_con_filas": F.col("_small") == 0,
+    }
+    return wide.select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("comprobacion"), test.alias("ok")) for n, test in tests.items()]))
+    )
+
+
 def sample_quality(sample: DataFrame) -> DataFrame:
     """Rows, columns, repeated and unique rows, missing cells and rows with any, as one record.
 
@@ -237,6 +282,30 @@ def sample_quality(sample: DataFrame) -> DataFrame:
     )
 
 
+def missing_cells(sample: DataFrame) -> DataFrame:
+    """Missing cells per column (columna, celdas_nulas); cells are compared as text. One scan."""
+    counts = sample.agg(
+        *[F.count_if(is_null_marker(qcol(c).cast("string"), NULL_MARKERS)).alias(f"_{i}") for i, c in enumerate(sample.columns)]
+    )
+    rows = [F.struct(F.lit(c).alias("columna"), F.col(f"_{i}").alias("celdas_nulas")) for i, c in enumerate(sample.columns)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def quality_report(distribution: DataFrame, quality: DataFrame, missing: DataFrame, checks: DataFrame, label: str, method: str) -> DataFrame:
+    """Distribution, validation and method of a sample as one record, made of small tables only."""
+
+    def listed(df: DataFrame, name: str, order: str) -> Column:
+        return df.agg(F.sort_array(F.collect_list(F.struct(order, *[c for c in df.columns if c != order]))).alias(name)).scalar()
+
+    return quality.select(
+        F.lit(method).alias("metodo"),
+        *[qcol(c) for c in quality.columns],
+        listed(distribution, "distribucion", label).alias("distribucion"),
+        listed(missing, "nulos", "columna").alias("nulos"),
+        listed(checks, "comprobaciones", "comprobacion").alias("comprobaciones"),
+    )
+
+
 def seeded_order(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Rows in a reproducible pseudo-random order, with their position.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -109,7 +109,7 @@ def finite_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def null_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Non-finite cells become NULL in every float column; all rows stay."""
     nullified = cleaning.nullify(read_flows(spark, sf_dir), FLOW.floats)
-    return nullified.select(*[qcol(c) for c in (FLOW.label, FLOW.rate, FLOW.deviation, "Variance")])
+    return nullified.select(qcol(FLOW.label), *[qcol(c) for c in FLOW.floats])
 
 
 def filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +158,7 @@ def document_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = _table(spark, sf_dir, "documents")
     return sampling.stratified_sample(
         documents, ["lang", "source"], document_quotas(spark, sf_dir), ["doc_id"], SEED
     )
@@ -171,7 +171,12 @@ def document_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return sampling.sample_checks(
-        _document_sample(spark, sf_dir), document_quotas(spark, sf_dir), "lang", _tenth(documents), 4
+        _document_sample(spark, sf_dir),
+        document_quotas(spark, sf_dir),
+        "lang",
+        _tenth(documents),
+        len(documents.columns),
+        "source",
     )
 
 
@@ -182,11 +187,81 @@ def sample_vs_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality record of a table whose rows repeat and whose cells go missing."""
-    flows = read_flows(spark, sf_dir)
-    return sampling.sample_quality(
-        flows.select(qcol(FLOW.label), qcol(FLOW.size), qcol(FLOW.deviation), qcol(FLOW.protocol))
+    """Quality record of a whole table whose rows repeat and whose cells go missing."""
+    return sampling.sample_quality(read_flows(spark, sf_dir))
+
+
+def document_sample_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality record of the sample itself."""
+    return sampling.sample_quality(_document_sample(spark, sf_dir))
+
+
+def sample_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing cells per column of the sample."""
+    return sampling.missing_cells(_document_sample(spark, sf_dir))
+
+
+def quota_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether samples of a tenth, of twice the table and of two rows can be drawn."""
+    documents = _table(spark, sf_dir, "documents")
+    counts = sampling.strata_counts(documents, ["lang"])
+    targets = {"decima": _tenth(documents), "doble": F.lit(2) * _tenth(documents, 1), "dos": F.lit(2)}
+    found = [
+        sampling.quota_guards(counts, target, "lang").withColumn("muestra", F.lit(name)) for name, target in targets.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def _stored_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample written once: checks, report and publication then read a tenth of the table."""
+    path = scratch_path(spark, "sample")
+    _document_sample(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def sample_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distribution, validation and method of the sample, written once as JSON and read back."""
+    documents, sample = _table(spark, sf_dir, "documents"), _stored_sample(spark, sf_dir)
+    quotas = document_quotas(spark, sf_dir)
+    checks = sampling.sample_checks(sample, quotas, "lang", _tenth(documents), len(documents.columns), "source")
+    report = sampling.quality_report(
+        sampling.sample_distribution(documents, sample, "lang"),
+        sampling.sample_quality(sample),
+        sampling.missing_cells(sample),
+        checks,
+        "lang",
+        "estratificado por lang y source, restos mayores",
+    )
+    path = scratch_path(spark, "report")
+    sinks.write_json(report.coalesce(1), path)
+    read = spark.read.schema(report.schema).json(path)
+    return read.select(
+        "metodo",
+        "filas",
+        "columnas",
+        "filas_duplicadas",
+        "celdas_nulas",
+        F.size("distribucion").cast("bigint").alias("clases"),
+        F.aggregate("distribucion", F.lit(0).cast("bigint"), lambda n, d: n + d["sample_count"]).alias("muestra"),
+        F.aggregate("nulos", F.lit(0).cast("bigint"), lambda n, d: n + d["celdas_nulas"]).alias("nulos"),
+        F.forall("comprobaciones", lambda c: c["ok"]).alias("valida"),
+    )
+
+
+def published_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample published after its checks hold, and read back."""
+    documents, sample = _table(spark, sf_dir, "documents"), _stored_sample(spark, sf_dir)
+    checks = sampling.sample_checks(
+        sample, document_quotas(spark, sf_dir), "lang", _tenth(documents), len(documents.columns), "source"
     )
+    path = scratch_path(spark, "published")
+    sinks.publish(sample, checks, path)
+    return spark.read.parquet(path)
+
+
+def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name, size and SHA-256 of stored contents."""
+    return files.content_manifest(_table(spark, sf_dir, "pages"), "url", "html")
 
 
 def sample_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,8 +282,12 @@ def total_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sort_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = ordering.order_check(secondary_sort(spark, sf_dir), ["protocol", "rate"])
-    records = ordering.order_check(total_sort(spark, sf_dir), ["key"])
+    """Both sorts written, read back and checked file by file."""
+    pair_path, record_path = scratch_path(spark, "sorted"), scratch_path(spark, "records")
+    sinks.write_lines(secondary_sort(spark, sf_dir), pair_path)
+    sinks.write_records(total_sort(spark, sf_dir), record_path)
+    pairs = ordering.order_check(files.read_sorted_pairs(spark, pair_path, True), ["protocol", "rate"], files.PLACE)
+    records = ordering.order_check(files.read_record_lines(spark, record_path, True), ["key"], files.PLACE)
     return pairs.withColumn("trabajo", F.lit("secondarysort")).unionByName(
         records.withColumn("trabajo", F.lit("terasort"))
     )
@@ -218,16 +297,23 @@ def sort_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reconcile_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A grouped result against a copy with one small, one large and two row-level differences."""
+    """A grouped result against a copy with small, large, non-finite and row-level differences."""
     flows = read_flows(spark, sf_dir)
     base = flows.groupBy(FLOW.label, qcol(FLOW.protocol)).agg(
-        F.count(F.lit(1)).alias("registros"), F.avg(qcol(FLOW.size)).alias("media_tot_size")
+        F.count(F.lit(1)).alias("registros"),
+        F.avg(qcol(FLOW.size)).alias("media_tot_size"),
+        F.max(qcol(FLOW.rate)).alias("pico"),
     )
     label, protocol = qcol(FLOW.label), qcol(FLOW.protocol)
     changed = base.where(~((label == "Benign") & (protocol == 17))).withColumns(
         {
             "registros": F.col("registros") + F.when((label == "XSS") & (protocol == 6), 1).otherwise(0),
             "media_tot_size": F.col("media_tot_size") + F.when(protocol == 1, 1e-7).otherwise(0.0),
+            "pico": F.when(F.col("pico") < float("inf"), F.col("pico"))
+            .when(protocol == 6, 5.0)
+            .when(protocol == 17, float("-inf"))
+            .when(protocol == 1, float("nan"))
+            .otherwise(F.col("pico")),
             FLOW.label: F.when((label == "XSS") & (protocol == 47), F.lit("Nuevo")).otherwise(label),
         }
     )
@@ -320,34 +406,43 @@ def null_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files ---------------------------------------------------------------------------------------
 
 
-def _summary(df: DataFrame) -> DataFrame:
+def _summary(df: DataFrame, texts: bool = False) -> DataFrame:
+    """Per label: rows, and of every other column its missing cells, infinities and rounded sum."""
+    numbers = [c for c in FLOW.columns if c != FLOW.label]
+
+    def value(c: str) -> Column:
+        return qcol(c).try_cast("double") if texts else qcol(c).cast("double")
+
+    finite = {c: F.when(F.abs(value(c)) < float("inf"), value(c)) for c in numbers}
     return df.groupBy(qcol(FLOW.label)).agg(
         F.count(F.lit(1)).alias("registros"),
-        F.count_if(F.abs(qcol(FLOW.rate)) == float("inf")).alias("infinitos"),
-        F.count_if(qcol(FLOW.deviation).isNull()).alias("nulos"),
-        F.sum(qcol(FLOW.size)).alias("volumen_bytes"),
-        F.sum(F.when(F.abs(qcol(FLOW.rate)) < float("inf"), qcol(FLOW.rate))).alias("suma_rate"),
+        F.sum(F.lit(0).cast("bigint") + reduce(lambda a, b: a + b, [F.when(value(c).isNull(), 1).otherwise(0) for c in numbers])).alias("nulos"),
+        F.count_if(F.abs(value(FLOW.rate)) == float("inf")).alias("infinitos"),
+        *[F.round(F.sum(finite[c]), 2).alias(f"suma_{i}") for i, c in enumerate(numbers)],
     )
 
 
-def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flow table written as CSV and read back with its declared schema."""
+def _written_csv(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "csv")
     sinks.write_raw_csv(read_flows(spark, sf_dir), path)
-    return _summary(files.read_csv(spark, path, FLOW))
+    return path
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow table written as CSV and read back with its declared schema."""
+    return _summary(files.read_csv(spark, _written_csv(spark, sf_dir), FLOW))
 
 
 def csv_text_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicates of the raw CSV fields."""
-    path = scratch_path(spark, "csv")
-    sinks.write_raw_csv(read_flows(spark, sf_dir), path)
-    return duplicates.text_dedup_report(files.read_text_csv(spark, path, FLOW), FLOW.columns)
+    rows = files.read_text_csv(spark, _written_csv(spark, sf_dir), FLOW)
+    return duplicates.text_dedup_report(rows, FLOW.columns)
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written as JSON, where infinities become null, and read back."""
     path = scratch_path(spark, "json")
-    flows = read_flows(spark, sf_dir).select(*[qcol(c) for c in (FLOW.label, FLOW.rate, FLOW.deviation, FLOW.size)])
+    flows = read_flows(spark, sf_dir)
     sinks.write_json(flows, path)
     return _summary(spark.read.schema(flows.schema).json(path))
 
@@ -369,11 +464,19 @@ def _class_directories(spark: SparkSession, sf_dir: str) -> str:
 
 
 def class_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files in one directory per class, labelled by their directory and counted per class."""
+    """CSV files in one directory per class, labelled by their directory, all columns compared."""
     path = _class_directories(spark, sf_dir)
     files.source_header(spark, path, FLOW.label)
+    return _summary(files.read_class_directories(spark, path, FLOW), texts=True)
+
+
+def source_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per file, folded to its class: rows, and whether every listed file has any."""
+    path = _class_directories(spark, sf_dir)
     rows = files.inventory(files.read_class_directories(spark, path, FLOW), FLOW.label)
-    return rows.groupBy(qcol(FLOW.label)).agg(F.sum("filas").alias("filas"))
+    return rows.groupBy(qcol(FLOW.label)).agg(
+        F.sum("filas").alias("filas"), (F.min("filas") > 0).alias("archivos_con_filas")
+    )
 
 
 def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,6 +542,11 @@ QUERIES: dict[str, Query] = {
     "sample_checks": sample_checks,
     "sample_vs_population": sample_vs_population,
     "sample_quality": sample_quality,
+    "document_sample_quality": document_sample_quality,
+    "sample_missing": sample_missing,
+    "quota_guards": quota_guards,
+    "sample_report": sample_report,
+    "published_sample": published_sample,
     "sample_file_order": sample_file_order,
     "secondary_sort": secondary_sort,
     "total_sort": total_sort,
@@ -456,9 +564,11 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": json_roundtrip,
     "result_csv": result_csv,
     "class_directories": class_directories,
+    "source_inventory": source_inventory,
     "sorted_output": sorted_output,
     "threshold_file": threshold_file,
     "file_manifest": file_manifest,
+    "page_manifest": page_manifest,
 }
 
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from flowops.operators.cleaning import clean_and_round, round_floats
 from flowops.operators.percentiles import Limits
-from flowops.session import is_small, scratch_path
+from flowops.session import scratch_path
 from flowops.spec import FLOW, FLOW_COLUMNS, LABEL_FAMILY
 
 THRESHOLD_COLUMNS = (FLOW.rate, FLOW.size, FLOW.iat)
@@ -100,16 +100,27 @@ def flows_from(lineitem: DataFrame) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, str, str], tuple[str, T.StructType]] = {}
+# Session setting: partitions that a source is spread over when it is read. Unset, the file splits
+# decide; set it where one file has fewer row groups than there are cores.
+SOURCE_PARTITIONS = "flowops.sourcePartitions"
+
+_stored: dict[tuple, tuple[str, T.StructType]] = {}
+
+
+def _identity(spark: SparkSession, path: str) -> tuple:
+    """Files, bytes and time of the last change of a source; only file listings are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return tuple(files.agg(F.count("*"), F.sum("length"), F.max("modificationTime")).first())
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A stage kept as columnar files in the shared folder, written once per session and source.
 
     Reports start from such a stage instead of repeating its work, read only the columns they need,
-    and lose nothing with an executor.
+    and lose nothing with an executor. A source that has changed is read again.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    source = f"{sf_dir}/lineitem.parquet"
+    key = (spark.sparkContext.applicationId, name, source, _identity(spark, source))
     if key not in _stored:
         path = scratch_path(spark, name)
         stage = build()
@@ -120,18 +131,10 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
 
 def read_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flow table, ingested from the source rows.
-
-    A large source arrives in many splits. A small one may be a single row group, which would leave
-    every later scan to one task, so it is spread over the cores while it is written.
-    """
-    def build() -> DataFrame:
-        source = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        if is_small(source):
-            source = source.repartition(spark.sparkContext.defaultParallelism)
-        return flows_from(source)
-
-    return stored(spark, sf_dir, "flows", build)
+    """The flow table, a projection of the source rows: a report reads only what it needs of them."""
+    source = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    parts = spark.conf.get(SOURCE_PARTITIONS, None)
+    return flows_from(source.repartition(int(parts)) if parts else source)
 
 
 def read_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

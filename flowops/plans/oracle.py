@@ -223,18 +223,45 @@ QUOTA_TABLES = (
     """quotas AS (SELECT lang, source, filas, CAST(base + CASE WHEN row_number() OVER (PARTITION BY lang ORDER BY rest DESC, lower(source), source)
         <= spare - sum(base) OVER (PARTITION BY lang) THEN 1 ELSE 0 END AS BIGINT) AS cuota FROM f2)""",
 )
-SAMPLE = f"""sample AS (SELECT doc_id, lang, source, n_chars FROM (SELECT d.*, z.cuota, row_number() OVER (PARTITION BY d.lang, d.source
+SAMPLE = f"""sample AS (SELECT * EXCLUDE (cuota, rk) FROM (SELECT d.*, z.cuota, row_number() OVER (PARTITION BY d.lang, d.source
       ORDER BY md5(concat('{SEED}|', CAST(d.doc_id AS VARCHAR))), d.doc_id) AS rk
     FROM documents d JOIN quotas z ON d.lang = z.lang AND d.source = z.source) WHERE rk <= cuota)"""
 
 
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _missing(c: str) -> str:
+    return f"CASE WHEN trim(coalesce(CAST({c} AS VARCHAR), ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) IN ('', 'NA', 'N/A', 'NULL', 'null', 'NaN', 'nan') THEN 1 ELSE 0 END"
+
+
+_MISSING_CELLS = "(" + " + ".join(_missing(c) for c in DOCUMENT_COLUMNS) + ")"
+
+
 def sampled(sql: str) -> str:
     return "WITH " + ",\n".join([*QUOTA_TABLES, SAMPLE]) + "\n" + sql
 
 
 PAIRS = 'SELECT CAST("Protocol Type" AS INT) AS protocol, CAST(round_even("Rate", 0) AS INT) AS rate FROM flows WHERE isfinite("Rate")'
-SUMMARY = """SELECT "Label", count(*) AS registros, {inf} AS infinitos, count(*) FILTER ("Std" IS NULL) AS nulos,
-  sum("Tot size") AS volumen_bytes, sum("Rate") FILTER (isfinite("Rate")) AS suma_rate FROM flows GROUP BY "Label" """
+_NUMBERS = [c for c in FLOW.columns if c != FLOW.label]
+
+
+def _finite(c: str) -> str:
+    return f"isfinite(CAST({q(c)} AS DOUBLE))"
+
+
+def _summary(infinite: str, gone: str) -> str:
+    """``infinite``: test for an infinity that is still there; ``gone``: test for a missing cell."""
+    nulls = " + ".join(f"CASE WHEN {gone.format(q(c))} THEN 1 ELSE 0 END" for c in _NUMBERS)
+    sums = ", ".join(
+        f"round(sum(CAST({q(c)} AS DOUBLE)) FILTER ({_finite(c)}), 2) AS suma_{i}" for i, c in enumerate(_NUMBERS)
+    )
+    return f"""SELECT "Label", count(*) AS registros, CAST(sum({nulls}) AS BIGINT) AS nulos,
+      count(*) FILTER ({infinite}) AS infinitos, {sums} FROM flows GROUP BY "Label" """
+
+
+SUMMARY = _summary('isinf("Rate")', "{0} IS NULL")
+SUMMARY_WITHOUT_INFINITIES = _summary("false", "{0} IS NULL OR NOT isfinite(CAST({0} AS DOUBLE))")
 
 _FAMILY_STATS = """SELECT "Attack_Family", count(*) AS registros, count(*) - count(r) AS rate_inf_excluidos,
   {rate_media}, {rate_mediana}, {rate_min}, {rate_max}, {iat_media}, {iat_mediana}, {iat_min}, {iat_max}
@@ -331,8 +358,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "clean_rows": cleaned(f"SELECT {ALL_COLUMNS} FROM clean"),
         "null_cells": flows(
-            """SELECT "Label", CASE WHEN isfinite("Rate") THEN "Rate" END AS "Rate", CASE WHEN isfinite("Std") THEN "Std" END AS "Std",
-            CASE WHEN isfinite("Variance") THEN "Variance" END AS "Variance" FROM flows"""
+            'SELECT "Label", ' + ", ".join(f"CASE WHEN isfinite({q(c)}) THEN {q(c)} END AS {q(c)}" for c in FLOW.floats) + " FROM flows"
         ),
         "finite_rates": flows(
             'SELECT count(*) FILTER (isfinite("Rate")) AS validas, count(*) FILTER (NOT isfinite("Rate")) AS rechazadas FROM flows'
@@ -392,14 +418,41 @@ def oracle_sql() -> dict[str, str]:
             "c2 AS (SELECT *, spare * w // total AS base, spare * w % total AS rest FROM c1)",
         ),
         "document_quotas": sampled("SELECT lang, source, filas, cuota FROM quotas"),
-        "document_sample": sampled("SELECT doc_id, lang, source, n_chars FROM sample"),
+        "document_sample": sampled("SELECT * FROM sample"),
+        "published_sample": sampled("SELECT * FROM sample"),
+        "document_sample_quality": sampled(
+            f"""SELECT count(*) AS filas, CAST(5 AS BIGINT) AS columnas, count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sample)) AS filas_duplicadas,
+            (SELECT count(*) FROM (SELECT DISTINCT * FROM sample)) AS filas_unicas, CAST(sum({_MISSING_CELLS}) AS BIGINT) AS celdas_nulas,
+            count(*) FILTER ({_MISSING_CELLS} > 0) AS filas_con_nulo FROM sample"""
+        ),
+        "sample_missing": sampled(
+            " UNION ALL ".join(f"SELECT '{c}' AS columna, count(*) FILTER ({_missing(c)} = 1) AS celdas_nulas FROM sample" for c in DOCUMENT_COLUMNS)
+        ),
+        "quota_guards": sampled(
+            " UNION ALL ".join(
+                f"""SELECT comprobacion, ok, '{name}' AS muestra FROM (
+                SELECT 'poblacion_suficiente' AS comprobacion, (SELECT count(*) FROM documents) >= {t} AS ok
+                UNION ALL SELECT 'muestra_cubre_clases', (SELECT count(*) FROM classes) <= {t}
+                UNION ALL SELECT 'clases_con_filas', (SELECT min(filas) FROM classes) >= 1)"""
+                for name, t in (("decima", "(SELECT t FROM target)"), ("doble", "(SELECT 2 * count(*) FROM documents)"), ("dos", "2"))
+            )
+        ),
+        "sample_report": sampled(
+            f"""SELECT 'estratificado por lang y source, restos mayores' AS metodo, count(*) AS filas, CAST(5 AS BIGINT) AS columnas,
+            count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sample)) AS filas_duplicadas, CAST(sum({_MISSING_CELLS}) AS BIGINT) AS celdas_nulas,
+            (SELECT count(*) FROM classes) AS clases, count(*) AS muestra, CAST(sum({_MISSING_CELLS}) AS BIGINT) AS nulos, true AS valida FROM sample"""
+        ),
+        "page_manifest": "SELECT url AS ruta, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS bytes, sha256(coalesce(html, '')) AS sha256 FROM pages",
         "sample_checks": sampled(
             """SELECT comprobacion, CAST(esperado AS BIGINT) AS esperado, CAST(actual AS BIGINT) AS actual, esperado = actual AS ok FROM (
             SELECT 'filas' AS comprobacion, (SELECT t FROM target) AS esperado, (SELECT count(*) FROM sample) AS actual
-            UNION ALL SELECT 'columnas', 4, 4
+            UNION ALL SELECT 'columnas', 5, 5
             UNION ALL SELECT 'clases_faltantes', 0, (SELECT count(*) FROM (SELECT lang FROM c3 WHERE cuota > 0 EXCEPT SELECT lang FROM sample))
             UNION ALL SELECT 'clases_extra', 0, (SELECT count(*) FROM (SELECT lang FROM sample EXCEPT SELECT lang FROM c3))
-            UNION ALL SELECT 'clases_con_otra_cuota', 0, (SELECT count(*) FROM (SELECT lang, count(*) AS n FROM sample GROUP BY lang) s JOIN c3 ON s.lang = c3.lang WHERE n <> cuota))"""
+            UNION ALL SELECT 'clases_con_otra_cuota', 0, (SELECT count(*) FROM (SELECT lang, count(*) AS n FROM sample GROUP BY lang) s JOIN c3 ON s.lang = c3.lang WHERE n <> cuota)
+            UNION ALL SELECT 'archivos_faltantes', 0, (SELECT count(*) FROM (SELECT lang, source FROM quotas WHERE cuota > 0 EXCEPT SELECT lang, source FROM sample))
+            UNION ALL SELECT 'archivos_extra', 0, (SELECT count(*) FROM (SELECT lang, source FROM sample EXCEPT SELECT lang, source FROM quotas))
+            UNION ALL SELECT 'archivos_con_otra_cuota', 0, (SELECT count(*) FROM (SELECT lang, source, count(*) AS n FROM sample GROUP BY lang, source) s JOIN quotas z ON s.lang = z.lang AND s.source = z.source WHERE n <> cuota))"""
         ),
         "sample_vs_population": sampled(
             """SELECT lang, a AS original_count, round(a / ta * 100.0, 6) AS original_percentage, b AS sample_count,
@@ -410,10 +463,10 @@ def oracle_sql() -> dict[str, str]:
               LEFT JOIN (SELECT lang, count(*) AS b FROM sample GROUP BY lang) s ON p.lang = s.lang)"""
         ),
         "sample_quality": flows(
-            """SELECT count(*) AS filas, CAST(4 AS BIGINT) AS columnas, count(*) - (SELECT count(*) FROM picked) AS filas_duplicadas,
-            (SELECT count(*) FROM picked) AS filas_unicas, count(*) FILTER ("Std" IS NULL) AS celdas_nulas,
+            """SELECT count(*) AS filas, CAST(40 AS BIGINT) AS columnas, count(*) - (SELECT count(*) FROM picked) AS filas_duplicadas,
+            (SELECT count(*) FROM picked) AS filas_unicas, 2 * count(*) FILTER ("Std" IS NULL) AS celdas_nulas,
             count(*) FILTER ("Std" IS NULL) AS filas_con_nulo FROM flows""",
-            'picked AS (SELECT DISTINCT "Label", "Tot size", "Std", "Protocol Type" FROM flows)',
+            f"picked AS (SELECT DISTINCT {ALL_COLUMNS} FROM flows)",
         ),
         "sample_file_order": f"SELECT source, row_number() OVER (ORDER BY md5(concat('{SEED}|', source)), source) AS posicion FROM (SELECT DISTINCT source FROM documents)",
         "secondary_sort": flows(PAIRS + " ORDER BY 1, 2"),
@@ -428,18 +481,20 @@ def oracle_sql() -> dict[str, str]:
             WHERE isfinite("Rate") GROUP BY trabajo"""
         ),
         "reconcile_cells": flows(
-            """SELECT coalesce(a."Label", b."Label") AS "Label", coalesce(a."Protocol Type", b."Protocol Type") AS "Protocol Type",
-            CASE WHEN a."Label" IS NOT NULL AND b."Label" IS NOT NULL THEN 'registros' END AS columna,
-            CASE WHEN b."Label" IS NOT NULL THEN CAST(a.registros AS VARCHAR) END AS esperado,
-            CASE WHEN a."Label" IS NOT NULL THEN CAST(b.registros AS VARCHAR) END AS actual,
-            CASE WHEN b."Label" IS NULL THEN 'falta' WHEN a."Label" IS NULL THEN 'sobra' ELSE 'distinta' END AS estado
-            FROM base a FULL OUTER JOIN changed b ON a."Label" = b."Label" AND a."Protocol Type" = b."Protocol Type"
-            WHERE a."Label" IS NULL OR b."Label" IS NULL OR a.registros <> b.registros
-              OR abs(a.media - b.media) > greatest(1e-6, 1e-9 * greatest(abs(a.media), abs(b.media)))""",
-            'base AS (SELECT "Label", "Protocol Type", count(*) AS registros, avg("Tot size") AS media FROM flows GROUP BY ALL)',
+            """SELECT "Label", "Protocol Type", d.c AS columna, d.e AS esperado, d.v AS actual, d.s AS estado FROM (
+            SELECT coalesce(a."Label", b."Label") AS "Label", coalesce(a."Protocol Type", b."Protocol Type") AS "Protocol Type",
+              unnest(CASE WHEN b."Label" IS NULL THEN [{c: CAST(NULL AS VARCHAR), e: CAST(NULL AS VARCHAR), v: CAST(NULL AS VARCHAR), s: 'falta'}]
+                WHEN a."Label" IS NULL THEN [{c: CAST(NULL AS VARCHAR), e: CAST(NULL AS VARCHAR), v: CAST(NULL AS VARCHAR), s: 'sobra'}]
+                ELSE list_filter([
+                  CASE WHEN a.registros <> b.registros THEN {c: 'registros', e: CAST(a.registros AS VARCHAR), v: CAST(b.registros AS VARCHAR), s: 'distinta'} END,
+                  CASE WHEN a.pico = 'inf' AND b.pico <> 'inf' THEN {c: 'pico', e: 'Infinity', s: 'distinta',
+                    v: CASE WHEN isnan(b.pico) THEN 'NaN' WHEN b.pico < 0 THEN '-Infinity' ELSE '5.0' END} END], lambda x: x IS NOT NULL) END) AS d
+            FROM base a FULL OUTER JOIN changed b ON a."Label" = b."Label" AND a."Protocol Type" = b."Protocol Type")""",
+            'base AS (SELECT "Label", "Protocol Type", count(*) AS registros, max("Rate") AS pico FROM flows GROUP BY ALL)',
             """changed AS (SELECT CASE WHEN "Label" = 'XSS' AND "Protocol Type" = 47 THEN 'Nuevo' ELSE "Label" END AS "Label", "Protocol Type",
             registros + CASE WHEN "Label" = 'XSS' AND "Protocol Type" = 6 THEN 1 ELSE 0 END AS registros,
-            media + CASE WHEN "Protocol Type" = 1 THEN 1e-7 ELSE 0 END AS media
+            CASE WHEN isfinite(pico) THEN pico WHEN "Protocol Type" = 6 THEN 5.0 WHEN "Protocol Type" = 17 THEN CAST('-inf' AS DOUBLE)
+              WHEN "Protocol Type" = 1 THEN CAST('nan' AS DOUBLE) ELSE pico END AS pico
             FROM base WHERE NOT ("Label" = 'Benign' AND "Protocol Type" = 17))""",
         ),
         "label_difference": flows(
@@ -477,12 +532,12 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{c}' AS columna, count(*) FILTER ({c}) AS celdas_nulas, count(*) FILTER (part OR flag OR status) AS filas_con_nulo FROM marks"
             for c in ("part", "flag", "status")
         ),
-        "csv_roundtrip": flows(SUMMARY.format(inf='count(*) FILTER (isinf("Rate"))')),
+        "csv_roundtrip": flows(SUMMARY),
         "csv_text_dedup": flows(
             f"""SELECT antes, despues, antes - despues AS eliminados, {pct('(antes - despues)', 'antes')} AS reduccion_pct
             FROM (SELECT (SELECT count(*) FROM flows) AS antes, (SELECT count(*) FROM (SELECT DISTINCT * FROM flows)) AS despues)"""
         ),
-        "json_roundtrip": flows(SUMMARY.format(inf="CAST(0 AS BIGINT)")),
+        "json_roundtrip": flows(SUMMARY_WITHOUT_INFINITIES),
         "result_csv": flows(
             'SELECT "Attack_Family", CAST(registros AS VARCHAR) AS registros, CAST(rate_inf_excluidos AS VARCHAR) AS rate_inf_excluidos, '
             + ", ".join(
@@ -491,7 +546,8 @@ def oracle_sql() -> dict[str, str]:
             + f" FROM ({_FAMILY_STATS})",
             FAMILIES, MAPPED,
         ),
-        "class_directories": flows('SELECT "Label", count(*) AS filas FROM flows GROUP BY "Label"'),
+        "class_directories": flows(SUMMARY),
+        "source_inventory": flows('SELECT "Label", count(*) AS filas, true AS archivos_con_filas FROM flows GROUP BY "Label"'),
         "sorted_output": flows(
             f"SELECT protocol, count(*) AS pares, min(rate) AS rate_min, max(rate) AS rate_max, CAST(sum(rate) AS BIGINT) AS rate_suma FROM ({PAIRS}) GROUP BY protocol"
         ),

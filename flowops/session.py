@@ -1,25 +1,23 @@
-"""Session-level facts the operators need: scratch space and a bound on the input size."""
+"""Session-level facts the operators need: the shared folder, cut lineage and settings."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-# Below this many input bytes an exact percentile may hold all values of one group in one task.
-SMALL_INPUT_BYTES = 128 * 1024 * 1024
-
-# Rows of a per-group table, about a hundred bytes each, that may be broadcast.
-BROADCAST_ROWS = 500_000
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temp folder in local mode."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
+
+    A single-process session without that setting (a test, a shell) gets a folder of its own, as it has
+    no other machine to share with; any other session must say where its shared folder is.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     created = tempfile.mkdtemp(prefix="flowops-")
     spark.conf.set("spark.checkpoint.dir", created)
@@ -39,36 +37,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def broadcast_if_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored copy of a one-row-per-group table, marked for broadcast only when its rows are few.
-
-    The rows are counted on the stored copy. Beyond the bound the join is left to Catalyst, which
-    shuffles both sides and splits skewed partitions.
-    """
-    stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.count() <= rows else stored
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of all relations a plan reads, or None when they cannot be known.
-
-    Taken from the analysed plan: no job, no optimiser run, and a join does not multiply it.
-    """
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
-    except (AttributeError, TypeError):
-        return None
-    return sum(sizes)
-
-
-def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
-    size = input_bytes(df)
-    return size is not None and size <= limit
-
-
-# Runtime settings for wide tables. Generated methods above 8000 bytes of bytecode are never compiled
-# by the JVM's JIT, so plans that wide run faster on Spark's per-operator projections.
+# Runtime settings for wide tables, set by the named queries on their session. Generated methods above
+# 8000 bytes of bytecode are never compiled by the JVM's JIT, so plans that wide run faster on Spark's
+# per-operator projections.
 TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -59,7 +59,8 @@ def read_class_directories(
     source = [f for f in spec.text_schema.fields if f.name != spec.label]
     raw = (
         _csv(spark, T.StructType(source))
-        .options(mode="FAILFAST", recursiveFileLookup=True, pathGlobFilter=suffix)
+        # Without pruning every plan parses whole rows, so a count checks headers and field counts too.
+        .options(mode="FAILFAST", recursiveFileLookup=True, pathGlobFilter=suffix, columnPruning=False)
         .csv(path)
     )
     file = F.col("_metadata.file_path")
@@ -123,13 +124,34 @@ def read_thresholds(spark: SparkSession, path: str, columns: Iterable[str]) -> D
     return one.select(F.inline(F.array(*rows)))
 
 
-def read_sorted_pairs(spark: SparkSession, path: str) -> DataFrame:
+# Where a record was read: file and first byte of the split. Within a split rows keep their order.
+PLACE = ("archivo", "inicio")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias(PLACE[0]), F.col("_metadata.file_block_start").alias(PLACE[1])
+    )
+
+
+def read_sorted_pairs(spark: SparkSession, path: str, placed: bool = False) -> DataFrame:
     """Pairs from a secondary-sort output; separator lines, which start with a dash, are skipped."""
     parts = F.split(F.trim("value"), r"\s+")
     return (
-        spark.read.text(path)
+        _lines(spark, path)
         .where(~F.trim("value").startswith("-"))
-        .select(parts[0].cast("int").alias("protocol"), parts[1].cast("int").alias("rate"))
+        .select(
+            parts[0].cast("int").alias("protocol"), parts[1].cast("int").alias("rate"), *[p for p in PLACE if placed]
+        )
+    )
+
+
+def read_record_lines(spark: SparkSession, path: str, placed: bool = False) -> DataFrame:
+    """Fixed-width records written one to a line, as key and payload."""
+    return _lines(spark, path).select(
+        F.substring("value", 1, KEY_BYTES).alias("key"),
+        F.substring("value", KEY_BYTES + 1, RECORD_BYTES - KEY_BYTES).alias("payload"),
+        *[p for p in PLACE if placed],
     )
 
 
@@ -143,8 +165,19 @@ def read_fixed_width(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def content_manifest(df: DataFrame, name: str, content: str) -> DataFrame:
+    """Name, size in bytes and SHA-256 of the contents a table holds, one row each."""
+    data = F.coalesce(qcol(content).cast("binary"), F.lit("").cast("binary"))
+    return df.select(
+        qcol(name).alias("ruta"), F.octet_length(data).cast("bigint").alias("bytes"), F.sha2(data, 256).alias("sha256")
+    )
+
+
 def manifest(spark: SparkSession, path: str, suffix: str = "*") -> DataFrame:
-    """Path relative to ``path``, size and SHA-256 of every file below it."""
+    """Path relative to ``path``, size and SHA-256 of every file below it.
+
+    For result files: a file is held whole in one row, so it must be smaller than 2 GB.
+    """
     files = (
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter=suffix)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from flowops.functions.columns import decimal_text, is_finite, qcol
+from flowops.functions.columns import decimal_text, is_finite, qcol, round_decimals
 
 
 def as_text(df: DataFrame, decimals: int = 6) -> DataFrame:
@@ -64,7 +64,7 @@ def write_json(df: DataFrame, path: str, decimals: int = 6) -> None:
     def cell(f: T.StructField) -> Column:
         c = qcol(f.name)
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            return F.when(is_finite(c), F.round(c, decimals)).alias(f.name)
+            return F.when(is_finite(c), round_decimals(c.cast("double"), decimals)).alias(f.name)
         return c
 
     df.select(*[cell(f) for f in df.schema.fields]).write.option("ignoreNullFields", False).json(path)
@@ -75,6 +75,11 @@ def write_lines(df: DataFrame, path: str, separator: str = " ") -> None:
     df.select(F.concat_ws(separator, *[qcol(c).cast("string") for c in df.columns]).alias("value")).write.text(path)
 
 
+def write_records(df: DataFrame, path: str) -> None:
+    """Fixed-width columns joined without a separator, one record to a line, in the order of the frame."""
+    df.select(F.concat(*[qcol(c) for c in df.columns]).alias("value")).write.text(path)
+
+
 def publish(df: DataFrame, checks: DataFrame, path: str) -> None:
     """Write only when every check holds. Spark's commit makes the folder appear complete or not at all."""
     failed = [r["comprobacion"] for r in checks.where(~F.col("ok")).select("comprobacion").collect()]

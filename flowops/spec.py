@@ -72,6 +72,10 @@ class Spec:
     size: str = ""
     iat: str = ""
     packets: str = ""
+    syn: str = ""
+    ack: str = ""
+    rst: str = ""
+    fin: str = ""
     mean: str = ""
     deviation: str = ""
     total: str = ""
@@ -109,6 +113,10 @@ FLOW = Spec(
     size="Tot size",
     iat="IAT",
     packets="Number",
+    syn="syn_flag_number",
+    ack="ack_flag_number",
+    rst="rst_flag_number",
+    fin="fin_flag_number",
     mean="AVG",
     deviation="Std",
     total="Tot sum",

@@ -48,12 +48,10 @@ def rows():
     return data
 
 
-@pytest.mark.parametrize("margin", [p.BRACKET_MARGIN, -0.2])
-def test_selection_equals_brute_force(spark, rows, margin):
-    """A negative margin makes every bracket miss, so the second selection has to find all of them."""
+def test_selection_equals_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "g string, x double, y double")
     want = brute(rows)
-    got = {r["g"]: r for r in p.select_percentiles(df, ["g"], WANTED, margin).collect()}
+    got = {r["g"]: r for r in p.select_percentiles(df, ["g"], WANTED).collect()}
     assert set(got) == set(want)
     for g, w in want.items():
         for k, v in w.items():
@@ -63,34 +61,39 @@ def test_selection_equals_brute_force(spark, rows, margin):
 
 
 @pytest.mark.parametrize("by", [["g"], []])
-def test_both_plans_agree(spark, rows, by):
+def test_summary_joins_aggregates_and_percentiles(spark, rows, by):
     df = spark.createDataFrame(rows, "g string, x double, y double")
     aggregates = [F.count(F.lit(1)).alias("n"), F.max("x").alias("top")]
-    key = lambda r: str(r[0])
-    small = sorted(p.group_summary(df, by, aggregates, WANTED, 1 << 50).collect(), key=key)
-    large = sorted(p.group_summary(df, by, aggregates, WANTED, 0).collect(), key=key)
-    assert len(small) == len(large)
-    for a, b in zip(small, large):
-        for name in a.asDict():
-            if isinstance(a[name], float):
-                assert math.isclose(a[name], b[name], rel_tol=1e-12)
-            else:
-                assert a[name] == b[name]
-
-
-@pytest.mark.parametrize("small_bytes", [1 << 50, 0])
+    got = {r["g"] if by else "all": r for r in p.group_summary(df, by, aggregates, WANTED).collect()}
+    want = brute(rows if by else [("all", *r[1:]) for r in rows])
+    assert set(got) == set(want)
+    for g, w in want.items():
+        own = [r for r in rows if not by or r[0] == g]
+        assert got[g]["n"] == len(own)
+        assert got[g]["top"] == max((r[1] for r in own if r[1] is not None), default=None)
+        assert all(v is None and got[g][k] is None or math.isclose(got[g][k], v, rel_tol=1e-12) for k, v in w.items())
+
+
+def test_extreme_values_and_signs(spark):
+    values = [-math.inf, -1e300, -2.5, -5e-324, 0.0, -0.0, 5e-324, 1.0, 1.0000000001, 1e300, math.inf, math.nan]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    ordered = sorted(v for v in values if not math.isnan(v))
+    for fraction in (0.05, 0.3, 0.5, 0.8, 0.99):
+        got = p.select_percentiles(df, [], {"r": p.nearest_rank("x", fraction)}).first()["r"]
+        assert got == nearest(ordered, fraction)
+
+
 @pytest.mark.parametrize("n", [1, 20, 100])
-def test_nearest_rank(spark, n, small_bytes):
+def test_nearest_rank(spark, n):
     df = spark.range(1, n + 1).select(F.col("id").cast("double").alias("v"))
-    row = p.Limits.of(df, ["v"], small_bytes=small_bytes).table().first()
+    row = p.Limits.of(df, ["v"]).table().first()
     for percent in p.THRESHOLD_PERCENTS:
         assert row[f"p{percent}"] == nearest(range(1, n + 1), percent / 100)
 
 
-@pytest.mark.parametrize("small_bytes", [1 << 50, 0])
-def test_thresholds_keep_infinities_and_count_nulls(spark, small_bytes):
+def test_thresholds_keep_infinities_and_count_nulls(spark):
     df = spark.createDataFrame([(1.0,), (float("inf"),), (None,), (2.0,)], "v double")
-    row = p.Limits.of(df, ["v"], small_bytes=small_bytes).table().first()
+    row = p.Limits.of(df, ["v"]).table().first()
     assert (row["conteo"], row["nulos"], row["min"], row["max"], row["media"]) == (3, 1, 1.0, float("inf"), float("inf"))
     assert (row["p50"], row["p99"]) == (2.0, float("inf"))
 
@@ -98,10 +101,3 @@ def test_thresholds_keep_infinities_and_count_nulls(spark, small_bytes):
 def test_thresholds_of_nothing(spark):
     row = p.Limits.of(spark.createDataFrame([], "v double"), ["v"]).table().first()
     assert (row["conteo"], row["p50"], row["max"]) == (0, 0.0, 0.0)
-
-
-def test_unknown_size_takes_the_scalable_plan(spark, monkeypatch):
-    monkeypatch.setattr("flowops.session.input_bytes", lambda df: None)
-    from flowops.session import is_small
-
-    assert not is_small(spark.range(1))

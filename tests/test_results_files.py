@@ -94,9 +94,15 @@ def test_class_directories_reject_other_headers_and_short_rows(spark, tmp_path):
     _write(os.path.join(bad, "B"), "two.csv", "x,other\n3.0,3\n")
     with pytest.raises(Exception):
         files.read_class_directories(spark, bad, MINI).collect()
+    with pytest.raises(Exception):
+        files.inventory(files.read_class_directories(spark, bad, MINI)).collect()
+    with pytest.raises(Exception):
+        files.read_class_directories(spark, bad, MINI).select("x").collect()
     _write(os.path.join(short, "B"), "two.csv", "x,n\n3.0\n")
     with pytest.raises(Exception):
         files.read_class_directories(spark, short, MINI).collect()
+    with pytest.raises(Exception):
+        files.inventory(files.read_class_directories(spark, short, MINI)).collect()
     _write(os.path.join(good, "A"), "one.csv", "x,n,Label\n1.0,1,a\n")
     with pytest.raises(ValueError, match="already has a column"):
         files.source_header(spark, good)
@@ -153,3 +159,14 @@ def test_publish_only_after_checks(spark, tmp_path):
     assert not os.path.exists(tmp_path / "no")
     sinks.publish(df, failed.withColumn("ok", F.lit(True)), str(tmp_path / "yes"))
     assert os.path.exists(tmp_path / "yes" / "_SUCCESS")
+
+
+@pytest.mark.parametrize("a,b,same", [
+    ("inf", "5.0", False), ("nan", "5.0", False), ("inf", "-inf", False), ("1.0", "2.0", False),
+    ("inf", "Infinity", True), ("nan", "NaN", True), ("1.0", "1.0000000001", True), ("", None, True),
+])
+def test_non_finite_cells(spark, a, b, same):
+    from flowops.operators import reconcile
+
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    assert df.select(reconcile.same_value(F.col("a"), F.col("b"))).first()[0] is same

@@ -49,14 +49,14 @@ def test_quota_guards(spark, counts, target, message):
         sampling.class_quotas(df, target, "Label").collect()
 
 
-@pytest.mark.parametrize("small_bytes", [1 << 50, 0])
-def test_sample_is_exact_with_a_hot_stratum(spark, small_bytes):
+@pytest.mark.parametrize("few", [True, False])
+def test_sample_is_exact_with_a_hot_stratum(spark, few):
     rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}") for i in range(6000)]
     df = spark.createDataFrame(rows, "id bigint, g string")
     counts = Counter(g for _, g in rows)
     quotas = {g: n // 4 for g, n in counts.items()}
     table = spark.createDataFrame(list(quotas.items()), "g string, cuota bigint")
-    got = [tuple(r) for r in sampling.stratified_sample(df, ["g"], table, ["id"], 9, small_bytes).collect()]
+    got = [tuple(r) for r in sampling.stratified_sample(df, ["g"], table, ["id"], 9, few).collect()]
     want = set()
     for g in counts:
         ordered = sorted((hashlib.md5(f"9|{i}".encode()).hexdigest(), i) for i, h in rows if h == g)
@@ -114,3 +114,36 @@ def test_sample_quality(spark):
     rows = [("a", "1"), ("a", "1"), ("NA", None), ("b", " nan ")]
     got = sampling.sample_quality(spark.createDataFrame(rows, "x string, y string")).first()
     assert tuple(got) == (4, 2, 1, 3, 3, 2)
+
+
+def test_order_check_of_files_in_part_order(spark, tmp_path):
+    from flowops.sources import files, sinks
+
+    rows = [(6, i % 9) for i in range(500)] + [(1, 5)] * 700
+    pairs = spark.createDataFrame(rows, "protocol int, rate int").repartition(3)
+    good, bad = str(tmp_path / "good"), str(tmp_path / "bad")
+    sinks.write_lines(ordering.secondary_sort(pairs, 4), good)
+    sinks.write_lines(pairs, bad)
+    check = lambda path: ordering.order_check(files.read_sorted_pairs(spark, path, True), ["protocol", "rate"], files.PLACE).first()
+    assert tuple(check(good)) == (len(rows), 0, 0, True)
+    assert check(bad)["descensos_internos"] > 0 and not check(bad)["ordenado"]
+
+
+def test_no_array_per_record_in_the_sort(spark):
+    df = spark.createDataFrame([(1, 2)] * 30 + [(3, 4)] * 60, "protocol int, rate int")
+    plan = ordering.secondary_sort(df, 4)._jdf.queryExecution().toString()
+    assert "Generate" not in plan and "sequence" not in plan
+
+
+def test_guards_as_rows(spark):
+    counts = spark.createDataFrame([("a", 0), ("b", 5)], "g string, filas bigint")
+    got = {r["comprobacion"]: r["ok"] for r in sampling.quota_guards(counts, 6, "g").collect()}
+    assert got == {"poblacion_suficiente": False, "muestra_cubre_clases": True, "clases_con_filas": False}
+
+
+def test_checks_per_file(spark):
+    quotas = spark.createDataFrame([("a", "f", 1), ("a", "g", 1)], "k string, file string, cuota bigint")
+    sample = spark.createDataFrame([("a", "f"), ("a", "f")], "k string, file string")
+    rows = {r["comprobacion"]: r for r in sampling.sample_checks(sample, quotas, "k", 2, 2, "file").collect()}
+    assert rows["clases_con_otra_cuota"]["ok"]
+    assert rows["archivos_faltantes"]["actual"] == 1 and rows["archivos_con_otra_cuota"]["actual"] == 2
