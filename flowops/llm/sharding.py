@@ -77,4 +77,4 @@ def sharded(docs: DataFrame, shards: int = SHARDS, tree: Tree | None = None) ->
     rows = packed(docs).withColumn("key", key)
     order = F.md5(F.col("key"))
     placed = rows.withColumn("shard", drawn(F.col("key"), tree or layout(shards))).withColumn("cell", cell_of(order))
-    return running(placed, ["shard"], [F.col("key").cast("long")], F.lit(1), "slot").drop("cell")
+    return running(placed, ["shard"], [F.col("key")], F.lit(1), "slot").drop("cell")
