@@ -1,14 +1,16 @@
 """Toxicity by two class-conditional Kneser-Ney models with a shared backoff.
 
 Expressions are words, known by their first ``PREFIX`` bytes in lower case, hashed to a fixed number of
-cells. Each class has discounted counts of its own; what the discount takes is given back through counts
+cells; a document counts one once for each different predecessor, so a word said over and over weighs
+little. Each class has discounted counts of its own; what the discount takes is given back through counts
 both classes share: the number of different predecessors an expression has in all documents, labelled or
 not (its continuation count, estimated from a 64-bit map per cell). The ordinary class's discount is set so
 that both classes give the same part of their mass to the shared counts. Rare expressions then say nothing
 about the class, and frequent ones of one class say much.
 
-A document's two log-likelihoods are normalised by length (per word and per root of the words), and a
-logistic curve, fitted on labelled rows the counts have not seen, turns their differences into a score.
+A document's two log-likelihoods are compared relative to the median ratio of its expressions, as language
+and topic shift all of them alike, and normalised by length (per expression and per root of their number). A
+logistic curve, fitted on labelled rows the counts have not seen, turns the differences into a score.
 
 Model size is fixed: ``CELLS`` cells, whatever the corpus. Labelled rows are a hash sample of about
 ``SAMPLE`` rows at most (all, if there are fewer), the only bounded input; shared counts cover every document.
@@ -50,11 +52,12 @@ class Model:
 
     def features(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros((len(texts), 2))
-        for first, hashes, bounds in words.sliced(texts, PREFIX):
-            # Sums per text from running sums: texts without words get zero.
-            run = np.concatenate([[0.0], np.cumsum(self.evidence[_cells(hashes)], dtype=np.float64)])
-            total, n = run[bounds[1:]] - run[bounds[:-1]], np.maximum(np.diff(bounds), 1)
-            out[first : first + len(n)] = np.stack([total / n, total / np.sqrt(n)], axis=1)
+        for first, hashes, _, bounds in _expressions(texts):
+            evidence = self.evidence[_cells(hashes)].astype(np.float64)
+            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()), first):
+                if b > a:
+                    total = (evidence[a:b] - np.median(evidence[a:b])).sum()
+                    out[i] = total / (b - a), total / np.sqrt(b - a)
         return out
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -65,6 +68,18 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
 
 
+def _expressions(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(number of the first text, expressions, their predecessors, bounds), pairs once per text."""
+    for first, hashes, bounds in words.sliced(texts, PREFIX):
+        before = np.zeros(len(hashes), np.uint64)
+        before[1:] = hashes[:-1]
+        before[bounds[:-1][bounds[:-1] < len(hashes)]] = 0
+        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        pair = words.mixed(words.mixed(before) + hashes + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        at = np.sort(np.unique(pair, return_index=True)[1])
+        yield first, hashes[at], before[at], np.searchsorted(text[at], np.arange(len(bounds)))
+
+
 def _counted(texts: DataFrame) -> DataFrame:
     """(cell, toxic, ordinary, preceded) from rows (text, toxic or null): each task sends a cell once."""
 
@@ -73,13 +88,9 @@ def _counted(texts: DataFrame) -> DataFrame:
         preceded = np.zeros(CELLS * 64, np.uint8)
         for batch in batches:
             labels = batch.column(1).fill_null(-1).to_numpy()
-            for first, hashes, bounds in words.sliced(batch.column(0), PREFIX):
+            for first, hashes, before, bounds in _expressions(batch.column(0)):
                 cells = _cells(hashes)
-                before = np.zeros(len(hashes), np.uint64)
-                before[1:] = hashes[:-1] >> np.uint64(58)
-                starts = bounds[:-1]
-                before[starts[starts < len(hashes)]] = 0
-                preceded[cells * 64 + before.astype(np.int64)] = 1
+                preceded[cells * 64 + (before >> np.uint64(58)).astype(np.int64)] = 1
                 of_word = np.repeat(labels[first : first + len(bounds) - 1], np.diff(bounds))
                 for label in (0, 1):
                     own = cells[of_word == label]
