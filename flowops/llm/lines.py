@@ -158,7 +158,8 @@ class LineIndex:
 
     def losses(self, min_docs: int = MIN_DOCS) -> DataFrame:
         """(doc_id, keys): the line keys each document loses, all holders but the last losing a frequent line."""
-        frequent = self.counts().where(F.col("n_docs") >= min_docs)
+        # Stored, its size is known: a small table is broadcast, and beside a large one a hot line is split.
+        frequent = stored(self.counts().where(F.col("n_docs") >= min_docs), "frequent-lines")
         lost = self.references.join(frequent, ["k1", "k2"]).where("doc_id is null or doc_id < last")
         return lost.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("keys"))
 
@@ -167,14 +168,14 @@ def deduplicated(docs: DataFrame, index: LineIndex, min_docs: int = MIN_DOCS, mi
     """``row`` (the whole input row), ``kept`` (its text after the losses), ``n_lines`` and ``n_dropped``."""
     losses = index.losses(min_docs).withColumnRenamed("doc_id", "_loser")
     rows = packed(docs)
-    rows = rows.withColumn("_id", F.col("row.doc_id").cast("long")).withColumn("_text", F.col("row.text"))
+    rows = rows.withColumn("_id", F.col("row.doc_id").cast("long"))
     joined = rows.join(losses, F.col("_id").eqNullSafe(F.col("_loser")), "left")
-    held = joined.select("row", "_text", F.transform("keys", lambda k: k["k1"]).alias("a"), F.transform("keys", lambda k: k["k2"]).alias("b"))
+    held = joined.select("row", F.transform("keys", lambda k: k["k1"]).alias("a"), F.transform("keys", lambda k: k["k2"]).alias("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, lines, dropped = [], [], []
-            for text, a, b in zip(batch.column("_text"), batch.column("a"), batch.column("b")):
+            for text, a, b in zip(batch.column("row").field("text"), batch.column("a"), batch.column("b")):
                 text = text.as_py() or ""
                 parts = text.split("\n")
                 lines.append(len(parts))
