@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowops.llm import lines, minhash, mixing, packing, toxicity
-from flowops.llm.common import stored
+from flowops.llm.common import stored, tuned
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the models call toxic go."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    labels = tuned(spark).read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.fit(docs, labels)
     return toxicity.scored(docs, model).where("score < 0.5").select("row.*")
 
@@ -24,6 +24,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A text that loses no line keeps its value, null included.
     """
+    tuned(spark)
     done = lines.line_dedup(docs)
     lost = F.col("n_dropped") > 0
     changed = {
@@ -36,6 +37,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    tuned(spark)
     gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
@@ -47,6 +49,7 @@ def mixed_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their sequence and offset."""
+    tuned(spark)
     return packing.best_two_fit(docs)
 
 
@@ -63,7 +66,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = tuned(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
     return docs

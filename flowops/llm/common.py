@@ -11,10 +11,19 @@ from flowops.session import cut_lineage, scratch_path
 # Characters between words, as a class of a regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Rows of an Arrow batch: texts are long, and a task holds a few batches at once.
+BATCH_ROWS = 1000
+
 # Cells that one group is cut into where rows of a group are numbered.
 CELLS = 4096
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session with batches small enough for long texts; set by the named queries and the pipeline."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: a lost executor loses nothing of it."""
     path = scratch_path(df.sparkSession, name)
@@ -44,20 +53,17 @@ def running(
     ``df`` has a column ``cell``; rows of a group are taken by cell, inside a cell by ``order``. Sums per
     (group, cell) are at most ``CELLS`` rows for a group, only these are run over in one window.
     """
-    keys = [*group, "cell"]
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    sums = df.groupBy(*keys).agg(F.sum(amount).alias("_sum"))
-    before = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(
-        *[F.col(k).alias(f"_at_{k}") for k in keys],
-        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"),
-    )
-    here = df.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
-    same = [here[k].eqNullSafe(starts[f"_at_{k}"]) for k in keys]
+    # As a struct a null group is an ordinary key, and window and join need one exchange of the rows only.
+    keyed = df.withColumn("_group", F.struct(*group))
+    inside = Window.partitionBy("_group", "cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_group").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    sums = keyed.groupBy("_group", "cell").agg(F.sum(amount).alias("_sum"))
+    starts = sums.select("_group", "cell", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    here = keyed.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
     return (
-        here.join(starts, same)
+        here.join(starts, ["_group", "cell"])
         .withColumn(into, F.col("_start") + F.col("_inside"))
-        .drop("_start", "_inside", *[f"_at_{k}" for k in keys])
+        .drop("_start", "_inside", "_group")
     )
 
 

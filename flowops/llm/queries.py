@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowops.llm import chat, embeddings, lines, minhash, mixing, packing, sharding, simhash, tokens, toxicity
-from flowops.llm.common import stored
+from flowops.llm.common import stored, tuned
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
