@@ -409,16 +409,19 @@ def null_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _summary(df: DataFrame, texts: bool = False) -> DataFrame:
     """Per label: rows, and of every other column its missing cells, infinities and rounded sum."""
     numbers = [c for c in FLOW.columns if c != FLOW.label]
-
-    def value(c: str) -> Column:
-        return qcol(c).try_cast("double") if texts else qcol(c).cast("double")
-
-    finite = {c: F.when(F.abs(value(c)) < float("inf"), value(c)) for c in numbers}
-    return df.groupBy(qcol(FLOW.label)).agg(
+    # Numbers first: each text is read once, however often its number is used below.
+    typed = df.select(
+        qcol(FLOW.label), *[(qcol(c).try_cast("double") if texts else qcol(c).cast("double")).alias(c) for c in numbers]
+    )
+    missing = reduce(lambda a, b: a + b, [F.when(qcol(c).isNull(), 1).otherwise(0) for c in numbers])
+    return typed.groupBy(qcol(FLOW.label)).agg(
         F.count(F.lit(1)).alias("registros"),
-        F.sum(F.lit(0).cast("bigint") + reduce(lambda a, b: a + b, [F.when(value(c).isNull(), 1).otherwise(0) for c in numbers])).alias("nulos"),
-        F.count_if(F.abs(value(FLOW.rate)) == float("inf")).alias("infinitos"),
-        *[F.round(F.sum(finite[c]), 2).alias(f"suma_{i}") for i, c in enumerate(numbers)],
+        F.sum(F.lit(0).cast("bigint") + missing).alias("nulos"),
+        F.count_if(F.abs(qcol(FLOW.rate)) == float("inf")).alias("infinitos"),
+        *[
+            F.round(F.sum(F.when(F.abs(qcol(c)) < float("inf"), qcol(c))), 2).alias(f"suma_{i}")
+            for i, c in enumerate(numbers)
+        ],
     )
 
 

@@ -100,9 +100,11 @@ def flows_from(lineitem: DataFrame) -> DataFrame:
     )
 
 
-# Session setting: partitions that a source is spread over when it is read. Unset, the file splits
-# decide; set it where one file has fewer row groups than there are cores.
+# Session settings. A source of fewer row groups than cores is spread over so many partitions when it is
+# read; flows are kept as a stage of their own, a copy of the table, where many small reports share them.
+# Unset, the file splits decide and flows are derived anew by every report, from the columns it needs.
 SOURCE_PARTITIONS = "flowops.sourcePartitions"
+STAGED_FLOWS = "flowops.stagedFlows"
 
 _stored: dict[tuple, tuple[str, T.StructType]] = {}
 
@@ -131,10 +133,14 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
 
 def read_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flow table, a projection of the source rows: a report reads only what it needs of them."""
-    source = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    parts = spark.conf.get(SOURCE_PARTITIONS, None)
-    return flows_from(source.repartition(int(parts)) if parts else source)
+    """The flow table, a projection of the source rows, or its stage where the session asks for one."""
+    def build() -> DataFrame:
+        source = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        parts = spark.conf.get(SOURCE_PARTITIONS, None)
+        return flows_from(source.repartition(int(parts)) if parts else source)
+
+    staged = spark.conf.get(STAGED_FLOWS, "false") == "true"
+    return stored(spark, sf_dir, "flows", build) if staged else build()
 
 
 def read_clean(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,8 +45,9 @@ def _csv(spark: SparkSession, schema: T.StructType):
 
 def directory_label(path: Column) -> Column:
     """Class name from the parent directory of a file, ``name`` or ``column=name``."""
-    folder = F.regexp_extract(F.url_decode(path), r"([^/]+=)?([^/]+)/[^/]+$", 2)
-    return F.regexp_replace(folder, f"^{BENIGN_DIRECTORY}$", "Benign")
+    parent = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    folder = F.regexp_replace(F.url_decode(parent), "^[^=]+=", "")
+    return F.when(folder == BENIGN_DIRECTORY, F.lit("Benign")).otherwise(folder)
 
 
 def read_class_directories(
