@@ -6,9 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from flowops.functions.columns import (
-    band, first_positive, horizontal_sum, qcol, traffic_type,
-)
+from flowops.functions.columns import band, first_positive, horizontal_sum, qcol
 from flowops.spec import Spec
 
 # Names and texts of the derived variables.
@@ -31,10 +29,6 @@ def lookup(df: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return df.join(dimension, key, "left")
 
 
-def with_traffic_type(df: DataFrame, spec: Spec, name: str = "Traffic_Type") -> DataFrame:
-    return df.withColumn(name, traffic_type(qcol(spec.label), spec.benign))
-
-
 def derived_columns(spec: Spec, iat_p50: Column, iat_p95: Column) -> Mapping[str, Column]:
     mean = qcol(spec.mean)
     return {

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from flowops.operators.cleaning import clean_and_round, round_floats
 from flowops.operators.percentiles import Limits
@@ -110,9 +110,10 @@ _stored: dict[tuple, tuple[str, T.StructType]] = {}
 
 
 def _identity(spark: SparkSession, path: str) -> tuple:
-    """Files, bytes and time of the last change of a source; only file listings are read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return tuple(files.agg(F.count("*"), F.sum("length"), F.max("modificationTime")).first())
+    """Files, bytes and time of the last change of a source, from its listing alone."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return len(files), sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
