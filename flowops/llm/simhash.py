@@ -18,7 +18,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowops.llm.common import default_shuffles, stored
+from flowops.llm.common import default_shuffles
 
 BITS = 128
 RADIUS = 3
@@ -45,7 +45,11 @@ def _bits(half: int) -> Column:
     def of(i: int) -> list[Column]:
         pair = F.col(f"v{half}_{i}")
         low, high = pair.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(pair, 32)
-        return [F.when(2 * low > F.col("n"), F.lit(1 << i)).otherwise(F.lit(0).cast("long")), F.when(2 * high > F.col("n"), F.shiftleft(F.lit(1).cast("long"), i + 32)).otherwise(F.lit(0).cast("long"))]
+        one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+        return [
+            F.when(2 * low > F.col("n"), F.shiftleft(one, i)).otherwise(none),
+            F.when(2 * high > F.col("n"), F.shiftleft(one, i + 32)).otherwise(none),
+        ]
 
     return F.coalesce(reduce(lambda a, b: a.bitwiseOR(b), [x for i in range(32) for x in of(i)]), F.lit(0).cast("long"))
 
