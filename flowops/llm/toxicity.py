@@ -85,22 +85,21 @@ def _counted(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, CELLS), np.int64)
-        preceded = np.zeros(CELLS * 64, np.uint8)
+        maps = np.zeros(CELLS, np.uint64)
         for batch in batches:
             labels = batch.column(1).fill_null(-1).to_numpy()
             for first, hashes, before, bounds in _expressions(batch.column(0)):
                 cells = _cells(hashes)
-                preceded[cells * 64 + (before >> np.uint64(58)).astype(np.int64)] = 1
+                np.bitwise_or.at(maps, cells, np.uint64(1) << (before >> np.uint64(58)))
                 of_word = np.repeat(labels[first : first + len(bounds) - 1], np.diff(bounds))
                 for label in (0, 1):
                     own = cells[of_word == label]
                     if len(own):
                         counts[label] += np.bincount(own, minlength=CELLS)
-        maps = np.packbits(preceded, bitorder="little").view(np.int64)
         there = np.flatnonzero(maps)
         for at in range(0, len(there), 1 << 16):
             cell = there[at : at + (1 << 16)]
-            columns = [cell.astype(np.int32), counts[1, cell], counts[0, cell], maps[cell]]
+            columns = [cell.astype(np.int32), counts[1, cell], counts[0, cell], maps[cell].view(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cell", "toxic", "ordinary", "preceded"])
 
     sent = texts.mapInArrow(run, "cell int, toxic long, ordinary long, preceded long")
@@ -192,12 +191,12 @@ def _featured(rows: DataFrame, model: Model) -> DataFrame:
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``row`` (the whole input row) and its toxicity ``score``."""
     shared = docs.sparkSession.sparkContext.broadcast((model.evidence, model.weights))
-    rows = packed(docs).withColumn("_text", F.col("row.text"))
+    rows = packed(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            score = own.score(own.features(batch.column(1)))
+            score = own.score(own.features(batch.column(0).field("text")))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["row", "score"])
 
-    return rows.mapInArrow(run, rows.select("row").schema.add("score", "double"))
+    return rows.mapInArrow(run, packed(docs).schema.add("score", "double"))
