@@ -141,7 +141,9 @@ def _located(
     candidates = [
         F.when(
             _number(w.column).between(F.col(f"_held._{i}._low"), F.col(f"_held._{i}._high")),
-            F.struct(F.lit(i).alias("_i"), _number(w.column).alias("_x")),
+            F.struct(
+                F.lit(i).alias("_i"), _number(w.column).alias("_x"), *[F.col(f"_held._{i}.{e}").alias(e) for e in ends]
+            ),
         )
         for i, w in enumerate(percentiles.values())
     ]
@@ -149,17 +151,19 @@ def _located(
     counted = (
         df.select(*map(qcol, names), held.alias("_held"))
         .select(*map(qcol, by), F.inline(F.array_compact(F.array(*candidates))))
-        .groupBy(*map(qcol, by), "_i", "_x")
+        .groupBy(*map(qcol, by), "_i", "_x", *ends)
         .agg(F.count(F.lit(1)).alias("_k"))
     )
-    bracket = F.array(*[F.col(f"_held._{i}") for i in range(len(percentiles))])[F.col("_i")]
-    width, x = F.col("_b._high") - F.col("_b._low"), F.col("_x")
-    even = F.floor((x - F.col("_b._low")) / width * F.lit(float(CELLS))).cast("int")
-    celled = (
-        counted.withColumn("_held", held)
-        .withColumn("_b", bracket)
-        .withColumn("_cell", F.when((width > 0) & (width < float("inf")), even).otherwise(0))
-        .select(*map(qcol, by), "_i", "_x", "_k", "_cell", "_b._position", "_b._below")
+    width, x = F.col("_high") - F.col("_low"), F.col("_x")
+    even = F.floor((x - F.col("_low")) / width * F.lit(float(CELLS))).cast("int")
+    celled = counted.select(
+        *map(qcol, by),
+        "_i",
+        "_x",
+        "_k",
+        F.when((width > 0) & (width < float("inf")), even).otherwise(0).alias("_cell"),
+        "_position",
+        "_below",
     )
     keys = [*by, "_i", "_cell"]
     over = Window.partitionBy(*map(qcol, by), F.col("_i")).orderBy("_cell")
