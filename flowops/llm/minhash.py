@@ -9,7 +9,9 @@ Documents are sets of five-word shingles; two are linked at a Jaccard similarity
    of reaching the similarity (uniform prior) falls below the chosen miss probability.
 4. What survives is confirmed on the full shingle sets of both texts.
 5. Buckets whose members are not all in one component yet are compared in blocks of bounded size, members
-   of different components only; survivors are confirmed as before. No bucket is capped or sampled.
+   of different components only, by the same steps; survivors are confirmed on their full sets of 64-bit
+   shingle hashes where they are compared, and a block returns at most one link per component. No bucket
+   is capped or sampled.
 
 Defined cases: a text without words links with nothing and is its own component; rows of equal doc_id are
 one document with the links of all its texts; a row without doc_id takes no part, has a null component and
@@ -35,8 +37,12 @@ BANDS = 32
 ROWS = 4
 BATCH = 32
 MISS = 1e-5
-# Members of a bucket that one block of a comparison holds.
-BLOCK = 256
+# Members of a bucket, and shingles of all of them, that one block of a comparison is meant to hold.
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 19
+# Bits, as a power of two, of the map of ids whose texts are needed again. When so many are that the map
+# fills up, more texts than needed are shuffled; results do not depend on it.
+ID_BITS = 25
 
 
 def _seeds(count: int) -> np.ndarray:
@@ -101,13 +107,47 @@ def signatures(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: i
 
 
 def _banded(classes: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(band, bucket, id): a row per class and band."""
+    """(band, bucket, id, n_shingles): a row per class and band."""
     width = 2 * rows
     bucket = F.transform(
         F.sequence(F.lit(0), F.lit(bands - 1)),
         lambda b: F.struct(b.alias("band"), F.xxhash64(F.substring("sig", b * width + 1, F.lit(width))).alias("bucket")),
     )
-    return classes.select(F.explode(bucket).alias("b"), "id").select("b.band", "b.bucket", "id")
+    return classes.select(F.explode(bucket).alias("b"), "id", "n_shingles").select("b.band", "b.bucket", "id", "n_shingles")
+
+
+def _places(ids: np.ndarray) -> np.ndarray:
+    h = words.mixed(ids.astype(np.int64).view(np.uint64))
+    mask = np.uint64((1 << ID_BITS) - 1)
+    return np.concatenate([h & mask, (h >> np.uint64(32)) & mask]).astype(np.int64)
+
+
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the documents with one of the ids, and of few others: a filter before a join.
+
+    The ids go to every task as a map of fixed size, two bits each.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(1 << ID_BITS, np.uint8)
+        for batch in batches:
+            flags[_places(batch.column(0).to_numpy())] = 1
+        bits = np.packbits(flags, bitorder="little").view(np.int64)
+        there = np.flatnonzero(bits)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(bits[there])], names=["place", "bits"])
+
+    marked = ids.mapInArrow(mark, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toPandas()
+    whole = np.zeros(1 << ID_BITS >> 6, np.int64)
+    whole[marked["place"].to_numpy(np.int64)] = marked["bits"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(whole.view(np.uint8))
+
+    @F.pandas_udf("boolean")
+    def there(doc_id: pd.Series) -> pd.Series:
+        at = _places(doc_id.fillna(0).to_numpy(np.int64))
+        found = (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+        return pd.Series(found.reshape(2, -1).all(axis=0)) & doc_id.notna().to_numpy()
+
+    return docs.select(F.col("doc_id").cast("long"), "text").where(there("doc_id"))
 
 
 def _matrix(sig: pa.Array) -> np.ndarray:
@@ -149,8 +189,7 @@ def _shingle_set(text: str | None, size: int) -> set:
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs that reach the similarity on the full shingle sets of their texts."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(docs.select(F.col("doc_id").cast("long"), "text").join(ids, "doc_id", "left_semi"), "near-texts")
+    texts = stored(_among(docs, pairs.select(F.explode(F.array("a", "b")).alias("id"))), "near-texts")
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
@@ -172,30 +211,64 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(banded: DataFrame, classes: DataFrame, found: DataFrame, rows: int, percent: int, miss: float) -> DataFrame:
-    """Surviving pairs of different components from buckets that hold several, beyond those with the smallest id."""
-    named = banded.join(found.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(id, hashes): the sorted 64-bit hashes of all shingles of each named document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for _, hashes, bounds in words.sliced(batch.column(1)):
+                out += [np.unique(words.shingles(hashes[a:b], size)).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "hashes"])
+
+    # Stored between the two, so that no task needs two Python workers at once.
+    return stored(_among(docs, ids), "open-texts").mapInArrow(run, "id long, hashes binary")
+
+
+def _open_links(
+    members: DataFrame, classes: DataFrame, found: DataFrame, docs: DataFrame, size: int, rows: int, percent: int, miss: float
+) -> DataFrame:
+    """Links (a, b) between components that share a bucket, beyond those with the bucket's smallest id."""
+    named = members.join(found.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    need = F.greatest(F.col("n") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)
     buckets = (
         named.groupBy("band", "bucket")
-        .agg(F.count("*").alias("n"), F.min("id").alias("leader"), F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("n_shingles").alias("shingles"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
         .where("n > 2 and low <> high")
-        .select("band", "bucket", "leader", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+        .select("band", "bucket", F.ceil(need).alias("blocks"))
     )
-    members = named.join(buckets, ["band", "bucket"]).where("id <> leader")
+    left = stored(named.join(buckets, ["band", "bucket"]).where("id <> leader"), "open-members")
+    if left.isEmpty():
+        return left.select(F.col("id").alias("a"), F.col("id").alias("b"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     blocks = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j"))
     )
-    dealt = members.select("band", "bucket", "id", "component", own.alias("own"), F.explode(blocks).alias("at"))
-    rows_of = dealt.select("band", "bucket", "at.i", "at.j", "own", "id", "component").join(classes.select("id", "n_shingles", "sig"), "id")
+    dealt = left.select("band", "bucket", "id", "component", own.alias("own"), F.explode(blocks).alias("at"))
+    data = stored(classes.select("id", "sig").join(_sets(docs, left.select("id"), size), "id"), "open-sets")
+    rows_of = dealt.select("band", "bucket", "at.i", "at.j", "own", "id", "component").join(data, "id")
 
     def compare(table: pa.Table) -> pa.Table:
         sig = _matrix(table.column("sig"))
-        ids, comp, n, own = (table.column(c).to_numpy() for c in ("id", "component", "n_shingles", "own"))
+        ids, comp, own = (table.column(c).to_numpy() for c in ("id", "component", "own"))
         i, j, band = (table.column(c)[0].as_py() for c in ("i", "j", "band"))
+        sets = [np.frombuffer(h, np.uint64) for h in table.column("hashes").to_pylist()]
+        n = np.array([len(x) for x in sets])
         one, two = np.flatnonzero(own == i), np.flatnonzero(own == j)
         steps = list(range(BATCH, sig.shape[1] + 1, BATCH)) or [sig.shape[1]]
         fewest = least_matches(steps, percent, miss)
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while parent.setdefault(c, c) != c:
+                c = parent[c]
+            return c
+
         out = []
         for x in one:
             y = two[ids[two] > ids[x]] if i == j else two
@@ -208,7 +281,14 @@ def _open_pairs(banded: DataFrame, classes: DataFrame, found: DataFrame, rows: i
                 # A pair that shares an earlier band is compared in that band's bucket.
                 shared = (sig[y, : band * rows] == sig[x, : band * rows]).reshape(len(y), band, rows).all(axis=2).any(axis=1)
                 y = y[~shared]
-            out += [(min(int(ids[x]), int(ids[k])), max(int(ids[x]), int(ids[k]))) for k in y]
+            for k in y:
+                if root(int(comp[x])) == root(int(comp[k])):
+                    continue
+                at = np.minimum(np.searchsorted(sets[x], sets[k]), n[x] - 1)
+                both = int(np.count_nonzero(sets[x][at] == sets[k]))
+                if 100 * both >= percent * (n[x] + n[k] - both):
+                    parent[root(int(comp[x]))] = root(int(comp[k]))
+                    out.append((int(ids[x]), int(ids[k])))
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -230,17 +310,17 @@ def near_duplicates(
     classes = stored(least.select("k1", "k2", F.col("first.doc_id").alias("id"), "first.n_shingles", "first.sig"), "classes")
 
     banded = _banded(classes, bands, rows)
-    leaders = banded.groupBy("band", "bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = banded.join(leaders, ["band", "bucket"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    shared = banded.groupBy("band", "bucket").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    leaders = stored(shared.drop("n"), "bucket-leaders")
+    members = stored(banded.join(leaders, ["band", "bucket"]), "bucket-members")
+    stars = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     survivors = stored(_surviving(stars, classes, percent, miss), "survivors")
     links = stored(_confirmed(survivors, docs, size, percent), "links")
     found = stored(components(links), "components")
 
-    open_pairs = stored(_open_pairs(banded, classes, found, rows, percent, miss), "open-pairs")
-    if not open_pairs.isEmpty():
-        more = stored(_confirmed(open_pairs, docs, size, percent), "links")
-        if not more.isEmpty():
-            found = stored(components(links.unionByName(more)), "components")
+    more = stored(_open_links(members, classes, found, docs, size, rows, percent, miss), "open-links")
+    if not more.isEmpty():
+        found = stored(components(links.unionByName(more)), "components")
 
     of_class = classes.select("k1", "k2", "id").join(found, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
     done = signed.select("doc_id", "k1", "k2", "n_shingles").join(of_class, ["k1", "k2"], "left")
