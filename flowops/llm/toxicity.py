@@ -9,8 +9,9 @@ that both classes give the same part of their mass to the shared counts. Rare ex
 about the class, and frequent ones of one class say much.
 
 A document's two log-likelihoods are compared relative to the median ratio of its expressions, as language
-and topic shift all of them alike, and normalised by length (per expression and per root of their number). A
-logistic curve, fitted on labelled rows the counts have not seen, turns the differences into a score.
+and topic shift all of them alike, and as they are, as a text of toxic words alone has a toxic median. Both are
+normalised by length (per expression and per root of their number). A logistic curve of slopes not below 0,
+fitted on labelled rows the counts have not seen, turns the differences into a score.
 
 Model size is fixed: ``CELLS`` cells, whatever the corpus. Labelled rows are a hash sample of about
 ``SAMPLE`` rows at most (all, if there are fewer), the only bounded input; shared counts cover every document.
@@ -38,6 +39,7 @@ SAMPLE = 250_000
 DISCOUNT = 4.0
 SHARED_DISCOUNT = 0.75
 FOLDS = 5
+FEATURES = 4
 
 
 def fold(doc_id: Column) -> Column:
@@ -51,19 +53,25 @@ class Model:
     weights: np.ndarray
 
     def features(self, texts: pa.Array) -> np.ndarray:
-        out = np.zeros((len(texts), 2))
+        out = np.zeros((len(texts), FEATURES))
         for first, hashes, _, bounds in _expressions(texts):
             evidence = self.evidence[_cells(hashes)].astype(np.float64)
             for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()), first):
                 if b > a:
-                    total = (evidence[a:b] - np.median(evidence[a:b])).sum()
-                    out[i] = total / (b - a), total / np.sqrt(b - a)
+                    out[i] = _lengths(evidence[a:b])
         return out
 
     def score(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(features @ self.weights[1:] + self.weights[0], -500, 500)))
 
 
+def _lengths(evidence: np.ndarray) -> list[float]:
+    """Sums per expression and per root of their number: relative to the median, and as they are."""
+    n = len(evidence)
+    sums = (evidence - np.median(evidence)).sum(), evidence.sum()
+    return [x for total in sums for x in (total / n, total / np.sqrt(n))]
+
+
 def _cells(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
 
@@ -130,6 +138,19 @@ def _evidence(toxic: np.ndarray, ordinary: np.ndarray, preceded: np.ndarray) ->
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Intercept and slopes, none below 0: more evidence never makes a text less toxic."""
+    live = np.arange(x.shape[1])
+    while True:
+        w = _newton(x[:, live], y)
+        if not (w[1:] < 0).any():
+            break
+        live = np.delete(live, (w[1:] * np.maximum(x[:, live].std(axis=0), 1e-9)).argmin())
+    out = np.zeros(x.shape[1] + 1)
+    out[0], out[1 + live] = w[0], w[1:]
+    return out
+
+
+def _newton(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Intercept and slopes by Newton steps, slopes held down a little."""
     scale = np.maximum(x.std(axis=0), 1e-9)
     z = np.column_stack([np.ones(len(x)), x / scale])
@@ -159,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     counted = _counted(joined.select("text", F.when(fold(F.col("_id")) > 1, F.col("_toxic")).alias("toxic"))).toPandas()
     table = np.zeros((3, CELLS))
     table[:, counted["cell"].to_numpy()] = counted[["toxic", "ordinary", "preceded"]].to_numpy().T
-    model = Model(_evidence(*table), np.zeros(3))
+    model = Model(_evidence(*table), np.zeros(FEATURES + 1))
 
     rows = joined.where("_labelled is not null").select("text", "_toxic", fold(F.col("_id")).alias("fold"))
     seen = _featured(rows, model).toPandas()
@@ -167,10 +188,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     own = own if own["toxic"].nunique() == 2 else seen
     y = own["toxic"].to_numpy(float)
     if own["toxic"].nunique() == 2:
-        model.weights = _logistic(own[["mean", "root"]].to_numpy(float), y)
+        model.weights = _logistic(np.array(own["x"].to_list(), float), y)
     else:
         share = float(y.mean()) if len(y) else 0.0
-        model.weights = np.array([500.0 if share == 1 else -500.0, 0.0, 0.0])
+        model.weights = np.array([500.0 if share == 1 else -500.0, *[0.0] * FEATURES])
     return model
 
 
@@ -182,10 +203,10 @@ def _featured(rows: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             x = own.features(batch.column(0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["toxic", "fold", "mean", "root"]
+                [batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], names=["toxic", "fold", "x"]
             )
 
-    return rows.mapInArrow(run, "toxic long, fold int, mean double, root double")
+    return rows.mapInArrow(run, "toxic long, fold int, x array<double>")
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

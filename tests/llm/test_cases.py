@@ -155,6 +155,33 @@ def test_toxicity_learns_rare_expressions_and_leaves_the_rest(spark):
     assert right > 0.98
 
 
+@pytest.fixture(scope="module")
+def insulted(spark):
+    """A frame of plain texts, every fifth with four insults, and its labels."""
+    rng = random.Random(8)
+    plain, bad = [f"p{i:03d}lain" for i in range(200)], [f"{c}nsult" for c in "abcdefghij"]
+    rows = []
+    for i in range(1500):
+        text = [rng.choice(plain) for _ in range(rng.randint(5, 60))]
+        for _ in range(4 if i % 5 == 0 else 0):
+            text.insert(rng.randrange(len(text)), rng.choice(bad))
+        rows.append((i, " ".join(text)))
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    return toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels), bad
+
+
+def scores_of(spark, model, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["row"]["doc_id"]: r["score"] for r in toxicity.scored(frame, model).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_short_and_all_toxic_texts_are_toxic(spark, insulted):
+    model, bad = insulted
+    got = scores_of(spark, model, [bad[0], f"{bad[0]} {bad[1]}", f"{bad[0]} " * 100, " ".join(bad), "p001lain", "p001lain p002lain", ""])
+    assert min(got[:4]) > 0.5 > max(got[4:])
+
+
 def test_held_out_labels_do_not_matter(spark):
     rows = [(i, f"a{i % 7} b{i % 3} c") for i in range(200)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
