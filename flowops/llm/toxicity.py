@@ -1,20 +1,25 @@
 """Toxicity by two class-conditional Kneser-Ney models with a shared backoff.
 
-Expressions are words, known by their first ``PREFIX`` bytes in lower case, hashed to a fixed number of
-cells; a document counts one once for each different predecessor, so a word said over and over weighs
-little. Each class has discounted counts of its own; what the discount takes is given back through counts
-both classes share: the number of different predecessors an expression has in all documents, labelled or
-not (its continuation count, estimated from a 64-bit map per cell). The ordinary class's discount is set so
-that both classes give the same part of their mass to the shared counts. Rare expressions then say nothing
-about the class, and frequent ones of one class say much.
-
-A document's two log-likelihoods are compared relative to the median ratio of its expressions, as language
-and topic shift all of them alike, and as they are, as a text of toxic words alone has a toxic median. Both are
-normalised by length (per expression and per root of their number). A logistic curve of slopes not below 0,
-fitted on labelled rows the counts have not seen, turns the differences into a score.
-
-Model size is fixed: ``CELLS`` cells, whatever the corpus. Labelled rows are a hash sample of about
-``SAMPLE`` rows at most (all, if there are fewer), the only bounded input; shared counts cover every document.
+Expressions are whole words, pairs of neighbouring words, and all runs of 2 to 8 characters of `` word ``,
+blanks included, so that no part of a word or of an unspaced text is left out. A document counts a word once
+for each different predecessor, so a word said over and over weighs little. Each class has discounted counts
+of its own; what the discount takes is given back through counts both classes share, from all documents,
+labelled or not: the number of different predecessors of a word, the number of places of a run in different
+words. The ordinary class's discount is set so that both classes give the same part of their mass to the
+shared counts. Rare expressions then say nothing about the class, and frequent ones of one class say much.
+Pairs are words given their predecessor: their discounted share of the predecessor's count backs off to the
+shared counts of the word.
+
+A document's log-likelihoods are compared relative to the median ratio of its words, as language and topic
+shift all of them alike, and as they are, as a text of toxic words alone has a toxic median; so is how far
+the strongest run of each word exceeds a ratio. All are normalised by length (per word and per root of their
+number). A logistic curve of slopes not below 0, fitted on labelled rows the counts have not seen, turns them
+into a score.
+
+Counts are Spark tables keyed by expression and grow with the input. An expression whose counts do not exceed
+the discounts has a ratio of exactly 0 and is not carried further. Up to ``HELD`` others are sent to all tasks
+to score; more are joined to the words of the texts. The number of different pairs in the corpus, a divisor
+common to both classes, is estimated (standard error 0.8%). The curve takes ``SAMPLE`` rows at most.
 
 Defined cases: null and empty texts get the score of a difference of zero; without labelled rows of both
 classes every score is the share of toxic ones among them, 0 without any. Repeated label rows count once, the
@@ -24,22 +29,36 @@ toxic one winning; a null label is no label.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from flowops.llm import words
-from flowops.llm.common import packed
+from flowops.llm.common import packed, stored
 
-PREFIX = 5
-CELLS = 1 << 20
+SIZES = range(2, 9)
+LONG = 5
+OVER = (1.0, 2.0)
 SAMPLE = 250_000
 DISCOUNT = 4.0
-SHARED_DISCOUNT = 0.75
 FOLDS = 5
-FEATURES = 4
+# Expressions, or labelled ids, that every task may hold.
+HELD = 1 << 23
+HELD_IDS = 1 << 21
+# Pairs of words a task gathers before it sends them, parts that the predecessors of a word are dealt into.
+GATHERED = 1 << 21
+PARTS = 8
+REGISTERS = 1 << 14
+# Words whose values a task keeps.
+KEPT = 1 << 18
+SIEVE = np.uint64(40)
+FEATURES = 3 * 4 + 2 * 2 * len(OVER)
+WORD, PAIR, GRAM = range(3)
 
 
 def fold(doc_id: Column) -> Column:
@@ -47,94 +66,321 @@ def fold(doc_id: Column) -> Column:
     return (F.crc32(doc_id.cast("string").cast("binary")) % FOLDS).cast("int")
 
 
+def _found(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, sieve: np.ndarray | None = None) -> np.ndarray:
+    """Values of the asked keys among sorted ones, 0 for the others."""
+    out = np.zeros(len(asked))
+    if len(keys):
+        there = np.arange(len(asked)) if sieve is None else np.flatnonzero(sieve[(asked >> SIEVE).astype(np.int64)])
+        at = np.minimum(np.searchsorted(keys, asked[there]), len(keys) - 1)
+        out[there] = np.where(keys[at] == asked[there], values[at], 0)
+    return out
+
+
+def _sieve(keys: np.ndarray) -> np.ndarray:
+    """Which first bits the keys have: most of the others need no search."""
+    out = np.zeros(1 << 24, bool)
+    out[(keys >> SIEVE).astype(np.int64)] = True
+    return out
+
+
 @dataclass
 class Model:
-    evidence: np.ndarray
+    """Sorted keys and values of words, pairs and runs, the curve, and the same tables for a join if they are many."""
+
+    held: list[tuple[np.ndarray, np.ndarray]]
     weights: np.ndarray
+    table: DataFrame | None = None
+    _sieved: np.ndarray | None = None
+    _kept: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.uint64), np.zeros((0, 4))])
 
     def features(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros((len(texts), FEATURES))
-        for first, hashes, _, bounds in _expressions(texts):
-            evidence = self.evidence[_cells(hashes)].astype(np.float64)
+        for first, hashes, before, bounds, raw, start, end in _expressions(texts):
+            values = np.column_stack([self._words(hashes, raw, start, end), _found(*self.held[PAIR], _pair(before, hashes))])
             for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()), first):
                 if b > a:
-                    out[i] = _lengths(evidence[a:b])
+                    out[i] = _summed(values[a:b])
         return out
 
+    def _words(self, hashes: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """What ``_runs`` and the words' own evidence say of each word; words met before are looked up."""
+        asked, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        keys, values = self._kept
+        place = np.searchsorted(keys, asked)
+        new = np.append(keys, np.uint64(0))[place] != asked
+        new[place == len(keys)] = True
+        if new.any():
+            if len(keys) > KEPT:
+                keys, values, new, place = keys[:0], values[:0], np.ones(len(asked), bool), np.zeros(len(asked), np.int64)
+            if self._sieved is None:
+                self._sieved = _sieve(self.held[GRAM][0])
+            own = _runs(words.taken(raw, start[at[new]], end[at[new]]), self.held[GRAM], self._sieved)
+            own = np.column_stack([_found(*self.held[WORD], asked[new]), own])
+            self._kept = [np.insert(keys, place[new], asked[new]), np.insert(values, place[new], own, axis=0)]
+        keys, values = self._kept
+        return values[np.searchsorted(keys, asked)][back]
+
     def score(self, features: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(features @ self.weights[1:] + self.weights[0], -500, 500)))
 
 
-def _lengths(evidence: np.ndarray) -> list[float]:
-    """Sums per expression and per root of their number: relative to the median, and as they are."""
-    n = len(evidence)
-    sums = (evidence - np.median(evidence)).sum(), evidence.sum()
+def _runs(texts: pa.Array, held: tuple[np.ndarray, np.ndarray], sieve: np.ndarray) -> np.ndarray:
+    """For each word the sum over its long runs, and the largest value of all and of long runs, 0 at least."""
+    out = np.zeros((len(texts), 3))
+    for size, word, hashes in words.grams(texts, SIZES):
+        value = _found(*held, hashes, sieve)
+        there = np.flatnonzero(value)
+        word, value = word[there], value[there]
+        np.maximum.at(out[:, 1], word, value)
+        if size >= LONG:
+            out[:, 0] += np.bincount(word, value, len(texts))
+            np.maximum.at(out[:, 2], word, value)
+    return out
+
+
+def _summed(values: np.ndarray) -> list[float]:
+    """Features of a text from (word, long runs, largest, largest long, pair) of its words: sums per word and per
+    root of their number, relative to the median and as they are."""
+    n = len(values)
+    plain = values[:, [0, 1, 4]]
+    sums = [*(plain - np.median(plain, axis=0)).sum(axis=0), *plain.sum(axis=0)]
+    sums += [np.maximum(values[:, c] - over, 0).sum() for c in (2, 3) for over in OVER]
     return [x for total in sums for x in (total / n, total / np.sqrt(n))]
 
 
-def _cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(CELLS - 1)).astype(np.int64)
+def _pair(before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return words.mixed(words.mixed(before) + hashes)
 
 
-def _expressions(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(number of the first text, expressions, their predecessors, bounds), pairs once per text."""
-    for first, hashes, bounds in words.sliced(texts, PREFIX):
+def _expressions(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, ...]]:
+    """(number of the first text, words, their predecessors, bounds, bytes, starts, ends), pairs once per text."""
+    for first, hashes, bounds, raw, start, end in words.located(texts):
         before = np.zeros(len(hashes), np.uint64)
         before[1:] = hashes[:-1]
         before[bounds[:-1][bounds[:-1] < len(hashes)]] = 0
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        pair = words.mixed(words.mixed(before) + hashes + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        pair = words.mixed(_pair(before, hashes) + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         at = np.sort(np.unique(pair, return_index=True)[1])
-        yield first, hashes[at], before[at], np.searchsorted(text[at], np.arange(len(bounds)))
+        yield first, hashes[at], before[at], np.searchsorted(text[at], np.arange(len(bounds))), raw, start[at], end[at]
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
 
 
-def _counted(texts: DataFrame) -> DataFrame:
-    """(cell, toxic, ordinary, preceded) from rows (text, toxic or null): each task sends a cell once."""
+def _labelled(texts: DataFrame, pairs: bool) -> DataFrame:
+    """(key, text, toxic, ordinary) of words or (before, word, toxic, ordinary) of pairs, from (text, toxic)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, CELLS), np.int64)
-        maps = np.zeros(CELLS, np.uint64)
         for batch in batches:
-            labels = batch.column(1).fill_null(-1).to_numpy()
-            for first, hashes, before, bounds in _expressions(batch.column(0)):
-                cells = _cells(hashes)
-                np.bitwise_or.at(maps, cells, np.uint64(1) << (before >> np.uint64(58)))
-                of_word = np.repeat(labels[first : first + len(bounds) - 1], np.diff(bounds))
-                for label in (0, 1):
-                    own = cells[of_word == label]
-                    if len(own):
-                        counts[label] += np.bincount(own, minlength=CELLS)
-        there = np.flatnonzero(maps)
-        for at in range(0, len(there), 1 << 16):
-            cell = there[at : at + (1 << 16)]
-            columns = [cell.astype(np.int32), counts[1, cell], counts[0, cell], maps[cell].view(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cell", "toxic", "ordinary", "preceded"])
-
-    sent = texts.mapInArrow(run, "cell int, toxic long, ordinary long, preceded long")
-    return sent.groupBy("cell").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.bit_count(F.bit_or("preceded")).alias("preceded")
-    )
+            labels = batch.column(1).to_numpy()
+            for first, hashes, before, bounds, raw, start, end in _expressions(batch.column(0)):
+                toxic = np.repeat(labels[first : first + len(bounds) - 1], np.diff(bounds)) > 0
+                _, at, back = np.unique(_pair(before, hashes) if pairs else hashes, return_index=True, return_inverse=True)
+                counts = [pa.array(np.bincount(back, x, len(at)).astype(np.int64)) for x in (toxic, ~toxic)]
+                if pairs:
+                    own = [_signed(before[at]), _signed(hashes[at])]
+                    yield pa.RecordBatch.from_arrays([*own, *counts], names=["before", "word", "toxic", "ordinary"])
+                else:
+                    own = [_signed(hashes[at]), words.taken(raw, start[at], end[at]).cast(pa.binary())]
+                    yield pa.RecordBatch.from_arrays([*own, *counts], names=["key", "text", "toxic", "ordinary"])
+
+    keys = ["before", "word"] if pairs else ["key", "text"]
+    kinds = ", ".join(f"{k} {'binary' if k == 'text' else 'long'}" for k in keys)
+    sent = texts.mapInArrow(run, f"{kinds}, toxic long, ordinary long")
+    return sent.groupBy(*keys).agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+
+def _keyed(pairs: DataFrame) -> DataFrame:
+    """The pairs (before, word, toxic, ordinary) with the hash ``key`` of both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, _signed(_pair(before, word))], names=["before", "word", "toxic", "ordinary", "key"])
+
+    return pairs.mapInArrow(run, "before long, word long, toxic long, ordinary long, key long")
+
+
+def _all_words(texts: DataFrame) -> DataFrame:
+    """The different words of all texts, as (text, toxic, ordinary) without counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, hashes, _, raw, start, end in words.located(batch.column(0)):
+                at = np.unique(hashes, return_index=True)[1]
+                yield pa.RecordBatch.from_arrays([words.taken(raw, start[at], end[at]).cast(pa.binary())], names=["text"])
+
+    none = F.lit(0).cast("long")
+    return texts.select("text").mapInArrow(run, "text binary").distinct().select("text", none.alias("toxic"), none.alias("ordinary"))
+
 
+def _run_counts(found: DataFrame, only: np.ndarray | None) -> DataFrame:
+    """(size, key, toxic, ordinary, kinds) of the runs of words (text, toxic, ordinary), ``only`` of some keys; with
+    it, key null has the kinds of all runs of a size."""
+    shared = None if only is None else found.sparkSession.sparkContext.broadcast(only)
 
-def _evidence(toxic: np.ndarray, ordinary: np.ndarray, preceded: np.ndarray) -> np.ndarray:
-    """Log ratio of the two smoothed probabilities per cell."""
-    totals = toxic.sum(), ordinary.sum()
-    if not min(totals):
-        return np.zeros(len(toxic), np.float32)
-    # Different predecessors from the share of map bits still unset.
-    kinds = -64 * np.log(np.maximum(64 - preceded, 0.5) / 64)
-    kept = np.maximum(kinds - SHARED_DISCOUNT, 0)
-    shared = (kept + (kinds.sum() - kept.sum()) / len(kinds)) / kinds.sum()
-    given = np.minimum(toxic, DISCOUNT).sum() / totals[0]
-    low, high = 0.0, float(ordinary.max())
-    for _ in range(60):
-        middle = (low + high) / 2
-        low, high = (middle, high) if np.minimum(ordinary, middle).sum() / totals[1] < given else (low, middle)
-    chance = [
-        np.maximum(n - d, 0) / total + given * shared
-        for n, d, total in ((toxic, DISCOUNT, totals[0]), (ordinary, high, totals[1]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = None if shared is None else _sieve(shared.value)
+        for batch in batches:
+            counts = [batch.column(c).to_numpy().astype(np.float64) for c in (1, 2)]
+            for size, word, hashes in words.grams(batch.column(0), SIZES):
+                n = len(hashes)
+                if shared is not None:
+                    there = _found(shared.value, np.ones(len(shared.value)), hashes, sieve) > 0
+                    word, hashes = word[there], hashes[there]
+                key, back = np.unique(hashes, return_inverse=True)
+                sums = [np.bincount(back, x, len(key)).astype(np.int64) for x in (*[c[word] for c in counts], np.ones(len(word)))]
+                keys = pa.array(np.append(key.view(np.int64), 0), mask=np.append(np.zeros(len(key), bool), True))
+                whole = [0, 0, n]
+                columns = [pa.array(np.append(s, w)) for s, w in zip(sums, whole)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key) + 1, size, np.int32)), keys, *columns], names=["size", "key", "toxic", "ordinary", "kinds"]
+                )
+
+    sent = found.select("text", "toxic", "ordinary").mapInArrow(run, "size int, key long, toxic long, ordinary long, kinds long")
+    return sent.groupBy("size", "key").agg(*[F.sum(c).alias(c) for c in ("toxic", "ordinary", "kinds")])
+
+
+def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
+    """(word, kinds): different predecessors of words, ``only`` of some; word null has an estimate of all pairs.
+
+    Predecessors are sent as 48 bits of their hashes, those of a word dealt into ``PARTS``.
+    """
+    shared = None if only is None else texts.sparkSession.sparkContext.broadcast(only)
+
+    def sent(hashes: list[np.ndarray], before: list[np.ndarray]) -> pa.RecordBatch:
+        word, own = np.concatenate(hashes), np.concatenate(before)
+        at = np.unique(_pair(own, word), return_index=True)[1]
+        word, own = word[at], own[at]
+        part = (own >> np.uint64(61)).astype(np.int32)
+        order = np.lexsort([part, word])
+        word, own, part = word[order], own[order], part[order]
+        starts = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (part[1:] != part[:-1]))[: len(word)])
+        data = np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :6])
+        offsets = np.append(starts, len(own)).astype(np.int32) * 6
+        blobs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays([_signed(word[starts]), pa.array(part[starts]), blobs], names=["word", "part", "own"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        registers, hashes, before, n = np.zeros(REGISTERS, np.uint8), [], [], 0
+        for batch in batches:
+            for _, word, own, *_ in _expressions(batch.column(0)):
+                pair = _pair(own, word)
+                rest = (pair >> np.uint64(14)).astype(np.float64)
+                rank = (51 - np.frexp(rest)[1]).astype(np.uint8)
+                np.maximum.at(registers, (pair & np.uint64(REGISTERS - 1)).astype(np.int64), rank)
+                if shared is not None:
+                    there = _found(shared.value, np.ones(len(shared.value)), word) > 0
+                    word, own = word[there], own[there]
+                hashes.append(word)
+                before.append(own)
+                n += len(word)
+                if n >= GATHERED:
+                    yield sent(hashes, before)
+                    hashes, before, n = [], [], 0
+        if n:
+            yield sent(hashes, before)
+        blob = pa.array([registers.tobytes()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int32()), blob], names=["word", "part", "own"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, pairs, registers, known = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], np.zeros(REGISTERS, np.uint8), False
+        for batch in batches:
+            for word, own in zip(batch.column(0).to_pylist(), batch.column(2)):
+                data = np.frombuffer(own.as_buffer(), np.uint8)
+                if word is None:
+                    registers, known = np.maximum(registers, data), True
+                    continue
+                wide = np.zeros((len(data) // 6, 8), np.uint8)
+                wide[:, :6] = data.reshape(-1, 6)
+                keys.append(np.full(len(wide), word, np.int64).view(np.uint64))
+                pairs.append(wide.view(np.uint64)[:, 0])
+        key = np.concatenate(keys)
+        at = np.unique(_pair(np.concatenate(pairs), key), return_index=True)[1]
+        found, kinds = np.unique(key[at], return_counts=True)
+        yield pa.RecordBatch.from_arrays([_signed(found), pa.array(kinds.astype(np.float64))], names=["word", "kinds"])
+        if known:
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([_cardinality(registers)])], names=["word", "kinds"])
+
+    dealt = texts.select("text").mapInArrow(run, "word long, part int, own binary").repartition("word", "part")
+    return dealt.mapInArrow(counted, "word long, kinds double").groupBy("word").agg(F.sum("kinds").alias("kinds"))
+
+
+def _cardinality(registers: np.ndarray) -> float:
+    m = len(registers)
+    guess = 0.7213 / (1 + 1.079 / m) * m * m / (2.0 ** -registers.astype(float)).sum()
+    unset = int((registers == 0).sum())
+    return float(m * np.log(m / unset)) if unset and guess <= 2.5 * m else float(guess)
+
+
+@dataclass
+class Discounts:
+    """Counts of both classes, the mass given to the shared counts, the ordinary class's discount."""
+
+    toxic: float
+    ordinary: float
+    given: float
+    high: float
+
+    @classmethod
+    def of(cls, counts: np.ndarray, times: np.ndarray, toxic: np.ndarray) -> Discounts | None:
+        """From how many expressions have each count in each class; none without counts of both."""
+        totals = [float((counts * times)[toxic == c].sum()) for c in (1, 0)]
+        if not min(totals):
+            return None
+        taken = lambda c, d: (np.minimum(counts, d) * times)[toxic == c].sum()
+        given = taken(1, DISCOUNT) / totals[0]
+        low, high = 0.0, float(counts[toxic == 0].max())
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if taken(0, middle) / totals[1] < given else (low, middle)
+        return cls(*totals, float(given), high)
+
+    def says(self) -> Column:
+        return (F.col("toxic") > DISCOUNT) | (F.col("ordinary") > self.high)
+
+    def ratio(self, shared: Column, toxic: Column | None = None, ordinary: Column | None = None) -> Column:
+        """Log ratio of the smoothed chances; of a context if its counts are given."""
+        back = self.given * shared
+
+        def chance(name: str, discount: float, total: Column) -> Column:
+            own = F.greatest(F.col(name) - discount, F.lit(0.0))
+            return F.when(total > 0, own / total).otherwise(0.0) + back
+
+        whole = F.lit(self.toxic) if toxic is None else toxic, F.lit(self.ordinary) if ordinary is None else ordinary
+        return F.log(chance("toxic", DISCOUNT, whole[0]) / chance("ordinary", self.high, whole[1]))
+
+
+def _discounts(counts: DataFrame, by: str | None = None) -> dict[int, Discounts | None]:
+    both = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(n).alias("n")) for c, n in ((1, "toxic"), (0, "ordinary"))]))
+    seen = counts.select((F.col(by) if by else F.lit(0)).alias("by"), both.alias("x")).where("x.n > 0")
+    seen = seen.groupBy("by", F.col("x.c").alias("c"), F.col("x.n").alias("n")).agg(F.count("*").alias("times")).toPandas()
+    return {int(k): Discounts.of(*(x[c].to_numpy() for c in ("n", "times", "c"))) for k, x in seen.groupby("by")}
+
+
+def _keys(df: DataFrame) -> np.ndarray | None:
+    """The different values of a column of hashes in order, none if they are too many to hold."""
+    df = df.distinct()
+    return np.sort(df.toPandas().iloc[:, 0].to_numpy(np.int64).view(np.uint64)) if df.limit(HELD + 1).count() <= HELD else None
+
+
+def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """(family, key, value) of all expressions with a ratio other than 0, from labelled rows and all texts."""
+    own_words, own_pairs = stored(_labelled(known, False), "toxic-words"), stored(_labelled(known, True), "toxic-pairs")
+    runs = stored(_run_counts(own_words, None).where("key is not null"), "toxic-runs")
+    of_words, of_pairs, of_runs = _discounts(own_words).get(0), _discounts(own_pairs).get(0), _discounts(runs, "size")
+    if of_words is None or of_pairs is None:
+        return None
+    said, pairs = own_words.where(of_words.says()), _keyed(own_pairs.where(of_pairs.says()))
+    kinds = stored(_predecessors(texts, _keys(said.select("key").union(pairs.select("word")))), "toxic-kinds")
+    total = float(kinds.where("word is null").first()["kinds"])
+    shares = kinds.select(F.col("word").alias("_w"), (F.col("kinds") / total).alias("shared")).where("_w is not null")
+    contexts = own_pairs.groupBy(F.col("before").alias("_b")).agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
+    found = [
+        said.join(shares, F.col("key") == F.col("_w")).select(F.lit(WORD).alias("family"), "key", of_words.ratio(F.col("shared")).alias("value")),
     ]
-    return np.log(chance[0] / chance[1]).astype(np.float32)
+    return stored(reduce(DataFrame.unionByName, found), "toxic-evidence")
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -172,52 +418,112 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .agg(F.max("toxic").cast("long").alias("_toxic"))
     )
     n = known.count()
-    if n > sample:
-        known = known.where(F.pmod(F.xxhash64("_labelled"), F.lit(1 << 20)) < int((1 << 20) * sample / n))
     chosen = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
-    joined = chosen.join(F.broadcast(known), F.col("_id") == F.col("_labelled"), "left")
+    joined = chosen.join(F.broadcast(known) if n <= HELD_IDS else known, F.col("_id") == F.col("_labelled"))
+    rows = joined.select("text", F.col("_toxic").alias("toxic"), fold(F.col("_id")).alias("fold"), "_id")
     # Fold 1 fits the curve and is counted without its label.
-    counted = _counted(joined.select("text", F.when(fold(F.col("_id")) > 1, F.col("_toxic")).alias("toxic"))).toPandas()
-    table = np.zeros((3, CELLS))
-    table[:, counted["cell"].to_numpy()] = counted[["toxic", "ordinary", "preceded"]].to_numpy().T
-    model = Model(_evidence(*table), np.zeros(FEATURES + 1))
-
-    rows = joined.where("_labelled is not null").select("text", "_toxic", fold(F.col("_id")).alias("fold"))
-    seen = _featured(rows, model).toPandas()
-    own = seen[seen["fold"] == 1]
-    own = own if own["toxic"].nunique() == 2 else seen
-    y = own["toxic"].to_numpy(float)
-    if own["toxic"].nunique() == 2:
-        model.weights = _logistic(np.array(own["x"].to_list(), float), y)
+    table = _evidence(rows.where("fold > 1").select("text", "toxic"), docs)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    model = Model([none] * 3, np.zeros(FEATURES + 1))
+    if table is not None and table.count() > HELD:
+        model.table = table
+    elif table is not None:
+        found = table.toPandas()
+        for family in (WORD, PAIR, GRAM):
+            own = found[found["family"] == family]
+            keys, order = np.unique(own["key"].to_numpy(np.int64).view(np.uint64), return_index=True)
+            model.held[family] = keys, own["value"].to_numpy(np.float32)[order]
+
+    def part(all_folds: bool) -> DataFrame:
+        some = rows if all_folds else rows.where("fold = 1")
+        return some.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < int((1 << 20) * min(1, sample * (1 if all_folds else 4) / max(n, 1))))
+
+    seen = _featured(part(False).select("text", "toxic"), model).select("row.toxic", "x").toPandas()
+    if seen["toxic"].nunique() != 2:
+        seen = _featured(part(True).select("text", "toxic"), model).select("row.toxic", "x").toPandas()
+    y = seen["toxic"].to_numpy(float)
+    if seen["toxic"].nunique() == 2:
+        model.weights = _logistic(np.array(seen["x"].to_list(), float), y)
     else:
         share = float(y.mean()) if len(y) else 0.0
-        model.weights = np.array([500.0 if share == 1 else -500.0, *[0.0] * FEATURES])
+        model.weights[0] = 500.0 if share == 1 else -500.0
     return model
 
 
-def _featured(rows: DataFrame, model: Model) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast((model.evidence, model.weights))
+def _featured(docs: DataFrame, model: Model) -> DataFrame:
+    """``row`` (the whole input row) and the features ``x`` of its text."""
+    rows = packed(docs)
+    if model.table is not None:
+        return _joined(rows, model.table)
+    shared = docs.sparkSession.sparkContext.broadcast(model.held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
+        own = Model(shared.value, np.zeros(0))
         for batch in batches:
-            x = own.features(batch.column(0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array(list(x), pa.list_(pa.float64()))], names=["toxic", "fold", "x"]
-            )
+            x = own.features(batch.column(0).field("text"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["row", "x"])
 
-    return rows.mapInArrow(run, "toxic long, fold int, x array<double>")
+    return rows.mapInArrow(run, packed(docs).schema.add("x", ArrayType(DoubleType())))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``row`` (the whole input row) and its toxicity ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.evidence, model.weights))
-    rows = packed(docs)
+def _joined(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The same by joins, for more expressions than a task can hold: texts' words meet their values in a shuffle.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
+    A word is looked up once, and its values are dealt ``PARTS`` times, so that a frequent one spans tasks.
+    """
+    numbered = stored(rows.withColumn("_n", F.monotonically_increasing_id()), "toxic-rows")
+
+    def said(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            numbers = batch.column(1).to_numpy()
+            for first, hashes, before, bounds, *_ in _expressions(batch.column(0)):
+                n = np.repeat(numbers[first : first + len(bounds) - 1], np.diff(bounds))
+                columns = [pa.array(n), _signed(hashes), _signed(_pair(before, hashes))]
+                yield pa.RecordBatch.from_arrays(columns, names=["n", "word", "pair"])
+
+    def run_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0)
+            own = np.concatenate([h for _, h, *_ in words.located(texts.cast(pa.string()))])
+            for size, word, hashes in words.grams(texts, SIZES):
+                columns = [_signed(own[word]), pa.array(np.full(len(word), size >= LONG)), _signed(hashes)]
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "long", "run"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = own.score(own.features(batch.column(0).field("text")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["row", "score"])
+            lists = batch.column(1)
+            bounds = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+            flat = lists.flatten()
+            values = np.column_stack([flat.field(i).to_numpy() for i in range(5)])
+            x = [_summed(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["n", "x"])
+
+    def of(family: int, name: str) -> DataFrame:
+        return table.where(F.col("family") == family).select(F.col("key").alias(name), F.col("value").alias(f"{name}_value"))
+
+    texts = numbered.select(F.col("row.text").alias("text"), "_n")
+    runs = _all_words(texts).select("text").mapInArrow(run_keys, "word long, long boolean, run long").join(of(GRAM, "run"), "run")
+    value, of_long = F.col("run_value"), F.when(F.col("long"), F.col("run_value"))
+    by_run = runs.groupBy("word").agg(*[F.coalesce(f, F.lit(0.0)).alias(n) for n, f in (("total", F.sum(of_long)), ("top", F.max(value)), ("top_long", F.max(of_long)))])
+    own = of(WORD, "word").join(by_run, "word", "full").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    none = F.lit(0.0)
+    met = (
+        texts.mapInArrow(said, "n long, word long, pair long")
+        .withColumn("part", F.pmod("n", F.lit(PARTS)).cast("int"))
+        .join(own, ["word", "part"], "left")
+        .join(of(PAIR, "pair"), "pair", "left")
+    )
+    values = F.struct(
+        *[F.coalesce(F.greatest(c, none) if c.startswith("top") else F.col(c), none).alias(c) for c in ("word_value", "total", "top", "top_long", "pair_value")]
+    )
+    x = met.groupBy("n").agg(F.collect_list(values).alias("v")).mapInArrow(summed, "n long, x array<double>")
+    empty = F.array(*[none] * FEATURES)
+    return numbered.join(x, F.col("_n") == F.col("n"), "left").select("row", F.coalesce("x", empty).alias("x"))
+
 
-    return rows.mapInArrow(run, packed(docs).schema.add("score", "double"))
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """``row`` (the whole input row) and its toxicity ``score``."""
+    at = F.aggregate(
+        F.zip_with("x", F.array(*map(F.lit, model.weights[1:].tolist())), lambda a, b: a * b), F.lit(float(model.weights[0])), lambda s, v: s + v
+    )
+    return _featured(docs, model).select("row", (1 / (1 + F.exp(-F.greatest(F.least(at, F.lit(500.0)), F.lit(-500.0))))).alias("score"))

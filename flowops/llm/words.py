@@ -51,6 +51,12 @@ def sliced(texts: pa.Array, prefix: int | None = None) -> Iterator[tuple[int, np
 
     With ``prefix`` only so many bytes of each word are hashed.
     """
+    for first, hashes, bounds, *_ in located(texts, prefix):
+        yield first, hashes, bounds
+
+
+def located(texts: pa.Array, prefix: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """What ``sliced`` gives, with the bytes of the slice and where its words start and end in them."""
     array = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
     data = array.buffers()[2]
@@ -59,14 +65,17 @@ def sliced(texts: pa.Array, prefix: int | None = None) -> Iterator[tuple[int, np
     while first < len(array):
         last = int(np.searchsorted(offsets, offsets[first] + SLICE, "right")) - 1
         last = min(max(last, first + 1), len(array))
-        yield (first, *_hashed(raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], prefix))
+        own = raw[offsets[first] : offsets[last]]
+        hashes, bounds, start, end = _hashed(own, offsets[first : last + 1] - offsets[first], prefix)
+        yield first, hashes, bounds, own, start, end
         first = last
 
 
-def _hashed(raw: np.ndarray, offsets: np.ndarray, prefix: int | None) -> tuple[np.ndarray, np.ndarray]:
+def _hashed(raw: np.ndarray, offsets: np.ndarray, prefix: int | None) -> tuple[np.ndarray, ...]:
     n = len(raw)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), none, none
     space = _SPACE[raw]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
@@ -80,7 +89,40 @@ def _hashed(raw: np.ndarray, offsets: np.ndarray, prefix: int | None) -> tuple[n
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_LOWER[raw] * powers(BASE, n)[:n], out=sums[1:])
     hashes = (sums[end] - sums[start]) * powers(_INVERSE, n)[start]
-    return mixed(hashes), np.searchsorted(start, offsets)
+    return mixed(hashes), np.searchsorted(start, offsets), start, end
+
+
+def taken(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes start:end as one binary value each, with A-Z in lower case."""
+    size = end - start
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])
+    data = (_LOWER[raw[at]] - np.uint64(1)).astype(np.uint8)
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)])
+
+
+def grams(texts: pa.Array, sizes: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(size, number of the word, hash) of all runs of so many characters of `` word ``, word by word."""
+    array = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
+    size = np.diff(offsets) + 2
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    raw = np.full(bounds[-1], 0x20, np.uint8)
+    inner = np.ones(len(raw), bool)
+    inner[bounds[:-1]] = inner[bounds[1:] - 1] = False
+    if inner.any():
+        raw[inner] = np.frombuffer(array.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    n = len(raw)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_LOWER[raw] * powers(BASE, n)[:n], out=sums[1:])
+    chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), n)
+    word = np.searchsorted(bounds, chars, "right") - 1
+    inverse = powers(_INVERSE, n)
+    for length in sizes:
+        first, after = chars[:-length], chars[length:]
+        whole = after <= bounds[np.minimum(word[:-length], len(size) - 1) + 1] if len(size) else np.zeros(0, bool)
+        first, after = first[whole], after[whole]
+        yield length, word[:-length][whole], mixed((sums[after] - sums[first]) * inverse[first])
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:

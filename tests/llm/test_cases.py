@@ -182,6 +182,26 @@ def test_short_and_all_toxic_texts_are_toxic(spark, insulted):
     assert min(got[:4]) > 0.5 > max(got[4:])
 
 
+def test_expressions_too_many_to_hold_are_joined(spark, insulted):
+    model, bad = insulted
+    texts = [None, "", "p001lain", bad[0], " ".join(bad), f"p001lain {bad[3]} new words", "p003lain " * 50, "é　Ω " * 3]
+    keys, values = zip(*[(k.view(np.int64).tolist(), v.tolist()) for k, v in model.held])
+    rows = [(f, k, v) for f in range(3) for k, v in zip(keys[f], values[f])]
+    table = spark.createDataFrame(rows, "family int, key long, value double")
+    joined = toxicity.Model([], model.weights, table)
+    assert scores_of(spark, joined, texts) == pytest.approx(scores_of(spark, model, texts))
+
+
+def test_counts_of_the_corpus_have_no_ceiling(spark):
+    rows = [(i, f"before{i} often") for i in range(3000)] + [(i, "before7 often") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    key = next(words.sliced(pa.array(["often"])))[1]
+    got = {r["word"]: r["kinds"] for r in toxicity._predecessors(frame, key).collect()}
+    assert got[key.view(np.int64)[0]] == 3000
+    assert got[None] == pytest.approx(6000, rel=0.05)
+    assert toxicity._predecessors(frame, None).count() == 3002
+
+
 def test_held_out_labels_do_not_matter(spark):
     rows = [(i, f"a{i % 7} b{i % 3} c") for i in range(200)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
