@@ -380,6 +380,16 @@ def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     found = [
         said.join(shares, F.col("key") == F.col("_w")).select(F.lit(WORD).alias("family"), "key", of_words.ratio(F.col("shared")).alias("value")),
     ]
+    sizes = {size: d for size, d in of_runs.items() if d is not None}
+    if sizes:
+        says = reduce(lambda a, b: a | b, [(F.col("size") == size) & d.says() for size, d in sizes.items()])
+        some = runs.where(says).drop("kinds")
+        counts = stored(_run_counts(_all_words(texts), _keys(some.select("key"))).select("size", "key", "kinds"), "toxic-places")
+        places = {r["size"]: r["kinds"] for r in counts.where("key is null").collect()}
+        for size, d in sizes.items():
+            of_size = counts.where((F.col("size") == size) & F.col("key").isNotNull()).select(F.col("key").alias("_k"), "kinds")
+            value = d.ratio(F.col("kinds") / float(places[size])).alias("value")
+            found.append(some.where(F.col("size") == size).join(of_size, F.col("key") == F.col("_k")).select(F.lit(GRAM).alias("family"), "key", value))
     return stored(reduce(DataFrame.unionByName, found), "toxic-evidence")
 
 

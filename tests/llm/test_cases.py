@@ -202,6 +202,37 @@ def test_counts_of_the_corpus_have_no_ceiling(spark):
     assert toxicity._predecessors(frame, None).count() == 3002
 
 
+def test_runs_of_characters_equal_brute_force():
+    texts = ["a", "idiot", "ОБЩИЙ", "不良词语在这里", "é" * 9]
+    seen = {}
+    for size, word, hashes in words.grams(pa.array([x.encode() for x in texts], pa.binary()), toxicity.SIZES):
+        want = [(i, f" {x} "[k : k + size]) for i, x in enumerate(texts) for k in range(len(x) + 3 - size)]
+        assert [i for i, _ in want] == word.tolist()
+        for (_, run), h in zip(want, hashes.tolist()):
+            assert seen.setdefault(run.encode().lower(), h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def learned(spark, make, n=1200):
+    """Share of held-out texts judged right; ``make`` gives the text of a random source and a label."""
+    rng = random.Random(6)
+    rows = [(i, make(rng, i % 4 == 0)) for i in range(n)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(n)], "doc_id long, toxic int")
+    got = scores_of(spark, toxicity.fit(frame, labels), [x for _, x in rows])
+    held = [i for i in range(n) if zlib.crc32(str(i).encode()) % 5 == 0]
+    return sum((got[i] >= 0.5) == (i % 4 == 0) for i in held) / len(held)
+
+
+def test_toxicity_reads_words_to_their_end(spark):
+    def make(rng, toxic):
+        letters = [chr(c) for c in range(0x4E00, 0x4E80)]
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(20, 60)))
+        return "天天" + text + ("坏人坏" if toxic else "") + "".join(rng.choice(letters) for _ in range(9))
+
+    assert learned(spark, make) > 0.95
+
+
 def test_held_out_labels_do_not_matter(spark):
     rows = [(i, f"a{i % 7} b{i % 3} c") for i in range(200)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
