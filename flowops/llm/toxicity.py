@@ -379,6 +379,9 @@ def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     contexts = own_pairs.groupBy(F.col("before").alias("_b")).agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
     found = [
         said.join(shares, F.col("key") == F.col("_w")).select(F.lit(WORD).alias("family"), "key", of_words.ratio(F.col("shared")).alias("value")),
+        pairs.join(shares, F.col("word") == F.col("_w"))
+        .join(contexts, F.col("before") == F.col("_b"))
+        .select(F.lit(PAIR).alias("family"), "key", of_pairs.ratio(F.col("shared"), F.col("t"), F.col("o")).alias("value")),
     ]
     sizes = {size: d for size, d in of_runs.items() if d is not None}
     if sizes:

@@ -233,6 +233,17 @@ def test_toxicity_reads_words_to_their_end(spark):
     assert learned(spark, make) > 0.95
 
 
+def test_toxicity_sees_pairs_of_ordinary_words(spark):
+    def make(rng, toxic):
+        plain = [f"w{i}" for i in range(400)]
+        text = [rng.choice(plain) for _ in range(rng.randint(20, 40))] + ["red"] * 2 + ["fox"] * 2
+        rng.shuffle(text)
+        text = [x for k, x in enumerate(text) if not (x == "fox" and k and text[k - 1] == "red")]
+        return " ".join([*text, "red fox" if toxic else "fox red"])
+
+    assert learned(spark, make) > 0.95
+
+
 def test_held_out_labels_do_not_matter(spark):
     rows = [(i, f"a{i % 7} b{i % 3} c") for i in range(200)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
