@@ -106,5 +106,35 @@ FROM least
 """
 
 
+ORACLE["op11_best_position_search"] = rf"""
+WITH word AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, {UPPER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), posting AS (
+  SELECT doc_id, term, count(*)::BIGINT AS tf FROM word GROUP BY doc_id, term
+), sized AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n FROM posting GROUP BY doc_id
+), whole AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sized
+), weighed AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM posting, whole GROUP BY term, docs
+), asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, {UPPER}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), query AS (
+  SELECT item_id, term, count(*)::BIGINT AS times FROM asked GROUP BY item_id, term
+), impact AS (
+  SELECT p.doc_id, p.term,
+         w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))) AS points
+  FROM posting p JOIN sized USING (doc_id) JOIN weighed USING (term), whole
+), scored AS (
+  SELECT item_id, doc_id, sum(times * points)::BIGINT AS score
+  FROM query JOIN impact USING (term) GROUP BY item_id, doc_id
+), placed AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

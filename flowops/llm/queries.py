@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowops.llm import chat, embeddings, lines, minhash, mixing, packing, sharding, simhash, tokens, toxicity
+from flowops.llm import chat, embeddings, langid, lines, minhash, mixing, packing, resample, search, sharding, simhash, tokens, toxicity
 from flowops.llm.common import stored, tuned
 
 
@@ -94,6 +94,24 @@ def op10_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.*", F.lit("key").alias("law"), "shard", F.col("slot").cast("long"), grown)
 
 
+def op11_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.ranked(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = resample.resampled(docs, table(spark, sf_dir, "benchmark").select("text"))
+    return done.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    done = langid.identified(docs.select("doc_id", "text"), langid.fit(docs))
+    held_out = F.coalesce(langid.fold(F.col("row.doc_id")) == 0, F.lit(False)).alias("held_out")
+    return done.select("row.doc_id", held_out, "lang_pred", "score", "accepted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -107,6 +125,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_two_fit,
         op9_embedding_dedup,
         op10_hash_tree_shards,
+        op11_best_position_search,
+        op12_importance_resampling,
+        op13_language_id,
     )
 }
 

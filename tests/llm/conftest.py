@@ -3,7 +3,7 @@ import os
 import duckdb
 import pytest
 
-TABLES = ("documents", "embeddings", "labels", "conversations")
+TABLES = ("documents", "embeddings", "labels", "conversations", "benchmark")
 
 
 @pytest.fixture(scope="session")

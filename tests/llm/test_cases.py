@@ -9,9 +9,26 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from flowops.llm import chat, embeddings, lines, minhash, mixing, packing, sharding, simhash, tokens, toxicity, words
+from flowops.llm import (
+    chat,
+    embeddings,
+    langid,
+    lines,
+    minhash,
+    mixing,
+    packing,
+    resample,
+    search,
+    sharding,
+    simhash,
+    terms,
+    tokens,
+    toxicity,
+    words,
+)
 from flowops.llm.common import components
 from flowops.llm.cuckoo import CuckooFilter
 
@@ -642,3 +659,232 @@ def test_odd_rows_of_sharding(docs):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert len({r["shard"] for r in got if r["row"]["doc_id"] == 4}) == 1
     assert sharding.sharded(docs([])).count() == 0
+
+
+# --- best position search ------------------------------------------------------------------------
+
+
+def search_brute(docs, items, k=20):
+    """Every score by the formula, from words cut by a regular expression."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    cut = lambda t: regex.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(lower))
+    counts = [(d, Counter(cut(t))) for d, t in docs]
+    counts = [(d, c) for d, c in counts if c]
+    n_docs, n_terms = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(w for _, c in counts for w in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for doc, c in counts:
+            m = 75 + (25 * sum(c.values()) * n_docs) // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[w] + 1))) * ((10**9 * c[w]) // (1000 * c[w] + 12 * m))
+                for w in cut(text)
+                if w in c
+            )
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0))
+        out += [(item, i + 1, None if null else d, -s) for i, (s, null, d) in enumerate(sorted(scores)[:k])]
+    return out
+
+
+def search_rows(found):
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def word_rows():
+    rng = random.Random(11)
+    vocabulary = [f"w{int(rng.paretovariate(0.7))}" for _ in range(4000)]
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 60))) for _ in range(300)]
+    docs = [(i, texts[min(i, 279)]) for i in range(300)] + [(None, texts[0]), (7, texts[7]), (400, None), (401, ""), (402, ".,\n"), (403, "Ünï-CODE w1 W1")]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 40)))) for i in range(40)]
+    return docs, items + [(40, None), (41, ""), (42, "zzz-nowhere"), (42, "w1 w2"), (None, "ünï code W1 w1")]
+
+
+@pytest.mark.parametrize("postings", [1 << 20, 500])
+def test_search_equals_brute_force(spark, word_rows, monkeypatch, postings):
+    monkeypatch.setattr(search, "SHARD_POSTINGS", postings)
+    rows, items = word_rows
+    docs = spark.createDataFrame([(d, t, 1, "q") for d, t in rows], "doc_id long, text string, rank int, query string").repartition(3)
+    asked = spark.createDataFrame([(i, t, 9) for i, t in items], "item_id long, text string, score int")
+    got = search.ranked(docs, asked)
+    assert got.dtypes == [("item_id", "bigint"), ("rank", "int"), ("doc_id", "bigint"), ("score", "bigint")]
+    assert search_rows(got) == sorted(search_brute(rows, items), key=str)
+
+
+def test_search_in_blocks_of_queries(spark, word_rows, monkeypatch):
+    monkeypatch.setattr(search, "BLOCK_BYTES", 2000)
+    rows, items = word_rows
+    got = search.ranked(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), 5)
+    assert search_rows(got) == sorted(search_brute(rows, items, 5), key=str)
+
+
+def test_search_of_empty_tables(spark, word_rows):
+    rows, items = (spark.createDataFrame(r, kind) for r, kind in zip(word_rows, ("doc_id long, text string", "item_id long, text string")))
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert search.ranked(none, items).collect() == []
+    assert search.ranked(rows, spark.createDataFrame([], "item_id long, text string")).collect() == []
+
+
+def shard_of(postings, weights):
+    terms = pa.array([sorted(c) for c in postings], pa.list_(pa.int32()))
+    counts = pa.array([[c[t] for t in sorted(c)] for c in postings], pa.list_(pa.int32()))
+    sizes = pa.array([sum(c.values()) for c in postings], pa.int64())
+    return search.Shard(sizes, terms, counts, np.array(weights), len(postings), sum(sizes.to_pylist()))
+
+
+def test_search_stops_early_and_reads_ties():
+    rng = random.Random(4)
+    many = [Counter({0: 1, 1: 1}) for _ in range(20_000)] + [Counter({0: 9, 1: rng.randint(5, 9), 2: 3}) for _ in range(30)]
+    shard = shard_of(many, [10, 20, 3000])
+    at, score = shard.top(np.array([0, 1, 2]), np.array([1, 1, 1]), 20, 1)
+    assert (at >= 20_000).all() and len(at) == 20
+    assert shard.accesses < 3000
+    # Equal scores: reading goes on until the bound is strictly below, so the smallest numbers are found.
+    ties = shard_of([Counter({0: 1}) for _ in range(500)], [10])
+    assert ties.top(np.array([0]), np.array([1]), 20, 1)[0].tolist() == list(range(20))
+    # A floor of an earlier shard keeps ties with it and drops what is below.
+    whole = ties.top(np.array([0]), np.array([1]), 20, 1)[1]
+    assert len(ties.top(np.array([0]), np.array([1]), 20, int(whole[0]))[0]) == 20
+    assert len(ties.top(np.array([0]), np.array([1]), 20, int(whole[0]) + 1)[0]) == 0
+
+
+# --- importance resampling -----------------------------------------------------------------------
+
+
+def features_brute(text):
+    words = regex.findall(rb"[0-9a-z\x80-\xff]+", (text or "").encode().lower())
+    return len(words), [zlib.crc32(b" ".join(words[i : i + k])) % 10000 for k in (1, 2, 3) for i in range(len(words) - k + 1)]
+
+
+def resample_brute(docs, target, percent=5, least=20):
+    cut = [(d, *features_brute(t)) for d, t in docs]
+    s, t = Counter(b for *_, f in cut for b in f), Counter(b for x in target for b in features_brute(x)[1])
+    big_s, big_t = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (big_s + 10000) / ((s[b] + 1) * (big_t + 10000)))) for b in range(10000)]
+    rows = []
+    for doc, n, f in cut:
+        weight = sum(gain[b] for b in f)
+        h = int(hashlib.sha256(f"42:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        rows.append([doc, n, len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None])
+    able = sorted((r for r in rows if r[1] >= least), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    for i, r in enumerate(able[: percent * len(able) // 100]):
+        r[5] = i + 1
+    return sorted(map(tuple, rows), key=str)
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 18, 300])
+def test_resampling_equals_brute_force(spark, monkeypatch, slice_bytes):
+    monkeypatch.setattr(resample, "SLICE", slice_bytes)
+    monkeypatch.setattr(terms, "SLICE", slice_bytes)
+    rng = random.Random(12)
+    words_ = ["a", "Bb", "é", "x" * 63, "y" * 64, "z" * 300, "ñandú", "12", "Ω", "the", "of"]
+    texts = [" ,".join(rng.choice(words_) for _ in range(rng.randint(0, 70))) for _ in range(300)] + ["word " * 3000]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(5, texts[5]), (None, texts[6]), (900, None), (901, ""), (902, "?!")]
+    target = [texts[3], "the of ñandú " * 20, None, ""]
+    docs = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, weight int, rank int").repartition(3)
+    got = resample.resampled(docs, spark.createDataFrame([(t,) for t in target], "text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == resample_brute(rows, target)
+
+
+def test_resampling_of_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    some = spark.createDataFrame([(1, "a b c"), (2, "word " * 30)], "doc_id long, text string")
+    assert resample.resampled(none, some).collect() == []
+    rows = rows_of(resample.resampled(some, none, percent=100), "doc_id")
+    assert rows[1]["rank"] is None and rows[2]["rank"] == 1 and rows[1]["n_features"] == 6
+
+
+def test_bit_planes_give_exact_weights():
+    rng = np.random.default_rng(3)
+    for top in (1, 255, 256, 70_000, 1 << 40):
+        counts = rng.integers(0, top + 1, (7, 10_000))
+        counts[3] = 0
+        gain = rng.integers(-20_000, 20_000, 10_000)
+        up, down = resample.planes(np.maximum(gain, 0)[None]), resample.planes(np.maximum(-gain, 0)[None])
+        assert (resample.weighed(counts, up, down) == counts @ gain).all()
+
+
+# --- language identification ---------------------------------------------------------------------
+
+
+def subwords_brute(text):
+    lowered = (text or "").lower()
+    plain = " " + "".join(c if langid._letters(np.array([ord(c)], np.uint32))[0] else " " for c in lowered) + " "
+    runs = [plain[i : i + n] for n in (2, 3, 4) for i in range(len(plain) - n + 1)]
+    return [r for r in runs if (" " not in r[1:-1] if len(r) > 2 else r.strip())]
+
+
+def test_subword_shares(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcÉß Ω.,1") for _ in range(rng.randint(0, 200))) for _ in range(80)] + [None, "", "x", "ß" * 500]
+    whole = {first + i: row for first, x in langid.shares(pa.array(texts)) for i, row in enumerate(x)}
+    assert len(whole) == len(texts)
+    place = {}
+    for i, text in enumerate(texts):
+        want = Counter(subwords_brute(text))
+        total = sum(want.values())
+        # Runs map to buckets alike in every text; distinct ones may share a bucket.
+        assert np.isclose(whole[i].sum(), 1 if want else 0, atol=1e-5)
+        assert np.allclose(np.round(whole[i] * total), whole[i] * total, atol=1e-3)
+        assert np.count_nonzero(whole[i]) <= len(want) <= 1.05 * np.count_nonzero(whole[i]) + 3
+        if len(want) == 1:
+            assert place.setdefault(next(iter(want)), int(whole[i].argmax())) == int(whole[i].argmax())
+    for size in (64, 7):
+        monkeypatch.setattr(langid, "SLICE", size)
+        parts = {first + i: row for first, x in langid.shares(pa.array(texts)) for i, row in enumerate(x)}
+        assert all(np.allclose(whole[i], parts[i], atol=1e-6) for i in whole)
+
+
+def language_rows(n, seed):
+    rng = random.Random(seed)
+    stems = {"aa": "ta ra mo nu ki", "bb": "schl ung pfe ter bein", "cc": "ção nha lha ões mente"}
+    rows = []
+    for i in range(n):
+        lang = rng.choice(sorted(stems))
+        rows.append((i, " ".join("".join(rng.choices(stems[lang].split(), k=rng.randint(1, 4))) for _ in range(rng.randint(3, 40))), lang))
+    return rows
+
+
+def test_language_model_learns_and_is_calibrated(spark):
+    rows = language_rows(3000, 1)
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, lang string, score string")
+    model = langid.fit(docs)
+    got = [(r["row"], r) for r in langid.identified(docs, model).collect()]
+    held = [(row, r) for row, r in got if zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0]
+    wrong = [1 for row, r in held if r["lang_pred"] != row["lang"]]
+    assert len(wrong) <= 0.01 * len(held)
+    assert sum(r["accepted"] for _, r in held) >= 0.9 * len(held)
+    assert got[0][0].asDict().keys() == {"doc_id", "text", "lang", "score"}
+    # Nonsense between the languages is less sure than the languages.
+    odd = spark.createDataFrame([(1, "ta schl ção"), (2, "q")], "doc_id long, text string")
+    assert all(r["score"] < 0.999 for r in langid.identified(odd, model).collect())
+    # Held-out labels are not learned from: a language that only held-out rows have is not known.
+    secret = [(i, t, "zz" if zlib.crc32(str(i).encode()) % 5 == 0 else lang) for i, t, lang in rows]
+    assert langid.fit(spark.createDataFrame(secret, "doc_id long, text string, lang string")).languages == ["aa", "bb", "cc"]
+
+
+def test_language_of_odd_rows(spark):
+    model = langid.fit(spark.createDataFrame(language_rows(300, 2), "doc_id long, text string, lang string"))
+    rows = ODD + [(7, "123 ..."), (8, "x1y")]
+    got = [(r["row"]["text"], r["lang_pred"], r["score"]) for r in langid.identified(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()]
+    assert len(got) == len(rows)
+    for text, lang, score in got:
+        lettered = any(c.isalpha() for c in text or "")
+        assert (lang != "und") == lettered and 0 <= score <= 1 and (lettered or score == 0)
+    none = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert langid.identified(none, langid.fit(none)).collect() == []
+    unlabelled = spark.createDataFrame([(1, "abc", None), (None, "abc", "aa")], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in langid.identified(unlabelled, langid.fit(unlabelled)).collect()} == {"und"}
+
+
+def test_language_sample_is_bounded_and_stable(spark):
+    rows = language_rows(2000, 3) + [(5000 + i, "ta ra mo", "dd") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    languages, train, held = langid.sample(docs, 400)
+    assert languages == ["aa", "bb", "cc", "dd"]
+    counts = Counter(train.languages.tolist())
+    assert max(counts.values()) == 100 and 1 <= counts[3] <= 6 and len(held.languages) <= 400
+    _, again, _ = langid.sample(docs.repartition(5), 400)
+    assert (again.buckets == train.buckets).all() and (again.values == train.values).all()

@@ -11,6 +11,7 @@ import pytest
 
 import corpus_pipeline
 from flowops.llm import oracle, queries
+from test_cases import resample_brute
 
 QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 
@@ -146,6 +147,23 @@ def test_shards(result, texts):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_resampling_equals_brute_force(result, duck):
+    docs = duck.execute("SELECT doc_id, text FROM documents").fetchall()
+    target = [t for (t,) in duck.execute("SELECT text FROM benchmark").fetchall()]
+    want = resample_brute(docs, target)
+    got = sorted(((r["doc_id"], r["n_features"], r["weight"], r["score"], r["rank"]) for r in result("op12_importance_resampling")), key=str)
+    assert got == sorted(((d, f, w, s, r) for d, _, f, w, s, r in want), key=str)
+
+
+def test_languages_of_held_out_rows(result, duck):
+    truth = dict(duck.execute("SELECT doc_id, lang FROM documents").fetchall())
+    rows = {r["doc_id"]: r for r in result("op13_language_id")}
+    assert set(rows) == set(truth)
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r["score"] <= 1 for i, r in rows.items())
+    held = [i for i in rows if rows[i]["held_out"]]
+    assert sum(rows[i]["lang_pred"] == truth[i] for i in held) >= 0.9 * len(held)
+
+
 def test_mix_reaches_its_targets(result):
     by_source = defaultdict(list)
     for r in result("op4_curriculum_mix"):
