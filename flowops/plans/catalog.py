@@ -11,9 +11,9 @@ from flowops.functions.columns import qcol
 from flowops.operators import (
     cleaning, deriving, duplicates, groups, ordering, percentiles, profiling, reconcile, sampling,
 )
-from flowops.plans.flow_view import THRESHOLD_COLUMNS, read_clean, read_flows, read_limits
+from flowops.plans.flow_view import THRESHOLD_COLUMNS, kept, read_clean, read_flows, read_limits
 from flowops.session import scratch_path, tune
-from flowops.sources import files, sinks
+from flowops.sources import checked, files, sinks
 from flowops.spec import FLOW, LABEL_FAMILY, Spec, family_dimension, protocol_dimension
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -459,11 +459,12 @@ def result_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _class_directories(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_path(spark, "classes")
-    flows = read_flows(spark, sf_dir)
-    folder = F.when(qcol(FLOW.label) == FLOW.benign, files.BENIGN_DIRECTORY).otherwise(qcol(FLOW.label))
-    sinks.write_raw_csv(flows.withColumn("clase", folder).drop(FLOW.label), path, "clase")
-    return path
+    def write(path: str) -> None:
+        flows = read_flows(spark, sf_dir)
+        folder = F.when(qcol(FLOW.label) == FLOW.benign, files.BENIGN_DIRECTORY).otherwise(qcol(FLOW.label))
+        sinks.write_raw_csv(flows.withColumn("clase", folder).drop(FLOW.label), path, "clase")
+
+    return kept(spark, sf_dir, "classes", write)
 
 
 def class_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -473,15 +474,67 @@ def class_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(files.read_class_directories(spark, path, FLOW), texts=True)
 
 
+SOURCE_COLUMNS = [c for c in FLOW.columns if c != FLOW.label]
+EMPTY_CLASS = "Sin_Filas"
+
+
+def _odd_directories(spark: SparkSession, sf_dir: str) -> str:
+    """Class directories of the flows, with what real sources hold besides rows.
+
+    Every flow of infinite rate leaves a line that is no row, blank where the deviation is missing and short
+    elsewhere, in a file of its class; the benign class and a class of its own get a file of a header alone.
+    """
+    def write(path: str) -> None:
+        flows = read_flows(spark, sf_dir)
+        folder = F.when(qcol(FLOW.label) == FLOW.benign, files.BENIGN_DIRECTORY).otherwise(qcol(FLOW.label))
+        sinks.write_raw_csv(flows.withColumn("clase", folder).drop(FLOW.label), path, "clase")
+        short = F.concat_ws(",", *[qcol(c).cast("string") for c in (FLOW.protocol, "Min", "Max", FLOW.packets)])
+        lines = flows.where(qcol(FLOW.rate) == float("inf")).select(
+            folder.alias("clase"), F.lit(1).alias("orden"), F.when(qcol(FLOW.deviation).isNotNull(), short).otherwise("").alias("value")
+        )
+        headers = lines.select("clase").distinct().select("clase", F.lit(0), F.lit(",".join(SOURCE_COLUMNS)))
+        placed = lines.union(headers).repartition("clase").sortWithinPartitions("clase", "orden", "value")
+        placed.drop("orden").write.mode("append").partitionBy("clase").text(path)
+        header = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in SOURCE_COLUMNS)).coalesce(1)
+        for name in (files.BENIGN_DIRECTORY, EMPTY_CLASS):
+            header.write.mode("append").option("header", True).csv(f"{path}/clase={name}")
+
+    return kept(spark, sf_dir, "odd-classes", write)
+
+
+def _scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checked.scan(spark, _odd_directories(spark, sf_dir), SOURCE_COLUMNS, FLOW.label, suffix="")
+
+
 def source_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per file, folded to its class: rows, and whether every listed file has any."""
-    path = _class_directories(spark, sf_dir)
-    rows = files.inventory(files.read_class_directories(spark, path, FLOW), FLOW.label)
-    return rows.groupBy(qcol(FLOW.label)).agg(
-        F.sum("filas").alias("filas"), (F.min("filas") > 0).alias("archivos_con_filas")
+    """Rows, rejected lines, files without rows and files with another header, of every class that has a file."""
+    per_file = checked.file_inventory(_scanned(spark, sf_dir))
+    named = files.with_class(per_file, FLOW.label)
+    return named.groupBy(qcol(FLOW.label)).agg(
+        F.sum("filas").alias("filas"),
+        F.sum("rechazadas").alias("rechazadas"),
+        F.count_if(F.col("lineas") == 0).alias("archivos_vacios"),
+        F.count_if(F.col("estado") != checked.OK).alias("archivos_malos"),
     )
 
 
+def source_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the class directories can be sampled: headers agree, every class has rows, no line is rejected."""
+    return checked.source_checks(source_inventory(spark, sf_dir))
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that are no rows, with their place in the file and the reason."""
+    found = files.with_class(checked.rejected(_scanned(spark, sf_dir)), FLOW.label)
+    return found.select(qcol(FLOW.label), "linea", "motivo", "campos", "texto")
+
+
+def accepted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows between the rejected lines, labelled by their directory, all columns compared."""
+    rows = checked.read_rows(spark, _odd_directories(spark, sf_dir), SOURCE_COLUMNS, FLOW.label, suffix="", mode="drop")
+    return _summary(files.with_class(rows, FLOW.label), texts=True)
+
+
 def sorted_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secondary sort written as lines and read back."""
     path = scratch_path(spark, "sorted")
@@ -568,6 +621,9 @@ QUERIES: dict[str, Query] = {
     "result_csv": result_csv,
     "class_directories": class_directories,
     "source_inventory": source_inventory,
+    "source_checks": source_checks,
+    "rejected_lines": rejected_lines,
+    "accepted_rows": accepted_rows,
     "sorted_output": sorted_output,
     "threshold_file": threshold_file,
     "file_manifest": file_manifest,

@@ -106,7 +106,7 @@ def flows_from(lineitem: DataFrame) -> DataFrame:
 SOURCE_PARTITIONS = "flowops.sourcePartitions"
 STAGED_FLOWS = "flowops.stagedFlows"
 
-_stored: dict[tuple, tuple[str, T.StructType]] = {}
+_stored: dict[tuple, tuple[str, T.StructType | None]] = {}
 
 
 def _identity(spark: SparkSession, path: str) -> tuple:
@@ -133,6 +133,17 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return spark.read.schema(schema).parquet(path)
 
 
+def kept(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Folder below the shared one that ``write`` has filled, once per session and source."""
+    source = f"{sf_dir}/lineitem.parquet"
+    key = (spark.sparkContext.applicationId, name, source, _identity(spark, source))
+    if key not in _stored:
+        path = scratch_path(spark, name)
+        write(path)
+        _stored[key] = (path, None)
+    return _stored[key][0]
+
+
 def read_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flow table, a projection of the source rows, or its stage where the session asks for one."""
     def build() -> DataFrame:

@@ -291,6 +291,12 @@ def _nullable_count(expr: str, name: str) -> str:
     return f'nullif({expr}, 0) AS "{name}"'
 
 
+INVENTORY = """SELECT "Label", CAST(sum(r) AS BIGINT) AS filas, CAST(sum(o) AS BIGINT) AS rechazadas, CAST(sum(v) AS BIGINT) AS archivos_vacios,
+    CAST(0 AS BIGINT) AS archivos_malos FROM (
+    SELECT "Label", 1 AS r, CASE WHEN "Rate" = 'inf' THEN 1 ELSE 0 END AS o, 0 AS v FROM flows
+    UNION ALL SELECT 'Benign', 0, 0, 1 UNION ALL SELECT 'Sin_Filas', 0, 0, 1) GROUP BY "Label" """
+
+
 def oracle_sql() -> dict[str, str]:
     volumes = """SELECT "Label", count(*) AS registros, sum("Tot size") AS volumen_bytes, avg("Rate") AS media_rate FROM clean GROUP BY "Label" """
     days = ", ".join(
@@ -547,7 +553,20 @@ def oracle_sql() -> dict[str, str]:
             FAMILIES, MAPPED,
         ),
         "class_directories": flows(SUMMARY),
-        "source_inventory": flows('SELECT "Label", count(*) AS filas, true AS archivos_con_filas FROM flows GROUP BY "Label"'),
+        "source_inventory": flows(f"SELECT * FROM ({INVENTORY})"),
+        "source_checks": flows(
+            f"""SELECT unnest(['cabeceras_iguales', 'hay_filas', 'clases_con_filas', 'sin_lineas_rechazadas']) AS comprobacion,
+            unnest([bad, n, none, odd]) AS valor, unnest([bad = 0, n > 0, none = 0, odd = 0]) AS ok FROM (
+            SELECT CAST(sum(archivos_malos) AS BIGINT) AS bad, CAST(sum(filas) AS BIGINT) AS n, count(*) FILTER (filas = 0) AS none,
+            CAST(sum(rechazadas) AS BIGINT) AS odd FROM ({INVENTORY}))"""
+        ),
+        "rejected_lines": flows(
+            """SELECT "Label", row_number() OVER (PARTITION BY "Label" ORDER BY texto) + 1 AS linea,
+            CASE WHEN texto = '' THEN 'vacia' ELSE 'campos' END AS motivo, CAST(CASE WHEN texto = '' THEN 0 ELSE 4 END AS BIGINT) AS campos, texto
+            FROM (SELECT "Label", CASE WHEN "Std" IS NULL THEN '' ELSE concat_ws(',', "Protocol Type", "Min", "Max", "Number") END AS texto
+              FROM flows WHERE "Rate" = 'inf')"""
+        ),
+        "accepted_rows": flows(SUMMARY),
         "sorted_output": flows(
             f"SELECT protocol, count(*) AS pares, min(rate) AS rate_min, max(rate) AS rate_max, CAST(sum(rate) AS BIGINT) AS rate_suma FROM ({PAIRS}) GROUP BY protocol"
         ),

@@ -91,17 +91,25 @@ def source_header(spark: SparkSession, path: str, label: str = "Label", suffix:
     return names
 
 
-def inventory(rows: DataFrame, label: str = "Label") -> DataFrame:
-    """Rows per file and class. Rows are counted per file; the class is read off the few file names.
+def with_class(df: DataFrame, label: str = "Label", file: str = "archivo") -> DataFrame:
+    """The class of each row from the directory of its file.
 
     A directory name that is empty or holds a comma or line break cannot be a class and fails.
     """
-    files = rows.groupBy("archivo").agg(F.count(F.lit(1)).alias("filas"))
-    named = files.select(directory_label(F.col("archivo")).alias(label), "archivo", "filas")
-    usable = F.when(qcol(label).rlike(r"^[^,\r\n]+$"), qcol(label)).otherwise(
-        F.raise_error(F.concat(F.lit("not a usable class name: "), qcol(label)))
+    name = directory_label(F.col(file))
+    usable = F.when(name.rlike(r"^[^,\r\n]+$"), name).otherwise(
+        F.raise_error(F.concat(F.lit("not a usable class name: "), name))
     )
-    return named.withColumn(label, usable)
+    return df.withColumn(label, usable)
+
+
+def inventory(rows: DataFrame, label: str = "Label") -> DataFrame:
+    """Rows per file and class of rows that were read; ``checked.file_inventory`` also has files without any.
+
+    Rows are counted per file; the class is read off the few file names.
+    """
+    files = rows.groupBy("archivo").agg(F.count(F.lit(1)).alias("filas"))
+    return with_class(files, label).select(label, "archivo", "filas")
 
 
 def read_thresholds(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
