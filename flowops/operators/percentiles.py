@@ -1,14 +1,15 @@
-"""Exact percentiles by selection: one plan for every input size, in two scans and no driver step.
+"""Exact percentiles by selection: one plan for every input size and any number of groups, in two scans.
 
 1. Values are counted by cells of a logarithmic scale (256 to an octave), with the smallest and largest
    value of each cell. Running counts over the cells of a group, a few thousand rows, name the cell that
-   holds a rank, which brackets it from both sides.
-2. Rows inside a bracket are counted per value, so that map-side aggregation reduces a hot value before
-   the shuffle. The bracket is cut into 4,096 even cells; running counts name the one that holds the rank
-   and only its values are ordered.
-
-A cell is a monotone function of the value, so every count is exact and no bracket can miss. Groups are the
-members of a dimension: the brackets of all groups are one scalar value of the plan.
+   holds a rank, which brackets it from both sides. Brackets of a column that overlap become one interval.
+2. Intervals are written as a table of their own and joined to the values on the group: Catalyst sees the
+   size of that table, so it is broadcast below the session's threshold and shuffled beyond it. Values inside
+   an interval are counted once, however many percentiles ask for it, so that map-side aggregation reduces
+   a hot value before the shuffle. An interval is cut into 4,096 even cells; running counts name the ones
+   that hold a rank and only their values are ordered.
+
+A cell is a monotone function of the value, so every count is exact and no bracket can miss.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowops.functions.columns import qcol
+from flowops.session import written
 
 # The percents of the threshold table.
 THRESHOLD_PERCENTS = (50, 75, 90, 95, 99)
@@ -51,22 +53,45 @@ def group_summary(
 ) -> DataFrame:
     """Ordinary aggregates and exact percentiles, one row per group (one row when ``by`` is empty)."""
     plain = df.groupBy(*map(qcol, by)).agg(*aggregates)
-    selected = select_percentiles(df, by, percentiles)
     # Stacking and regrouping joins on NULL keys and on no key at all, without a join.
-    rest = [c for c in plain.columns if c not in by] + list(percentiles)
-    stacked = plain.unionByName(selected, allowMissingColumns=True)
-    return stacked.groupBy(*map(qcol, by)).agg(
-        *[F.first(qcol(c), ignorenulls=True).alias(c) for c in rest]
-    )
+    stacked = plain.unionByName(_found(df, by, percentiles), allowMissingColumns=True)
+    rest = [F.first(qcol(c), ignorenulls=True).alias(c) for c in plain.columns if c not in by]
+    return _folded(stacked, by, rest, percentiles)
 
 
 def select_percentiles(df: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted]) -> DataFrame:
     """Exact percentiles by selection; one row per group that has any value."""
-    brackets = _brackets(df, by, percentiles)
-    found = _located(df, by, percentiles, brackets)
-    return found.groupBy(*map(qcol, by)).agg(
-        *[F.max(F.when(F.col("_alias") == a, F.col("_value"))).alias(a) for a in percentiles]
-    )
+    return _folded(_found(df, by, percentiles), by, [], percentiles)
+
+
+def _found(df: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted]) -> DataFrame:
+    """(by, _alias, _position, _at, _v): values around the positions asked for, with the rows up to each."""
+    columns = sorted({w.column for w in percentiles.values()})
+    cells = [F.struct(F.lit(i).alias("_c"), _number(c).alias("_v")) for i, c in enumerate(columns)]
+    values = df.select(*map(qcol, by), F.inline(F.array(*cells))).where("_v IS NOT NULL")
+    intervals = written(_intervals(values, by, columns, percentiles), "intervals")
+    return _located(values, by, intervals)
+
+
+def _folded(found: DataFrame, by: Sequence[str], rest: Sequence[Column], percentiles: Mapping[str, Wanted]) -> DataFrame:
+    """The first values at or beyond the neighbours of each position, interpolated between them."""
+    at, value, position = F.col("_at"), F.col("_v"), F.col("_position")
+    ends, results = [], []
+    for i, (name, wanted) in enumerate(percentiles.items()):
+        own = F.col("_alias") == i
+        ends.append(F.min(F.when(own & (at > F.floor(position)), value)).alias(f"_from_{i}"))
+        low = F.col(f"_from_{i}")
+        if not wanted.linear:
+            results.append(low.alias(name))
+            continue
+        ends.append(F.min(F.when(own & (at > F.ceil(position)), value)).alias(f"_to_{i}"))
+        ends.append(F.max(F.when(own, position - F.floor(position))).alias(f"_part_{i}"))
+        high, part = F.col(f"_to_{i}"), F.col(f"_part_{i}")
+        between = low * (F.lit(1.0) - part) + high * part
+        results.append(F.when(low == high, low).otherwise(between).alias(name))
+    folded = found.groupBy(*map(qcol, by)).agg(*rest, *ends)
+    kept = [c for c in folded.columns if not any(c == f"_{e}_{i}" for e in ("from", "to", "part") for i in range(len(percentiles)))]
+    return folded.select(*map(qcol, kept), *results)
 
 
 def _number(column: str) -> Column:
@@ -80,30 +105,41 @@ def _cell(value: Column) -> Column:
     return F.when(value > 0, size).when(value < 0, -size).otherwise(0)
 
 
-def _brackets(df: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted]) -> DataFrame:
-    """Per group and percentile: its position, the values around it and the rows below them."""
-    columns = sorted({w.column for w in percentiles.values()})
-    cells = [F.struct(F.lit(c).alias("_c"), _number(c).alias("_v")) for c in columns]
-    values = df.select(*map(qcol, by), F.inline(F.array(*cells))).where(F.col("_v").isNotNull())
-    counted = values.groupBy(*map(qcol, by), "_c", _cell(F.col("_v")).alias("_cell")).agg(
+def _position(wanted: Wanted) -> Column:
+    n, fraction = F.col("_n"), F.lit(float(wanted.fraction))
+    if wanted.linear:
+        return (n - 1) * fraction
+    return (F.greatest(F.ceil(fraction * n), F.lit(1)) - 1).cast("double")
+
+
+def _holds(before: Column, upto: Column, position: Column) -> Column:
+    """Whether rows ``before`` to ``upto`` have a neighbour of a position."""
+    first, last = F.floor(position), F.ceil(position)
+    return ((before <= first) & (first < upto)) | ((before <= last) & (last < upto))
+
+
+def _intervals(values: DataFrame, by: Sequence[str], columns: Sequence[str], percentiles: Mapping[str, Wanted]) -> DataFrame:
+    """Disjoint intervals of values per group and column: (_id, _low, _high, _below, _asked).
+
+    ``_below`` is the number of rows under the interval, ``_asked`` the percentiles that lie in it with their
+    positions.
+    """
+    keys = [*map(qcol, by), F.col("_c")]
+    counted = values.groupBy(*keys, _cell(F.col("_v")).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_k"), F.min("_v").alias("_from"), F.max("_v").alias("_to")
     )
-    group = Window.partitionBy(*map(qcol, by), F.col("_c"))
+    group = Window.partitionBy(*keys)
     running = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ran = counted.withColumns({"_n": F.sum("_k").over(group), "_upto": F.sum("_k").over(running)})
-    asked = [
-        F.when(
-            F.col("_c") == w.column, F.struct(F.lit(a).alias("_alias"), _position(w).alias("_position"))
-        )
-        for a, w in percentiles.items()
-    ]
-    first, last = F.floor("_position"), F.ceil("_position")
-    before, upto = F.col("_upto") - F.col("_k"), F.col("_upto")
-    holds = ((before <= first) & (first < upto)) | ((before <= last) & (last < upto))
-    return (
-        ran.select("*", F.inline(F.array_compact(F.array(*asked))))
-        .where(holds)
-        .groupBy(*map(qcol, by), "_alias")
+    asked = F.array(*[
+        F.struct(F.lit(columns.index(w.column)).alias("_of"), F.lit(i).alias("_alias"), _position(w).alias("_position"))
+        for i, w in enumerate(percentiles.values())
+    ])
+    before = F.col("_upto") - F.col("_k")
+    brackets = (
+        ran.select("*", F.inline(asked))
+        .where((F.col("_of") == F.col("_c")) & _holds(before, F.col("_upto"), F.col("_position")))
+        .groupBy(*keys, "_alias")
         .agg(
             F.max("_position").alias("_position"),
             F.min("_from").alias("_low"),
@@ -111,98 +147,56 @@ def _brackets(df: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted
             F.min(before).alias("_below"),
         )
     )
+    # An interval begins where a bracket lies above all those before it.
+    in_order = group.orderBy("_low", "_high", "_alias")
+    reach = F.max("_high").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(F.col("_low") <= F.col("_reach"), 0).otherwise(1)
+    numbered = brackets.withColumn("_reach", reach).withColumn(
+        "_id", F.sum(begins).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    return numbered.groupBy(*keys, "_id").agg(
+        F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"),
+        F.min("_below").alias("_below"),
+        F.collect_list(F.struct("_alias", "_position")).alias("_asked"),
+    )
 
 
-def _position(wanted: Wanted) -> Column:
-    n, fraction = F.col("_n"), F.lit(float(wanted.fraction))
-    if wanted.linear:
-        return (n - 1) * fraction
-    return (F.greatest(F.ceil(fraction * n), F.lit(1)) - 1).cast("double")
-
-
-def _located(
-    df: DataFrame, by: Sequence[str], percentiles: Mapping[str, Wanted], brackets: DataFrame
-) -> DataFrame:
-    """(by, _alias, _value): the values at the positions that the brackets surround."""
-    ends = ("_position", "_low", "_high", "_below")
-    per_group = brackets.groupBy(*map(qcol, by)).agg(
-        *[
-            F.max(F.when(F.col("_alias") == a, F.struct(*ends))).alias(f"_{i}")
-            for i, a in enumerate(percentiles)
-        ]
-    )
-    own = F.struct(*[F.col(f"_{i}") for i in range(len(percentiles))])
-    if by:
-        entries = F.collect_list(F.struct(F.struct(*map(qcol, by)).alias("key"), own.alias("value")))
-        held = F.element_at(per_group.agg(F.map_from_entries(entries)).scalar(), F.struct(*map(qcol, by)))
-    else:
-        held = per_group.select(own.alias("value")).scalar()
-
-    candidates = [
-        F.when(
-            _number(w.column).between(F.col(f"_held._{i}._low"), F.col(f"_held._{i}._high")),
-            F.struct(
-                F.lit(i).alias("_i"), _number(w.column).alias("_x"), *[F.col(f"_held._{i}.{e}").alias(e) for e in ends]
-            ),
-        )
-        for i, w in enumerate(percentiles.values())
-    ]
-    names = [*by, *sorted({w.column for w in percentiles.values()} - set(by))]
+def _located(values: DataFrame, by: Sequence[str], intervals: DataFrame) -> DataFrame:
+    """(by, _v, _at, _alias, _position): the values of the cells that hold a position, with the rows up to each."""
+    group = [*by, "_c"]
+    inside = F.col("_v").between(F.col("_low"), F.col("_high"))
+    width = F.col("_high") - F.col("_low")
+    even = F.floor((F.col("_v") - F.col("_low")) / width * F.lit(float(CELLS))).cast("int")
+    cell = F.when((width > 0) & (width < float("inf")), even).otherwise(0)
+    interval = [*map(qcol, group), F.col("_id")]
     counted = (
-        df.select(*map(qcol, names), held.alias("_held"))
-        .select(*map(qcol, by), F.inline(F.array_compact(F.array(*candidates))))
-        .groupBy(*map(qcol, by), "_i", "_x", *ends)
+        _null_safe(values, intervals.drop("_below", "_asked"), group, inside)
+        .groupBy(*interval, cell.alias("_cell"), "_v")
         .agg(F.count(F.lit(1)).alias("_k"))
     )
-    width, x = F.col("_high") - F.col("_low"), F.col("_x")
-    even = F.floor((x - F.col("_low")) / width * F.lit(float(CELLS))).cast("int")
-    celled = counted.select(
-        *map(qcol, by),
-        "_i",
-        "_x",
-        "_k",
-        F.when((width > 0) & (width < float("inf")), even).otherwise(0).alias("_cell"),
-        "_position",
-        "_below",
-    )
-    keys = [*by, "_i", "_cell"]
-    over = Window.partitionBy(*map(qcol, by), F.col("_i")).orderBy("_cell")
-    upto = F.col("_below") + F.sum("_n").over(over.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    first, last = F.floor("_position"), F.ceil("_position")
+    running = Window.partitionBy(*interval).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = counted.groupBy(*interval, "_cell").agg(F.sum("_k").alias("_n"))
+    before, upto = F.col("_below") + F.col("_upto") - F.col("_n"), F.col("_below") + F.col("_upto")
+    own = F.filter("_asked", lambda a: _holds(before, upto, a["_position"]))
+    ran = sums.select("*", F.sum("_n").over(running).alias("_upto"))
     holding = (
-        celled.groupBy(*map(qcol, keys), "_position", "_below")
-        .agg(F.sum("_k").alias("_n"))
-        .withColumn("_upto", upto)
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .where(
-            ((F.col("_before") <= first) & (first < F.col("_upto")))
-            | ((F.col("_before") <= last) & (last < F.col("_upto")))
-        )
-        .select(*map(qcol, keys), "_before")
+        _null_safe(ran, intervals.drop("_low", "_high"), [*group, "_id"])
+        .select(*interval, "_cell", before.alias("_before"), own.alias("_asked"))
+        .where(F.size("_asked") > 0)
     )
-    within = Window.partitionBy(*map(qcol, keys)).orderBy("_x")
-    at = F.col("_before") + F.sum("_k").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ends_found = (
-        _null_safe(celled, holding, keys)
-        .withColumn("_at", at)
-        .groupBy(*map(qcol, by), "_i", "_position")
-        .agg(
-            F.min(F.when(F.col("_at") > first, x)).alias("_from"),
-            F.min(F.when(F.col("_at") > last, x)).alias("_to"),
-        )
-    )
-    weight = F.col("_position") - first
-    between = F.col("_from") * (F.lit(1.0) - weight) + F.col("_to") * weight
-    return ends_found.select(
-        *map(qcol, by),
-        F.array(*map(F.lit, percentiles))[F.col("_i")].alias("_alias"),
-        F.when(F.col("_from") == F.col("_to"), F.col("_from")).otherwise(between).alias("_value"),
+    within = Window.partitionBy(*interval, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = F.col("_before") + F.sum("_k").over(within)
+    return (
+        _null_safe(counted, holding, [*group, "_id", "_cell"])
+        .select(*map(qcol, by), "_v", "_asked", at.alias("_at"))
+        .select(*map(qcol, by), "_v", "_at", F.inline("_asked"))
     )
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], test: Column | None = None) -> DataFrame:
     l, r = left.alias("l"), right.alias("r")
-    test = F.lit(True)
+    test = F.lit(True) if test is None else test
     for k in keys:
         test = test & F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`"))
     extra = [c for c in right.columns if c not in keys]

@@ -128,15 +128,24 @@ def consolidated_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.consolidated(_derived(spark, sf_dir), FLOW)
 
 
-def price_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact percentiles of a high-cardinality measure by the selection meant for large inputs."""
-    prices = _table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
+def _price_percentiles(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
+    prices = _table(spark, sf_dir, "lineitem").select(by, "l_extendedprice")
     wanted = {"mediana": percentiles.median("l_extendedprice")}
     wanted |= {
         f"p{p}": percentiles.nearest_rank("l_extendedprice", p / 100.0)
         for p in percentiles.THRESHOLD_PERCENTS
     }
-    return percentiles.select_percentiles(prices, ["l_returnflag"], wanted)
+    return percentiles.select_percentiles(prices, [by], wanted)
+
+
+def price_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles of a high-cardinality measure by the selection meant for large inputs."""
+    return _price_percentiles(spark, sf_dir, "l_returnflag")
+
+
+def part_price_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same percentiles for groups that grow with the table."""
+    return _price_percentiles(spark, sf_dir, "l_partkey")
 
 
 # --- sampling ------------------------------------------------------------------------------------
@@ -592,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "class_indicators": partial(_on_clean, groups.indicators),
     "consolidated_classes": consolidated_classes,
     "price_percentiles": price_percentiles,
+    "part_price_percentiles": part_price_percentiles,
     "flow_class_quotas": flow_class_quotas,
     "document_quotas": document_quotas,
     "document_sample": document_sample,

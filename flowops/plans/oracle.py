@@ -413,9 +413,12 @@ def oracle_sql() -> dict[str, str]:
             {r6('avg(total_flags)', 'media_total_flags')}, count(DISTINCT "Protocol Type") AS protocolos_distintos
             FROM derived GROUP BY "Label" """
         ),
-        "price_percentiles": "SELECT l_returnflag, median(l_extendedprice) AS mediana, "
-        + ", ".join(f"quantile_disc(l_extendedprice, {p / 100}) AS p{p}" for p in PERCENTS)
-        + " FROM lineitem GROUP BY l_returnflag",
+        **{
+            name: f"SELECT {by}, median(l_extendedprice) AS mediana, "
+            + ", ".join(f"quantile_disc(l_extendedprice, {p / 100}) AS p{p}" for p in PERCENTS)
+            + f" FROM lineitem GROUP BY {by}"
+            for name, by in (("price_percentiles", "l_returnflag"), ("part_price_percentiles", "l_partkey"))
+        },
         "flow_class_quotas": flows(
             """SELECT "Label", filas, CAST(1 + base + CASE WHEN row_number() OVER (ORDER BY rest DESC, "Label") <= spare - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS cuota FROM c2""",
             'c0 AS (SELECT "Label", count(*) AS filas FROM flows GROUP BY "Label")',

@@ -60,6 +60,36 @@ def test_selection_equals_brute_force(spark, rows):
                 assert math.isclose(got[g][k], v, rel_tol=1e-12, abs_tol=1e-12), (g, k)
 
 
+def test_intervals_too_many_to_broadcast(spark, rows):
+    """With many groups the intervals are shuffled to the values, with equal results."""
+    data = [(f"{r[0]}{i % 400}", *r[1:]) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(data, "g string, x double, y double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = p.select_percentiles(df, ["g"], WANTED)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+        got = {r["g"]: r for r in found.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    want = brute(data)
+    assert len(got) > 1000
+    for g, w in want.items():
+        if any(v is not None for v in w.values()):
+            assert all(v is None and got[g][k] is None or math.isclose(got[g][k], v, rel_tol=1e-12, abs_tol=1e-12) for k, v in w.items())
+
+
+def test_overlapping_brackets_are_one_interval(spark):
+    values = spark.createDataFrame([(0, float(v)) for v in range(1, 2001)], "_c int, _v double")
+    wanted = {f"p{i}": p.Wanted("x", 0.5 + i / 1e6, linear=i % 2 == 0) for i in range(6)} | {"top": p.nearest_rank("x", 0.99)}
+    found = p._intervals(values, [], ["x"], wanted).collect()
+    assert sorted(len(r["_asked"]) for r in found) == [1, 6]
+    ordered = sorted((r["_low"], r["_high"]) for r in found)
+    assert all(a[1] < b[0] for a, b in zip(ordered, ordered[1:]))
+
+
 @pytest.mark.parametrize("by", [["g"], []])
 def test_summary_joins_aggregates_and_percentiles(spark, rows, by):
     df = spark.createDataFrame(rows, "g string, x double, y double")
