@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowops.functions.columns import null_non_finite, pct, qcol, ratio, to_mb, traffic_type
 from flowops.operators.deriving import lookup
+from flowops.operators.duplicates import distinct_rows
 from flowops.operators.percentiles import Limits, group_summary, median
 from flowops.spec import Spec
 
@@ -317,25 +318,23 @@ def consolidated(df: DataFrame, spec: Spec) -> DataFrame:
 def indicators(df: DataFrame, spec: Spec) -> DataFrame:
     """25 indicators in five categories (categoria, metrica, valor_num, valor_txt).
 
-    One scan: whole rows collapse to distinct rows with copies, those to classes, and the classes to
-    the totals. The leading classes come from a bounded top-n of the class rows.
+    One scan of the measures gives the classes, and the classes the totals; repeated rows are counted by
+    digest. The leading classes come from a bounded top-n of the class rows.
     """
     flag_means = (spec.syn, spec.ack, spec.rst, spec.fin)
     summed = {
         "volumen": spec.size, "paquetes": spec.packets, "iat": spec.iat, "rate": spec.rate,
         **{f: f for f in flag_means},
     }
-    copies = df.groupBy(*map(qcol, df.columns)).agg(F.count(F.lit(1)).alias("_copies"))
-    classes = copies.groupBy(qcol(spec.label)).agg(
-        F.sum("_copies").alias("_rows"),
-        F.count(F.lit(1)).alias("_distinct"),
-        *[F.sum(qcol(c).cast("double") * F.col("_copies")).alias(f"_{n}") for n, c in summed.items()],
-        *[F.sum(F.when(qcol(c).isNotNull(), F.col("_copies"))).alias(f"_{n}_n") for n, c in summed.items()],
+    classes = df.groupBy(qcol(spec.label)).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(qcol(c).cast("double")).alias(f"_{n}") for n, c in summed.items()],
+        *[F.count(qcol(c)).alias(f"_{n}_n") for n, c in summed.items()],
     )
+    distinct = distinct_rows(df).select("distinct")
     label, rows = qcol(spec.label), F.col("_rows")
     totals = classes.agg(
         F.sum(rows).alias("total"),
-        F.sum("_distinct").alias("distintas"),
         F.count(label).alias("clases"),
         F.count_if(label != spec.benign).alias("ataques"),
         F.coalesce(F.sum(F.when(label == spec.benign, rows)), F.lit(0)).alias("benignos"),
@@ -354,7 +353,7 @@ def indicators(df: DataFrame, spec: Spec) -> DataFrame:
         )
         .select(F.struct("rows", "volume", F.col("first._label").alias("label"), F.col("first.n").alias("n")).alias("h"))
     )
-    t = totals.withColumn("h", head.scalar())
+    t = totals.withColumn("h", head.scalar()).withColumn("distintas", distinct.scalar())
     total, benign = F.col("total"), F.col("benignos")
     repeated = total - F.col("distintas")
     volume, packets = F.col("volumen"), F.col("paquetes")
@@ -364,6 +363,7 @@ def indicators(df: DataFrame, spec: Spec) -> DataFrame:
         return F.col(name) / F.nullif(F.col(f"{name}_n"), F.lit(0))
 
     syn, ack, rst, fin = map(mean, flag_means)
+    # Categories and names of the indicators.
     numbers = [
         ("poblacion", "total_registros", total),
         ("poblacion", "total_clases", F.col("clases")),

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from flowops.functions.columns import is_finite, is_infinite, pct, qcol
+from flowops.operators.duplicates import distinct_rows
 from flowops.operators.percentiles import Wanted, group_summary
 from flowops.spec import Spec
 
@@ -23,20 +24,16 @@ def _add(columns: list[Column]) -> Column:
 
 
 def validation(df: DataFrame, spec: Spec) -> DataFrame:
-    """Rows, columns, NULL cells, infinite cells and repeated rows in one record.
-
-    One scan and one shuffle: cells are counted per distinct row and weighted by its copies.
-    """
+    """Rows, columns, NULL cells, infinite cells and repeated rows in one record; rows are counted by digest."""
     nulls = _add([F.when(qcol(c).isNull(), 1).otherwise(0) for c in spec.columns])
     infinite = _add([F.when(is_infinite(qcol(c)), 1).otherwise(0) for c in spec.floats])
-    distinct = df.groupBy(*map(qcol, spec.columns)).agg(F.count(F.lit(1)).alias("_copies"))
-    total = F.coalesce(F.sum("_copies"), F.lit(0))
-    return distinct.agg(
-        total.alias("registros"),
+    counts = distinct_rows(df, spec.columns, {"nulos": nulls, "infinitos": infinite})
+    return counts.select(
+        F.col("rows").alias("registros"),
         F.lit(len(spec.columns)).cast("bigint").alias("columnas"),
-        F.coalesce(F.sum(F.col("_copies") * nulls), F.lit(0)).alias("nulos"),
-        F.coalesce(F.sum(F.col("_copies") * infinite), F.lit(0)).alias("infinitos"),
-        (total - F.count(F.lit(1))).alias("duplicados"),
+        "nulos",
+        "infinitos",
+        (F.col("rows") - F.col("distinct")).alias("duplicados"),
     )
 
 
