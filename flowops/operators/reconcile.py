@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from flowops.functions.columns import is_finite, qcol
 
@@ -43,11 +43,11 @@ def reconcile(
     absolute: float = ABSOLUTE,
     relative: float = RELATIVE,
 ) -> DataFrame:
-    """Cells that differ beyond tolerance, missing and extra rows, and repeated keys.
+    """Cells that differ beyond tolerance, and missing and extra rows.
 
-    Columns: the keys, columna, esperado, actual, estado. Both tables are stacked and grouped by
-    key, one shuffle in which NULL keys match; a key that occurs twice on one side is reported and
-    its cells are not paired.
+    Columns: the keys, columna, esperado, actual, estado. Both tables are stacked, so NULL keys match. Rows of
+    equal keys are compared as multisets: rows equal in every cell cancel, map side first, and what is left of
+    a key is paired by rank over all cells, numbers by value. Rows without a partner are missing or extra.
     """
     odd = header_difference(expected, actual)
     if odd:
@@ -58,21 +58,36 @@ def reconcile(
         return df.select(
             *[qcol(k) for k in keys],
             F.lit(tag).alias("_side"),
-            *[qcol(c).cast("string").alias(c) for c in cells],
+            F.array(*[F.coalesce(qcol(c).cast("string"), F.lit("")) for c in cells]).cast("array<string>").alias("_cells"),
         )
 
-    def of(tag: int, c: str) -> Column:
-        return F.first(F.when(F.col("_side") == tag, F.struct(qcol(c))), ignorenulls=True)
+    def of(tag: int) -> Column:
+        return F.first(F.when(F.col("_side") == tag, F.col("_cells")), ignorenulls=True)
 
-    paired = (
+    surplus = F.col("_a") - F.col("_b")
+    left = (
         side(expected, 0)
         .unionByName(side(actual, 1))
-        .groupBy(*[qcol(k) for k in keys])
+        .groupBy(*[qcol(k) for k in keys], "_cells")
+        .agg(F.count_if(F.col("_side") == 0).alias("_a"), F.count_if(F.col("_side") == 1).alias("_b"))
+        .where(surplus != 0)
+        .select(
+            *[qcol(k) for k in keys],
+            F.when(surplus > 0, 0).otherwise(1).alias("_side"),
+            "_cells",
+            F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs(surplus))).alias("_copy"),
+        )
+    )
+    by_value = F.transform("_cells", lambda c: F.struct(c.try_cast("double").alias("n"), c.alias("t")))
+    rank = Window.partitionBy(*[qcol(k) for k in keys], F.col("_side")).orderBy(by_value, "_copy")
+    paired = (
+        left.withColumn("_rank", F.row_number().over(rank))
+        .groupBy(*[qcol(k) for k in keys], "_rank")
         .agg(
             F.count_if(F.col("_side") == 0).alias("_a"),
             F.count_if(F.col("_side") == 1).alias("_b"),
-            *[of(0, c).getField(c).alias(f"a_{i}") for i, c in enumerate(cells)],
-            *[of(1, c).getField(c).alias(f"b_{i}") for i, c in enumerate(cells)],
+            of(0).alias("_x"),
+            of(1).alias("_y"),
         )
     )
     nothing = F.lit(None).cast("string")
@@ -87,15 +102,13 @@ def reconcile(
         )
 
     a, b = F.col("_a"), F.col("_b")
-    single = (a == 1) & (b == 1)
     found = [
         problem(b == 0, nothing, nothing, nothing, "falta"),
         problem(a == 0, nothing, nothing, nothing, "sobra"),
-        problem((a > 1) | (b > 1), nothing, a.cast("string"), b.cast("string"), "clave_repetida"),
         *[
             problem(
-                single & ~same_value(F.col(f"a_{i}"), F.col(f"b_{i}"), absolute, relative),
-                F.lit(c), F.col(f"a_{i}"), F.col(f"b_{i}"), "distinta",
+                (a == 1) & (b == 1) & ~same_value(F.col("_x")[i], F.col("_y")[i], absolute, relative),
+                F.lit(c), F.col("_x")[i], F.col("_y")[i], "distinta",
             )
             for i, c in enumerate(cells)
         ],

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from flowops.functions.columns import is_null_marker, pct, qcol
 from flowops.operators.cleaning import NULL_MARKERS
+from flowops.session import written
 
 WHOLE = "decimal(38,0)"
 # Two bytes of the hash: 65,536 buckets per stratum.
@@ -92,6 +93,63 @@ def file_quotas(
     )
 
 
+def capped_quotas(
+    groups: DataFrame,
+    target: int | Column,
+    weight: str,
+    capacity: str,
+    ties: Sequence[str],
+    minimum: int | str = 0,
+    within: Sequence[str] = (),
+) -> DataFrame:
+    """Adds ``cuota``: ``target`` units in proportion to any weights, none above its capacity.
+
+    Every stratum (one row each, inside each ``within``) gets its minimum first. Where a share would reach the
+    room that is left, the stratum is filled and the rest is shared anew, which ends at one level of units per
+    weight; it is found by break points: in order of room per weight, a stratum is full if sharing what the
+    earlier ones leave would reach its room. Remainders go to the largest, ties in order of ``ties``. Strata
+    of weight 0 get units only once all others are full, one each in turn. Exact for sizes and weights up to 10**12.
+    """
+    scope = Window.partitionBy(*map(qcol, within))
+    least = qcol(minimum) if isinstance(minimum, str) else F.lit(minimum)
+    sized = groups.withColumns(
+        {"_w": qcol(weight).cast(WHOLE), "_least": least.cast(WHOLE), "_cap": qcol(capacity).cast(WHOLE), "_goal": F.lit(target).cast(WHOLE)}
+    )
+    most = F.lit(10**12)
+    guards = [
+        _fail_if((F.col("_w") < 0) | (F.col("_cap") < 0) | (F.col("_least") < 0), "weights, capacities and minimums cannot be negative"),
+        _fail_if((F.col("_w") > most) | (F.col("_cap") > most), "weights and capacities above 10**12 cannot be shared exactly"),
+        _fail_if(F.col("_least") > F.col("_cap"), "a minimum is above its capacity"),
+        _fail_if(F.sum("_least").over(scope) > F.col("_goal"), "the target is below the sum of the minimums"),
+        _fail_if(F.sum("_cap").over(scope) < F.col("_goal"), "the capacities are below the target"),
+    ]
+    room = (F.coalesce(*guards, F.col("_cap")) - F.col("_least")).cast(WHOLE)
+    rest = F.col("_goal") - F.sum("_least").over(scope)
+    roomy = sized.select("*", room.alias("_room"), rest.cast(WHOLE).alias("_rest_all"))
+    first = F.least("_rest_all", F.coalesce(F.sum(F.when(F.col("_w") > 0, F.col("_room"))).over(scope), F.lit(0)))
+    tiers = roomy.select("*", (F.col("_w") == 0).alias("_tier"), F.greatest("_w", F.lit(1)).cast(WHOLE).alias("_v"), first.cast(WHOLE).alias("_first"))
+    share = F.when(F.col("_tier"), F.col("_rest_all") - F.col("_first")).otherwise(F.col("_first")).cast(WHOLE)
+    # Room per weight as three whole numbers, the fraction to 24 digits.
+    parts = tiers.select("*", share.alias("_share"), F.expr("_room div _v").alias("_q1"), F.expr("CAST((_room % _v) * 1000000000000 AS decimal(38,0))").alias("_r1"))
+    parts = parts.select("*", F.expr("_r1 div _v").alias("_q2"), F.expr("CAST((_r1 % _v) * 1000000000000 AS decimal(38,0)) div _v").alias("_q3"))
+    own = [*map(qcol, within), F.col("_tier")]
+    filling = Window.partitionBy(*own).orderBy("_q1", "_q2", "_q3", *map(qcol, ties))
+    earlier = filling.rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.select(
+        "*",
+        F.coalesce(F.sum("_room").over(earlier), F.lit(0)).cast(WHOLE).alias("_full"),
+        (F.sum("_v").over(Window.partitionBy(*own)) - F.coalesce(F.sum("_v").over(earlier), F.lit(0))).cast(WHOLE).alias("_open"),
+    )
+    reaches = F.expr("CAST((_share - _full) * _v AS decimal(38,0)) >= CAST(_room * _open AS decimal(38,0))")
+    until = filling.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    capped = before.select("*", F.min(reaches).over(until).alias("_capped"))
+    left = F.col("_share") - F.coalesce(F.sum(F.when(F.col("_capped"), F.col("_room"))).over(Window.partitionBy(*own)), F.lit(0))
+    free = F.when(F.col("_capped"), 0).otherwise(F.col("_v"))
+    split = _largest_remainder(capped.withColumn("_left_all", left), F.col("_left_all"), free, [*within, "_tier"], [*map(qcol, ties)])
+    units = F.col("_least") + F.when(F.col("_capped"), F.col("_room")).otherwise(F.col("_units"))
+    return split.select(*[qcol(c) for c in groups.columns], units.cast("bigint").alias("cuota"))
+
+
 def two_level_quotas(df: DataFrame, target: int | Column, label: str, file: str) -> DataFrame:
     """Class quotas, then file quotas, from one count of the rows per file."""
     files = strata_counts(df, [label, file])
@@ -109,45 +167,59 @@ def stratified_sample(
 ) -> DataFrame:
     """Exactly ``cuota`` whole rows of every stratum: those with the smallest hash of seed and key.
 
-    No stratum is in one task. Rows are counted per hash bucket, which map-side aggregation shrinks to
-    at most 65,536 rows per stratum; their running count names the bucket where the quota is reached.
-    Rows of earlier buckets then only pass a filter, and those of that one bucket are ranked.
-    ``few_strata`` sends the cuts to every task and fails beyond ``FEW_STRATA`` strata; without it they
+    No stratum is in one task, and whole rows are read once. Strata, keys and hashes alone decide: rows are
+    counted per hash bucket, which map-side aggregation shrinks to at most 65,536 rows per stratum; their
+    running count names the bucket where the quota is reached, and ranks inside it give the last hash and key
+    that belong to the sample. These bounds are written as a table, and a whole row only passes a comparison.
+    Where rows of one key straddle the bound, those of that key are ranked by all their columns.
+    ``few_strata`` sends the bounds to every task and fails beyond ``FEW_STRATA`` strata; without it they
     are joined by a shuffle.
     """
-    hashed = df.withColumn(
-        "_hash", F.md5(F.concat_ws("|", F.lit(str(seed)), *[qcol(k).cast("string") for k in key]))
-    ).withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+    place = F.struct(
+        F.md5(F.concat_ws("|", F.lit(str(seed)), *[qcol(k).cast("string") for k in key])).alias("h"),
+        *[qcol(k).alias(f"k{i}") for i, k in enumerate(key)],
+    )
     columns = [qcol(c) for c in strata]
+    keyed = df.select(*columns, place.alias("_place")).withColumn("_bucket", F.substring("_place.h", 1, BUCKET_DIGITS))
     order = Window.partitionBy(*columns).orderBy("_bucket")
-    filled = hashed.groupBy(*columns, "_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+    filled = keyed.groupBy(*columns, "_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn(
         "_upto", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
     wanted = quotas.select(*columns, F.col("cuota").alias("_quota"))
-    cuts = (
+    buckets = (
         _join_strata(filled, wanted, strata)
         .where((F.col("_upto") - F.col("_n") < F.col("_quota")) & (F.col("_upto") >= F.col("_quota")))
-        .select(
-            *columns,
-            F.col("_bucket").alias("_cut"),
-            (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take"),
-        )
+        .select(*columns, F.col("_bucket").alias("_cut"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_take"))
     )
-    if few_strata:
-        strata_found = F.count(F.lit(1)).over(Window.partitionBy())
-        many = _fail_if(strata_found > FEW_STRATA, "too many strata to be sent to every task")
-        cuts = F.broadcast(cuts.withColumn("_take", F.coalesce(many, F.col("_take"))))
-    placed = _join_strata(hashed, cuts, strata)
-    rank = Window.partitionBy(*columns).orderBy(F.col("_hash"), *[qcol(k).asc() for k in key])
-    own = [qcol(c) for c in df.columns]
-    earlier = placed.where(F.col("_bucket") < F.col("_cut")).select(*own)
-    last = (
-        placed.where(F.col("_bucket") == F.col("_cut"))
-        .withColumn("_rank", F.row_number().over(rank))
-        .where(F.col("_rank") <= F.col("_take"))
-        .select(*own)
+    rank = Window.partitionBy(*columns).orderBy("_place")
+    inside = _join_strata(keyed, buckets, strata).where(F.col("_bucket") == F.col("_cut"))
+    ranked = inside.select(*columns, "_place", "_take", F.row_number().over(rank).alias("_rank"))
+    ends = ranked.groupBy(*columns).agg(
+        F.max(F.when(F.col("_rank") <= F.col("_take"), F.col("_place"))).alias("_last"), F.max("_take").alias("_take")
     )
-    return earlier.unionByName(last)
+    # Of the rows that equal the last place, so many belong to the sample and so many are there.
+    at_end = _join_strata(ranked.drop("_take"), ends, strata).where(F.col("_place") == F.col("_last"))
+    bounds = written(
+        at_end.groupBy(*columns).agg(
+            F.max("_last").alias("_last"),
+            F.sum(F.when(F.col("_rank") <= F.col("_take"), 1)).alias("_wanted"),
+            F.count(F.lit(1)).alias("_there"),
+        ),
+        "bounds",
+    )
+    if few_strata and bounds.limit(FEW_STRATA + 1).count() > FEW_STRATA:
+        raise ValueError("too many strata to be sent to every task")
+    cuts = F.broadcast(bounds) if few_strata else bounds
+    own = [qcol(c) for c in df.columns]
+    placed = _join_strata(df.withColumn("_place", place), cuts, strata)
+    straddles = bounds.where("_wanted < _there")
+    if straddles.isEmpty():
+        return placed.where(F.col("_place") <= F.col("_last")).select(*own)
+    whole = placed.where((F.col("_place") < F.col("_last")) | (F.col("_place") == F.col("_last")) & (F.col("_wanted") == F.col("_there")))
+    tied = placed.where((F.col("_place") == F.col("_last")) & (F.col("_wanted") < F.col("_there")))
+    texts = F.struct(*[c.cast("string") for c in own])
+    chosen = tied.withColumn("_rank", F.row_number().over(Window.partitionBy(*columns).orderBy(texts)))
+    return whole.select(*own).unionByName(chosen.where("_rank <= _wanted").select(*own))
 
 
 def _join_strata(left: DataFrame, right: DataFrame, strata: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from flowops.operators import (
 )
 from flowops.plans.flow_view import THRESHOLD_COLUMNS, kept, read_clean, read_flows, read_limits
 from flowops.session import scratch_path, tune
-from flowops.sources import checked, files, sinks
+from flowops.sources import checked, files, records, sinks
 from flowops.spec import FLOW, LABEL_FAMILY, Spec, family_dimension, protocol_dimension
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,6 +166,23 @@ def document_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.two_level_quotas(documents, _tenth(documents), "lang", "source")
 
 
+def capped_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter and two thirds of the events, shared by users in proportion to their purchases beyond fourteen.
+
+    No user gives more events than there are; users without such purchases give theirs last.
+    """
+    events = _table(spark, sf_dir, "events")
+    users = events.groupBy("user_id").agg(
+        F.greatest(F.count_if(F.col("event_type") == "purchase") - 14, F.lit(0)).alias("peso"), F.count(F.lit(1)).alias("eventos")
+    )
+    targets = {"cuarto": _tenth(events, 4), "dos_tercios": F.lit(2) * _tenth(events, 3)}
+    found = [
+        sampling.capped_quotas(users, target, "peso", "eventos", ["user_id"]).withColumn("muestra", F.lit(name))
+        for name, target in targets.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 def _document_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return sampling.stratified_sample(
@@ -265,7 +282,7 @@ def published_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "published")
     sinks.publish(sample, checks, path)
-    return spark.read.parquet(path)
+    return sinks.read_published(spark, path)
 
 
 def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,16 +307,30 @@ def total_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordering.total_sort(ordering.fixed_width_records(read_flows(spark, sf_dir), FLOW))
 
 
+def _contiguous(spark: SparkSession, sf_dir: str) -> str:
+    return kept(spark, sf_dir, "contiguous", lambda path: records.write_contiguous(total_sort(spark, sf_dir), path))
+
+
 def sort_order_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sorts written, read back and checked file by file."""
+    """Sorts written as lines and as contiguous records, read back and checked file by file."""
     pair_path, record_path = scratch_path(spark, "sorted"), scratch_path(spark, "records")
     sinks.write_lines(secondary_sort(spark, sf_dir), pair_path)
     sinks.write_records(total_sort(spark, sf_dir), record_path)
-    pairs = ordering.order_check(files.read_sorted_pairs(spark, pair_path, True), ["protocol", "rate"], files.PLACE)
-    records = ordering.order_check(files.read_record_lines(spark, record_path, True), ["key"], files.PLACE)
-    return pairs.withColumn("trabajo", F.lit("secondarysort")).unionByName(
-        records.withColumn("trabajo", F.lit("terasort"))
-    )
+    outputs = {
+        "secondarysort": (files.read_sorted_pairs(spark, pair_path, True), ["protocol", "rate"]),
+        "terasort": (files.read_record_lines(spark, record_path, True), ["key"]),
+        "terasort_contiguo": (records.read_contiguous(spark, _contiguous(spark, sf_dir)), ["key"]),
+    }
+    found = [
+        ordering.order_check(df, by, files.PLACE).withColumn("trabajo", F.lit(name)) for name, (df, by) in outputs.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def sort_partition_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part of the contiguous sort against the cut points stored beside it."""
+    path = _contiguous(spark, sf_dir)
+    return records.partition_check(records.read_contiguous(spark, path), path)
 
 
 # --- comparing results ---------------------------------------------------------------------------
@@ -329,6 +360,17 @@ def reconcile_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.reconcile(base, changed, [FLOW.label, FLOW.protocol])
 
 
+def reconcile_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines without their number, so keys and whole rows repeat, against a copy that lacks and changes some."""
+    lines = _table(spark, sf_dir, "lineitem")
+    order, amount = F.col("l_orderkey"), F.col("l_quantity").cast("bigint")
+    base = lines.select("l_orderkey", amount.alias("cantidad"), "l_returnflag")
+    changed = lines.where(~((order % 97 == 3) & (F.col("l_linenumber") == 1))).select(
+        "l_orderkey", (amount + F.when(order % 89 == 5, 1).otherwise(0)).alias("cantidad"), "l_returnflag"
+    )
+    return reconcile.reconcile(base, changed, ["l_orderkey"])
+
+
 def label_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of the dimension against the labels found, one of each renamed."""
     found = read_flows(spark, sf_dir).select(FLOW.label).distinct()
@@ -604,6 +646,7 @@ QUERIES: dict[str, Query] = {
     "part_price_percentiles": part_price_percentiles,
     "flow_class_quotas": flow_class_quotas,
     "document_quotas": document_quotas,
+    "capped_quotas": capped_quotas,
     "document_sample": document_sample,
     "sample_checks": sample_checks,
     "sample_vs_population": sample_vs_population,
@@ -617,7 +660,9 @@ QUERIES: dict[str, Query] = {
     "secondary_sort": secondary_sort,
     "total_sort": total_sort,
     "sort_order_check": sort_order_check,
+    "sort_partition_check": sort_partition_check,
     "reconcile_cells": reconcile_cells,
+    "reconcile_repeated": reconcile_repeated,
     "label_difference": label_difference,
     "summary_difference": summary_difference,
     "flow_expectations": flow_expectations,

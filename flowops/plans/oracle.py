@@ -291,6 +291,35 @@ def _nullable_count(expr: str, name: str) -> str:
     return f'nullif({expr}, 0) AS "{name}"'
 
 
+# Users of positive weight share first, those of weight 0 what is left; inside a tier by break points of room per weight.
+CAPPED = """WITH users AS (
+  SELECT user_id, greatest(count(*) FILTER (event_type = 'purchase') - 14, 0) AS peso, count(*) AS eventos FROM events GROUP BY user_id
+), goals AS (
+  SELECT 'cuarto' AS muestra, count(*) // 4 AS goal FROM events UNION ALL SELECT 'dos_tercios', 2 * (count(*) // 3) FROM events
+), tiers AS (
+  SELECT *, peso = 0 AS tier, CAST(greatest(peso, 1) AS HUGEINT) AS v, CAST(eventos AS HUGEINT) AS room,
+    CAST(least(goal, coalesce(sum(eventos) FILTER (peso > 0) OVER (PARTITION BY muestra), 0)) AS HUGEINT) AS first
+  FROM users, goals
+), shares AS (
+  SELECT *, CASE WHEN tier THEN goal - first ELSE first END AS share FROM tiers
+), points AS (
+  SELECT *, coalesce(sum(room) OVER w, 0) AS filled, sum(v) OVER (PARTITION BY muestra, tier) - coalesce(sum(v) OVER w, 0) AS open FROM shares
+  WINDOW w AS (PARTITION BY muestra, tier ORDER BY room / v, user_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), reached AS (
+  SELECT *, min(CASE WHEN (share - filled) * v >= room * open THEN 1 ELSE 0 END) OVER (PARTITION BY muestra, tier ORDER BY room / v, user_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 AS capped FROM points
+), rest AS (
+  SELECT *, share - coalesce(sum(room) FILTER (capped) OVER (PARTITION BY muestra, tier), 0) AS remaining,
+    CASE WHEN capped THEN 0 ELSE v END AS free FROM reached
+), weighed AS (
+  SELECT *, sum(free) OVER (PARTITION BY muestra, tier) AS total FROM rest
+), floors AS (
+  SELECT *, CASE WHEN total > 0 THEN remaining * free // total ELSE 0 END AS base, CASE WHEN total > 0 THEN remaining * free % total ELSE 0 END AS frac FROM weighed
+), placed AS (
+  SELECT *, remaining - sum(base) OVER (PARTITION BY muestra, tier) AS over, row_number() OVER (PARTITION BY muestra, tier ORDER BY frac DESC, user_id) AS n FROM floors
+)
+SELECT user_id, peso, eventos, CAST(CASE WHEN capped THEN room ELSE base + CASE WHEN n <= over THEN 1 ELSE 0 END END AS BIGINT) AS cuota, muestra FROM placed"""
+
 INVENTORY = """SELECT "Label", CAST(sum(r) AS BIGINT) AS filas, CAST(sum(o) AS BIGINT) AS rechazadas, CAST(sum(v) AS BIGINT) AS archivos_vacios,
     CAST(0 AS BIGINT) AS archivos_malos FROM (
     SELECT "Label", 1 AS r, CASE WHEN "Rate" = 'inf' THEN 1 ELSE 0 END AS o, 0 AS v FROM flows
@@ -426,6 +455,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(filas - 1 AS HUGEINT) AS w, CAST(sum(filas - 1) OVER () AS HUGEINT) AS total FROM c0)""",
             "c2 AS (SELECT *, spare * w // total AS base, spare * w % total AS rest FROM c1)",
         ),
+        "capped_quotas": CAPPED,
         "document_quotas": sampled("SELECT lang, source, filas, cuota FROM quotas"),
         "document_sample": sampled("SELECT * FROM sample"),
         "published_sample": sampled("SELECT * FROM sample"),
@@ -486,9 +516,23 @@ def oracle_sql() -> dict[str, str]:
         ),
         "sort_order_check": flows(
             """SELECT count(*) AS filas, CAST(0 AS BIGINT) AS descensos_internos, CAST(0 AS BIGINT) AS descensos_entre_partes,
-            true AS ordenado, trabajo FROM flows, (VALUES ('secondarysort'), ('terasort')) AS j(trabajo)
+            true AS ordenado, trabajo FROM flows, (VALUES ('secondarysort'), ('terasort'), ('terasort_contiguo')) AS j(trabajo)
             WHERE isfinite("Rate") GROUP BY trabajo"""
         ),
+        "sort_partition_check": flows(
+            """SELECT count(*) AS registros, CAST(0 AS BIGINT) AS fuera, true AS ok FROM flows WHERE isfinite("Rate")"""
+        ),
+        "reconcile_repeated": """WITH a AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS q, l_returnflag AS f FROM lineitem),
+          b AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) + CASE WHEN l_orderkey % 89 = 5 THEN 1 ELSE 0 END AS q, l_returnflag AS f
+            FROM lineitem WHERE NOT (l_orderkey % 97 = 3 AND l_linenumber = 1)),
+          x AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY q, f) AS r FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)),
+          y AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY q, f) AS r FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)),
+          j AS (SELECT coalesce(x.l_orderkey, y.l_orderkey) AS l_orderkey, x.q AS xq, y.q AS yq, x.f AS xf, y.f AS yf,
+            x.r IS NULL AS extra, y.r IS NULL AS gone FROM x FULL OUTER JOIN y ON x.l_orderkey = y.l_orderkey AND x.r = y.r)
+          SELECT l_orderkey, CAST(NULL AS VARCHAR) AS columna, CAST(NULL AS VARCHAR) AS esperado, CAST(NULL AS VARCHAR) AS actual, 'falta' AS estado FROM j WHERE gone
+          UNION ALL SELECT l_orderkey, NULL, NULL, NULL, 'sobra' FROM j WHERE extra
+          UNION ALL SELECT l_orderkey, 'cantidad', CAST(xq AS VARCHAR), CAST(yq AS VARCHAR), 'distinta' FROM j WHERE xq <> yq
+          UNION ALL SELECT l_orderkey, 'l_returnflag', xf, yf, 'distinta' FROM j WHERE xf <> yf""",
         "reconcile_cells": flows(
             """SELECT "Label", "Protocol Type", d.c AS columna, d.e AS esperado, d.v AS actual, d.s AS estado FROM (
             SELECT coalesce(a."Label", b."Label") AS "Label", coalesce(a."Protocol Type", b."Protocol Type") AS "Protocol Type",

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Iterable, Iterator
+from fnmatch import fnmatch
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from flowops.functions.columns import qcol
 from flowops.spec import Spec
 
+# Bytes of a file that are hashed at once.
+HASH_BYTES = 4 << 20
+
 # The directory that holds the benign class, and the widths of a fixed-width record.
 BENIGN_DIRECTORY = "Benign_Final"
 KEY_BYTES = 10
@@ -164,16 +171,6 @@ def read_record_lines(spark: SparkSession, path: str, placed: bool = False) -> D
     )
 
 
-def read_fixed_width(spark: SparkSession, path: str) -> DataFrame:
-    """Contiguous 100-byte records as key and payload."""
-    blocks = spark.sparkContext.binaryRecords(path, RECORD_BYTES).map(lambda b: (bytearray(b),))
-    text = F.decode(F.col("record"), "US-ASCII")
-    return spark.createDataFrame(blocks, "record binary").select(
-        F.substring(text, 1, KEY_BYTES).alias("key"),
-        F.substring(text, KEY_BYTES + 1, RECORD_BYTES - KEY_BYTES).alias("payload"),
-    )
-
-
 def content_manifest(df: DataFrame, name: str, content: str) -> DataFrame:
     """Name, size in bytes and SHA-256 of the contents a table holds, one row each."""
     data = F.coalesce(qcol(content).cast("binary"), F.lit("").cast("binary"))
@@ -183,18 +180,29 @@ def content_manifest(df: DataFrame, name: str, content: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, path: str, suffix: str = "*") -> DataFrame:
-    """Path relative to ``path``, size and SHA-256 of every file below it.
+    """Path relative to ``path``, size and SHA-256 of every file below it, empty ones included.
 
-    For result files: a file is held whole in one row, so it must be smaller than 2 GB.
+    A digest is sequential, so a file is one task's, which streams it in blocks through ``pyarrow.fs`` and holds
+    one block, however large the file is. Only names and sizes are listed on the driver.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter=suffix)
-        .load(path)
-    )
-    root = path.rstrip("/").split(":", 1)[-1].lstrip("/")
-    return files.select(
-        F.regexp_replace(F.substring_index("path", root, -1), "^/", "").alias("ruta"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
-    )
+    store, root = pa.fs.FileSystem.from_uri(path)
+    listing = store.get_file_info(pa.fs.FileSelector(root, recursive=True))
+    chosen = [i for i in listing if i.is_file and fnmatch(i.base_name, suffix) and not i.base_name.startswith(".")]
+    below = len(root.rstrip("/")) + 1
+    rows = [(i.path, i.path[below:], i.size) for i in chosen]
+    files = spark.createDataFrame(rows, "path string, ruta string, bytes bigint")
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system = pa.fs.FileSystem.from_uri(path)[0]
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                digest = hashlib.sha256()
+                with system.open_input_stream(row.column("path")[0].as_py()) as stream:
+                    while block := stream.read(HASH_BYTES):
+                        digest.update(block)
+                named = [row.column("ruta"), row.column("bytes"), pa.array([digest.hexdigest()])]
+                yield pa.RecordBatch.from_arrays(named, names=["ruta", "bytes", "sha256"])
+
+    spread = files.repartition(spark.sparkContext.defaultParallelism, "path")
+    return spread.mapInArrow(digests, "ruta string, bytes bigint, sha256 string")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from flowops.functions.columns import decimal_text, is_finite, qcol, round_decimals
 
+# Fixed value: the mark of a whole output.
+DONE = "_SUCCESS"
+
 
 def as_text(df: DataFrame, decimals: int = 6) -> DataFrame:
     """Every cell as the text the CSV contract asks for.
@@ -81,11 +86,35 @@ def write_records(df: DataFrame, path: str) -> None:
 
 
 def publish(df: DataFrame, checks: DataFrame, path: str) -> None:
-    """Write only when every check holds. Spark's commit makes the folder appear complete or not at all."""
+    """Write only when every check holds, beside the target; the whole folder then gets its name in one step.
+
+    A write that fails leaves nothing at the target and no draft, and a target that is there is not touched.
+    """
     failed = [r["comprobacion"] for r in checks.where(~F.col("ok")).select("comprobacion").collect()]
     if failed:
         raise ValueError(f"not published, failed checks: {failed}")
-    df.write.parquet(path)
+    context = df.sparkSession.sparkContext
+    named = context._jvm.org.apache.hadoop.fs.Path
+    target, draft = path.rstrip("/"), f"{path.rstrip('/')}.partial-{uuid.uuid4().hex}"
+    store = named(target).getFileSystem(context._jsc.hadoopConfiguration())
+    if store.exists(named(target)):
+        raise FileExistsError(f"already published: {target}")
+    try:
+        df.write.parquet(draft)
+        if not store.exists(named(draft, DONE)):
+            raise OSError(f"no {DONE} in {draft}")
+        if not store.rename(named(draft), named(target)):
+            raise OSError(f"{draft} could not be renamed")
+    finally:
+        store.delete(named(draft), True)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """A folder that carries the mark of a whole output; any other fails."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path, DONE)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        raise FileNotFoundError(f"no {DONE} in {path}")
+    return spark.read.parquet(path)
 
 
 def write_thresholds(limits: DataFrame, path: str) -> None:

@@ -23,12 +23,21 @@ def test_reconcile(spark):
     }
 
 
-def test_reconcile_reports_repeated_keys_and_headers(spark):
-    a = spark.createDataFrame([("k", 1), ("k", 2)], "k string, v int")
-    b = spark.createDataFrame([("k", 1)], "k string, v int")
-    assert [r["estado"] for r in reconcile.reconcile(a, b, ["k"]).collect()] == ["clave_repetida"]
+def test_reconcile_pairs_repeated_keys_as_multisets(spark):
+    schema = "k string, v double, t string"
+    base = [("k", 1.0, "a"), ("k", 1.0, "a"), ("k", 9.0, "b"), ("k", 10.0, "b"), ("m", 1.0, None), ("m", 1.0, None), (None, 3.0, "n"), (None, 3.0, "n")]
+    other = [("k", 10.0, "b"), ("k", 1.0, "a"), ("k", 9.0 + 1e-7, "b"), ("k", 2.0, "a"), ("m", 1.0, ""), (None, 3.0, "n"), (None, 3.0, "n"), (None, 4.0, "n")]
+    got = reconcile.reconcile(spark.createDataFrame(base, schema), spark.createDataFrame(other, schema), ["k"]).collect()
+    # One copy of (1.0, a) is left against (2.0, a); 9 is near enough; a copy of m is missing; a NULL key has one row more.
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [("k", "v", "1.0", "2.0", "distinta"), ("m", None, None, None, "falta"), (None, None, None, None, "sobra")], key=str
+    )
+
+
+def test_reconcile_needs_equal_headers(spark):
+    a = spark.createDataFrame([("k", 1)], "k string, v int")
     with pytest.raises(ValueError, match="headers differ"):
-        reconcile.reconcile(a, b.withColumnRenamed("v", "w"), ["k"])
+        reconcile.reconcile(a, a.withColumnRenamed("v", "w"), ["k"])
 
 
 def test_set_difference(spark):
@@ -143,22 +152,44 @@ def test_sort_outputs(spark, tmp_path):
     _write(tmp_path, "part-r-00000", "------------------------------------------------\n6\t10\n6\t11\n")
     got = [tuple(r) for r in files.read_sorted_pairs(spark, str(tmp_path / "part-r-00000")).collect()]
     assert got == [(6, 10), (6, 11)]
-    records = [f"{k:010d}".encode() + b"XSS|6".ljust(90) for k in (3, 14)]
-    with open(tmp_path / "tera.bin", "wb") as f:
-        f.write(b"".join(records))
-    rows = files.read_fixed_width(spark, str(tmp_path / "tera.bin")).collect()
-    assert [r["key"] for r in rows] == ["0000000003", "0000000014"]
-    assert all(len(r["payload"]) == 90 for r in rows)
 
 
 def test_publish_only_after_checks(spark, tmp_path):
     df = spark.range(3)
     failed = spark.createDataFrame([("filas", False)], "comprobacion string, ok boolean")
+    passed = failed.withColumn("ok", F.lit(True))
     with pytest.raises(ValueError, match="failed checks"):
         sinks.publish(df, failed, str(tmp_path / "no"))
-    assert not os.path.exists(tmp_path / "no")
-    sinks.publish(df, failed.withColumn("ok", F.lit(True)), str(tmp_path / "yes"))
-    assert os.path.exists(tmp_path / "yes" / "_SUCCESS")
+    assert os.listdir(tmp_path) == []
+    sinks.publish(df, passed, str(tmp_path / "yes"))
+    assert sinks.read_published(spark, str(tmp_path / "yes")).count() == 3
+    with pytest.raises(FileExistsError):
+        sinks.publish(df, passed, str(tmp_path / "yes"))
+    assert os.listdir(tmp_path) == ["yes"]
+
+
+def test_a_failed_write_leaves_nothing(spark, tmp_path):
+    passed = spark.createDataFrame([("filas", True)], "comprobacion string, ok boolean")
+    broken = spark.range(0, 100, 1, 4).select(F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("v"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish(broken, passed, str(tmp_path / "never"))
+    assert os.listdir(tmp_path) == []
+    spark.range(3).write.parquet(str(tmp_path / "half"))
+    os.remove(tmp_path / "half" / "_SUCCESS")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, str(tmp_path / "half"))
+
+
+def test_manifest_hashes_in_blocks(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    monkeypatch.setattr(files, "HASH_BYTES", 1000)
+    content = {"a.bin": os.urandom(12_345), "b c.bin": b"", "d/e.bin": b"x" * 1000}
+    for name, data in content.items():
+        os.makedirs(tmp_path / os.path.dirname(name), exist_ok=True)
+        (tmp_path / name).write_bytes(data)
+    got = {r["ruta"]: (r["bytes"], r["sha256"]) for r in files.manifest(spark, str(tmp_path), "*.bin").collect()}
+    assert got == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in content.items()}
 
 
 @pytest.mark.parametrize("a,b,same", [

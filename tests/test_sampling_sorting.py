@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 from fractions import Fraction
 
@@ -147,3 +148,96 @@ def test_checks_per_file(spark):
     rows = {r["comprobacion"]: r for r in sampling.sample_checks(sample, quotas, "k", 2, 2, "file").collect()}
     assert rows["clases_con_otra_cuota"]["ok"]
     assert rows["archivos_faltantes"]["actual"] == 1 and rows["archivos_con_otra_cuota"]["actual"] == 2
+
+
+def water_level(weights, rooms, units):
+    """Shares by their definition: the level that spends all units, then largest remainders."""
+    from fractions import Fraction
+
+    breaks = sorted({Fraction(r, w) for w, r in zip(weights, rooms)})
+    spent = lambda level: sum(min(Fraction(r), w * level) for w, r in zip(weights, rooms))
+    below = max([b for b in breaks if spent(b) <= units], default=Fraction(0))
+    open_weight = sum(w for w, r in zip(weights, rooms) if Fraction(r, w) > below)
+    level = below + ((units - spent(below)) / open_weight if open_weight else 0)
+    return [min(Fraction(r), w * level) for w, r in zip(weights, rooms)]
+
+
+def capped_brute(rows, target):
+    """rows: (name, weight, capacity, minimum)."""
+    got = {n: m for n, _, _, m in rows}
+    units = target - sum(got.values())
+    for tier in (True, False):
+        own = sorted((n, w if tier else 1, c - m) for n, w, c, m in rows if (w > 0) == tier)
+        if not own:
+            continue
+        here = min(units, sum(r for *_, r in own))
+        exact = water_level([w for _, w, _ in own], [r for *_, r in own], here)
+        whole = [int(e) for e in exact]
+        order = sorted(range(len(own)), key=lambda i: (-(exact[i] - whole[i]), own[i][0]))
+        # Equal shares of weight-less strata have equal remainders, also where these are whole.
+        if not tier:
+            order = [i for i in order if exact[i] < own[i][2]] + [i for i in order if exact[i] == own[i][2]]
+        for i in order[: here - sum(whole)]:
+            whole[i] += 1
+        for (n, *_), w in zip(own, whole):
+            got[n] += w
+        units -= here
+    return got
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_capped_quotas_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows, goals = [], {}
+    for case in range(40):
+        own = []
+        for i in range(rng.randint(1, 9)):
+            capacity = rng.choice([0, 1, 3, 10, 1000, 10**12 - rng.randint(0, 9)])
+            own.append((f"s{i}", rng.choice([0, 0, 1, 2, 7, 500, 10**12 - i]), capacity, rng.randint(0, min(capacity, 2))))
+        low, high = sum(o[3] for o in own), sum(o[2] for o in own)
+        goals[case] = rng.choice([low, high, (low + high) // 2, low + (high - low) // 7])
+        rows += [(case, *o, goals[case]) for o in own]
+    df = spark.createDataFrame(rows, "c int, s string, w bigint, cap bigint, least bigint, goal bigint")
+    got = {}
+    for r in sampling.capped_quotas(df, F.col("goal"), "w", "cap", ["s"], "least", ["c"]).collect():
+        got.setdefault(r["c"], {})[r["s"]] = r["cuota"]
+    for case, goal in goals.items():
+        own = [r[1:5] for r in rows if r[0] == case]
+        assert got[case] == capped_brute(own, goal), (own, goal)
+        assert sum(got[case].values()) == goal
+
+
+@pytest.mark.parametrize("rows,target,message", [
+    ([("a", 1, 2, 0), ("b", 1, 2, 0)], 5, "capacities are below"),
+    ([("a", 1, 2, 2), ("b", 1, 2, 2)], 3, "below the sum of the minimums"),
+    ([("a", 1, 2, 3)], 3, "above its capacity"),
+    ([("a", -1, 2, 0)], 1, "cannot be negative"),
+    ([("a", 10**13, 2, 0)], 1, "10\\*\\*12"),
+])
+def test_capped_quotas_refuse(spark, rows, target, message):
+    df = spark.createDataFrame(rows, "s string, w bigint, cap bigint, least bigint")
+    with pytest.raises(Exception, match=message):
+        sampling.capped_quotas(df, target, "w", "cap", ["s"], "least").collect()
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_sample_is_exact_with_repeated_and_null_keys(spark, few):
+    rows = [(i % 7 if i % 5 else None, "g", f"row {i}") for i in range(90)] + [(1, None, f"n {i}") for i in range(9)]
+    df = spark.createDataFrame(rows, "id bigint, g string, text string").repartition(4)
+    for quota in (1, 17, 40, 89, 90):
+        table = spark.createDataFrame([("g", quota), (None, 4)], "g string, cuota bigint")
+        got = [tuple(r) for r in sampling.stratified_sample(df, ["g"], table, ["id"], 3, few).collect()]
+        assert len(got) == len(set(got)) == quota + 4
+        assert sum(r[1] is None for r in got) == 4
+        again = sampling.stratified_sample(df.repartition(3), ["g"], table, ["id"], 3, few).collect()
+        assert set(map(tuple, again)) == set(got)
+
+
+def test_whole_rows_are_read_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "id % 3 AS g", "repeat('x', 50) AS text").write.parquet(path)
+    df = spark.read.parquet(path)
+    table = spark.createDataFrame([(0, 10), (1, 20), (2, 30)], "g bigint, cuota bigint")
+    plan = sampling.stratified_sample(df, ["g"], table, ["id"], 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("text:string") == 1 or plan.count("FileScan parquet") == 2
+    assert sum("text" in line for line in plan.splitlines() if "ReadSchema" in line) == 1
