@@ -13,6 +13,9 @@
 Every block meets every other one, so work grows with the square of the different vectors, in blocks; the
 codes make the inner loop cheap but do not change that.
 
+Floats are kept as floats, all other numbers as doubles; vectors are brought near length 1 by a power of two,
+which changes no cosine, so that neither large nor small components leave the range of doubles.
+
 Defined cases: a null or zero vector and one with a null or non-finite component links with nothing;
 vectors of other lengths are not compared; rows of equal vec_id are vectors of their own under one name.
 """
@@ -51,12 +54,18 @@ def error_bound(factor: np.ndarray, size: int, epsilon: float) -> np.ndarray:
     return epsilon * np.sqrt(np.maximum(1 - factor**2, 0) / factor**2 / max(size - 1, 1))
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows of doubles, each times the power of two that brings its largest component to 0.5..1."""
+    wide = vectors.astype(np.float64)
+    return np.ldexp(wide, -np.frexp(np.abs(wide).max(axis=1, keepdims=True))[1])
+
+
 def _packed(table: pa.Table) -> pa.Table:
     """One block as a row: its ids, counts, vectors, codes and factors as bytes."""
     table = table.sort_by("id")
     size = table.column("size")[0].as_py()
-    vectors = np.asarray(table.column("embedding").combine_chunks().flatten(), np.float32).reshape(-1, size)
-    _, bits, factor = encoded(vectors.astype(np.float64))
+    vectors = np.asarray(table.column("embedding").combine_chunks().flatten()).reshape(-1, size)
+    _, bits, factor = encoded(_scaled(vectors))
     parts = [
         table.column("id").to_numpy().astype(np.int64),
         table.column("copies").to_numpy().astype(np.int64),
@@ -74,7 +83,8 @@ def _packed(table: pa.Table) -> pa.Table:
 class _Block:
     def __init__(self, size: int, ids: bytes, copies: bytes, vectors: bytes, codes: bytes, factors: bytes):
         self.ids, self.copies = np.frombuffer(ids, np.int64), np.frombuffer(copies, np.int64)
-        self.vectors = np.frombuffer(vectors, np.float32).reshape(-1, size).astype(np.float64)
+        kind = np.float32 if len(vectors) == 4 * size * len(self.ids) else np.float64
+        self.vectors = _scaled(np.frombuffer(vectors, kind).reshape(-1, size))
         self.bits = np.unpackbits(np.frombuffer(codes, np.uint8).reshape(len(self.ids), -1), axis=1, count=size)
         self.factors = np.frombuffer(factors, np.float64)
         self.norms = np.linalg.norm(self.vectors, axis=1)
@@ -160,7 +170,8 @@ def near_embeddings(vectors: DataFrame, limit: float = LIMIT, block: int = BLOCK
         F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0),
         F.lit(False),
     )
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>").alias("embedding"))
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     keyed = rows.withColumns(
         {
             "sound": sound & F.col("vec_id").isNotNull(),
@@ -172,7 +183,9 @@ def near_embeddings(vectors: DataFrame, limit: float = LIMIT, block: int = BLOCK
     classes = stored(
         keyed.where("sound")
         .groupBy("size", "k1", "k2")
-        .agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.any_value("embedding").alias("embedding")),
+        .agg(F.min("vec_id").alias("low_id"), F.count("*").alias("copies"), F.any_value("embedding").alias("embedding"))
+        # Different vectors may have one vec_id, so a class has a number of its own.
+        .withColumn("id", F.monotonically_increasing_id()),
         "vector-classes",
     )
     sizes = classes.groupBy("size").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
@@ -183,9 +196,11 @@ def near_embeddings(vectors: DataFrame, limit: float = LIMIT, block: int = BLOCK
 
     found = stored(block_links(blocks, limit, epsilon), "vector-links")
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))
-    named = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    groups = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
+    lowest = groups.join(classes.select("id", "low_id"), "id").groupBy("component").agg(F.min("low_id").alias("component_id"))
+    named = groups.join(lowest, "component").select("id", "component_id")
     of_class = (
-        classes.select("size", "k1", "k2", "id", "copies")
+        classes.select("size", "k1", "k2", "id", "low_id", "copies")
         .join(sums, "id", "left")
         .join(named, "id", "left")
         .select(
@@ -193,7 +208,7 @@ def near_embeddings(vectors: DataFrame, limit: float = LIMIT, block: int = BLOCK
             "k1",
             "k2",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
+            F.coalesce("component_id", "low_id").alias("component_id"),
         )
     )
     return (

@@ -1,13 +1,16 @@
-"""Reversible line deduplication: exact reference tables behind sharded cuckoo filters.
+"""Reversible line deduplication: exact reference-count tables behind sharded cuckoo filters.
 
 A line's key is the line without ``[\\x20\\x09-\\x0D]`` at both ends, with A-Z in lower case; keys are held
 as 128-bit digests. A `LineIndex` keeps, as tables in a folder,
 
-* ``references``: one row per (key, document), the exact counts, from which documents can be taken out;
+* ``references``: one row per (key, document), from which documents can be taken out again;
+* ``tallies``: one row per key, its number of documents and the last of them;
 * ``filters``: one cuckoo filter per shard of the key space, holding every referenced key once.
 
-An insertion asks the filters first: keys they do not know are new for certain, and only the others are
-looked up in the exact table. A deletion takes a key out of its filter when its last reference goes.
+An insertion asks the filters first: keys they do not know are new for certain and become rows of the tallies
+as they are, and only the others are looked up in the exact tables and merged. A deletion counts the touched
+keys anew and takes a key out of its filter when its last reference goes. A whole table is loaded in
+``BATCHES`` insertions, dealt by document, so that all but the first meet filled filters.
 
 Defined cases: a null or empty text is one empty line; keys shorter than ``min_chars`` are never dropped;
 a document given in several rows counts once, and each of its rows is treated alike; a null doc_id counts as
@@ -30,8 +33,10 @@ from flowops.session import scratch_path
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-# Keys a shard is meant to hold; its filter then takes about two megabytes.
+# Keys a shard is meant to hold; its filter takes one megabyte and is at most half full then.
 SHARD_KEYS = 1 << 18
+# Insertions in which a table is loaded.
+BATCHES = 3
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 _FILTER = "shard int, filter binary, spare binary"
 
@@ -63,20 +68,25 @@ def references_of(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return rows.groupBy("k1", "k2", "doc_id").agg(F.count("*").alias("n_rows"))
 
 
-def _built(group: pd.DataFrame) -> pd.DataFrame:
-    keys = group["k1"].to_numpy(np.int64)
-    own = CuckooFilter(max(len(keys), SHARD_KEYS // 4))
-    own.add(keys)
-    table, spare = own.dumped()
-    return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "filter": [table], "spare": [spare]})
-
-
 def _loaded(filters: pd.DataFrame) -> CuckooFilter:
     if not len(filters):
-        return CuckooFilter(SHARD_KEYS // 4)
+        return CuckooFilter(SHARD_KEYS)
     return CuckooFilter.loaded(filters["filter"].iloc[0], filters["spare"].iloc[0])
 
 
+def _changed(own: pd.DataFrame, keys: pd.DataFrame, add: bool) -> pd.DataFrame:
+    cuckoo = _loaded(own)
+    if len(keys):
+        (cuckoo.add if add else cuckoo.remove)(keys["k1"].to_numpy(np.int64))
+    table, spare = cuckoo.dumped()
+    shard = int((own if len(own) else keys)["shard"].iloc[0])
+    return pd.DataFrame({"shard": [shard], "filter": [table], "spare": [spare]})
+
+
+def _tallied(references: DataFrame) -> DataFrame:
+    return references.groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last"))
+
+
 class LineIndex:
     """Line references of a growing and shrinking set of documents, in versioned tables below ``folder``."""
 
@@ -84,82 +94,84 @@ class LineIndex:
         self.spark = spark
         self.folder = folder or scratch_path(spark, "lines")
         self.shards = shards
-        self.references: DataFrame | None = None
-        self.filters: DataFrame | None = None
+        self.references = spark.createDataFrame([], "k1 long, k2 long, doc_id long, n_rows long")
+        self.tallies = spark.createDataFrame([], "k1 long, k2 long, n_docs long, last long")
+        self.filters = spark.createDataFrame([], _FILTER)
 
     def _sharded(self, keys: DataFrame) -> DataFrame:
         return keys.withColumn("shard", F.pmod(F.xxhash64("k2"), F.lit(self.shards)).cast("int"))
 
+    def load(self, docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> LineIndex:
+        """Insert the documents of a table into a new index, a share of them at a time; texts are read once."""
+        new = stored(references_of(docs, min_chars), "line-references")
+        self.shards = self.shards or max(1, -(-new.count() // SHARD_KEYS))
+        batch = F.pmod(F.xxhash64(F.lit("batch"), F.col("doc_id")), F.lit(batches))
+        for n in range(batches):
+            # All rows of a document are in one batch, so no reference of a batch is there already.
+            self._add(new.where(batch == n))
+        return self
+
     def insert(self, docs: DataFrame, min_chars: int = MIN_CHARS) -> LineIndex:
         """Add documents. A document already there keeps its references and gains those of its new lines."""
         new = stored(references_of(docs, min_chars), "line-references")
-        if self.references is None:
-            self.shards = self.shards or max(1, -(-new.count() // SHARD_KEYS))
-            self.references = new
-            keys = self._sharded(new.select("k1", "k2").distinct())
-            self.filters = stored(keys.groupBy("shard").applyInPandas(_built, _FILTER), "line-filters")
-            return self
-        fresh = self._fresh(new.select("k1", "k2").distinct())
-
-        def grown(own: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
-            cuckoo = _loaded(own)
-            if len(keys):
-                cuckoo.add(keys["k1"].to_numpy(np.int64))
-            table, spare = cuckoo.dumped()
-            shard = int((own if len(own) else keys)["shard"].iloc[0])
-            return pd.DataFrame({"shard": [shard], "filter": [table], "spare": [spare]})
-
-        self.filters = stored(self._with_filters(fresh).applyInPandas(grown, _FILTER), "line-filters")
-        both = self.references.unionByName(new).groupBy("k1", "k2", "doc_id").agg(F.max("n_rows").alias("n_rows"))
-        self.references = stored(both, "line-references")
+        self.shards = self.shards or max(1, -(-new.count() // SHARD_KEYS))
+        known = self.probed(new.select("k1", "k2").distinct()).where("known").select("k1", "k2")
+        there = self.references.join(known, ["k1", "k2"], "left_semi").select(
+            F.col("k1").alias("_a"), F.col("k2").alias("_b"), F.col("doc_id").alias("_doc")
+        )
+        same = (F.col("k1") == F.col("_a")) & (F.col("k2") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
+        self._add(stored(new.join(there, same, "left_anti"), "line-references"))
         return self
 
+    def _add(self, new: DataFrame) -> None:
+        """Take in references that are not there yet."""
+        asked = stored(self.probed(_tallied(new)), "line-probes")
+        unknown, known = asked.where("not known").drop("known"), asked.where("known").drop("known")
+        held = self.tallies.select("k1", "k2", F.col("n_docs").alias("_n"), F.col("last").alias("_last"))
+        met = stored(known.join(held, ["k1", "k2"], "left"), "line-met")
+        merged = met.select("k1", "k2", (F.col("n_docs") + F.coalesce("_n", F.lit(0))).alias("n_docs"), F.greatest("last", "_last").alias("last"))
+        fresh = unknown.select("k1", "k2").unionByName(met.where("_n is null").select("k1", "k2"))
+        self.filters = stored(self._with_filters(self._sharded(fresh), True), "line-filters")
+        rest = self.tallies.join(met.where("_n is not null"), ["k1", "k2"], "left_anti")
+        self.tallies = stored(rest.unionByName(unknown).unionByName(merged), "line-tallies")
+        self.references = self.references.unionByName(new)
+
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """Take documents out again, as if they had never been inserted."""
         gone = doc_ids.select(F.col("doc_id").cast("long").alias("_gone")).distinct()
-        same = self.references["doc_id"].eqNullSafe(gone["_gone"])
+        same = F.col("doc_id").eqNullSafe(F.col("_gone"))
         left = stored(self.references.join(gone, same, "left_anti"), "line-references")
-        touched = self.references.join(gone, same, "left_semi").select("k1", "k2").distinct()
-        ended = self._sharded(touched.join(left, ["k1", "k2"], "left_anti"))
-
-        def shrunk(own: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
-            cuckoo = _loaded(own)
-            if len(keys):
-                cuckoo.remove(keys["k1"].to_numpy(np.int64))
-            table, spare = cuckoo.dumped()
-            shard = int((own if len(own) else keys)["shard"].iloc[0])
-            return pd.DataFrame({"shard": [shard], "filter": [table], "spare": [spare]})
-
-        self.filters = stored(self._with_filters(ended).applyInPandas(shrunk, _FILTER), "line-filters")
+        touched = stored(self.references.join(gone, same, "left_semi").select("k1", "k2").distinct(), "line-touched")
+        anew = stored(_tallied(left.join(touched, ["k1", "k2"], "left_semi")), "line-anew")
+        ended = self._sharded(touched.join(anew, ["k1", "k2"], "left_anti"))
+        self.filters = stored(self._with_filters(ended, False), "line-filters")
+        self.tallies = stored(self.tallies.join(touched, ["k1", "k2"], "left_anti").unionByName(anew), "line-tallies")
         self.references = left
         return self
 
-    def _with_filters(self, keys: DataFrame):
-        return self.filters.groupBy("shard").cogroup(keys.groupBy("shard"))
+    def _with_filters(self, keys: DataFrame, add: bool) -> DataFrame:
+        """The filters with keys added or taken out."""
+
+        def run(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+            return _changed(own, rows, add)
+
+        return self.filters.groupBy("shard").cogroup(keys.groupBy("shard")).applyInPandas(run, _FILTER)
 
     def probed(self, keys: DataFrame) -> DataFrame:
-        """The distinct (k1, k2) with a flag ``known``: false is certain, true may be wrong once in thousands."""
+        """``keys`` with a flag ``known``: false is certain, true may be wrong once in thousands."""
+        names = keys.columns
 
         def ask(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             known = _loaded(own).has(rows["k1"].to_numpy(np.int64)) if len(rows) else np.zeros(0, bool)
-            return rows.assign(known=known)[["k1", "k2", "known"]]
-
-        return self._with_filters(self._sharded(keys)).applyInPandas(ask, "k1 long, k2 long, known boolean")
-
-    def _fresh(self, keys: DataFrame) -> DataFrame:
-        """Keys without a reference so far; only those the filters know are looked up in the exact table."""
-        asked = stored(self.probed(keys), "line-probes")
-        doubtful = asked.where("known").drop("known").join(self.references, ["k1", "k2"], "left_anti")
-        return self._sharded(asked.where("not known").drop("known").unionByName(doubtful))
+            return rows.assign(known=known)[[*names, "known"]]
 
-    def counts(self) -> DataFrame:
-        """The reference counts: (k1, k2, n_docs, last), where last is the largest doc_id holding the line."""
-        return self.references.groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last"))
+        kinds = ", ".join(f"{n} {t}" for n, t in [*keys.dtypes, ("known", "boolean")])
+        return self.filters.groupBy("shard").cogroup(self._sharded(keys).groupBy("shard")).applyInPandas(ask, kinds)
 
     def losses(self, min_docs: int = MIN_DOCS) -> DataFrame:
         """(doc_id, keys): the line keys each document loses, all holders but the last losing a frequent line."""
         # Stored, its size is known: a small table is broadcast, and beside a large one a hot line is split.
-        frequent = stored(self.counts().where(F.col("n_docs") >= min_docs), "frequent-lines")
+        frequent = stored(self.tallies.where(F.col("n_docs") >= min_docs), "frequent-lines")
         lost = self.references.join(frequent, ["k1", "k2"]).where("doc_id is null or doc_id < last")
         return lost.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("keys"))
 
@@ -195,6 +207,6 @@ def deduplicated(docs: DataFrame, index: LineIndex, min_docs: int = MIN_DOCS, mi
 
 
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All documents inserted into a fresh index and freed of lines that later documents also hold."""
-    index = LineIndex(docs.sparkSession).insert(docs, min_chars)
+    """All documents loaded into a fresh index and freed of lines that later documents also hold."""
+    index = LineIndex(docs.sparkSession).load(docs, min_chars)
     return deduplicated(docs, index, min_docs, min_chars)

@@ -321,13 +321,39 @@ def test_lines_equal_brute_force(spark, docs):
     assert result_of(lines.line_dedup(docs(rows))) == kept_texts(rows)
 
 
+def test_loading_goes_through_the_filters(spark, docs, monkeypatch):
+    """Rows depend on what the filters answer: if they deny keys they hold, lines of several batches are missed."""
+    rows = line_rows()
+    index = lines.LineIndex(spark, shards=3).load(docs(rows))
+    want = lines.references_of(docs(rows)).groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
+    assert sorted(map(tuple, index.tallies.collect())) == sorted(map(tuple, want.collect()))
+    for batches in (1, 5):
+        assert result_of(lines.deduplicated(docs(rows), lines.LineIndex(spark).load(docs(rows), batches=batches))) == kept_texts(rows)
+    rare = [(d, f"line {d // 3:03d} of three documents") for d in range(60)]
+    assert result_of(lines.line_dedup(docs(rare))) == kept_texts(rare)
+    monkeypatch.setattr(lines.CuckooFilter, "has", lambda self, keys: np.zeros(len(keys), bool))
+    assert result_of(lines.line_dedup(docs(rare))) != kept_texts(rare)
+
+
+def test_false_alarms_of_filters_change_nothing(docs, monkeypatch):
+    monkeypatch.setattr(lines.CuckooFilter, "has", lambda self, keys: np.ones(len(keys), bool))
+    rows = line_rows()
+    assert result_of(lines.line_dedup(docs(rows))) == kept_texts(rows)
+
+
+def test_inserting_again_changes_nothing(spark, docs):
+    rows = line_rows(20)
+    index = lines.LineIndex(spark).insert(docs(rows[:15])).insert(docs(rows[5:])).insert(docs(rows[:1]))
+    assert result_of(lines.deduplicated(docs(rows), index)) == kept_texts(rows)
+
+
 def test_deletion_undoes_insertion(spark, docs):
     """Inserting in batches and deleting again gives what a fresh index of the rest gives."""
     rows = line_rows()
     index = lines.LineIndex(spark, shards=3).insert(docs(rows[:25])).insert(docs(rows[25:])).delete(docs(rows[40:]))
     assert result_of(lines.deduplicated(docs(rows[:40]), index)) == kept_texts(rows[:40])
     keys = lines.references_of(docs(rows)).select("k1", "k2").distinct()
-    left = {(r["k1"], r["k2"]) for r in index.counts().collect()}
+    left = {(r["k1"], r["k2"]) for r in index.tallies.collect()}
     known = {(r["k1"], r["k2"]) for r in index.probed(keys).where("known").collect()}
     assert left <= known and len(known - left) <= 2
     index.insert(docs(rows[40:]))
@@ -630,6 +656,16 @@ def placed(spark, keys, tree):
     return {r["k"]: r["s"] for r in frame.select("k", sharding.drawn(F.col("k"), tree).alias("s")).collect()}
 
 
+def test_embeddings_of_doubles(spark):
+    """Components beyond the range of floats, and whose squares are beyond that of doubles, still have a cosine."""
+    far = [[1e39, 0.0], [1e39, 0.0], [1e-60, 0.0], [-1e-60, 1e-75], [1e200, 1e200], [2e-200, 2e-200], [0.0, 0.0]]
+    rows = [(i, v) for i, v in enumerate(far)] + [(3, [-1.0, 0.0])]
+    got = embeddings.near_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got) == [
+        (0, 2, 0, True), (1, 2, 0, False), (2, 2, 0, False), (3, 1, 3, True), (3, 1, 3, True), (4, 1, 4, True), (5, 1, 4, False), (6, 0, 6, True),
+    ]
+
+
 def test_weights_decide_and_movement_stays_in_the_subtree(spark):
     keys = [str(i) for i in range(6000)]
     tree = sharding.layout(8)
