@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from flowops.llm import lines, minhash, mixing, packing, toxicity
 from flowops.llm.common import stored, tuned
@@ -36,21 +36,34 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, that of the smallest doc_id.
+
+    A document without words is like no other; rows of a doc_id stay or go together, those of a null one stay.
+    """
     tuned(spark)
     gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def mixed_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often and in the order in which the curriculum uses them."""
+    """Documents as often and in the order in which the curriculum uses them.
+
+    A document without words takes nothing of its source's target and is used once or twice if what comes before
+    it lies below the target; sources without any word are left out.
+    """
     return mixing.mixed(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequence and offset."""
+    """The pieces of all documents with their token ids, sequence and offset.
+
+    A document that the mix takes twice gives its pieces twice, told apart by ``use`` (from 0); null and empty
+    texts are a piece of the end token alone.
+    """
     tuned(spark)
-    return packing.best_two_fit(docs)
+    packed = packing.best_two_fit(docs, with_ids=True)
+    uses = Window.partitionBy("doc_id", "piece", "length", "ids_crc32").orderBy("sequence_id", "offset")
+    return packed.withColumn("use", F.row_number().over(uses) - 1)
 
 
 STAGES: list[tuple[str, Stage]] = [
