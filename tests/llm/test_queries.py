@@ -194,3 +194,79 @@ def test_pipeline_stages(spark, sf_dir, texts):
         before = after
     counts = Counter(r["doc_id"] for r in after.where("piece = 0").collect())
     assert counts and max(counts.values()) <= 2
+
+
+def test_pipeline_rows_stage_by_stage(spark, sf_dir, tmp_path):
+    """What each stage keeps, against SQL or a plain version over that stage's own input."""
+    import duckdb
+    from tokenizers import Tokenizer
+
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
+
+    def rows_by_sql(name, path):
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+        cursor = con.execute(ORACLE[name])
+        columns = [c[0] for c in cursor.description]
+        return {r[columns.index("doc_id")]: dict(zip(columns, r)) for r in cursor.fetchall()}
+
+    def run(name, given):
+        path = str(tmp_path / name)
+        stages[name](spark, given, sf_dir).write.parquet(path)
+        return spark.read.parquet(path), path
+
+    scores = {r["doc_id"]: r["score"] for r in QUERIES["op2_toxicity"](spark, sf_dir).collect()}
+    clean, clean_path = run("toxicity", docs)
+    assert {r["doc_id"] for r in clean.collect()} == {d for d, s in scores.items() if s < 0.5}
+
+    lined, lined_path = run("line_dedup", clean)
+    want = rows_by_sql("op3_line_dedup", clean_path)
+    got = {r["doc_id"]: r for r in lined.collect()}
+    assert set(got) == set(want)
+    for doc, w in want.items():
+        assert hashlib.sha256((got[doc]["text"] or "").encode()).hexdigest() == w["kept_sha256"]
+        assert not w["n_dropped"] or got[doc]["n_chars"] == len(got[doc]["text"])
+
+    single, single_path = run("minhash_dedup", lined)
+    want = rows_by_sql("op1_minhash_dedup", lined_path)
+    assert sorted(r["doc_id"] for r in single.collect()) == sorted(d for d, w in want.items() if w["kept"])
+
+    mix, _ = run("curriculum_mix", single)
+    want = rows_by_sql("op4_curriculum_mix", single_path)
+    uses = Counter(r["doc_id"] for r in mix.collect())
+    assert all(uses[d] * w["size"] == w["taken"] for d, w in want.items())
+
+    sequences, _ = run("best_two_fit", mix)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {r["doc_id"]: r["text"] or "" for r in mix.collect()}
+    pieces, ends = defaultdict(list), defaultdict(list)
+    for r in sequences.collect():
+        pieces[r["doc_id"], r["use"]].append(r)
+        ends[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(pieces) == {(d, u) for d, n in uses.items() for u in range(n)}
+    for (doc, _), own in pieces.items():
+        ids = [i for r in sorted(own, key=lambda r: r["piece"]) for i in r["ids"]]
+        assert ids == [*tokenizer.encode(texts[doc], add_special_tokens=False).ids, 2]
+    for places in ends.values():
+        assert [o for o, _ in sorted(places)] == [sum(n for _, n in sorted(places)[:i]) for i in range(len(places))]
+        assert sum(n for _, n in places) <= 1024
+
+
+@pytest.mark.parametrize("rows", [
+    [],
+    [(1, None, "en", None, None), (None, "a b c", None, "s", 5), (2, "", "en", "s", 0), (2, "", "en", "s", 0), (3, "word " * 4000, "de", "t", 20000)],
+])
+def test_pipeline_of_odd_tables(spark, sf_dir, rows):
+    """Nulls, empty and long texts, repeated rows, an empty table and a column whose name the operators use."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long, size int"
+    docs = spark.createDataFrame([(*r, 7) for r in rows], kind)
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, docs, sf_dir).cache()
+        if name != "best_two_fit":
+            assert after.dtypes == docs.dtypes
+            if name in ("toxicity", "line_dedup"):
+                assert after.count() == len(rows)
+        docs = after
+    lengths = docs.groupBy("sequence_id").sum("length").collect()
+    assert all(r[1] <= 1024 for r in lengths) and bool(lengths) == bool(rows)
