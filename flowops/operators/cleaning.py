@@ -59,18 +59,30 @@ def clean_and_round(df: DataFrame, spec: Spec) -> DataFrame:
     return round_floats(clean_rows(df, spec), spec)
 
 
-def clean_report(df: DataFrame, spec: Spec) -> DataFrame:
-    """Per affected column: invalid cells before and after, and rows removed. One scan.
+def clean_counts(spec: Spec) -> list:
+    """Aggregates that the report of a cleaning is made of, for one pass over the raw rows or its observation.
 
     What is left afterwards is counted on the rows that the cleaning rule keeps.
     """
     marks = [F.when(is_valid(c, spec.floats), 0).otherwise(1) for c in spec.columns]
     kept = _all_valid(spec)
-    wide = df.agg(
+    finite = is_finite(qcol(spec.rate)) if spec.rate in spec.columns else F.lit(True)
+    return [
         F.count_if(~kept).alias("_removed"),
         *[F.sum(mark).alias(f"_{i}") for i, mark in enumerate(marks)],
         *[F.sum(F.when(kept, mark).otherwise(0)).alias(f"_left_{i}") for i, mark in enumerate(marks)],
-    )
+        F.count_if(finite).alias("_finite"),
+        F.count_if(~finite).alias("_rejected"),
+    ]
+
+
+def clean_report(df: DataFrame, spec: Spec) -> DataFrame:
+    """Per affected column: invalid cells before and after, and rows removed. One scan."""
+    return clean_summary(df.agg(*clean_counts(spec)), spec)
+
+
+def clean_summary(counts: DataFrame, spec: Spec) -> DataFrame:
+    """The same from one record of ``clean_counts``, however it was come by."""
     rows = [
         F.struct(
             F.lit(c).alias("columna"),
@@ -80,7 +92,12 @@ def clean_report(df: DataFrame, spec: Spec) -> DataFrame:
         )
         for i, c in enumerate(spec.columns)
     ]
-    return wide.select(F.inline(F.array(*rows))).where(F.col("valores_no_validos_antes") > 0)
+    return counts.select(F.inline(F.array(*rows))).where(F.col("valores_no_validos_antes") > 0)
+
+
+def finite_summary(counts: DataFrame) -> DataFrame:
+    """Rows with a finite rate and rows rejected, from the same record."""
+    return counts.select(F.col("_finite").alias("validas"), F.col("_rejected").alias("rechazadas"))
 
 
 def finite_counts(df: DataFrame, column: str) -> DataFrame:

@@ -55,7 +55,7 @@ def column_profile(df: DataFrame, spec: Spec) -> DataFrame:
         number = F.lit(None).cast("double")
         text = F.lit(None).cast("string")
         if textual:
-            text = value
+            text = value.cast("string")
         elif floating:
             number = value
         else:

@@ -11,7 +11,7 @@ from flowops.functions.columns import qcol
 from flowops.operators import (
     cleaning, deriving, duplicates, groups, ordering, percentiles, profiling, reconcile, sampling,
 )
-from flowops.plans.flow_view import THRESHOLD_COLUMNS, kept, read_clean, read_flows, read_limits
+from flowops.plans.flow_view import THRESHOLD_COLUMNS, kept, read_clean, read_clean_counts, read_flows, read_limits
 from flowops.session import scratch_path, tune
 from flowops.sources import checked, files, records, sinks
 from flowops.spec import FLOW, LABEL_FAMILY, Spec, family_dimension, protocol_dimension
@@ -20,11 +20,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SEED = 42
 EVENTS = Spec(
-    columns=("event_id", "user_id", "event_type", "value"),
+    columns=("event_id", "ts", "user_id", "event_type", "value", "props"),
     integers=("event_id", "user_id"),
-    texts=("event_type",),
+    texts=("ts", "event_type", "props"),
     label="event_type",
-    distinct=("user_id", "event_type", "value"),
+    distinct=("user_id", "event_type", "value", "props"),
 )
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
@@ -92,8 +92,8 @@ def derived_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The column profile of a table with other roles."""
-    return profiling.column_profile(_table(spark, sf_dir, "events").select(*EVENTS.columns), EVENTS)
+    """The column profile of a whole table with other roles."""
+    return profiling.column_profile(_table(spark, sf_dir, "events"), EVENTS)
 
 
 def event_type_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,8 +102,13 @@ def event_type_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.with_share(groups.class_counts(events, EVENTS))
 
 
+def clean_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the cleaning found, as observed while the clean rows were written."""
+    return cleaning.clean_summary(read_clean_counts(spark, sf_dir), FLOW)
+
+
 def finite_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.finite_counts(read_flows(spark, sf_dir), FLOW.rate)
+    return cleaning.finite_summary(read_clean_counts(spark, sf_dir))
 
 
 def null_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -625,7 +630,7 @@ QUERIES: dict[str, Query] = {
     ),
     "event_profile": event_profile,
     "event_type_shares": event_type_shares,
-    "clean_report": partial(_on_flows, cleaning.clean_report),
+    "clean_report": clean_report,
     "clean_rows": partial(_on_flows, cleaning.clean_and_round),
     "null_cells": null_cells,
     "finite_rates": finite_rates,

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 
-from flowops.operators.cleaning import clean_and_round, round_floats
+from flowops.operators.cleaning import clean_and_round, clean_counts, round_floats
 from flowops.operators.percentiles import Limits
 from flowops.session import scratch_path
 from flowops.spec import FLOW, FLOW_COLUMNS, LABEL_FAMILY
@@ -107,6 +107,7 @@ SOURCE_PARTITIONS = "flowops.sourcePartitions"
 STAGED_FLOWS = "flowops.stagedFlows"
 
 _stored: dict[tuple, tuple[str, T.StructType | None]] = {}
+_observed: dict[tuple, dict[str, int]] = {}
 
 
 def _identity(spark: SparkSession, path: str) -> tuple:
@@ -116,14 +117,18 @@ def _identity(spark: SparkSession, path: str) -> tuple:
     return len(files), sum(f.getLen() for f in files), max((f.getModificationTime() for f in files), default=0)
 
 
+def _source_key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    source = f"{sf_dir}/lineitem.parquet"
+    return (spark.sparkContext.applicationId, name, source, _identity(spark, source))
+
+
 def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A stage kept as columnar files in the shared folder, written once per session and source.
 
     Reports start from such a stage instead of repeating its work, read only the columns they need,
     and lose nothing with an executor. A source that has changed is read again.
     """
-    source = f"{sf_dir}/lineitem.parquet"
-    key = (spark.sparkContext.applicationId, name, source, _identity(spark, source))
+    key = _source_key(spark, sf_dir, name)
     if key not in _stored:
         path = scratch_path(spark, name)
         stage = build()
@@ -135,8 +140,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
 def kept(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """Folder below the shared one that ``write`` has filled, once per session and source."""
-    source = f"{sf_dir}/lineitem.parquet"
-    key = (spark.sparkContext.applicationId, name, source, _identity(spark, source))
+    key = _source_key(spark, sf_dir, name)
     if key not in _stored:
         path = scratch_path(spark, name)
         write(path)
@@ -156,8 +160,29 @@ def read_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean, rounded rows: the check of all 40 columns is paid once, not by every later report."""
-    return stored(spark, sf_dir, "clean", lambda: clean_and_round(read_flows(spark, sf_dir), FLOW))
+    """Clean, rounded rows: the check of all 40 columns is paid once, not by every later report.
+
+    What the cleaning finds is observed while the rows are written.
+    """
+    seen = Observation("clean")
+    built = False
+
+    def build() -> DataFrame:
+        nonlocal built
+        built = True
+        return clean_and_round(read_flows(spark, sf_dir).observe(seen, *clean_counts(FLOW)), FLOW)
+
+    stage = stored(spark, sf_dir, "clean", build)
+    if built:
+        _observed[_source_key(spark, sf_dir, "clean")] = seen.get
+    return stage
+
+
+def read_clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of ``clean_counts`` that was observed when the clean rows were written; no scan of its own."""
+    read_clean(spark, sf_dir)
+    found = _observed[_source_key(spark, sf_dir, "clean")]
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"`{n}` bigint" for n in found))
 
 
 def read_limits(spark: SparkSession, sf_dir: str) -> Limits:

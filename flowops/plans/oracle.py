@@ -384,8 +384,8 @@ def oracle_sql() -> dict[str, str]:
             ROUNDED,
         ),
         "event_profile": " UNION ALL ".join(
-            _profile_row(c, "events", ("event_type",), ("value",), ("user_id", "event_type", "value"))
-            for c in ("event_id", "user_id", "event_type", "value")
+            _profile_row(c, "events", ("ts", "event_type", "props"), ("value",), ("user_id", "event_type", "value", "props"))
+            for c in ("event_id", "ts", "user_id", "event_type", "value", "props")
         ),
         "event_type_shares": f"SELECT event_type, count(*) AS cantidad, {pct('count(*)', '(SELECT count(*) FROM events)')} AS porcentaje FROM events GROUP BY event_type",
         "clean_report": flows(

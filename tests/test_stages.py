@@ -34,3 +34,16 @@ def test_mean_indicators_leave_missing_cells_out(spark, sf_dir):
     want = flows.agg(F.avg(FLOW.rate)).first()[0]
     assert abs(got["tasa_media"] - want) < 1e-5
     assert family_dimension(spark).count() > 0
+
+
+def test_cleaning_is_observed_while_it_is_written(spark, sf_dir):
+    """The report of the stage equals a scan of the raw rows, and costs none."""
+    from flowops.operators import cleaning
+    from flowops.plans.flow_view import read_clean_counts, read_flows
+    from flowops.spec import FLOW
+
+    counts = read_clean_counts(spark, sf_dir)
+    assert "FileScan" not in counts._jdf.queryExecution().executedPlan().toString()
+    scanned = read_flows(spark, sf_dir).agg(*cleaning.clean_counts(FLOW)).first().asDict()
+    assert counts.first().asDict() == scanned
+    assert sorted(cleaning.clean_summary(counts, FLOW).collect()) == sorted(cleaning.clean_report(read_flows(spark, sf_dir), FLOW).collect())
