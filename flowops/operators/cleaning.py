@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from flowops.functions.columns import (
     is_finite, is_null_marker, is_valid, null_non_finite, qcol, round_decimals,
@@ -59,13 +59,21 @@ def clean_and_round(df: DataFrame, spec: Spec) -> DataFrame:
     return round_floats(clean_rows(df, spec), spec)
 
 
+KEPT = "_kept"
+
+
+def with_kept(df: DataFrame, spec: Spec) -> DataFrame:
+    """Every row with a flag whether the cleaning rule keeps it, which is then worked out once a row."""
+    return df.withColumn(KEPT, _all_valid(spec))
+
+
 def clean_counts(spec: Spec) -> list:
-    """Aggregates that the report of a cleaning is made of, for one pass over the raw rows or its observation.
+    """Aggregates over ``with_kept`` that the report of a cleaning is made of, for one pass or its observation.
 
     What is left afterwards is counted on the rows that the cleaning rule keeps.
     """
+    kept = F.col(KEPT)
     marks = [F.when(is_valid(c, spec.floats), 0).otherwise(1) for c in spec.columns]
-    kept = _all_valid(spec)
     finite = is_finite(qcol(spec.rate)) if spec.rate in spec.columns else F.lit(True)
     return [
         F.count_if(~kept).alias("_removed"),
@@ -76,9 +84,15 @@ def clean_counts(spec: Spec) -> list:
     ]
 
 
+def observed_cleaning(df: DataFrame, spec: Spec, seen: Observation) -> DataFrame:
+    """Clean, rounded rows; what the cleaning finds is observed by whatever writes them."""
+    kept = with_kept(df, spec).observe(seen, *clean_counts(spec)).where(KEPT).drop(KEPT)
+    return round_floats(kept, spec)
+
+
 def clean_report(df: DataFrame, spec: Spec) -> DataFrame:
     """Per affected column: invalid cells before and after, and rows removed. One scan."""
-    return clean_summary(df.agg(*clean_counts(spec)), spec)
+    return clean_summary(with_kept(df, spec).agg(*clean_counts(spec)), spec)
 
 
 def clean_summary(counts: DataFrame, spec: Spec) -> DataFrame:

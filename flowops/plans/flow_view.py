@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession, types as T
 
-from flowops.operators.cleaning import clean_and_round, clean_counts, round_floats
+from flowops.operators.cleaning import observed_cleaning, round_floats
 from flowops.operators.percentiles import Limits
 from flowops.session import scratch_path
 from flowops.spec import FLOW, FLOW_COLUMNS, LABEL_FAMILY
@@ -170,7 +170,7 @@ def read_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         nonlocal built
         built = True
-        return clean_and_round(read_flows(spark, sf_dir).observe(seen, *clean_counts(FLOW)), FLOW)
+        return observed_cleaning(read_flows(spark, sf_dir), FLOW, seen)
 
     stage = stored(spark, sf_dir, "clean", build)
     if built:
