@@ -8,7 +8,9 @@ labelled or not: the number of different predecessors of a word, the number of p
 words. The ordinary class's discount is set so that both classes give the same part of their mass to the
 shared counts. Rare expressions then say nothing about the class, and frequent ones of one class say much.
 Pairs are words given their predecessor: their discounted share of the predecessor's count backs off to the
-shared counts of the word.
+shared counts of the word, with the mass that the discounts of this predecessor's pairs set free in the class, all
+of it where the class has not seen the predecessor. A pair that the discounts take away says what the masses say;
+the sums over such pairs and over the others are weighed apart.
 
 A document's log-likelihoods are compared relative to the median ratio of its words, as language and topic
 shift all of them alike, and as they are, as a text of toxic words alone has a toxic median; so is how far
@@ -17,7 +19,8 @@ number). A logistic curve of slopes not below 0, fitted on labelled rows the cou
 into a score.
 
 Counts are Spark tables keyed by expression and grow with the input. An expression whose counts do not exceed
-the discounts has a ratio of exactly 0 and is not carried further. Up to ``HELD`` others are sent to all tasks
+the discounts has a ratio of exactly 0 (a pair that of its predecessor) and is not carried further; what is counted
+over all texts passes a map of the carried ones, of a fixed size, before it is sent. Up to ``HELD`` others are sent to all tasks
 to score; more are joined to the words of the texts. The number of different pairs in the corpus, a divisor
 common to both classes, is estimated (standard error 0.8%). The curve takes ``SAMPLE`` rows at most.
 
@@ -28,18 +31,19 @@ toxic one winning; a null label is no label.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from flowops.llm import words
-from flowops.llm.common import packed, stored
+from flowops.llm.common import default_shuffles, packed, stored
 
 SIZES = range(2, 9)
 LONG = 5
@@ -50,14 +54,20 @@ FOLDS = 5
 # Expressions, or labelled ids, that every task may hold.
 HELD = 1 << 23
 HELD_IDS = 1 << 21
-# Pairs of words a task gathers before it sends them, parts that the predecessors of a word are dealt into.
-GATHERED = 1 << 21
+# Parts that a frequent word's values are dealt into.
 PARTS = 8
+# Bits, as a power of two, of the map of keys that are carried.
+MAP_BITS = 26
+# Pairs of words a task gathers before it sends them; groups of them to a shuffle partition.
+GATHERED = 1 << 22
+BUCKETS = 4
+# Registers that estimate all pairs, and how many go together.
 REGISTERS = 1 << 14
+CHUNK = 256
 # Words whose values a task keeps.
 KEPT = 1 << 18
 SIEVE = np.uint64(40)
-FEATURES = 3 * 4 + 2 * 2 * len(OVER)
+FEATURES = 4 * 4 + 2 * 2 * len(OVER)
 WORD, PAIR, GRAM = range(3)
 
 
@@ -85,23 +95,42 @@ def _sieve(keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Sorted keys and values of words, pairs and runs, the curve, and the same tables for a join if they are many."""
+    """Sorted keys and values of words, pairs and runs, the curve, and the same tables for a join if they are many.
+
+    Among the pairs, a predecessor with the word 0 has the value of all its pairs that are not there.
+    """
 
     held: list[tuple[np.ndarray, np.ndarray]]
     weights: np.ndarray
     table: DataFrame | None = None
-    _sieved: np.ndarray | None = None
+    _sieved: dict[int, np.ndarray] = field(default_factory=dict)
+    _sent: Broadcast | None = None
     _kept: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.uint64), np.zeros((0, 4))])
 
     def features(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros((len(texts), FEATURES))
         for first, hashes, before, bounds, raw, start, end in _expressions(texts):
-            values = np.column_stack([self._words(hashes, raw, start, end), _found(*self.held[PAIR], _pair(before, hashes))])
+            values = np.column_stack([self._words(hashes, raw, start, end), self._pairs(before, hashes)])
             for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()), first):
                 if b > a:
                     out[i] = _summed(values[a:b])
         return out
 
+    def shared(self, docs: DataFrame) -> Broadcast:
+        """The tables on their way to all tasks, sent once."""
+        if self._sent is None:
+            self._sent = docs.sparkSession.sparkContext.broadcast(self.held)
+        return self._sent
+
+    def _lookup(self, family: int, asked: np.ndarray) -> np.ndarray:
+        if family not in self._sieved:
+            self._sieved[family] = _sieve(self.held[family][0])
+        return _found(*self.held[family], asked, self._sieved[family])
+
+    def _pairs(self, before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        own, (context, back) = self._lookup(PAIR, _pair(before, hashes)), np.unique(before, return_inverse=True)
+        return np.column_stack([own, np.where(own != 0, 0, self._lookup(PAIR, _context(context))[back])])
+
     def _words(self, hashes: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """What ``_runs`` and the words' own evidence say of each word; words met before are looked up."""
         asked, at, back = np.unique(hashes, return_index=True, return_inverse=True)
@@ -112,9 +141,7 @@ class Model:
         if new.any():
             if len(keys) > KEPT:
                 keys, values, new, place = keys[:0], values[:0], np.ones(len(asked), bool), np.zeros(len(asked), np.int64)
-            if self._sieved is None:
-                self._sieved = _sieve(self.held[GRAM][0])
-            own = _runs(words.taken(raw, start[at[new]], end[at[new]]), self.held[GRAM], self._sieved)
+            own = _runs(words.taken(raw, start[at[new]], end[at[new]]), lambda asked: self._lookup(GRAM, asked))
             own = np.column_stack([_found(*self.held[WORD], asked[new]), own])
             self._kept = [np.insert(keys, place[new], asked[new]), np.insert(values, place[new], own, axis=0)]
         keys, values = self._kept
@@ -124,11 +151,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(features @ self.weights[1:] + self.weights[0], -500, 500)))
 
 
-def _runs(texts: pa.Array, held: tuple[np.ndarray, np.ndarray], sieve: np.ndarray) -> np.ndarray:
+def _runs(texts: pa.Array, lookup: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """For each word the sum over its long runs, and the largest value of all and of long runs, 0 at least."""
     out = np.zeros((len(texts), 3))
     for size, word, hashes in words.grams(texts, SIZES):
-        value = _found(*held, hashes, sieve)
+        value = lookup(hashes)
         there = np.flatnonzero(value)
         word, value = word[there], value[there]
         np.maximum.at(out[:, 1], word, value)
@@ -139,10 +166,10 @@ def _runs(texts: pa.Array, held: tuple[np.ndarray, np.ndarray], sieve: np.ndarra
 
 
 def _summed(values: np.ndarray) -> list[float]:
-    """Features of a text from (word, long runs, largest, largest long, pair) of its words: sums per word and per
-    root of their number, relative to the median and as they are."""
+    """Features of a text from (word, long runs, largest, largest long, pair, masses) of its words: sums per word and
+    per root of their number, relative to the median and as they are."""
     n = len(values)
-    plain = values[:, [0, 1, 4]]
+    plain = values[:, [0, 1, 4, 5]]
     sums = [*(plain - np.median(plain, axis=0)).sum(axis=0), *plain.sum(axis=0)]
     sums += [np.maximum(values[:, c] - over, 0).sum() for c in (2, 3) for over in OVER]
     return [x for total in sums for x in (total / n, total / np.sqrt(n))]
@@ -152,12 +179,23 @@ def _pair(before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return words.mixed(words.mixed(before) + hashes)
 
 
+def _context(before: np.ndarray) -> np.ndarray:
+    """Keys of what a predecessor says of any word."""
+    return _pair(before, np.zeros(len(before), np.uint64))
+
+
+def _before(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The predecessor of each word, 0 for the first of a text."""
+    before = np.zeros(len(hashes), np.uint64)
+    before[1:] = hashes[:-1]
+    before[bounds[:-1][bounds[:-1] < len(hashes)]] = 0
+    return before
+
+
 def _expressions(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, ...]]:
     """(number of the first text, words, their predecessors, bounds, bytes, starts, ends), pairs once per text."""
     for first, hashes, bounds, raw, start, end in words.located(texts):
-        before = np.zeros(len(hashes), np.uint64)
-        before[1:] = hashes[:-1]
-        before[bounds[:-1][bounds[:-1] < len(hashes)]] = 0
+        before = _before(hashes, bounds)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         pair = words.mixed(_pair(before, hashes) + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         at = np.sort(np.unique(pair, return_index=True)[1])
@@ -192,14 +230,71 @@ def _labelled(texts: DataFrame, pairs: bool) -> DataFrame:
 
 
 def _keyed(pairs: DataFrame) -> DataFrame:
-    """The pairs (before, word, toxic, ordinary) with the hash ``key`` of both."""
+    """(key, value) of pairs (before, word, value); ``key`` is the hash of both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, word = (batch.column(c).to_numpy().view(np.uint64) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([_signed(_pair(before, word)), batch.column(2)], names=["key", "value"])
+
+    return pairs.select("before", "word", "value").mapInArrow(run, "key long, value double")
+
+
+def _place(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+
+
+def marks(keys: np.ndarray) -> np.ndarray:
+    """A map with a bit set for each of the keys."""
+    flags = np.zeros(1 << MAP_BITS, bool)
+    flags[_place(keys)] = True
+    return np.packbits(flags, bitorder="little")
+
+
+def _marked(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys are on the map: all that were marked, and few others."""
+    at = _place(keys)
+    return ((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def _marks(keys: DataFrame) -> np.ndarray:
+    """The map of a column of keys, of the same size however many they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flags = np.zeros(1 << MAP_BITS >> 3, np.uint8)
         for batch in batches:
-            before, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, _signed(_pair(before, word))], names=["before", "word", "toxic", "ordinary", "key"])
+            flags |= marks(batch.column(0).to_numpy().view(np.uint64))
+        there = np.flatnonzero(flags.view(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(flags.view(np.int64)[there])], names=["place", "bits"])
+
+    set_ = keys.mapInArrow(run, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << MAP_BITS >> 6, np.int64)
+    out[set_.column("place").to_numpy()] = set_.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def _blobs(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Items bounds[i]:bounds[i+1] of the data as one binary value each."""
+    data = np.ascontiguousarray(data)
+    wide = data.nbytes // max(len(data), 1)
+    offsets = (bounds * wide).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _flat(column: pa.ChunkedArray) -> np.ndarray:
+    """The bytes of all binary values behind one another."""
+    parts = [np.zeros(0, np.uint8)]
+    for chunk in column.chunks:
+        array = chunk.cast(pa.large_binary())
+        if array.buffers()[2] is not None:
+            offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
+            parts.append(np.frombuffer(array.buffers()[2], np.uint8)[offsets[0] : offsets[-1]])
+    return np.concatenate(parts)
 
-    return pairs.mapInArrow(run, "before long, word long, toxic long, ordinary long, key long")
+
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys start."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
 
 
 def _all_words(texts: DataFrame) -> DataFrame:
@@ -216,18 +311,17 @@ def _all_words(texts: DataFrame) -> DataFrame:
 
 
 def _run_counts(found: DataFrame, only: np.ndarray | None) -> DataFrame:
-    """(size, key, toxic, ordinary, kinds) of the runs of words (text, toxic, ordinary), ``only`` of some keys; with
-    it, key null has the kinds of all runs of a size."""
+    """(size, key, toxic, ordinary, kinds) of the runs of words (text, toxic, ordinary), ``only`` of keys on a map;
+    with it, key null has the kinds of all runs of a size."""
     shared = None if only is None else found.sparkSession.sparkContext.broadcast(only)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve = None if shared is None else _sieve(shared.value)
         for batch in batches:
             counts = [batch.column(c).to_numpy().astype(np.float64) for c in (1, 2)]
             for size, word, hashes in words.grams(batch.column(0), SIZES):
                 n = len(hashes)
                 if shared is not None:
-                    there = _found(shared.value, np.ones(len(shared.value)), hashes, sieve) > 0
+                    there = _marked(shared.value, hashes)
                     word, hashes = word[there], hashes[there]
                 key, back = np.unique(hashes, return_inverse=True)
                 sums = [np.bincount(back, x, len(key)).astype(np.int64) for x in (*[c[word] for c in counts], np.ones(len(word)))]
@@ -243,75 +337,74 @@ def _run_counts(found: DataFrame, only: np.ndarray | None) -> DataFrame:
 
 
 def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
-    """(word, kinds): different predecessors of words, ``only`` of some; word null has an estimate of all pairs.
+    """(word, kinds): different predecessors of words, ``only`` of those on a map; word null has an estimate of all pairs.
 
-    Predecessors are sent as 48 bits of their hashes, those of a word dealt into ``PARTS``.
+    A task sends its different pairs in buckets of words, a word with its predecessors as 48 bits of their hashes;
+    those of a word are dealt into four buckets.
     """
     shared = None if only is None else texts.sparkSession.sparkContext.broadcast(only)
+    buckets = BUCKETS * default_shuffles(texts.sparkSession)
+    names = ["bucket", "words", "sizes", "own"]
 
-    def sent(hashes: list[np.ndarray], before: list[np.ndarray]) -> pa.RecordBatch:
-        word, own = np.concatenate(hashes), np.concatenate(before)
+    def sent(gathered: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        word, own = (np.concatenate(x) for x in zip(*gathered))
         at = np.unique(_pair(own, word), return_index=True)[1]
         word, own = word[at], own[at]
-        part = (own >> np.uint64(61)).astype(np.int32)
-        order = np.lexsort([part, word])
-        word, own, part = word[order], own[order], part[order]
-        starts = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (part[1:] != part[:-1]))[: len(word)])
+        group = words.mixed(word + (own >> np.uint64(62)))
+        order = np.argsort(group)
+        word, own, group = word[order], own[order], group[order]
+        first = _starts(group)
+        bucket = ((group[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        cut = _starts(bucket)
+        bounds, sizes = np.append(cut, len(first)), np.diff(np.append(first, len(word))).astype(np.uint32)
         data = np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :6])
-        offsets = np.append(starts, len(own)).astype(np.int32) * 6
-        blobs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-        return pa.RecordBatch.from_arrays([_signed(word[starts]), pa.array(part[starts]), blobs], names=["word", "part", "own"])
+        blobs = [_blobs(word[first], bounds), _blobs(sizes, bounds), _blobs(data, np.append(first, len(word))[bounds])]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), *blobs], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        registers, hashes, before, n = np.zeros(REGISTERS, np.uint8), [], [], 0
+        registers, gathered, n = np.zeros(REGISTERS, np.uint8), [], 0
         for batch in batches:
-            for _, word, own, *_ in _expressions(batch.column(0)):
+            for _, word, bounds, *_ in words.located(batch.column(0)):
+                own = _before(word, bounds)
                 pair = _pair(own, word)
-                rest = (pair >> np.uint64(14)).astype(np.float64)
-                rank = (51 - np.frexp(rest)[1]).astype(np.uint8)
+                rank = (51 - np.frexp((pair >> np.uint64(14)).astype(np.float64))[1]).astype(np.uint8)
                 np.maximum.at(registers, (pair & np.uint64(REGISTERS - 1)).astype(np.int64), rank)
                 if shared is not None:
-                    there = _found(shared.value, np.ones(len(shared.value)), word) > 0
+                    there = _marked(shared.value, word)
                     word, own = word[there], own[there]
-                hashes.append(word)
-                before.append(own)
-                n += len(word)
+                if len(word):
+                    gathered.append((word, own))
+                    n += len(word)
                 if n >= GATHERED:
-                    yield sent(hashes, before)
-                    hashes, before, n = [], [], 0
+                    yield sent(gathered)
+                    gathered, n = [], 0
         if n:
-            yield sent(hashes, before)
-        blob = pa.array([registers.tobytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int32()), blob], names=["word", "part", "own"])
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, pairs, registers, known = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], np.zeros(REGISTERS, np.uint8), False
-        for batch in batches:
-            for word, own in zip(batch.column(0).to_pylist(), batch.column(2)):
-                data = np.frombuffer(own.as_buffer(), np.uint8)
-                if word is None:
-                    registers, known = np.maximum(registers, data), True
-                    continue
-                wide = np.zeros((len(data) // 6, 8), np.uint8)
-                wide[:, :6] = data.reshape(-1, 6)
-                keys.append(np.full(len(wide), word, np.int64).view(np.uint64))
-                pairs.append(wide.view(np.uint64)[:, 0])
-        key = np.concatenate(keys)
-        at = np.unique(_pair(np.concatenate(pairs), key), return_index=True)[1]
+            yield sent(gathered)
+        chunks = REGISTERS // CHUNK
+        blobs = _blobs(registers, np.arange(chunks + 1) * CHUNK)
+        none = pa.array([b""] * chunks, pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(-1 - np.arange(chunks, dtype=np.int32)), none, none, blobs], names=names)
+
+    def counted(table: pa.Table) -> pa.Table:
+        own = _flat(table.column("own"))
+        if table.column("bucket")[0].as_py() < 0:
+            ranks = own.reshape(-1, CHUNK).max(axis=0)
+            sums = [(2.0 ** -ranks.astype(float)).sum()], [int((ranks == 0).sum())]
+            return pa.table([pa.array([None], pa.int64()), *map(pa.array, sums)], names=["word", "kinds", "unset"])
+        key = np.repeat(_flat(table.column("words")).view(np.uint64), _flat(table.column("sizes")).view(np.uint32))
+        wide = np.zeros((len(key), 8), np.uint8)
+        wide[:, :6] = own.reshape(-1, 6)
+        at = np.unique(_pair(wide.view(np.uint64)[:, 0], key), return_index=True)[1]
         found, kinds = np.unique(key[at], return_counts=True)
-        yield pa.RecordBatch.from_arrays([_signed(found), pa.array(kinds.astype(np.float64))], names=["word", "kinds"])
-        if known:
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([_cardinality(registers)])], names=["word", "kinds"])
-
-    dealt = texts.select("text").mapInArrow(run, "word long, part int, own binary").repartition("word", "part")
-    return dealt.mapInArrow(counted, "word long, kinds double").groupBy("word").agg(F.sum("kinds").alias("kinds"))
+        return pa.table([_signed(found), pa.array(kinds.astype(float)), pa.array(np.zeros(len(found), np.int64))], names=["word", "kinds", "unset"])
 
-
-def _cardinality(registers: np.ndarray) -> float:
-    m = len(registers)
-    guess = 0.7213 / (1 + 1.079 / m) * m * m / (2.0 ** -registers.astype(float)).sum()
-    unset = int((registers == 0).sum())
-    return float(m * np.log(m / unset)) if unset and guess <= 2.5 * m else float(guess)
+    dealt = texts.select("text").mapInArrow(run, "bucket int, words binary, sizes binary, own binary")
+    sums = dealt.groupBy("bucket").applyInArrow(counted, "word long, kinds double, unset long").groupBy("word").agg(F.sum("kinds").alias("kinds"), F.sum("unset").alias("unset"))
+    # The registers' part of a count of different pairs: by harmonic mean, by those unset while they are many.
+    guess = 0.7213 / (1 + 1.079 / REGISTERS) * REGISTERS * REGISTERS / F.col("kinds")
+    few = (F.col("unset") > 0) & (guess <= 2.5 * REGISTERS)
+    estimate = F.when(few, REGISTERS * F.log(REGISTERS / F.col("unset"))).otherwise(guess)
+    return sums.select("word", F.when(F.col("word").isNull(), estimate).otherwise(F.col("kinds")).alias("kinds"))
 
 
 @dataclass
@@ -340,16 +433,26 @@ class Discounts:
     def says(self) -> Column:
         return (F.col("toxic") > DISCOUNT) | (F.col("ordinary") > self.high)
 
-    def ratio(self, shared: Column, toxic: Column | None = None, ordinary: Column | None = None) -> Column:
-        """Log ratio of the smoothed chances; of a context if its counts are given."""
-        back = self.given * shared
+    def ratio(self, shared: Column) -> Column:
+        """Log ratio of the smoothed chances of an expression."""
+        return F.log(self._chance("toxic", self.toxic, self.given, shared) / self._chance("ordinary", self.ordinary, self.given, shared))
+
+    def _chance(self, name: str, total: Column | float, freed: Column | float, shared: Column) -> Column:
+        taken = DISCOUNT if name == "toxic" else self.high
+        own = F.greatest(F.col(name) - taken, F.lit(0.0)) / total
+        return F.coalesce(own, F.lit(0.0)) + freed * shared
 
-        def chance(name: str, discount: float, total: Column) -> Column:
-            own = F.greatest(F.col(name) - discount, F.lit(0.0))
-            return F.when(total > 0, own / total).otherwise(0.0) + back
+    def contexts(self, pairs: DataFrame) -> DataFrame:
+        """(_b, t, o, freed_t, freed_o): counts of the predecessors in both classes, the part that the discounts set free."""
+        out = pairs.groupBy(F.col("before").alias("_b"))
+        sums = {"t": ("toxic", DISCOUNT), "o": ("ordinary", self.high)}
+        out = out.agg(*[F.sum(c).alias(n) for n, (c, _) in sums.items()], *[F.sum(F.least(F.col(c), F.lit(float(d)))).alias(f"_{n}") for n, (c, d) in sums.items()])
+        freed = {n: F.when(F.col(n) > 0, F.col(f"_{n}") / F.col(n)).otherwise(1.0).alias(f"freed_{n}") for n in sums}
+        return out.select("_b", *[F.when(F.col(n) > 0, F.col(n)).alias(n) for n in sums], *freed.values())
 
-        whole = F.lit(self.toxic) if toxic is None else toxic, F.lit(self.ordinary) if ordinary is None else ordinary
-        return F.log(chance("toxic", DISCOUNT, whole[0]) / chance("ordinary", self.high, whole[1]))
+    def conditional(self, shared: Column) -> Column:
+        """Log ratio of the chances of a pair beside the columns of its context."""
+        return F.log(self._chance("toxic", F.col("t"), F.col("freed_t"), shared) / self._chance("ordinary", F.col("o"), F.col("freed_o"), shared))
 
 
 def _discounts(counts: DataFrame, by: str | None = None) -> dict[int, Discounts | None]:
@@ -359,12 +462,6 @@ def _discounts(counts: DataFrame, by: str | None = None) -> dict[int, Discounts
     return {int(k): Discounts.of(*(x[c].to_numpy() for c in ("n", "times", "c"))) for k, x in seen.groupby("by")}
 
 
-def _keys(df: DataFrame) -> np.ndarray | None:
-    """The different values of a column of hashes in order, none if they are too many to hold."""
-    df = df.distinct()
-    return np.sort(df.toPandas().iloc[:, 0].to_numpy(np.int64).view(np.uint64)) if df.limit(HELD + 1).count() <= HELD else None
-
-
 def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(family, key, value) of all expressions with a ratio other than 0, from labelled rows and all texts."""
     own_words, own_pairs = stored(_labelled(known, False), "toxic-words"), stored(_labelled(known, True), "toxic-pairs")
@@ -372,22 +469,22 @@ def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     of_words, of_pairs, of_runs = _discounts(own_words).get(0), _discounts(own_pairs).get(0), _discounts(runs, "size")
     if of_words is None or of_pairs is None:
         return None
-    said, pairs = own_words.where(of_words.says()), _keyed(own_pairs.where(of_pairs.says()))
-    kinds = stored(_predecessors(texts, _keys(said.select("key").union(pairs.select("word")))), "toxic-kinds")
+    said, pairs = own_words.where(of_words.says()), own_pairs.where(of_pairs.says())
+    kinds = stored(_predecessors(texts, _marks(said.select("key").union(pairs.select("word")))), "toxic-kinds")
     total = float(kinds.where("word is null").first()["kinds"])
     shares = kinds.select(F.col("word").alias("_w"), (F.col("kinds") / total).alias("shared")).where("_w is not null")
-    contexts = own_pairs.groupBy(F.col("before").alias("_b")).agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
+    contexts = of_pairs.contexts(own_pairs).where("freed_t < 1 or freed_o < 1")
+    valued = pairs.join(shares, F.col("word") == F.col("_w")).join(contexts, F.col("before") == F.col("_b"))
+    alone = contexts.select(F.col("_b").alias("before"), F.lit(0).cast("long").alias("word"), F.log(F.col("freed_t") / F.col("freed_o")).alias("value"))
     found = [
         said.join(shares, F.col("key") == F.col("_w")).select(F.lit(WORD).alias("family"), "key", of_words.ratio(F.col("shared")).alias("value")),
-        pairs.join(shares, F.col("word") == F.col("_w"))
-        .join(contexts, F.col("before") == F.col("_b"))
-        .select(F.lit(PAIR).alias("family"), "key", of_pairs.ratio(F.col("shared"), F.col("t"), F.col("o")).alias("value")),
+        _keyed(valued.select("before", "word", of_pairs.conditional(F.col("shared")).alias("value")).unionByName(alone)).select(F.lit(PAIR).alias("family"), "key", "value"),
     ]
     sizes = {size: d for size, d in of_runs.items() if d is not None}
     if sizes:
         says = reduce(lambda a, b: a | b, [(F.col("size") == size) & d.says() for size, d in sizes.items()])
         some = runs.where(says).drop("kinds")
-        counts = stored(_run_counts(_all_words(texts), _keys(some.select("key"))).select("size", "key", "kinds"), "toxic-places")
+        counts = stored(_run_counts(_all_words(texts), _marks(some.select("key"))).select("size", "key", "kinds"), "toxic-places")
         places = {r["size"]: r["kinds"] for r in counts.where("key is null").collect()}
         for size, d in sizes.items():
             of_size = counts.where((F.col("size") == size) & F.col("key").isNotNull()).select(F.col("key").alias("_k"), "kinds")
@@ -441,11 +538,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if table is not None and table.count() > HELD:
         model.table = table
     elif table is not None:
-        found = table.toPandas()
         for family in (WORD, PAIR, GRAM):
-            own = found[found["family"] == family]
-            keys, order = np.unique(own["key"].to_numpy(np.int64).view(np.uint64), return_index=True)
-            model.held[family] = keys, own["value"].to_numpy(np.float32)[order]
+            own = table.where(F.col("family") == family).select("key", F.col("value").cast("float")).toArrow()
+            keys, order = np.unique(own.column("key").to_numpy().view(np.uint64), return_index=True)
+            model.held[family] = keys, own.column("value").to_numpy()[order]
 
     def part(all_folds: bool) -> DataFrame:
         some = rows if all_folds else rows.where("fold = 1")
@@ -468,7 +564,7 @@ def _featured(docs: DataFrame, model: Model) -> DataFrame:
     rows = packed(docs)
     if model.table is not None:
         return _joined(rows, model.table)
-    shared = docs.sparkSession.sparkContext.broadcast(model.held)
+    shared = model.shared(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(shared.value, np.zeros(0))
@@ -491,8 +587,8 @@ def _joined(rows: DataFrame, table: DataFrame) -> DataFrame:
             numbers = batch.column(1).to_numpy()
             for first, hashes, before, bounds, *_ in _expressions(batch.column(0)):
                 n = np.repeat(numbers[first : first + len(bounds) - 1], np.diff(bounds))
-                columns = [pa.array(n), _signed(hashes), _signed(_pair(before, hashes))]
-                yield pa.RecordBatch.from_arrays(columns, names=["n", "word", "pair"])
+                columns = [pa.array(n), _signed(hashes), _signed(_pair(before, hashes)), _signed(_context(before))]
+                yield pa.RecordBatch.from_arrays(columns, names=["n", "word", "pair", "context"])
 
     def run_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -507,7 +603,7 @@ def _joined(rows: DataFrame, table: DataFrame) -> DataFrame:
             lists = batch.column(1)
             bounds = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
             flat = lists.flatten()
-            values = np.column_stack([flat.field(i).to_numpy() for i in range(5)])
+            values = np.column_stack([flat.field(i).to_numpy() for i in range(6)])
             x = [_summed(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["n", "x"])
 
@@ -521,13 +617,15 @@ def _joined(rows: DataFrame, table: DataFrame) -> DataFrame:
     own = of(WORD, "word").join(by_run, "word", "full").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     none = F.lit(0.0)
     met = (
-        texts.mapInArrow(said, "n long, word long, pair long")
+        texts.mapInArrow(said, "n long, word long, pair long, context long")
         .withColumn("part", F.pmod("n", F.lit(PARTS)).cast("int"))
         .join(own, ["word", "part"], "left")
         .join(of(PAIR, "pair"), "pair", "left")
+        .join(of(PAIR, "context"), "context", "left")
+        .withColumn("masses", F.when(F.coalesce("pair_value", none) == 0, F.col("context_value")))
     )
     values = F.struct(
-        *[F.coalesce(F.greatest(c, none) if c.startswith("top") else F.col(c), none).alias(c) for c in ("word_value", "total", "top", "top_long", "pair_value")]
+        *[F.coalesce(F.greatest(c, none) if c.startswith("top") else F.col(c), none).alias(c) for c in ("word_value", "total", "top", "top_long", "pair_value", "masses")]
     )
     x = met.groupBy("n").agg(F.collect_list(values).alias("v")).mapInArrow(summed, "n long, x array<double>")
     empty = F.array(*[none] * FEATURES)

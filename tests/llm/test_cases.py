@@ -213,7 +213,7 @@ def test_counts_of_the_corpus_have_no_ceiling(spark):
     rows = [(i, f"before{i} often") for i in range(3000)] + [(i, "before7 often") for i in range(50)]
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
     key = next(words.sliced(pa.array(["often"])))[1]
-    got = {r["word"]: r["kinds"] for r in toxicity._predecessors(frame, key).collect()}
+    got = {r["word"]: r["kinds"] for r in toxicity._predecessors(frame, toxicity.marks(key)).collect()}
     assert got[key.view(np.int64)[0]] == 3000
     assert got[None] == pytest.approx(6000, rel=0.05)
     assert toxicity._predecessors(frame, None).count() == 3002
