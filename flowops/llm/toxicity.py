@@ -76,21 +76,33 @@ def fold(doc_id: Column) -> Column:
     return (F.crc32(doc_id.cast("string").cast("binary")) % FOLDS).cast("int")
 
 
-def _found(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, sieve: np.ndarray | None = None) -> np.ndarray:
-    """Values of the asked keys among sorted ones, 0 for the others."""
-    out = np.zeros(len(asked))
-    if len(keys):
-        there = np.arange(len(asked)) if sieve is None else np.flatnonzero(sieve[(asked >> SIEVE).astype(np.int64)])
-        at = np.minimum(np.searchsorted(keys, asked[there]), len(keys) - 1)
-        out[there] = np.where(keys[at] == asked[there], values[at], 0)
-    return out
+class Lookup:
+    """Values of sorted keys that are evenly spread 64-bit hashes, 0 for other keys.
 
+    A map of the keys' first bits answers for most keys that are not there, a table of where their first bits start
+    leaves a step or two to the place of the others.
+    """
 
-def _sieve(keys: np.ndarray) -> np.ndarray:
-    """Which first bits the keys have: most of the others need no search."""
-    out = np.zeros(1 << 24, bool)
-    out[(keys >> SIEVE).astype(np.int64)] = True
-    return out
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys = np.append(keys, np.uint64(np.iinfo(np.uint64).max))
+        self.values = np.append(values, values.dtype.type(0))
+        self.sieve = np.zeros(1 << 24, bool)
+        self.sieve[(keys >> SIEVE).astype(np.int64)] = True
+        bits = max(len(keys), 2).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+
+    def __call__(self, asked: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(asked))
+        there = np.flatnonzero(self.sieve[(asked >> SIEVE).astype(np.int64)])
+        key = asked[there]
+        at = self.starts[(key >> self.shift).astype(np.int64)]
+        behind = np.flatnonzero(self.keys[at] < key)
+        while len(behind):
+            at[behind] += 1
+            behind = behind[self.keys[at[behind]] < key[behind]]
+        out[there] = np.where(self.keys[at] == key, self.values[at], 0)
+        return out
 
 
 @dataclass
@@ -103,7 +115,7 @@ class Model:
     held: list[tuple[np.ndarray, np.ndarray]]
     weights: np.ndarray
     table: DataFrame | None = None
-    _sieved: dict[int, np.ndarray] = field(default_factory=dict)
+    _lookups: dict[int, Lookup] = field(default_factory=dict)
     _sent: Broadcast | None = None
     _kept: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.uint64), np.zeros((0, 4))])
 
@@ -111,9 +123,7 @@ class Model:
         out = np.zeros((len(texts), FEATURES))
         for first, hashes, before, bounds, raw, start, end in _expressions(texts):
             values = np.column_stack([self._words(hashes, raw, start, end), self._pairs(before, hashes)])
-            for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()), first):
-                if b > a:
-                    out[i] = _summed(values[a:b])
+            out[first : first + len(bounds) - 1] = _summed(values, bounds)
         return out
 
     def shared(self, docs: DataFrame) -> Broadcast:
@@ -123,9 +133,9 @@ class Model:
         return self._sent
 
     def _lookup(self, family: int, asked: np.ndarray) -> np.ndarray:
-        if family not in self._sieved:
-            self._sieved[family] = _sieve(self.held[family][0])
-        return _found(*self.held[family], asked, self._sieved[family])
+        if family not in self._lookups:
+            self._lookups[family] = Lookup(*self.held[family])
+        return self._lookups[family](asked)
 
     def _pairs(self, before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         own, (context, back) = self._lookup(PAIR, _pair(before, hashes)), np.unique(before, return_inverse=True)
@@ -142,7 +152,7 @@ class Model:
             if len(keys) > KEPT:
                 keys, values, new, place = keys[:0], values[:0], np.ones(len(asked), bool), np.zeros(len(asked), np.int64)
             own = _runs(words.taken(raw, start[at[new]], end[at[new]]), lambda asked: self._lookup(GRAM, asked))
-            own = np.column_stack([_found(*self.held[WORD], asked[new]), own])
+            own = np.column_stack([self._lookup(WORD, asked[new]), own])
             self._kept = [np.insert(keys, place[new], asked[new]), np.insert(values, place[new], own, axis=0)]
         keys, values = self._kept
         return values[np.searchsorted(keys, asked)][back]
@@ -165,14 +175,25 @@ def _runs(texts: pa.Array, lookup: Callable[[np.ndarray], np.ndarray]) -> np.nda
     return out
 
 
-def _summed(values: np.ndarray) -> list[float]:
-    """Features of a text from (word, long runs, largest, largest long, pair, masses) of its words: sums per word and
-    per root of their number, relative to the median and as they are."""
-    n = len(values)
+def _summed(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Features of texts from (word, long runs, largest, largest long, pair, masses) of their words: sums per word and
+    per root of their number, relative to the median and as they are; 0 for a text without words."""
+    out = np.zeros((len(bounds) - 1, FEATURES))
+    live = np.flatnonzero(np.diff(bounds))
+    if not len(live):
+        return out
     plain = values[:, [0, 1, 4, 5]]
-    sums = [*(plain - np.median(plain, axis=0)).sum(axis=0), *plain.sum(axis=0)]
-    sums += [np.maximum(values[:, c] - over, 0).sum() for c in (2, 3) for over in OVER]
-    return [x for total in sums for x in (total / n, total / np.sqrt(n))]
+    over = [np.maximum(values[:, c] - o, 0) for c in (2, 3) for o in OVER]
+    sums = np.add.reduceat(np.column_stack([plain, *over]), bounds[live])
+    n = np.diff(bounds)[live].astype(float)[:, None]
+    middle = np.zeros((len(live), plain.shape[1]))
+    for i, (a, b) in enumerate(zip(bounds[live].tolist(), bounds[live + 1].tolist())):
+        ordered = np.sort(plain[a:b], axis=0)
+        middle[i] = (ordered[(b - a - 1) // 2] + ordered[(b - a) // 2]) / 2
+    wide = plain.shape[1]
+    whole = np.hstack([sums[:, :wide] - n * middle, sums])
+    out[live] = np.stack([whole / n, whole / np.sqrt(n)], axis=2).reshape(len(live), -1)
+    return out
 
 
 def _pair(before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -604,8 +625,8 @@ def _joined(rows: DataFrame, table: DataFrame) -> DataFrame:
             bounds = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
             flat = lists.flatten()
             values = np.column_stack([flat.field(i).to_numpy() for i in range(6)])
-            x = [_summed(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["n", "x"])
+            x = _summed(values, bounds)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["n", "x"])
 
     def of(family: int, name: str) -> DataFrame:
         return table.where(F.col("family") == family).select(F.col("key").alias(name), F.col("value").alias(f"{name}_value"))
