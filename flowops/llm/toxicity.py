@@ -64,6 +64,8 @@ BUCKETS = 4
 # Registers that estimate all pairs, and how many go together.
 REGISTERS = 1 << 14
 CHUNK = 256
+# Bytes of a predecessor's hash: of n predecessors of a word about n * n / 2**41 are taken for another.
+OWN = 5
 # Words whose values a task keeps.
 KEPT = 1 << 18
 SIEVE = np.uint64(40)
@@ -360,7 +362,7 @@ def _run_counts(found: DataFrame, only: np.ndarray | None) -> DataFrame:
 def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
     """(word, kinds): different predecessors of words, ``only`` of those on a map; word null has an estimate of all pairs.
 
-    A task sends its different pairs in buckets of words, a word with its predecessors as 48 bits of their hashes;
+    A task sends its different pairs in buckets of words, a word with ``OWN`` bytes of its predecessors' hashes;
     those of a word are dealt into four buckets.
     """
     shared = None if only is None else texts.sparkSession.sparkContext.broadcast(only)
@@ -378,7 +380,7 @@ def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
         bucket = ((group[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
         cut = _starts(bucket)
         bounds, sizes = np.append(cut, len(first)), np.diff(np.append(first, len(word))).astype(np.uint32)
-        data = np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :6])
+        data = np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :OWN])
         blobs = [_blobs(word[first], bounds), _blobs(sizes, bounds), _blobs(data, np.append(first, len(word))[bounds])]
         return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), *blobs], names=names)
 
@@ -414,7 +416,7 @@ def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
             return pa.table([pa.array([None], pa.int64()), *map(pa.array, sums)], names=["word", "kinds", "unset"])
         key = np.repeat(_flat(table.column("words")).view(np.uint64), _flat(table.column("sizes")).view(np.uint32))
         wide = np.zeros((len(key), 8), np.uint8)
-        wide[:, :6] = own.reshape(-1, 6)
+        wide[:, :OWN] = own.reshape(-1, OWN)
         at = np.unique(_pair(wide.view(np.uint64)[:, 0], key), return_index=True)[1]
         found, kinds = np.unique(key[at], return_counts=True)
         return pa.table([_signed(found), pa.array(kinds.astype(float)), pa.array(np.zeros(len(found), np.int64))], names=["word", "kinds", "unset"])
@@ -486,7 +488,7 @@ def _discounts(counts: DataFrame, by: str | None = None) -> dict[int, Discounts
 def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(family, key, value) of all expressions with a ratio other than 0, from labelled rows and all texts."""
     own_words, own_pairs = stored(_labelled(known, False), "toxic-words"), stored(_labelled(known, True), "toxic-pairs")
-    runs = stored(_run_counts(own_words, None).where("key is not null"), "toxic-runs")
+    runs = stored(_run_counts(own_words, None).where("key is not null").drop("kinds"), "toxic-runs")
     of_words, of_pairs, of_runs = _discounts(own_words).get(0), _discounts(own_pairs).get(0), _discounts(runs, "size")
     if of_words is None or of_pairs is None:
         return None
@@ -504,13 +506,13 @@ def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     sizes = {size: d for size, d in of_runs.items() if d is not None}
     if sizes:
         says = reduce(lambda a, b: a | b, [(F.col("size") == size) & d.says() for size, d in sizes.items()])
-        some = runs.where(says).drop("kinds")
+        some = runs.where(says)
         counts = stored(_run_counts(_all_words(texts), _marks(some.select("key"))).select("size", "key", "kinds"), "toxic-places")
         places = {r["size"]: r["kinds"] for r in counts.where("key is null").collect()}
-        for size, d in sizes.items():
-            of_size = counts.where((F.col("size") == size) & F.col("key").isNotNull()).select(F.col("key").alias("_k"), "kinds")
-            value = d.ratio(F.col("kinds") / float(places[size])).alias("value")
-            found.append(some.where(F.col("size") == size).join(of_size, F.col("key") == F.col("_k")).select(F.lit(GRAM).alias("family"), "key", value))
+        of_places = counts.where("key is not null").select(F.col("size").alias("_s"), F.col("key").alias("_k"), F.col("kinds").alias("_places"))
+        met = some.join(of_places, (F.col("size") == F.col("_s")) & (F.col("key") == F.col("_k")))
+        values = [F.when(F.col("size") == size, d.ratio(F.col("_places") / float(places[size]))) for size, d in sizes.items()]
+        found.append(met.select(F.lit(GRAM).alias("family"), "key", F.coalesce(*values).alias("value")))
     return stored(reduce(DataFrame.unionByName, found), "toxic-evidence")
 
 

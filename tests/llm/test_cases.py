@@ -219,6 +219,69 @@ def test_counts_of_the_corpus_have_no_ceiling(spark):
     assert toxicity._predecessors(frame, None).count() == 3002
 
 
+def test_evidence_equals_a_plain_model(spark):
+    rng = random.Random(12)
+    plain, bad = [f"w{i}" for i in range(12)], ["bad", "worse"]
+    known = [(" ".join(rng.choice(plain + bad * (i % 3 == 0)) for _ in range(30)), int(i % 3 == 0)) for i in range(120)]
+    others = [" ".join(rng.choice(plain + bad) for _ in range(40)) for _ in range(30)] + [None, ""]
+    pairs, kinds = Counter(), {}
+    for k, text in enumerate([x for x, _ in known] + others):
+        said = (text or "").split()
+        for before, word in set(zip([None, *said], said)):
+            kinds.setdefault(word, set()).add(before)
+            if k < len(known):
+                pairs[before, word, known[k][1]] += 1
+    single = Counter()
+    for (_, word, c), n in pairs.items():
+        single[word, c] += n
+    total = sum(map(len, kinds.values()))
+
+    def model(counts):
+        """Totals by class, mass given to the shared counts, the ordinary discount."""
+        by = {c: [n for key, n in counts.items() if key[-1] == c] for c in (0, 1)}
+        given = sum(min(n, toxicity.DISCOUNT) for n in by[1]) / sum(by[1])
+        low, high = 0.0, max(by[0])
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if sum(min(n, middle) for n in by[0]) / sum(by[0]) < given else (low, middle)
+        return {c: sum(n) for c, n in by.items()}, given, {1: toxicity.DISCOUNT, 0: high}
+
+    def hashed(word):
+        return next(words.sliced(pa.array([word])))[1] if word else np.zeros(1, np.uint64)
+
+    want = {}
+    sums, given, taken = model(single)
+    for word in kinds:
+        if any(single[word, c] > taken[c] for c in (0, 1)):
+            chance = [max(single[word, c] - taken[c], 0) / sums[c] + given * len(kinds[word]) / total for c in (0, 1)]
+            want[toxicity.WORD, hashed(word)[0]] = math.log(chance[1] / chance[0])
+    _, _, taken = model(pairs)
+    for before in {b for b, _, _ in pairs}:
+        own = {c: [n for (b, _, k), n in pairs.items() if (b, k) == (before, c)] for c in (0, 1)}
+        freed = {c: sum(min(n, taken[c]) for n in own[c]) / sum(own[c]) if own[c] else 1 for c in (0, 1)}
+        if min(freed.values()) < 1:
+            want[toxicity.PAIR, toxicity._context(hashed(before))[0]] = math.log(freed[1] / freed[0])
+        for word in kinds:
+            if any(pairs[before, word, c] > taken[c] for c in (0, 1)):
+                shared = len(kinds[word]) / total
+                chance = [max(pairs[before, word, c] - taken[c], 0) / max(sum(own[c]), 1) + freed[c] * shared for c in (0, 1)]
+                want[toxicity.PAIR, toxicity._pair(hashed(before), hashed(word))[0]] = math.log(chance[1] / chance[0])
+    texts = spark.createDataFrame([(x,) for x in [x for x, _ in known] + others], "text string").repartition(5)
+    found = toxicity._evidence(spark.createDataFrame(known, "text string, toxic long"), texts).collect()
+    got = {(r["family"], np.uint64(r["key"] % (1 << 64))): r["value"] for r in found if r["family"] != toxicity.GRAM}
+    assert len(want) > 50 and got == pytest.approx(want, abs=0.03)
+
+
+def test_lookups_equal_a_dictionary():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 1000, 50_000):
+        keys = np.unique(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        values = rng.normal(size=len(keys)).astype(np.float32)
+        asked = np.concatenate([keys, rng.integers(0, 1 << 64, 1000, dtype=np.uint64), keys + np.uint64(1)])
+        held = dict(zip(keys.tolist(), values.tolist()))
+        assert toxicity.Lookup(keys, values)(asked).tolist() == [held.get(k, 0.0) for k in asked.tolist()]
+
+
 def test_runs_of_characters_equal_brute_force():
     texts = ["a", "idiot", "ОБЩИЙ", "不良词语在这里", "é" * 9]
     seen = {}
