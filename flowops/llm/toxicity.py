@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from flowops.llm import words
-from flowops.llm.common import default_shuffles, packed, stored
+from flowops.llm.common import default_shuffles, packed, released, stored
 
 SIZES = range(2, 9)
 LONG = 5
@@ -489,11 +489,13 @@ def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(family, key, value) of all expressions with a ratio other than 0, from labelled rows and all texts."""
     own_words, own_pairs = stored(_labelled(known, False), "toxic-words"), stored(_labelled(known, True), "toxic-pairs")
     runs = stored(_run_counts(own_words, None).where("key is not null").drop("kinds"), "toxic-runs")
+    released(texts.sparkSession)
     of_words, of_pairs, of_runs = _discounts(own_words).get(0), _discounts(own_pairs).get(0), _discounts(runs, "size")
     if of_words is None or of_pairs is None:
         return None
     said, pairs = own_words.where(of_words.says()), own_pairs.where(of_pairs.says())
     kinds = stored(_predecessors(texts, _marks(said.select("key").union(pairs.select("word")))), "toxic-kinds")
+    released(texts.sparkSession)
     total = float(kinds.where("word is null").first()["kinds"])
     shares = kinds.select(F.col("word").alias("_w"), (F.col("kinds") / total).alias("shared")).where("_w is not null")
     contexts = of_pairs.contexts(own_pairs).where("freed_t < 1 or freed_o < 1")
@@ -508,6 +510,7 @@ def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
         says = reduce(lambda a, b: a | b, [(F.col("size") == size) & d.says() for size, d in sizes.items()])
         some = runs.where(says)
         counts = stored(_run_counts(_all_words(texts), _marks(some.select("key"))).select("size", "key", "kinds"), "toxic-places")
+        released(texts.sparkSession)
         places = {r["size"]: r["kinds"] for r in counts.where("key is null").collect()}
         of_places = counts.where("key is not null").select(F.col("size").alias("_s"), F.col("key").alias("_k"), F.col("kinds").alias("_places"))
         met = some.join(of_places, (F.col("size") == F.col("_s")) & (F.col("key") == F.col("_k")))
@@ -530,14 +533,27 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _newton(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Intercept and slopes by Newton steps, slopes held down a little."""
+    """Intercept and slopes by Newton steps, slopes held down a little.
+
+    A step is halved until the loss falls: a full one can leap to where every row is certain, and never comes back.
+    """
     scale = np.maximum(x.std(axis=0), 1e-9)
     z = np.column_stack([np.ones(len(x)), x / scale])
     w, hold = np.zeros(z.shape[1]), np.array([1e-6, *[1e-2] * x.shape[1]])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+
+    def loss(w: np.ndarray) -> float:
+        at = z @ w
+        return float((np.logaddexp(0, at) - y * at).sum() + (hold * w * w).sum() / 2)
+
+    now = loss(w)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
         step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(hold), z.T @ (y - p) - hold * w)
-        w = w + step
+        while (ahead := loss(w + step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if ahead > now:
+            break
+        w, now = w + step, ahead
         if np.abs(step).max() < 1e-9:
             break
     return np.array([w[0], *(w[1:] / scale)])

@@ -304,6 +304,18 @@ def learned(spark, make, n=1200):
     return sum((got[i] >= 0.5) == (i % 4 == 0) for i in held) / len(held)
 
 
+def test_toxicity_curve_is_found_beside_far_texts():
+    rng = np.random.default_rng(0)
+    y = (rng.random(4000) < 0.1).astype(float)
+    x = np.column_stack([rng.normal(2 * y, 0.3) for _ in range(6)])
+    far = rng.choice(4000, 20, replace=False)
+    x[far] *= 100
+    w = toxicity._logistic(x, y)
+    near = np.delete(np.arange(4000), far)
+    assert ((x @ w[1:] + w[0] > 0) == (y > 0))[near].mean() > 0.97
+    assert 0.07 < (x @ w[1:] + w[0] > 0).mean() < 0.13
+
+
 def test_toxicity_reads_words_to_their_end(spark):
     def make(rng, toxic):
         letters = [chr(c) for c in range(0x4E00, 0x4E80)]
