@@ -103,7 +103,7 @@ def event_type_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the cleaning found, as observed while the clean rows were written."""
+    """What the cleaning found."""
     return cleaning.clean_summary(read_clean_counts(spark, sf_dir), FLOW)
 
 
@@ -499,10 +499,10 @@ def csv_text_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows written as JSON, where infinities become null, and read back."""
+    """Rows written as compressed JSON, where infinities become null, and read back."""
     path = scratch_path(spark, "json")
     flows = read_flows(spark, sf_dir)
-    sinks.write_json(flows, path)
+    sinks.write_json(flows, path, compression=sinks.JSON_CODEC)
     return _summary(spark.read.schema(flows.schema).json(path))
 
 

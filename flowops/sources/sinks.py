@@ -10,6 +10,8 @@ from flowops.functions.columns import decimal_text, is_finite, qcol, round_decim
 
 # Fixed value: the mark of a whole output.
 DONE = "_SUCCESS"
+# Codec for JSON lines of whole tables, where names that repeat in every row are most of the text.
+JSON_CODEC = "lz4"
 
 
 def as_text(df: DataFrame, decimals: int = 6) -> DataFrame:
@@ -64,7 +66,7 @@ def write_raw_csv(df: DataFrame, path: str, partition_by: str | None = None) ->
     writer.csv(path)
 
 
-def write_json(df: DataFrame, path: str, decimals: int = 6) -> None:
+def write_json(df: DataFrame, path: str, decimals: int = 6, compression: str = "none") -> None:
     """JSON lines; non-finite numbers become null, floats are rounded."""
     def cell(f: T.StructField) -> Column:
         c = qcol(f.name)
@@ -72,7 +74,7 @@ def write_json(df: DataFrame, path: str, decimals: int = 6) -> None:
             return F.when(is_finite(c), round_decimals(c.cast("double"), decimals)).alias(f.name)
         return c
 
-    df.select(*[cell(f) for f in df.schema.fields]).write.option("ignoreNullFields", False).json(path)
+    df.select(*[cell(f) for f in df.schema.fields]).write.options(ignoreNullFields=False, compression=compression).json(path)
 
 
 def write_lines(df: DataFrame, path: str, separator: str = " ") -> None:

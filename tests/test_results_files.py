@@ -201,3 +201,16 @@ def test_non_finite_cells(spark, a, b, same):
 
     df = spark.createDataFrame([(a, b)], "a string, b string")
     assert df.select(reconcile.same_value(F.col("a"), F.col("b"))).first()[0] is same
+
+
+def test_json_lines_of_a_whole_table_are_compressed(spark, tmp_path):
+    from flowops.sources import sinks
+
+    rows = spark.range(2000).selectExpr("id", "id / 4D AS a_long_name_in_every_row")
+    sizes = []
+    for codec in ("none", sinks.JSON_CODEC):
+        path = tmp_path / codec
+        sinks.write_json(rows, str(path), compression=codec)
+        sizes.append(sum(f.stat().st_size for f in path.glob("part-*")))
+        assert sorted(spark.read.schema(rows.schema).json(str(path)).collect()) == sorted(rows.collect())
+    assert 4 * sizes[1] < sizes[0]
