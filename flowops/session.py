@@ -54,6 +54,8 @@ TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Directories a task writes to at once; only rows of further ones are sorted first.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
 }
 
 

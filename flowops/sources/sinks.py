@@ -44,8 +44,8 @@ def write_csv(df: DataFrame, path: str, decimals: int = 6, single_file: bool = F
 def write_raw_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """CSV with the shortest exact text of every number; infinities spelled ``inf`` and ``-inf``.
 
-    With ``partition_by``, rows are first rebalanced by that column: few files per directory, and
-    adaptive execution splits a directory that holds a large part of the table.
+    With ``partition_by``, a task has a file in every directory it has rows of. Where the session allows so many
+    open files (``spark.sql.maxConcurrentOutputFileWriters``), rows are neither shuffled nor sorted for it.
     """
     def cell(f: T.StructField) -> Column:
         c = qcol(f.name)
@@ -58,8 +58,6 @@ def write_raw_csv(df: DataFrame, path: str, partition_by: str | None = None) ->
             .alias(f.name)
         )
 
-    if partition_by:
-        df = df.hint("rebalance", qcol(partition_by))
     writer = df.select(*[cell(f) for f in df.schema.fields]).write.options(header=True, encoding="UTF-8")
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -214,3 +214,15 @@ def test_json_lines_of_a_whole_table_are_compressed(spark, tmp_path):
         sizes.append(sum(f.stat().st_size for f in path.glob("part-*")))
         assert sorted(spark.read.schema(rows.schema).json(str(path)).collect()) == sorted(rows.collect())
     assert 4 * sizes[1] < sizes[0]
+
+
+def test_directories_are_written_where_rows_lie(spark, tmp_path):
+    from flowops.session import tune
+    from flowops.sources import sinks
+
+    rows = tune(spark).range(0, 400, 1, 4).selectExpr("id", "CAST(id % 3 AS string) AS clase")
+    sinks.write_raw_csv(rows, str(tmp_path / "out"), "clase")
+    # A file per task and directory: no row was moved to another task.
+    assert [len(list((tmp_path / "out" / f"clase={c}").glob("part-*"))) for c in range(3)] == [4, 4, 4]
+    back = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert sorted(int(r["id"]) for r in back.collect()) == list(range(400))
