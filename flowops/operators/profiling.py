@@ -40,58 +40,44 @@ def validation(df: DataFrame, spec: Spec) -> DataFrame:
 def column_profile(df: DataFrame, spec: Spec) -> DataFrame:
     """Per column: type, invalid cells, exact distinct values (chosen columns), range of valid values.
 
-    Cells are turned into (column, value) pairs and grouped by them, so the exact distinct counts,
-    invalid cells and ranges of all columns come from one scan; a value repeated millions of times
-    collapses before the shuffle. Columns without a distinct count share one NULL value key.
+    Cells of the columns with a distinct count are turned into (column, value) pairs and counted by them; what else
+    is said of these columns follows from the values and their counts. A value repeated millions of times collapses
+    before the shuffle. The other columns take one aggregation without keys, in a scan of their own.
     A missing value counts as one distinct value, an infinity as an ordinary one.
     """
     dtypes = {f.name: f.dataType for f in df.schema.fields}
-    cells = []
-    for i, c in enumerate(spec.columns):
-        value = qcol(c)
-        floating = c in spec.floats
-        textual = type_name(dtypes[c]) == "texto"
-        whole = F.lit(None).cast("bigint")
-        number = F.lit(None).cast("double")
-        text = F.lit(None).cast("string")
-        if textual:
-            text = value.cast("string")
-        elif floating:
-            number = value
-        else:
-            whole = value.cast("bigint")
-        cells.append(
-            F.struct(
-                F.lit(i).alias("_i"), whole.alias("_whole"), number.alias("_number"), text.alias("_text")
-            )
-        )
+    whole, number, text = F.lit(None).cast("bigint"), F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def typed(c: str) -> tuple[Column, Column, Column]:
+        if type_name(dtypes[c]) == "texto":
+            return whole, number, qcol(c).cast("string")
+        return (whole, qcol(c), text) if c in spec.floats else (qcol(c).cast("bigint"), number, text)
+
+    def present(w: Column, n: Column, t: Column) -> Column:
+        return w.isNotNull() | is_finite(n) | t.isNotNull()
+
+    def said(w: Column, n: Column, t: Column, rows: Column) -> list[Column]:
+        """Rows, invalid cells and ranges from cells that stand for ``rows`` each."""
+        finite = F.when(is_finite(n), n)
+        return [
+            F.sum(rows).alias("_rows"), F.sum(F.when(~present(w, n, t), rows).otherwise(0)).alias("_invalid"), F.min(w).alias("_min_whole"),
+            F.max(w).alias("_max_whole"), F.min(finite).alias("_min_number"), F.max(finite).alias("_max_number"),
+        ]
+
     counted = [i for i, c in enumerate(spec.columns) if c in spec.distinct]
-    pairs = df.select(F.inline(F.array(*cells)))
-    keyed = F.col("_i").isin(counted)
-    finite = is_finite(F.col("_number"))
-    present = F.col("_whole").isNotNull() | finite | F.col("_text").isNotNull()
-    per_value = pairs.groupBy(
-        "_i",
-        F.when(keyed, F.col("_whole")).alias("_kw"),
-        F.when(keyed, F.col("_number")).alias("_kn"),
-        F.when(keyed, F.col("_text")).alias("_kt"),
-    ).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if(~present).alias("_invalid"),
-        F.min("_whole").alias("_min_whole"),
-        F.max("_whole").alias("_max_whole"),
-        F.min(F.when(finite, F.col("_number"))).alias("_min_number"),
-        F.max(F.when(finite, F.col("_number"))).alias("_max_number"),
-    )
-    per_column = per_value.groupBy("_i").agg(
-        F.sum("_rows").alias("_rows"),
-        F.sum("_invalid").alias("_invalid"),
-        F.count(F.lit(1)).alias("_values"),
-        F.min("_min_whole").alias("_min_whole"),
-        F.max("_max_whole").alias("_max_whole"),
-        F.min("_min_number").alias("_min_number"),
-        F.max("_max_number").alias("_max_number"),
-    )
+    plain = [i for i in range(len(spec.columns)) if i not in counted]
+    found = []
+    if counted:
+        names = ("_kw", "_kn", "_kt")
+        cells = [F.struct(F.lit(i).alias("_i"), *[v.alias(n) for v, n in zip(typed(spec.columns[i]), names)]) for i in counted]
+        per_value = df.select(F.inline(F.array(*cells))).groupBy("_i", *names).agg(F.count(F.lit(1)).alias("_n"))
+        found.append(per_value.groupBy("_i").agg(*said(*map(F.col, names), F.col("_n")), F.count(F.lit(1)).alias("_values")))
+    if plain:
+        one = F.lit(1).cast("bigint")
+        wide = df.agg(*[F.struct(*said(*typed(spec.columns[i]), one)).alias(f"_{i}") for i in plain])
+        rows = [F.struct(F.lit(i).alias("_i"), F.col(f"_{i}").alias("_c")) for i in plain]
+        found.append(wide.select(F.inline(F.array(*rows))).select("_i", "_c.*", F.lit(None).cast("bigint").alias("_values")).where("_rows > 0"))
+    per_column = reduce(DataFrame.unionByName, found)
     names = F.array(*[F.lit(c) for c in spec.columns])
     kinds = F.array(*[F.lit(type_name(dtypes[c])) for c in spec.columns])
     return per_column.orderBy("_i").select(

@@ -118,3 +118,15 @@ def test_top_attacks_breaks_ties_by_name(spark):
     df = spark.createDataFrame([(x,) for x in "bbaaccdBenign".split("d")[0]] + [("Benign",)] * 4, "Label string")
     got = [r["Label"] for r in groups.top_attacks(df, FLOW, 2).collect()]
     assert got == ["a", "b"]
+
+
+def test_profile_makes_pairs_of_counted_columns_only(spark):
+    from flowops.spec import Spec
+
+    rows = spark.createDataFrame([(1, 2.5, "a"), (None, float("inf"), None), (3, -1.0, "b")], "n long, x double, t string")
+    spec = Spec(columns=("n", "x", "t"), integers=("n",), texts=("t",), label="t")
+    found = profiling.column_profile(rows, spec)
+    assert "_kw" not in found._jdf.queryExecution().optimizedPlan().toString()
+    got = [(r["columna"], r["celdas_no_validas"], r["distintos"], r["minimo_valido"], r["maximo_valido"]) for r in found.collect()]
+    assert got == [("n", 1, None, 1.0, 3.0), ("x", 1, None, -1.0, 2.5), ("t", 1, None, None, None)]
+    assert profiling.column_profile(rows.where("n > 9"), spec).count() == 0
