@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from flowops.functions.columns import (
     is_finite, is_null_marker, is_valid, null_non_finite, qcol, round_decimals,
@@ -68,7 +68,7 @@ def with_kept(df: DataFrame, spec: Spec) -> DataFrame:
 
 
 def clean_counts(spec: Spec) -> list:
-    """Aggregates over ``with_kept`` that the report of a cleaning is made of, for one pass or its observation.
+    """Aggregates over ``with_kept`` that the report of a cleaning is made of.
 
     What is left afterwards is counted on the rows that the cleaning rule keeps.
     """
@@ -84,12 +84,6 @@ def clean_counts(spec: Spec) -> list:
     ]
 
 
-def observed_cleaning(df: DataFrame, spec: Spec, seen: Observation) -> DataFrame:
-    """Clean, rounded rows; what the cleaning finds is observed by whatever writes them."""
-    kept = with_kept(df, spec).observe(seen, *clean_counts(spec)).where(KEPT).drop(KEPT)
-    return round_floats(kept, spec)
-
-
 def clean_report(df: DataFrame, spec: Spec) -> DataFrame:
     """Per affected column: invalid cells before and after, and rows removed. One scan."""
     return clean_summary(with_kept(df, spec).agg(*clean_counts(spec)), spec)

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-from flowops.operators.cleaning import observed_cleaning, round_floats
+from flowops.operators.cleaning import clean_and_round, clean_counts, round_floats, with_kept
 from flowops.operators.percentiles import Limits
 from flowops.session import scratch_path
 from flowops.spec import FLOW, FLOW_COLUMNS, LABEL_FAMILY
@@ -107,7 +107,7 @@ SOURCE_PARTITIONS = "flowops.sourcePartitions"
 STAGED_FLOWS = "flowops.stagedFlows"
 
 _stored: dict[tuple, tuple[str, T.StructType | None]] = {}
-_observed: dict[tuple, dict[str, int]] = {}
+_counted: dict[tuple, dict[str, int]] = {}
 
 
 def _identity(spark: SparkSession, path: str) -> tuple:
@@ -160,28 +160,19 @@ def read_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean, rounded rows: the check of all 40 columns is paid once, not by every later report.
-
-    What the cleaning finds is observed while the rows are written.
-    """
-    seen = Observation("clean")
-    built = False
-
-    def build() -> DataFrame:
-        nonlocal built
-        built = True
-        return observed_cleaning(read_flows(spark, sf_dir), FLOW, seen)
-
-    stage = stored(spark, sf_dir, "clean", build)
-    if built:
-        _observed[_source_key(spark, sf_dir, "clean")] = seen.get
-    return stage
+    """Clean, rounded rows: the check of all 40 columns is paid once, not by every later report."""
+    return stored(spark, sf_dir, "clean", lambda: clean_and_round(read_flows(spark, sf_dir), FLOW))
 
 
 def read_clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The record of ``clean_counts`` that was observed when the clean rows were written; no scan of its own."""
-    read_clean(spark, sf_dir)
-    found = _observed[_source_key(spark, sf_dir, "clean")]
+    """The record of ``clean_counts``, from one scan a session and source.
+
+    Some 80 counts a row cost more than the clean rows themselves, so only the reports that show them pay for them.
+    """
+    key = _source_key(spark, sf_dir, "clean")
+    if key not in _counted:
+        _counted[key] = with_kept(read_flows(spark, sf_dir), FLOW).agg(*clean_counts(FLOW)).first().asDict()
+    found = _counted[key]
     return spark.createDataFrame([tuple(found.values())], ", ".join(f"`{n}` bigint" for n in found))
 
 

@@ -47,3 +47,12 @@ def test_cleaning_is_observed_while_it_is_written(spark, sf_dir):
     scanned = cleaning.with_kept(read_flows(spark, sf_dir), FLOW).agg(*cleaning.clean_counts(FLOW)).first().asDict()
     assert counts.first().asDict() == scanned
     assert sorted(cleaning.clean_summary(counts, FLOW).collect()) == sorted(cleaning.clean_report(read_flows(spark, sf_dir), FLOW).collect())
+
+
+def test_clean_rows_do_not_pay_for_the_counts_of_the_report(spark, sf_dir, tmp_path):
+    shutil.copy(f"{sf_dir}/lineitem.parquet", tmp_path / "lineitem.parquet")
+    flow_view.read_clean(spark, str(tmp_path)).count()
+    key = flow_view._source_key(spark, str(tmp_path), "clean")
+    assert key not in flow_view._counted
+    flow_view.read_clean_counts(spark, str(tmp_path))
+    assert key in flow_view._counted
