@@ -26,9 +26,12 @@ def sort_pairs(df: DataFrame, spec: Spec) -> DataFrame:
 
 def fixed_width_records(df: DataFrame, spec: Spec) -> DataFrame:
     """A zero-padded 10-character key and a 90-character payload, cut or padded with spaces."""
+    number = F.rint(qcol(spec.rate)).cast("int")
+    # Padding a text is far cheaper than a format, which only a sign needs.
+    key = F.when(number >= 0, F.lpad(number.cast("string"), KEY_WIDTH, "0")).otherwise(F.format_string(f"%0{KEY_WIDTH}d", number))
     payload = F.concat_ws("|", qcol(spec.label), qcol(spec.protocol).cast("string"))
     return df.where(is_finite(qcol(spec.rate))).select(
-        F.format_string(f"%0{KEY_WIDTH}d", F.rint(qcol(spec.rate)).cast("int")).alias("key"),
+        key.alias("key"),
         F.rpad(F.substring(payload, 1, PAYLOAD_WIDTH), PAYLOAD_WIDTH, " ").alias("payload"),
     )
 

@@ -241,3 +241,11 @@ def test_whole_rows_are_read_once(spark, tmp_path):
     plan = sampling.stratified_sample(df, ["g"], table, ["id"], 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("text:string") == 1 or plan.count("FileScan parquet") == 2
     assert sum("text" in line for line in plan.splitlines() if "ReadSchema" in line) == 1
+
+
+def test_record_keys_are_padded_as_numbers(spark):
+    from flowops.spec import FLOW
+
+    rows = spark.createDataFrame([("a", 6, r) for r in (0.5, 1.5, -7.0, 123456789.0, 2147483647.0)], "Label string, `Protocol Type` long, Rate double")
+    records = ordering.fixed_width_records(rows, FLOW)
+    assert [r["key"] for r in records.collect()] == ["0000000000", "0000000002", "-000000007", "0123456789", "2147483647"]
