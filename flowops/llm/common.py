@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -32,12 +31,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def released(spark: SparkSession) -> None:
-    """Shuffles of stages whose results are stored leave the disk now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def packed(df: DataFrame) -> DataFrame:
     """Whole rows as one struct ``row``: work columns beside it cannot clash with those of the caller."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
