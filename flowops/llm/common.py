@@ -14,6 +14,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows of an Arrow batch: texts are long, and a task holds a few batches at once.
 BATCH_ROWS = 1000
 
+# Setting under which the shuffles of a query are removed when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Cells that one group is cut into where rows of a group are numbered.
 CELLS = 4096
 
@@ -24,11 +27,26 @@ def tuned(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: a lost executor loses nothing of it."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet in the shared folder and read back: a lost executor loses nothing of it.
+
+    The shuffles of the write leave the disk with its end, not when the driver happens to collect garbage.
+    """
+    spark = df.sparkSession
+    path, before = path or scratch_path(spark, name), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(spark: SparkSession, *paths: str) -> None:
+    """Tables of this run that nothing reads any more leave the shared folder."""
+    for path in paths:
+        named = spark._jvm.org.apache.hadoop.fs.Path(path)
+        named.getFileSystem(spark._jsc.hadoopConfiguration()).delete(named, True)
 
 
 def packed(df: DataFrame) -> DataFrame:

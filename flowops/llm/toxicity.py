@@ -43,7 +43,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from flowops.llm import words
-from flowops.llm.common import default_shuffles, packed, stored
+from flowops.llm.common import default_shuffles, dropped, packed, stored
+from flowops.session import scratch_path
 
 SIZES = range(2, 9)
 LONG = 5
@@ -59,7 +60,7 @@ PARTS = 8
 # Bits, as a power of two, of the map of keys that are carried.
 MAP_BITS = 26
 # Pairs of words a task gathers before it sends them; groups of them to a shuffle partition.
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 BUCKETS = 4
 # Registers that estimate all pairs, and how many go together.
 REGISTERS = 1 << 14
@@ -88,15 +89,17 @@ class Lookup:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys = np.append(keys, np.uint64(np.iinfo(np.uint64).max))
         self.values = np.append(values, values.dtype.type(0))
-        self.sieve = np.zeros(1 << 24, bool)
-        self.sieve[(keys >> SIEVE).astype(np.int64)] = True
+        flags = np.zeros(1 << 24, bool)
+        flags[(keys >> SIEVE).astype(np.int64)] = True
+        self.sieve = np.packbits(flags, bitorder="little")
         bits = max(len(keys), 2).bit_length()
         self.shift = np.uint64(64 - bits)
-        self.starts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.starts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
     def __call__(self, asked: np.ndarray) -> np.ndarray:
         out = np.zeros(len(asked))
-        there = np.flatnonzero(self.sieve[(asked >> SIEVE).astype(np.int64)])
+        place = (asked >> SIEVE).astype(np.int32)
+        there = np.flatnonzero((self.sieve[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
         key = asked[there]
         at = self.starts[(key >> self.shift).astype(np.int64)]
         behind = np.flatnonzero(self.keys[at] < key)
@@ -333,13 +336,26 @@ def _all_words(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "text binary").distinct().select("text", none.alias("toxic"), none.alias("ordinary"))
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of short texts behind one another until they are as large as a slice of texts."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(0).nbytes
+        if size >= words.SLICE:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _run_counts(found: DataFrame, only: np.ndarray | None) -> DataFrame:
     """(size, key, toxic, ordinary, kinds) of the runs of words (text, toxic, ordinary), ``only`` of keys on a map;
     with it, key null has the kinds of all runs of a size."""
     shared = None if only is None else found.sparkSession.sparkContext.broadcast(only)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _together(batches):
             counts = [batch.column(c).to_numpy().astype(np.float64) for c in (1, 2)]
             for size, word, hashes in words.grams(batch.column(0), SIZES):
                 n = len(hashes)
@@ -369,13 +385,23 @@ def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
     buckets = BUCKETS * default_shuffles(texts.sparkSession)
     names = ["bucket", "words", "sizes", "own"]
 
-    def sent(gathered: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        word, own = (np.concatenate(x) for x in zip(*gathered))
-        at = np.unique(_pair(own, word), return_index=True)[1]
-        word, own = word[at], own[at]
-        group = words.mixed(word + (own >> np.uint64(62)))
-        order = np.argsort(group)
-        word, own, group = word[order], own[order], group[order]
+    def parts(word: np.ndarray, own: np.ndarray) -> np.ndarray:
+        return words.mixed(word + (own >> np.uint64(62)))
+
+    def sent(word: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+        # One sort brings parts of words, and equal pairs in them, together. Where 44 bits of two parts are equal they
+        # may alternate: more entries then, and pairs sent twice, which are counted once all the same.
+        low = np.uint64((1 << 20) - 1)
+        key = parts(word, own)
+        key &= ~low
+        key |= own & low
+        order = np.argsort(key)
+        del key
+        word, own = word[order], own[order]
+        del order
+        new = np.append(True, (word[1:] != word[:-1]) | (own[1:] != own[:-1]))
+        word, own = word[new], own[new]
+        group = parts(word, own)
         first = _starts(group)
         bucket = ((group[first] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
         cut = _starts(bucket)
@@ -385,7 +411,7 @@ def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), *blobs], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        registers, gathered, n = np.zeros(REGISTERS, np.uint8), [], 0
+        registers, gathered, n = np.zeros(REGISTERS, np.uint8), np.empty((2, GATHERED), np.uint64), 0
         for batch in batches:
             for _, word, bounds, *_ in words.located(batch.column(0)):
                 own = _before(word, bounds)
@@ -395,14 +421,15 @@ def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
                 if shared is not None:
                     there = _marked(shared.value, word)
                     word, own = word[there], own[there]
-                if len(word):
-                    gathered.append((word, own))
-                    n += len(word)
-                if n >= GATHERED:
-                    yield sent(gathered)
-                    gathered, n = [], 0
+                while len(word):
+                    some = min(len(word), GATHERED - n)
+                    gathered[:, n : n + some] = word[:some], own[:some]
+                    word, own, n = word[some:], own[some:], n + some
+                    if n == GATHERED:
+                        yield sent(*gathered)
+                        n = 0
         if n:
-            yield sent(gathered)
+            yield sent(*gathered[:, :n])
         chunks = REGISTERS // CHUNK
         blobs = _blobs(registers, np.arange(chunks + 1) * CHUNK)
         none = pa.array([b""] * chunks, pa.binary())
@@ -487,26 +514,33 @@ def _discounts(counts: DataFrame, by: str | None = None) -> dict[int, Discounts
 
 def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     """(family, key, value) of all expressions with a ratio other than 0, from labelled rows and all texts."""
-    own_words, own_pairs = stored(_labelled(known, False), "toxic-words"), stored(_labelled(known, True), "toxic-pairs")
-    runs = stored(_run_counts(own_words, None).where("key is not null").drop("kinds"), "toxic-runs")
-    of_words, of_pairs, of_runs = _discounts(own_words).get(0), _discounts(own_pairs).get(0), _discounts(runs, "size")
-    if of_words is None or of_pairs is None:
+    spark = known.sparkSession
+    whole = {n: scratch_path(spark, f"toxic-{n}") for n in ("words", "runs", "pairs")}
+    own_words = stored(_labelled(known, False), "words", whole["words"])
+    runs = stored(_run_counts(own_words, None).where("key is not null").drop("kinds"), "runs", whole["runs"])
+    of_words, sizes = _discounts(own_words).get(0), {size: d for size, d in _discounts(runs, "size").items() if d is not None}
+    # Only what says something is kept: whole counts leave the shared folder before larger ones are made.
+    says = reduce(lambda a, b: a | b, [(F.col("size") == size) & d.says() for size, d in sizes.items()], F.lit(False))
+    some = stored(runs.where(says), "toxic-said-runs")
+    said = stored(own_words.where(of_words.says()) if of_words else own_words.where(F.lit(False)), "toxic-said-words")
+    dropped(spark, whole["words"], whole["runs"])
+    if of_words is None:
         return None
-    said, pairs = own_words.where(of_words.says()), own_pairs.where(of_pairs.says())
+    own_pairs = stored(_labelled(known, True), "pairs", whole["pairs"])
+    of_pairs = _discounts(own_pairs)[0]
+    pairs = stored(own_pairs.where(of_pairs.says()), "toxic-said-pairs")
+    contexts = stored(of_pairs.contexts(own_pairs).where("freed_t < 1 or freed_o < 1"), "toxic-contexts")
+    dropped(spark, whole["pairs"])
     kinds = stored(_predecessors(texts, _marks(said.select("key").union(pairs.select("word")))), "toxic-kinds")
     total = float(kinds.where("word is null").first()["kinds"])
     shares = kinds.select(F.col("word").alias("_w"), (F.col("kinds") / total).alias("shared")).where("_w is not null")
-    contexts = of_pairs.contexts(own_pairs).where("freed_t < 1 or freed_o < 1")
     valued = pairs.join(shares, F.col("word") == F.col("_w")).join(contexts, F.col("before") == F.col("_b"))
     alone = contexts.select(F.col("_b").alias("before"), F.lit(0).cast("long").alias("word"), F.log(F.col("freed_t") / F.col("freed_o")).alias("value"))
     found = [
         said.join(shares, F.col("key") == F.col("_w")).select(F.lit(WORD).alias("family"), "key", of_words.ratio(F.col("shared")).alias("value")),
         _keyed(valued.select("before", "word", of_pairs.conditional(F.col("shared")).alias("value")).unionByName(alone)).select(F.lit(PAIR).alias("family"), "key", "value"),
     ]
-    sizes = {size: d for size, d in of_runs.items() if d is not None}
     if sizes:
-        says = reduce(lambda a, b: a | b, [(F.col("size") == size) & d.says() for size, d in sizes.items()])
-        some = runs.where(says)
         counts = stored(_run_counts(_all_words(texts), _marks(some.select("key"))).select("size", "key", "kinds"), "toxic-places")
         places = {r["size"]: r["kinds"] for r in counts.where("key is null").collect()}
         of_places = counts.where("key is not null").select(F.col("size").alias("_s"), F.col("key").alias("_k"), F.col("kinds").alias("_places"))
