@@ -1,12 +1,14 @@
 """Whole rows counted by digest first, against plain grouping."""
 
 import math
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from flowops.operators import duplicates, profiling
+from flowops.session import shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +70,18 @@ def test_validation_of_repeated_rows(rows):
     assert got["registros"] == rows.count() and got["columnas"] == 3
     assert got["nulos"] == sum(rows.where(f"{c} IS NULL").count() for c in ("x", "n", "t"))
     assert got["duplicados"] == rows.count() - rows.groupBy("x", "n", "t").count().count()
+
+
+def test_text_rows_are_read_once(spark, tmp_path):
+    names = [f"c{i}" for i in range(9)]
+    rows = [("a", "b,c", *"1234567"), ("a,b", "c", *"1234567"), ("a", "b,c", *"1234567"), ("1.1", None, *"1234567")]
+    rows += [("1.1", "", *"1234567"), ("1.10", "", *"1234567"), ("1.1", *"1234567", ""), (None,) * 9, ("",) * 9]
+    spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names)).write.csv(f"{tmp_path}/t", emptyValue="")
+    texts = spark.read.schema(", ".join(f"{n} string" for n in names)).csv(f"{tmp_path}/t", mode="PERMISSIVE")
+    before = set(os.listdir(shared_dir(spark).removeprefix("file://")))
+    report = duplicates.text_dedup_report(texts, names)
+    kinds = {tuple(x or "" for x in r) for r in rows}
+    got = report.first()
+    assert (got["antes"], got["despues"]) == (len(rows), len(kinds))
+    # Nothing was counted ahead in a scan of its own.
+    assert set(os.listdir(shared_dir(spark).removeprefix("file://"))) == before
