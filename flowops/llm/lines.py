@@ -20,6 +20,7 @@ one document that sorts before all others. Extra columns are carried along untou
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowops.llm.common import packed, stored
+from flowops.llm.common import dropped, packed, stored
 from flowops.llm.cuckoo import CuckooFilter
 from flowops.session import scratch_path
 
@@ -98,12 +99,15 @@ class LineIndex:
         self.tallies = spark.createDataFrame([], "k1 long, k2 long, n_docs long, last long")
         self.filters = spark.createDataFrame([], _FILTER)
 
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        return stored(df, name, f"{self.folder}/{name}-{uuid.uuid4().hex}")
+
     def _sharded(self, keys: DataFrame) -> DataFrame:
         return keys.withColumn("shard", F.pmod(F.xxhash64("k2"), F.lit(self.shards)).cast("int"))
 
     def load(self, docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> LineIndex:
         """Insert the documents of a table into a new index, a share of them at a time; texts are read once."""
-        new = stored(references_of(docs, min_chars), "line-references")
+        new = self._stored(references_of(docs, min_chars), "line-references")
         self.shards = self.shards or max(1, -(-new.count() // SHARD_KEYS))
         batch = F.pmod(F.xxhash64(F.lit("batch"), F.col("doc_id")), F.lit(batches))
         for n in range(batches):
@@ -113,39 +117,39 @@ class LineIndex:
 
     def insert(self, docs: DataFrame, min_chars: int = MIN_CHARS) -> LineIndex:
         """Add documents. A document already there keeps its references and gains those of its new lines."""
-        new = stored(references_of(docs, min_chars), "line-references")
+        new = self._stored(references_of(docs, min_chars), "line-references")
         self.shards = self.shards or max(1, -(-new.count() // SHARD_KEYS))
         known = self.probed(new.select("k1", "k2").distinct()).where("known").select("k1", "k2")
         there = self.references.join(known, ["k1", "k2"], "left_semi").select(
             F.col("k1").alias("_a"), F.col("k2").alias("_b"), F.col("doc_id").alias("_doc")
         )
         same = (F.col("k1") == F.col("_a")) & (F.col("k2") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-        self._add(stored(new.join(there, same, "left_anti"), "line-references"))
+        self._add(self._stored(new.join(there, same, "left_anti"), "line-references"))
         return self
 
     def _add(self, new: DataFrame) -> None:
         """Take in references that are not there yet."""
-        asked = stored(self.probed(_tallied(new)), "line-probes")
+        asked = self._stored(self.probed(_tallied(new)), "line-probes")
         unknown, known = asked.where("not known").drop("known"), asked.where("known").drop("known")
         held = self.tallies.select("k1", "k2", F.col("n_docs").alias("_n"), F.col("last").alias("_last"))
-        met = stored(known.join(held, ["k1", "k2"], "left"), "line-met")
+        met = self._stored(known.join(held, ["k1", "k2"], "left"), "line-met")
         merged = met.select("k1", "k2", (F.col("n_docs") + F.coalesce("_n", F.lit(0))).alias("n_docs"), F.greatest("last", "_last").alias("last"))
         fresh = unknown.select("k1", "k2").unionByName(met.where("_n is null").select("k1", "k2"))
-        self.filters = stored(self._with_filters(self._sharded(fresh), True), "line-filters")
+        self.filters = self._stored(self._with_filters(self._sharded(fresh), True), "line-filters")
         rest = self.tallies.join(met.where("_n is not null"), ["k1", "k2"], "left_anti")
-        self.tallies = stored(rest.unionByName(unknown).unionByName(merged), "line-tallies")
+        self.tallies = self._stored(rest.unionByName(unknown).unionByName(merged), "line-tallies")
         self.references = self.references.unionByName(new)
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """Take documents out again, as if they had never been inserted."""
         gone = doc_ids.select(F.col("doc_id").cast("long").alias("_gone")).distinct()
         same = F.col("doc_id").eqNullSafe(F.col("_gone"))
-        left = stored(self.references.join(gone, same, "left_anti"), "line-references")
-        touched = stored(self.references.join(gone, same, "left_semi").select("k1", "k2").distinct(), "line-touched")
-        anew = stored(_tallied(left.join(touched, ["k1", "k2"], "left_semi")), "line-anew")
+        left = self._stored(self.references.join(gone, same, "left_anti"), "line-references")
+        touched = self._stored(self.references.join(gone, same, "left_semi").select("k1", "k2").distinct(), "line-touched")
+        anew = self._stored(_tallied(left.join(touched, ["k1", "k2"], "left_semi")), "line-anew")
         ended = self._sharded(touched.join(anew, ["k1", "k2"], "left_anti"))
-        self.filters = stored(self._with_filters(ended, False), "line-filters")
-        self.tallies = stored(self.tallies.join(touched, ["k1", "k2"], "left_anti").unionByName(anew), "line-tallies")
+        self.filters = self._stored(self._with_filters(ended, False), "line-filters")
+        self.tallies = self._stored(self.tallies.join(touched, ["k1", "k2"], "left_anti").unionByName(anew), "line-tallies")
         self.references = left
         return self
 
@@ -171,14 +175,19 @@ class LineIndex:
     def losses(self, min_docs: int = MIN_DOCS) -> DataFrame:
         """(doc_id, keys): the line keys each document loses, all holders but the last losing a frequent line."""
         # Stored, its size is known: a small table is broadcast, and beside a large one a hot line is split.
-        frequent = stored(self.tallies.where(F.col("n_docs") >= min_docs), "frequent-lines")
+        frequent = self._stored(self.tallies.where(F.col("n_docs") >= min_docs), "frequent-lines")
         lost = self.references.join(frequent, ["k1", "k2"]).where("doc_id is null or doc_id < last")
         return lost.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("keys"))
 
 
 def deduplicated(docs: DataFrame, index: LineIndex, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """``row`` (the whole input row), ``kept`` (its text after the losses), ``n_lines`` and ``n_dropped``."""
-    losses = index.losses(min_docs).withColumnRenamed("doc_id", "_loser")
+    return without(docs, index.losses(min_docs), min_chars)
+
+
+def without(docs: DataFrame, losses: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """What ``deduplicated`` returns, from the losses (doc_id, keys) of an index."""
+    losses = losses.withColumnRenamed("doc_id", "_loser")
     rows = packed(docs)
     rows = rows.withColumn("_id", F.col("row.doc_id").cast("long"))
     joined = rows.join(losses, F.col("_id").eqNullSafe(F.col("_loser")), "left")
@@ -209,4 +218,7 @@ def deduplicated(docs: DataFrame, index: LineIndex, min_docs: int = MIN_DOCS, mi
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """All documents loaded into a fresh index and freed of lines that later documents also hold."""
     index = LineIndex(docs.sparkSession).load(docs, min_chars)
-    return deduplicated(docs, index, min_docs, min_chars)
+    # Only the losses are read again: the tables of the index leave the shared folder before the texts are written.
+    losses = stored(index.losses(min_docs), "line-losses")
+    dropped(docs.sparkSession, index.folder)
+    return without(docs, losses, min_chars)

@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from flowops.llm import words
-from flowops.llm.common import components, stored
+from flowops.llm.common import components, dropped, stored
+from flowops.session import scratch_path
 
 SHINGLE = 5
 PERCENT = 75
@@ -187,9 +188,9 @@ def _shingle_set(text: str | None, size: int) -> set:
     return set(zip(*[own[i:] for i in range(size)]))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
     """The pairs that reach the similarity on the full shingle sets of their texts."""
-    texts = stored(_among(docs, pairs.select(F.explode(F.array("a", "b")).alias("id"))), "near-texts")
+    texts = stored(_among(docs, pairs.select(F.explode(F.array("a", "b")).alias("id"))), "near-texts", f"{folder}/near-texts")
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
@@ -211,7 +212,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     return joined.mapInArrow(run, "a long, b long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, size: int, folder: str) -> DataFrame:
     """(id, hashes): the sorted 64-bit hashes of all shingles of each named document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,11 +223,11 @@ def _sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "hashes"])
 
     # Stored between the two, so that no task needs two Python workers at once.
-    return stored(_among(docs, ids), "open-texts").mapInArrow(run, "id long, hashes binary")
+    return stored(_among(docs, ids), "open-texts", f"{folder}/open-texts").mapInArrow(run, "id long, hashes binary")
 
 
 def _open_links(
-    members: DataFrame, classes: DataFrame, found: DataFrame, docs: DataFrame, size: int, rows: int, percent: int, miss: float
+    members: DataFrame, classes: DataFrame, found: DataFrame, docs: DataFrame, size: int, rows: int, percent: int, miss: float, folder: str
 ) -> DataFrame:
     """Links (a, b) between components that share a bucket, beyond those with the bucket's smallest id."""
     named = members.join(found.select("id", "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -242,7 +243,7 @@ def _open_links(
         .where("n > 2 and low <> high")
         .select("band", "bucket", F.ceil(need).alias("blocks"))
     )
-    left = stored(named.join(buckets, ["band", "bucket"]).where("id <> leader"), "open-members")
+    left = stored(named.join(buckets, ["band", "bucket"]).where("id <> leader"), "open-members", f"{folder}/open-members")
     if left.isEmpty():
         return left.select(F.col("id").alias("a"), F.col("id").alias("b"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
@@ -250,7 +251,7 @@ def _open_links(
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, own).alias("i"), F.greatest(j, own).alias("j"))
     )
     dealt = left.select("band", "bucket", "id", "component", own.alias("own"), F.explode(blocks).alias("at"))
-    data = stored(classes.select("id", "sig").join(_sets(docs, left.select("id"), size), "id"), "open-sets")
+    data = stored(classes.select("id", "sig").join(_sets(docs, left.select("id"), size, folder), "id"), "open-sets", f"{folder}/open-sets")
     rows_of = dealt.select("band", "bucket", "at.i", "at.j", "own", "id", "component").join(data, "id")
 
     def compare(table: pa.Table) -> pa.Table:
@@ -304,27 +305,36 @@ def near_duplicates(
     miss: float = MISS,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    signed = stored(signatures(docs, size, bands, rows), "signatures")
+    folder = scratch_path(docs.sparkSession, "near")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        return stored(df, name, f"{folder}/{name}")
+
+    signed = kept(signatures(docs, size, bands, rows), "signatures")
     named = signed.where("n_shingles > 0 and doc_id is not null")
     least = named.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("first"))
-    classes = stored(least.select("k1", "k2", F.col("first.doc_id").alias("id"), "first.n_shingles", "first.sig"), "classes")
+    classes = kept(least.select("k1", "k2", F.col("first.doc_id").alias("id"), "first.n_shingles", "first.sig"), "classes")
 
     banded = _banded(classes, bands, rows)
     shared = banded.groupBy("band", "bucket").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    leaders = stored(shared.drop("n"), "bucket-leaders")
-    members = stored(banded.join(leaders, ["band", "bucket"]), "bucket-members")
+    leaders = kept(shared.drop("n"), "bucket-leaders")
+    members = kept(banded.join(leaders, ["band", "bucket"]), "bucket-members")
     stars = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    survivors = stored(_surviving(stars, classes, percent, miss), "survivors")
-    links = stored(_confirmed(survivors, docs, size, percent), "links")
-    found = stored(components(links), "components")
+    survivors = kept(_surviving(stars, classes, percent, miss), "survivors")
+    links = kept(_confirmed(survivors, docs, size, percent, folder), "links")
+    found = kept(components(links), "components")
 
-    more = stored(_open_links(members, classes, found, docs, size, rows, percent, miss), "open-links")
+    more = kept(_open_links(members, classes, found, docs, size, rows, percent, miss, folder), "open-links")
     if not more.isEmpty():
-        found = stored(components(links.unionByName(more)), "components")
+        found = kept(components(links.unionByName(more)), "all-components")
 
     of_class = classes.select("k1", "k2", "id").join(found, "id", "left").select("k1", "k2", F.coalesce("component", "id").alias("component_id"))
     done = signed.select("doc_id", "k1", "k2", "n_shingles").join(of_class, ["k1", "k2"], "left")
     alone = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
-    return done.select("doc_id", "n_shingles", alone.alias("component_id")).withColumn(
+    out = done.select("doc_id", "n_shingles", alone.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+    # Signatures, sets and texts leave the shared folder as soon as what is known of each row is stored.
+    out = stored(out, "near-duplicates")
+    dropped(docs.sparkSession, folder)
+    return out

@@ -46,19 +46,21 @@ def encoding(path: str) -> tiktoken.Encoding:
 
 def pieces_of(docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None = None, with_ids: bool = False) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, the task that cut it (part) and how many
-    pieces of its length that task had cut before (place). ``with_ids`` adds the ids themselves."""
+    pieces of its length that task had cut before (place). ``with_ids`` adds the ids themselves, little-endian
+    and as wide as the vocabulary needs: two bytes each up to 65,536 tokens."""
     path = path or public_tokenizers.path(RANKS)
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place"]
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoding(path).encode_to_numpy
+        kind = np.min_scalar_type(max(encoding(path).max_token_value, end, 256)).newbyteorder("<")
         part = TaskContext.get().partitionId()
         cut = np.zeros(length + 1, np.int64)
         tail = np.array([end], np.uint32)
         for batch in batches:
             rows: list[tuple] = []
-            kept: list[np.ndarray] = []
+            kept: list[bytes] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = np.concatenate([encode(text.as_py() or "", allowed_special="all"), tail]).astype("<u4", copy=False)
                 # All pieces but the first are full.
@@ -69,14 +71,21 @@ def pieces_of(docs: DataFrame, length: int = LENGTH, end: int = END, path: str |
                     rows.append((doc, piece, start, n, zlib.crc32(own.tobytes()), part, int(cut[n])))
                     cut[n] += 1
                     if with_ids:
-                        kept.append(own)
+                        kept.append(own.astype(kind).tobytes())
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(types), types)]
             if with_ids:
-                columns.append(pa.array([x.astype(np.int32) for x in kept], pa.list_(pa.int32())))
+                columns.append(pa.array(kept, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *["ids"] * with_ids])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema + ", ids array<int>" * with_ids)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema + ", ids binary" * with_ids)
+
+
+def _unpacked(ids: pa.Array, length: np.ndarray) -> pa.Array:
+    """Lists of ids from their bytes; all ids of a table are equally wide."""
+    data, total = b"".join(ids.to_pylist()), int(length.sum())
+    flat = np.frombuffer(data, f"<u{len(data) // total}" if total else "<u2")
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(flat.astype(np.int32)))
 
 
 def contents(histogram: dict[int, int], length: int = LENGTH) -> list[tuple[int, list[int]]]:
@@ -141,8 +150,13 @@ def _places(found: list[tuple[int, list[int]]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def best_two_fit(docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    """The pieces of all documents with ``sequence_id`` and ``offset``; offsets are gapless from 0."""
+def best_two_fit(
+    docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None = None, with_ids: bool = False, with_uses: bool = False
+) -> DataFrame:
+    """The pieces of all documents with ``sequence_id`` and ``offset``; offsets are gapless from 0.
+
+    ``with_uses`` tells equal pieces of a doc_id apart by ``use``, from 0 in the order of their places.
+    """
     pieces = stored(pieces_of(docs, length, end, path, with_ids), "pieces")
     per_task = pieces.groupBy("part", "length").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -152,7 +166,12 @@ def best_two_fit(docs: DataFrame, length: int = LENGTH, end: int = END, path: st
     lookup = (places[:, 0] << 44) | places[:, 1]
     numbered = pieces.join(starts.drop("n"), ["part", "length"]).withColumn("number", F.col("first") + F.col("place"))
     given = [c for c in pieces.columns if c not in ("part", "place")]
-    source = numbered.select(*given, "number")
+    source, added = numbered.select(*given, "number"), ["sequence_id long", "offset long"]
+    if with_uses:
+        # Numbers of a length rise with sequence and offset. Pieces move here, so their ids are still narrow.
+        equal = Window.partitionBy("doc_id", "piece", "length", "ids_crc32").orderBy("number")
+        source = source.withColumn("use", F.row_number().over(equal) - 1)
+        added.append("use int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,10 +180,9 @@ def best_two_fit(docs: DataFrame, length: int = LENGTH, end: int = END, path: st
             at = places[np.searchsorted(lookup, (size << 44) | number, "right") - 1]
             n = number - at[:, 1]
             sequence, offset = at[:, 3] + n // at[:, 2], at[:, 4] + n % at[:, 2] * size
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in given], pa.array(sequence), pa.array(offset)],
-                names=[*given, "sequence_id", "offset"],
-            )
+            own = [_unpacked(batch.column(c), size) if c == "ids" else batch.column(c) for c in given]
+            uses = [batch.column("use")] if with_uses else []
+            yield pa.RecordBatch.from_arrays([*own, pa.array(sequence), pa.array(offset), *uses], names=[*given, *[c.split()[0] for c in added]])
 
-    schema = source.drop("number").schema.add("sequence_id", "long").add("offset", "long")
-    return source.mapInArrow(run, schema)
+    kinds = [f"{c} {'array<int>' if c == 'ids' else kind}" for c, kind in source.select(*given).dtypes]
+    return source.mapInArrow(run, ", ".join([*kinds, *added]))

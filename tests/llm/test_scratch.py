@@ -1,14 +1,16 @@
-"""What the toxicity models leave on the disk and hold in a task."""
+"""What operators leave on the disk and hold in a task."""
 
 import os
 import time
+import zlib
+from collections import defaultdict
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from flowops.llm import toxicity, words
+from flowops.llm import lines, minhash, packing, toxicity, words
 from flowops.llm.common import CLEANUP, stored
 from flowops.session import shared_dir
 
@@ -49,3 +51,31 @@ def test_short_texts_are_counted_together():
     got = list(toxicity._together(iter(batches)))
     assert pa.Table.from_batches(got).equals(pa.Table.from_batches(batches))
     assert len(got) < 8 and all(b.nbytes < 3 * words.SLICE for b in got)
+
+
+def left_by(spark, made):
+    """Tables that a result leaves in the shared folder."""
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(os.listdir(folder))
+    assert made().count()
+    return {n.removeprefix("flowops-").rsplit("-", 1)[0] for n in set(os.listdir(folder)) - before if n.startswith("flowops-")}
+
+
+def test_tables_of_the_deduplications_leave_the_shared_folder(spark, docs):
+    same = " ".join(f"word{i}" for i in range(60))
+    rows = docs([(i, f"a line that all of these documents hold\n{same} {i}") for i in range(40)])
+    assert left_by(spark, lambda: lines.line_dedup(rows)) == {"line-losses"}
+    assert left_by(spark, lambda: minhash.near_duplicates(rows)) == {"near-duplicates"}
+
+
+def test_ids_of_moved_pieces_take_two_bytes(spark, docs):
+    rows = docs([(i % 7, f"text {i % 3} " * 900) for i in range(30)])
+    cut = packing.pieces_of(rows, with_ids=True)
+    assert all(len(r["ids"]) == 2 * r["length"] for r in cut.select("ids", "length").collect())
+    # Equal pieces of a doc_id are told apart in the order of their places; the ids come back whole.
+    got = packing.best_two_fit(rows, with_ids=True, with_uses=True).collect()
+    equal = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+        equal[r["doc_id"], r["piece"], r["length"], r["ids_crc32"]].append(r["use"])
+    assert all(uses == list(range(len(uses))) for uses in equal.values()) and max(map(len, equal.values())) > 1
