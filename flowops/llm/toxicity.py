@@ -62,6 +62,8 @@ MAP_BITS = 26
 # Pairs of words a task gathers before it sends them; groups of them to a shuffle partition.
 GATHERED = 1 << 21
 BUCKETS = 4
+# Partitions of different words whose runs one task counts.
+TOGETHER = 4
 # Registers that estimate all pairs, and how many go together.
 REGISTERS = 1 << 14
 CHUNK = 256
@@ -69,7 +71,6 @@ CHUNK = 256
 OWN = 5
 # Words whose values a task keeps.
 KEPT = 1 << 18
-SIEVE = np.uint64(40)
 FEATURES = 4 * 4 + 2 * 2 * len(OVER)
 WORD, PAIR, GRAM = range(3)
 
@@ -80,33 +81,50 @@ def fold(doc_id: Column) -> Column:
 
 
 class Lookup:
-    """Values of sorted keys that are evenly spread 64-bit hashes, 0 for other keys.
+    """Values of different keys that are evenly spread 64-bit hashes, 0 for other keys.
 
-    A map of the keys' first bits answers for most keys that are not there, a table of where their first bits start
-    leaves a step or two to the place of the others.
+    Tables of slots behind one another: a key whose slot is taken goes on, mixed again, to the next, smaller table.
+    Most keys that are asked for are there, in the first.
     """
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys = np.append(keys, np.uint64(np.iinfo(np.uint64).max))
-        self.values = np.append(values, values.dtype.type(0))
-        flags = np.zeros(1 << 24, bool)
-        flags[(keys >> SIEVE).astype(np.int64)] = True
-        self.sieve = np.packbits(flags, bitorder="little")
-        bits = max(len(keys), 2).bit_length()
-        self.shift = np.uint64(64 - bits)
-        self.starts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        left, hashes = np.arange(len(keys)), keys
+        parts, starts, shifts = [], [0], []
+        while len(left) or not parts:
+            bits = max(len(left), 2).bit_length()
+            shifts.append(64 - bits)
+            place = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+            _, first = np.unique(place, return_index=True)
+            table, own, more = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, values.dtype), np.zeros(1 << bits, bool)
+            table[place[first]], own[place[first]] = keys[left[first]], values[left[first]]
+            rest = np.ones(len(left), bool)
+            rest[first] = False
+            more[place[rest]] = True
+            parts.append((table, own, more))
+            starts.append(starts[-1] + len(table))
+            left, hashes = left[rest], words.mixed(hashes[rest])
+        self.keys, self.values, self.more = (np.concatenate(x) for x in zip(*parts))
+        self.starts, self.shifts = np.array(starts), np.array(shifts, np.uint64)
 
     def __call__(self, asked: np.ndarray) -> np.ndarray:
         out = np.zeros(len(asked))
-        place = (asked >> SIEVE).astype(np.int32)
-        there = np.flatnonzero((self.sieve[place >> 3] >> (place & 7).astype(np.uint8)) & 1)
-        key = asked[there]
-        at = self.starts[(key >> self.shift).astype(np.int64)]
-        behind = np.flatnonzero(self.keys[at] < key)
-        while len(behind):
-            at[behind] += 1
-            behind = behind[self.keys[at[behind]] < key[behind]]
-        out[there] = np.where(self.keys[at] == key, self.values[at], 0)
+        at, key, hashes = None, asked, asked
+        for start, shift in zip(self.starts.tolist(), self.shifts):
+            place = (hashes >> shift).astype(np.int64)
+            if start:
+                place += start
+            met = self.keys[place] == key
+            value = self.values[place]
+            value *= met
+            if at is None:
+                out[:] = value
+            else:
+                out[at] = value
+            left = np.flatnonzero(~met)
+            left = left[self.more[place[left]]]
+            if not len(left):
+                break
+            at, key, hashes = left if at is None else at[left], key[left], words.mixed(hashes[left])
         return out
 
 
@@ -143,12 +161,12 @@ class Model:
         return self._lookups[family](asked)
 
     def _pairs(self, before: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        own, (context, back) = self._lookup(PAIR, _pair(before, hashes)), np.unique(before, return_inverse=True)
-        return np.column_stack([own, np.where(own != 0, 0, self._lookup(PAIR, _context(context))[back])])
+        own = self._lookup(PAIR, _pair(before, hashes))
+        return np.column_stack([own, np.where(own != 0, 0, self._lookup(PAIR, _context(before)))])
 
     def _words(self, hashes: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """What ``_runs`` and the words' own evidence say of each word; words met before are looked up."""
-        asked, at, back = np.unique(hashes, return_index=True, return_inverse=True)
+        asked, at, back = words.distinct(hashes)
         keys, values = self._kept
         place = np.searchsorted(keys, asked)
         new = np.append(keys, np.uint64(0))[place] != asked
@@ -191,10 +209,10 @@ def _summed(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     over = [np.maximum(values[:, c] - o, 0) for c in (2, 3) for o in OVER]
     sums = np.add.reduceat(np.column_stack([plain, *over]), bounds[live])
     n = np.diff(bounds)[live].astype(float)[:, None]
-    middle = np.zeros((len(live), plain.shape[1]))
+    middle, columns = np.zeros((len(live), plain.shape[1])), np.ascontiguousarray(plain.T)
     for i, (a, b) in enumerate(zip(bounds[live].tolist(), bounds[live + 1].tolist())):
-        ordered = np.sort(plain[a:b], axis=0)
-        middle[i] = (ordered[(b - a - 1) // 2] + ordered[(b - a) // 2]) / 2
+        ordered = np.sort(columns[:, a:b], axis=1)
+        middle[i] = (ordered[:, (b - a - 1) // 2] + ordered[:, (b - a) // 2]) / 2
     wide = plain.shape[1]
     whole = np.hstack([sums[:, :wide] - n * middle, sums])
     out[live] = np.stack([whole / n, whole / np.sqrt(n)], axis=2).reshape(len(live), -1)
@@ -220,11 +238,11 @@ def _before(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _expressions(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, ...]]:
     """(number of the first text, words, their predecessors, bounds, bytes, starts, ends), pairs once per text."""
-    for first, hashes, bounds, raw, start, end in words.located(texts):
+    for first, hashes, bounds, raw, start, end in words.located(texts, size=words.WIDE):
         before = _before(hashes, bounds)
         text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         pair = words.mixed(_pair(before, hashes) + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        at = np.sort(np.unique(pair, return_index=True)[1])
+        at = np.sort(words.distinct(pair)[1])
         yield first, hashes[at], before[at], np.searchsorted(text[at], np.arange(len(bounds))), raw, start[at], end[at]
 
 
@@ -240,7 +258,7 @@ def _labelled(texts: DataFrame, pairs: bool) -> DataFrame:
             labels = batch.column(1).to_numpy()
             for first, hashes, before, bounds, raw, start, end in _expressions(batch.column(0)):
                 toxic = np.repeat(labels[first : first + len(bounds) - 1], np.diff(bounds)) > 0
-                _, at, back = np.unique(_pair(before, hashes) if pairs else hashes, return_index=True, return_inverse=True)
+                _, at, back = words.distinct(_pair(before, hashes) if pairs else hashes)
                 counts = [pa.array(np.bincount(back, x, len(at)).astype(np.int64)) for x in (toxic, ~toxic)]
                 if pairs:
                     own = [_signed(before[at]), _signed(hashes[at])]
@@ -324,16 +342,15 @@ def _starts(keys: np.ndarray) -> np.ndarray:
 
 
 def _all_words(texts: DataFrame) -> DataFrame:
-    """The different words of all texts, as (text, toxic, ordinary) without counts."""
+    """The different words of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, hashes, _, raw, start, end in words.located(batch.column(0)):
-                at = np.unique(hashes, return_index=True)[1]
+                at = words.distinct(hashes)[1]
                 yield pa.RecordBatch.from_arrays([words.taken(raw, start[at], end[at]).cast(pa.binary())], names=["text"])
 
-    none = F.lit(0).cast("long")
-    return texts.select("text").mapInArrow(run, "text binary").distinct().select("text", none.alias("toxic"), none.alias("ordinary"))
+    return texts.select("text").mapInArrow(run, "text binary").distinct()
 
 
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -349,30 +366,39 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def _run_counts(found: DataFrame, only: np.ndarray | None) -> DataFrame:
-    """(size, key, toxic, ordinary, kinds) of the runs of words (text, toxic, ordinary), ``only`` of keys on a map;
-    with it, key null has the kinds of all runs of a size."""
-    shared = None if only is None else found.sparkSession.sparkContext.broadcast(only)
+def _run_counts(found: DataFrame) -> DataFrame:
+    """(size, key, toxic, ordinary) of the runs of words (text, toxic, ordinary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _together(batches):
             counts = [batch.column(c).to_numpy().astype(np.float64) for c in (1, 2)]
             for size, word, hashes in words.grams(batch.column(0), SIZES):
-                n = len(hashes)
-                if shared is not None:
-                    there = _marked(shared.value, hashes)
-                    word, hashes = word[there], hashes[there]
                 key, back = np.unique(hashes, return_inverse=True)
-                sums = [np.bincount(back, x, len(key)).astype(np.int64) for x in (*[c[word] for c in counts], np.ones(len(word)))]
+                sums = [pa.array(np.bincount(back, c[word], len(key)).astype(np.int64)) for c in counts]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), size, np.int32)), _signed(key), *sums], names=["size", "key", "toxic", "ordinary"])
+
+    sent = found.select("text", "toxic", "ordinary").mapInArrow(run, "size int, key long, toxic long, ordinary long")
+    return sent.groupBy("size", "key").agg(*[F.sum(c).alias(c) for c in ("toxic", "ordinary")])
+
+
+def _places(found: DataFrame, only: np.ndarray) -> DataFrame:
+    """(size, key, kinds): in how many places of the words (text) the runs ``only`` of a map are; key null has all runs of a size.
+
+    A task sends nearly every run on the map, however few words it has, so it takes the words of several partitions.
+    """
+    shared = found.sparkSession.sparkContext.broadcast(only)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _together(batches):
+            for size, _, hashes in words.grams(batch.column(0), SIZES):
+                key, kinds = np.unique(hashes[_marked(shared.value, hashes)], return_counts=True)
                 keys = pa.array(np.append(key.view(np.int64), 0), mask=np.append(np.zeros(len(key), bool), True))
-                whole = [0, 0, n]
-                columns = [pa.array(np.append(s, w)) for s, w in zip(sums, whole)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key) + 1, size, np.int32)), keys, *columns], names=["size", "key", "toxic", "ordinary", "kinds"]
-                )
+                columns = [pa.array(np.full(len(key) + 1, size, np.int32)), keys, pa.array(np.append(kinds, len(hashes)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["size", "key", "kinds"])
 
-    sent = found.select("text", "toxic", "ordinary").mapInArrow(run, "size int, key long, toxic long, ordinary long, kinds long")
-    return sent.groupBy("size", "key").agg(*[F.sum(c).alias(c) for c in ("toxic", "ordinary", "kinds")])
+    spark = found.sparkSession
+    few = found.select("text").coalesce(max(spark.sparkContext.defaultParallelism, default_shuffles(spark) // TOGETHER))
+    return few.mapInArrow(run, "size int, key long, kinds long").groupBy("size", "key").agg(F.sum("kinds").alias("kinds"))
 
 
 def _predecessors(texts: DataFrame, only: np.ndarray | None) -> DataFrame:
@@ -517,7 +543,7 @@ def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
     spark = known.sparkSession
     whole = {n: scratch_path(spark, f"toxic-{n}") for n in ("words", "runs", "pairs")}
     own_words = stored(_labelled(known, False), "words", whole["words"])
-    runs = stored(_run_counts(own_words, None).where("key is not null").drop("kinds"), "runs", whole["runs"])
+    runs = stored(_run_counts(own_words), "runs", whole["runs"])
     of_words, sizes = _discounts(own_words).get(0), {size: d for size, d in _discounts(runs, "size").items() if d is not None}
     # Only what says something is kept: whole counts leave the shared folder before larger ones are made.
     says = reduce(lambda a, b: a | b, [(F.col("size") == size) & d.says() for size, d in sizes.items()], F.lit(False))
@@ -541,7 +567,7 @@ def _evidence(known: DataFrame, texts: DataFrame) -> DataFrame | None:
         _keyed(valued.select("before", "word", of_pairs.conditional(F.col("shared")).alias("value")).unionByName(alone)).select(F.lit(PAIR).alias("family"), "key", "value"),
     ]
     if sizes:
-        counts = stored(_run_counts(_all_words(texts), _marks(some.select("key"))).select("size", "key", "kinds"), "toxic-places")
+        counts = stored(_places(_all_words(texts), _marks(some.select("key"))), "toxic-places")
         places = {r["size"]: r["kinds"] for r in counts.where("key is null").collect()}
         of_places = counts.where("key is not null").select(F.col("size").alias("_s"), F.col("key").alias("_k"), F.col("kinds").alias("_places"))
         met = some.join(of_places, (F.col("size") == F.col("_s")) & (F.col("key") == F.col("_k")))

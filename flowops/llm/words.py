@@ -20,6 +20,8 @@ BASE = 0x9E3779B97F4A7C55
 _INVERSE = pow(BASE, -1, 1 << 64)
 # Bytes of text worked on together, unless one text is longer.
 SLICE = 1 << 19
+# The most that a caller may ask for instead; powers are kept up to it.
+WIDE = 1 << 20
 
 _held: dict[int, np.ndarray] = {}
 
@@ -28,10 +30,10 @@ def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**n modulo 2**64, kept for slices of the usual size."""
     held = _held.get(base)
     if held is None or len(held) <= n:
-        steps = np.full(max(n, SLICE) + 1, base, np.uint64)
+        steps = np.full(max(n, SLICE if n <= SLICE else WIDE) + 1, base, np.uint64)
         steps[0] = 1
         held = np.multiply.accumulate(steps)
-        if n <= SLICE:
+        if n <= WIDE:
             _held[base] = held
     return held
 
@@ -46,6 +48,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the different numbers in order, where each is first, which of them each one is); faster than a stable sort."""
+    order = np.argsort(x)
+    ordered = x[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])[: len(x)]
+    starts = np.flatnonzero(new)
+    back = np.empty(len(x), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return ordered[starts], np.minimum.reduceat(order, starts) if len(x) else order, back
+
+
 def sliced(texts: pa.Array, prefix: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(number of the first text, word hashes, bounds): text i of the slice has words bounds[i]:bounds[i+1].
 
@@ -55,7 +68,7 @@ def sliced(texts: pa.Array, prefix: int | None = None) -> Iterator[tuple[int, np
         yield first, hashes, bounds
 
 
-def located(texts: pa.Array, prefix: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def located(texts: pa.Array, prefix: int | None = None, size: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """What ``sliced`` gives, with the bytes of the slice and where its words start and end in them."""
     array = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
@@ -63,7 +76,7 @@ def located(texts: pa.Array, prefix: int | None = None) -> Iterator[tuple[int, n
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(array):
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), len(array))
         own = raw[offsets[first] : offsets[last]]
         hashes, bounds, start, end = _hashed(own, offsets[first : last + 1] - offsets[first], prefix)
@@ -116,13 +129,18 @@ def grams(texts: pa.Array, sizes: range) -> Iterator[tuple[int, np.ndarray, np.n
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_LOWER[raw] * powers(BASE, n)[:n], out=sums[1:])
     chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), n)
-    word = np.searchsorted(bounds, chars, "right") - 1
-    inverse = powers(_INVERSE, n)
+    ends = np.searchsorted(chars, bounds)
+    many = np.diff(ends)
+    word = np.repeat(np.arange(len(size), dtype=np.int32), many)
+    # Characters from each one to the end of its word, and what the hashes need at each.
+    left = (np.repeat(ends[1:], many) - np.arange(len(word))).astype(np.int32)
+    sums, inverse = sums[chars], powers(_INVERSE, n)[chars[:-1]]
     for length in sizes:
-        first, after = chars[:-length], chars[length:]
-        whole = after <= bounds[np.minimum(word[:-length], len(size) - 1) + 1] if len(size) else np.zeros(0, bool)
-        first, after = first[whole], after[whole]
-        yield length, word[:-length][whole], mixed((sums[after] - sums[first]) * inverse[first])
+        some = max(len(word) + 1 - length, 0)
+        whole = np.flatnonzero(left[:some] >= length)
+        hashes = sums[length:] - sums[:some]
+        hashes *= inverse[:some]
+        yield length, word[whole], mixed(hashes[whole])
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:

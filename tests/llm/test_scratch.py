@@ -79,3 +79,33 @@ def test_ids_of_moved_pieces_take_two_bytes(spark, docs):
         assert len(r["ids"]) == r["length"] and zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
         equal[r["doc_id"], r["piece"], r["length"], r["ids_crc32"]].append(r["use"])
     assert all(uses == list(range(len(uses))) for uses in equal.values()) and max(map(len, equal.values())) > 1
+
+
+def test_places_of_runs_are_counted_by_few_tasks(spark):
+    rows = spark.createDataFrame([(f"w{i}x plain{i % 97}",) for i in range(4000)], "text string")
+    found, only = toxicity._all_words(rows), np.full(1 << toxicity.MAP_BITS >> 3, 255, np.uint8)
+    counted = toxicity._places(found, only)
+    assert "Coalesce" in counted._jdf.queryExecution().toString()
+    got = {(r["size"], r["key"]): r["kinds"] for r in counted.collect()}
+    want = defaultdict(int)
+    for size, _, hashes in words.grams(pa.array(sorted({w.encode() for r in rows.collect() for w in r["text"].split()}), pa.binary()), toxicity.SIZES):
+        want[size, None] += len(hashes)
+        for key in hashes.view(np.int64).tolist():
+            want[size, key] += 1
+    assert got == want
+
+
+def test_most_keys_asked_for_are_met_in_the_first_table():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 64, 100_000, np.uint64))
+    held = toxicity.Lookup(keys, np.arange(1, len(keys) + 1, dtype=np.float32))
+    assert (held(keys) == np.arange(1, len(keys) + 1)).all() and not held(rng.integers(0, 1 << 64, 1000, np.uint64)).any()
+    first = held.starts[1]
+    assert np.isin(keys, held.keys[:first]).mean() > 0.6 and len(held.keys) < 4 * len(keys)
+
+
+def test_different_numbers_and_where_they_are_first():
+    rng = np.random.default_rng(4)
+    for x in (np.zeros(0, np.uint64), rng.integers(0, 50, 1000).astype(np.uint64), rng.integers(0, 1 << 60, 1000).astype(np.uint64)):
+        for got, want in zip(words.distinct(x), np.unique(x, return_index=True, return_inverse=True)):
+            assert (got == want).all()
