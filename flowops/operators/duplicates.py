@@ -20,6 +20,8 @@ WIDE = 8
 # Bits that mark repeated digests, 64 to a row of the table every task gets: 262,144 rows at most. With many more
 # repeated digests than bits, rows that do not repeat are grouped by all their columns too, with the same result.
 MARKS = 1 << 24
+# Between the fields of a line of raw text: the unit separator, which few texts hold.
+SEPARATOR = "\x1f"
 
 
 def _copies(df: DataFrame, columns: Sequence[str], name: str = "_copies") -> DataFrame:
@@ -90,11 +92,17 @@ def dedup_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def text_dedup_report(texts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """As ``dedup_report`` on raw text: ``1.10`` and ``1.1`` differ, a missing field equals an empty one.
 
-    One scan, grouped by the fields as one array: to parse text again costs more than whole rows in the shuffle, and
-    one key of any width compiles where dozens of columns do not.
+    One scan, grouped by the fields as one line: to parse text again costs more than whole rows in the shuffle, and
+    one key of any width compiles where dozens of columns do not. A line takes less of the shuffle than an array of its
+    fields and tells them apart as long as none of them holds the separator; where one does, the array joins the key.
     """
-    fields = F.array(*[F.coalesce(qcol(c), F.lit("")) for c in columns])
-    return dedup_report(texts.select(fields.alias("_fields")))
+    fields = [F.coalesce(qcol(c), F.lit("")) for c in columns]
+    line = F.concat_ws(SEPARATOR, *fields)
+    keys = [line.alias("_line")]
+    if len(fields) > 1:
+        unclear = F.octet_length(F.substring_index(line, SEPARATOR, len(fields))) < F.octet_length(line)
+        keys.append(F.when(unclear, F.array(*fields)).alias("_fields"))
+    return dedup_report(texts.select(*keys))
 
 
 def dedup_criteria_report(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -483,7 +483,7 @@ def _summary(df: DataFrame, texts: bool = False) -> DataFrame:
 
 def _written_csv(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "csv")
-    sinks.write_raw_csv(read_flows(spark, sf_dir), path)
+    sinks.write_raw_csv(read_flows(spark, sf_dir), path, compression=sinks.CSV_CODEC)
     return path
 
 

@@ -12,6 +12,9 @@ from flowops.functions.columns import decimal_text, is_finite, qcol, round_decim
 DONE = "_SUCCESS"
 # Codec for JSON lines of whole tables, where names that repeat in every row are most of the text.
 JSON_CODEC = "lz4"
+# Codec for whole tables as CSV, and most rows of one compressed file: no file of them is split, so tasks share files.
+CSV_CODEC = "lz4"
+FILE_ROWS = 1 << 16
 
 
 def as_text(df: DataFrame, decimals: int = 6) -> DataFrame:
@@ -41,10 +44,10 @@ def write_csv(df: DataFrame, path: str, decimals: int = 6, single_file: bool = F
     text.write.options(header=True, emptyValue="", encoding="UTF-8").csv(path)
 
 
-def write_raw_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_raw_csv(df: DataFrame, path: str, partition_by: str | None = None, compression: str = "none") -> None:
     """CSV with the shortest exact text of every number; infinities spelled ``inf`` and ``-inf``.
 
-    With ``partition_by``, a task has a file in every directory it has rows of. Where the session allows so many
+    Compressed, a task begins a new file after ``FILE_ROWS`` rows. With ``partition_by``, a task has a file in every directory it has rows of. Where the session allows so many
     open files (``spark.sql.maxConcurrentOutputFileWriters``), rows are neither shuffled nor sorted for it.
     """
     def cell(f: T.StructField) -> Column:
@@ -58,7 +61,11 @@ def write_raw_csv(df: DataFrame, path: str, partition_by: str | None = None) ->
             .alias(f.name)
         )
 
-    writer = df.select(*[cell(f) for f in df.schema.fields]).write.options(header=True, encoding="UTF-8")
+    writer = df.select(*[cell(f) for f in df.schema.fields]).write.options(
+        header=True, encoding="UTF-8", compression=compression
+    )
+    if compression != "none":
+        writer = writer.option("maxRecordsPerFile", FILE_ROWS)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.csv(path)

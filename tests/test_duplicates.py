@@ -85,3 +85,38 @@ def test_text_rows_are_read_once(spark, tmp_path):
     assert (got["antes"], got["despues"]) == (len(rows), len(kinds))
     # Nothing was counted ahead in a scan of its own.
     assert set(os.listdir(shared_dir(spark).removeprefix("file://"))) == before
+
+
+def _shuffled_bytes(report):
+    """Bytes of the rows in the widest exchange, before compression."""
+    def sizes(plan):
+        own = plan.metrics().get("dataSize")
+        yield own.get().value() if own.isDefined() else 0
+        below = plan.children().iterator()
+        while below.hasNext():
+            yield from sizes(below.next())
+
+    report.collect()
+    return max(sizes(report._jdf.queryExecution().executedPlan()))
+
+
+def test_text_rows_are_shuffled_as_lines(spark):
+    """40 fields of 3 bytes are 160 bytes in a line, and 8 bytes and a padded word each in an array."""
+    names = [f"c{i}" for i in range(40)]
+    texts = spark.range(0, 2_000, 1, 2).select(*[(F.col("id") % 900 + 100).cast("string").alias(n) for n in names])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _shuffled_bytes(duplicates.text_dedup_report(texts, names)) < 250 * 2_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_text_rows_that_hold_the_separator_are_told_apart(spark):
+    s = duplicates.SEPARATOR
+    rows = [(f"a{s}b", "c", ""), ("a", f"b{s}c", None), ("a", "b", f"c{s}"), ("a", "b", "c"), ("a", f"b{s}c", ""), (s, "", ""), ("", s, ""), ("", "", s), ("", None, "")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    kinds = {tuple(x or "" for x in r) for r in rows}
+    assert tuple(duplicates.text_dedup_report(df, ["a", "b", "c"]).first())[:2] == (len(rows), len(kinds))
+    one = spark.createDataFrame([(s,), (s,), (f"a{s}",), (None,), ("",)], "a string")
+    assert tuple(duplicates.text_dedup_report(one, ["a"]).first())[:2] == (5, 3)

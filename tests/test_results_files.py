@@ -226,3 +226,33 @@ def test_directories_are_written_where_rows_lie(spark, tmp_path):
     assert [len(list((tmp_path / "out" / f"clase={c}").glob("part-*"))) for c in range(3)] == [4, 4, 4]
     back = spark.read.option("header", True).csv(str(tmp_path / "out"))
     assert sorted(int(r["id"]) for r in back.collect()) == list(range(400))
+
+
+def test_compressed_csv_is_written_in_files_of_few_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILE_ROWS", 100)
+    rows = spark.range(0, 250, 1, 1).selectExpr(
+        "CASE WHEN id % 7 = 0 THEN CAST('-Infinity' AS DOUBLE) WHEN id % 5 > 0 THEN id / 4D END AS x", "id AS n",
+        "element_at(array('a', 'b,c', '', '\"', NULL), CAST(id % 5 AS INT) + 1) AS Label",
+    )
+    sinks.write_raw_csv(rows, f"{tmp_path}/plain")
+    sinks.write_raw_csv(rows, f"{tmp_path}/small", compression=sinks.CSV_CODEC)
+    small = [str(f) for f in (tmp_path / "small").glob("part-*")]
+    # A file of them is read by one task, so its rows are bounded.
+    assert sorted(files.read_csv(spark, f, MINI).count() for f in small) == [50, 100, 100]
+    for read in (files.read_csv, files.read_text_csv):
+        got, want = (sorted(map(str, read(spark, f"{tmp_path}/{n}", MINI).collect())) for n in ("small", "plain"))
+        assert got == want
+    none = rows.where("n < 0")
+    sinks.write_raw_csv(none, f"{tmp_path}/none", compression=sinks.CSV_CODEC)
+    assert files.read_csv(spark, f"{tmp_path}/none", MINI).count() == 0
+
+
+def test_csv_of_the_whole_table_is_compressed(spark, sf_dir):
+    from pathlib import Path
+    from flowops.plans import catalog
+    from flowops.plans.flow_view import read_flows
+
+    path = Path(catalog._written_csv(spark, sf_dir).removeprefix("file://"))
+    sinks.write_raw_csv(read_flows(spark, sf_dir), f"{path}-plain")
+    sizes = [sum(f.stat().st_size for f in p.glob("part-*")) for p in (path, Path(f"{path}-plain"))]
+    assert 2 * sizes[0] < sizes[1]
